@@ -114,7 +114,7 @@ def _merge(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _tile_task(least: float):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         lo, hi = int(key[0]) // MAX_TILES, int(key[0]) % MAX_TILES
         out = []
         width = pdf["raw"].str.len()
