@@ -24,12 +24,14 @@ BANDS, ROWS = 40, 6
 T = BANDS * ROWS
 #: Ids up to this number are sent to all executors (16 MB); beyond it the texts are dealt by id.
 SEND_IDS = 2_000_000
-#: Rounds of comparing with one leader a bucket before the pairs that are left are listed.
-STAR_ROUNDS = 3
+#: Bytes of text that are turned into shingles at a time.
+SLICE = 1 << 19
+#: One-bit coordinates of the finer sketch, and the standard deviations that a pair may lie below what is asked for.
+FINE, DEVIATIONS = 2048, 5.5
 
 _U = np.uint64
 _FULL = _U(0xFFFFFFFFFFFFFFFF)
-_ROUND = mix64(np.arange(1, 2 * T + 1, dtype=_U) * _U(0xD1B54A32D192ED03))
+_ROUND = mix64(np.arange(1, 2 * FINE + 1, dtype=_U) * _U(0xD1B54A32D192ED03))
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its shingles of `words` lower-cased words."""
     hashed, start, _ = word_hashes(data, offs)
@@ -51,20 +53,20 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndar
     return out
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """The T coordinates, each (round << 32) | 32 bits of hash."""
-    out = np.full(T, _FULL)
+def sketch(elements: np.ndarray, size: int = T) -> np.ndarray:
+    """The coordinates, each (round << 32) | 32 bits of hash."""
+    out = np.full(size, _FULL)
     n = len(elements)
-    step = max(1, min(T, math.ceil(1.3 * T * math.log(T) / n)))
-    for at in range(0, T, step):
-        rounds = np.arange(at, min(T, at + step), dtype=_U)
+    step = max(1, min(size, math.ceil(1.3 * size * math.log(size) / n), (1 << 18) // n))
+    for at in range(0, size, step):
+        rounds = np.arange(at, min(size, at + step), dtype=_U)
         h = mix64(elements[None, :] ^ _ROUND[at : at + len(rounds), None])
-        bins = ((h >> _U(32)) * _U(T)) >> _U(32)
+        bins = ((h >> _U(32)) * _U(size)) >> _U(32)
         np.minimum.at(out, bins.ravel().astype(np.int64), ((rounds[:, None] << _U(32)) | (h & _U(0xFFFFFFFF))).ravel())
         if out.max() != _FULL:
             return out
     for b in np.flatnonzero(out == _FULL):
-        out[b] = (_U(T + b) << _U(32)) | (mix64(elements ^ _ROUND[T + b]) & _U(0xFFFFFFFF)).min()
+        out[b] = (_U(size + b) << _U(32)) | (mix64(elements ^ _ROUND[size + b]) & _U(0xFFFFFFFF)).min()
     return out
 
 
@@ -90,6 +92,23 @@ def _signer(words: int):
     return lambda: sign
 
 
+def _finer(words: int):
+    """FINE one-bit coordinates as longs, and the band keys again."""
+
+    def f(ids, data, offs):
+        sets = shingle_sets(data, offs, words)
+        bits = [np.packbits((sketch(s, FINE) & _U(1)).astype(np.uint8)).view(np.int64) if len(s) else None for s in sets]
+        return [ids, pa.array(bits, pa.list_(pa.int64())), pa.array([band_keys(sketch(s)) if len(s) else None for s in sets], pa.list_(pa.int64()))]
+
+    return lambda: f
+
+
+def agreeing(num: int, den: int) -> int:
+    """One-bit coordinates in which a pair of the least similarity agrees, less DEVIATIONS: a bit agrees with probability (1 + J) / 2."""
+    p = (1 + num / den) / 2
+    return math.floor(FINE * p - DEVIATIONS * math.sqrt(FINE * p * (1 - p)))
+
+
 def _setter(words: int):
     return lambda: lambda ids, data, offs: [ids, pa.array([s.tobytes() for s in shingle_sets(data, offs, words)], pa.binary())]
 
@@ -116,9 +135,9 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id, kept) for every row of docs.
 
     Texts with equal shingle sets form a class, and one document of each class is banded, so exact copies cost one
-    row each. In each bucket of a band all members are compared with the smallest one; buckets that still hold more
-    than one component go on without it, and after STAR_ROUNDS rounds all their pairs between components are compared.
-    So a bucket of near copies costs as many comparisons as it has members, and no pair is left out.
+    row each. In each bucket of a band all members are compared with the smallest one, which joins nearly all near
+    copies of a group at the cost of a row a member. What is left are pairs of members of one bucket in different
+    components: those that finer sketches don't rule out are compared too, each once. No pair is left out otherwise.
 
     Null or empty texts and texts of white space have no shingles: n_shingles 0, a component of their own. Rows that
     share an id are one document: they get one component. A null id is linked with nothing: its component_id is null
@@ -127,18 +146,20 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     tune(spark)
     scratch = Scratch(spark, "minhash")
-    signed = scratch.table(over_texts(docs, id_col, text_col, _signer(words), "doc_id long, n_shingles long, cls binary, bands array<long>"))
+    signed = scratch.table(over_texts(docs, id_col, text_col, _signer(words), "doc_id long, n_shingles long, cls binary, bands array<long>", limit=SLICE))
     classes = scratch.table(signed.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
     rows = classes.select("rep", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
     members = scratch.table(rows.join(buckets, "key"))
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+        return text.join(F.broadcast(ids) if ids.count() <= SEND_IDS else ids, "_id", "left_semi")
+
     def confirm(pairs: DataFrame) -> DataFrame:
         pairs = scratch.table(pairs)
         ids = scratch.table(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
-        text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-        wanted = text.join(F.broadcast(ids) if ids.count() <= SEND_IDS else ids, "_id", "left_semi")
-        sets = scratch.table(over_texts(wanted, "_id", "_text", _setter(words), "doc_id long, s binary"))
+        sets = scratch.table(over_texts(texts_of(ids), "_id", "_text", _setter(words), "doc_id long, s binary", limit=SLICE))
         joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("right")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("left")), "a")
         out = scratch.table(joined.select("a", "b", "left", "right").mapInArrow(_confirmer(num, den), "a long, b long"))
         scratch.drop(pairs, ids, sets)
@@ -149,24 +170,21 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     shared = signed.where("cls is not null").join(repeated, "doc_id", "left_semi").join(classes, "cls").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
     found = components(edges.unionByName(shared), scratch)
-    rest = members
-    for turn in range(STAR_ROUNDS + 1):
-        placed = rest.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "leader", F.coalesce("comp", "rep").alias("comp")).where("rep != leader")
-        placed = scratch.table(placed)
-        open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("leader")).where("lo < hi").select("key", "leader")
-        rest = scratch.table(placed.drop("leader").join(open_, "key"))
-        if rest.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            heads = rest.where("rep = leader").select("key", F.col("comp").alias("head"))
-            pairs = rest.join(heads, "key").where("comp != head").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-        else:
-            pairs = rest.alias("x").join(rest.alias("y"), "key").where("x.rep < y.rep and x.comp != y.comp").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        more = confirm(pairs.distinct())
-        scratch.drop(placed)
+    placed = scratch.table(members.where("rep != leader").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")))
+    open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    rest = scratch.table(placed.join(open_, "key", "left_semi"))
+    if not rest.isEmpty():
+        ids = scratch.table(rest.select(F.col("rep").alias("_id")).distinct())
+        fine = scratch.table(over_texts(texts_of(ids), "_id", "_text", _finer(words), "rep long, bits array<long>, bands array<long>", limit=SLICE))
+        rest = scratch.table(rest.join(fine, "rep"))
+        x, y = rest.alias("x"), rest.alias("y")
+        apart = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(FINE // 64)), F.lit(0))
+        # a pair that is still possible, in the first of the buckets that it shares
+        first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
+        more = confirm(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch)
-        rest = rest.select("key", "rep", "leader")
     of_class = scratch.table(classes.select("cls", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("comp", "rep").alias("component_id")))
     lone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
