@@ -176,9 +176,11 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not rest.isEmpty():
         ids = scratch.table(rest.select(F.col("rep").alias("_id")).distinct())
         fine = scratch.table(over_texts(texts_of(ids), "_id", "_text", _finer(words), "rep long, bits array<long>, bands array<long>", limit=SLICE))
-        rest = scratch.table(rest.join(fine, "rep"))
+        # a column a word: their comparison stays small enough to be compiled
+        words_ = [F.coalesce(F.col("bits")[k], F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)]
+        rest = scratch.table(rest.join(fine, "rep").select("key", "rep", "comp", "bands", *words_)).select("key", "rep", "comp", "bands", *(F.coalesce(f"w{k}", F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)))
         x, y = rest.alias("x"), rest.alias("y")
-        apart = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(FINE // 64)), F.lit(0))
+        apart = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(FINE // 64)), F.lit(0))
         # a pair that is still possible, in the first of the buckets that it shares
         first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
