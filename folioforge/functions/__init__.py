@@ -1 +1,21 @@
+"""Column functions: built-in expressions first, Arrow-batched kernels where those can't express the semantics."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def arrow_function(schema: str) -> Callable:
+    """A pandas function as a Column function. The UDF is made when it is called, so that workers, which have no session, can import its module."""
+
+    def wrap(f: Callable) -> Callable[..., Column]:
+        def call(*columns: Column | str) -> Column:
+            return F.pandas_udf(f, schema)(*columns)
+
+        call.__doc__, call.__name__ = f.__doc__, f.__name__
+        return call
+
+    return wrap
