@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import Scratch, tune
 from folioforge.llm.components import components
 
-#: Rows of a tile; with more vectors than TILE * MAX_TILES, tiles grow, and are multiplied in blocks of TILE.
-TILE, MAX_TILES = 2048, 256
+#: Rows of a tile that is dealt to tasks, rows of a block of a product, and tiles: SPREAD for a few vectors, up to
+#: MAX_TILES; with more vectors than TILE * MAX_TILES, tiles grow.
+TILE, BLOCK, SPREAD, MAX_TILES = 8192, 2048, 8, 256
 _SLICE = 1024
 
 
@@ -33,7 +34,7 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _prepare(batches):
-    """vec_id, digest of the vector (null if it links with nothing), its components as float64."""
+    """vec_id, digest of the vector (null if it links with nothing), its components as float32 if that holds them exactly, else float64."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
         rows = [v.as_py() for v in column]
@@ -42,8 +43,10 @@ def _prepare(batches):
             ok = v is not None and len(v) > 0 and None not in v
             x = np.array(v, np.float64) if ok else None
             if ok and np.isfinite(x).all() and np.abs(x).max() > 0:
-                raw.append((x + 0.0).tobytes())
-                digest.append(hashlib.blake2b(raw[-1], digest_size=16).digest())
+                x = x + 0.0  # -0.0 is 0.0
+                digest.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
+                half = x.astype(np.float32)
+                raw.append(b"f" + half.tobytes() if (half == x).all() else b"d" + x.tobytes())
             else:
                 raw.append(None)
                 digest.append(None)
@@ -51,7 +54,7 @@ def _prepare(batches):
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(r, np.float64) for r in raw])
+    x = np.stack([np.frombuffer(r, np.float32 if r[:1] == b"f" else np.float64, offset=1) for r in raw]).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
@@ -76,23 +79,23 @@ def tile_links(x: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.nd
     codes, scale, error = quantise(x)
     size = np.sqrt(np.einsum("ij,ij->i", codes.astype(np.float64), codes.astype(np.float64))) * scale
     count, root, again = np.zeros(len(x), np.int64), np.arange(len(x)), 0
-    for a in range(0, len(left), TILE):
-        i = left[a : a + TILE]
-        for b in range(a if within else 0, len(right), TILE):
-            j = right[b : b + TILE]
-            product = np.zeros((len(i), len(j)), np.float64)
-            for k in range(0, x.shape[1], _SLICE):
-                product += codes[i, k : k + _SLICE].astype(np.float32) @ codes[j, k : k + _SLICE].astype(np.float32).T
-            product *= scale[i][:, None]
-            product *= scale[j][None, :]
-            # what the bound needs of each side, so that no second matrix is built: slack <= worst of the row + column
-            slack = error[i].max() * size[j].max() + error[j].max() * size[i].max() + error[i].max() * error[j].max() + 1e-9
-            p, q = np.nonzero(product >= least - slack)
+    wide = codes.astype(np.float32)
+    for a in range(0, len(left), BLOCK):
+        i = left[a : a + BLOCK]
+        for b in range(a if within else 0, len(right), BLOCK):
+            j = right[b : b + BLOCK]
+            product = wide[i, :_SLICE] @ wide[j, :_SLICE].T
+            for k in range(_SLICE, x.shape[1], _SLICE):
+                product = product + (wide[i, k : k + _SLICE] @ wide[j, k : k + _SLICE].T).astype(np.float64)
+            # the least product of codes that a row's links can have, by the largest error and scale of the other side
+            need = least - (error[i] * size[j].max() + error[j].max() * size[i] + error[i] * error[j].max() + 1e-9)
+            floor = np.where(need > 0, need / (scale[i] * scale[j].max()), need / (scale[i] * scale[j].min()))
+            p, q = np.nonzero(product >= np.floor(floor).astype(product.dtype)[:, None])
             if within and a == b:
                 p, q = p[p < q], q[p < q]
             if not len(p):
                 continue
-            value, p, q = product[p, q], i[p], j[q]
+            value, p, q = product[p, q].astype(np.float64) * scale[i[p]] * scale[j[q]], i[p], j[q]
             slack = error[p] * size[q] + error[q] * size[p] + error[p] * error[q] + 1e-9
             sure = value - slack >= least
             maybe = ~sure & (value + slack >= least)
@@ -117,7 +120,7 @@ def _tile_task(least: float):
     def run(key, pdf):
         lo, hi = int(key[0]) // MAX_TILES, int(key[0]) % MAX_TILES
         out = []
-        width = pdf["raw"].str.len()
+        width = pdf["raw"].map(lambda r: (len(r) - 1) // (4 if r[:1] == b"f" else 8))
         for _, part in pdf.groupby(width):  # vectors of other dimensions have no cosine with these
             part = part.sort_values("rep", kind="stable")
             tile, rep, weight = part["tile"].to_numpy(), part["rep"].to_numpy(), part["n"].to_numpy()
@@ -148,7 +151,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     ready = scratch.table(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("_v")).mapInArrow(_prepare, "vec_id long, cls binary, raw binary"))
     classes = scratch.table(ready.where("cls is not null and vec_id is not null").groupBy("cls").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.any_value("raw").alias("raw")))
     n = classes.count()
-    tiles = max(1, min(MAX_TILES, math.ceil(n / TILE)))
+    tiles = max(1, min(MAX_TILES, max(math.ceil(n / TILE), min(SPREAD, math.ceil(n / 1024)))))
     t = F.pmod(F.xxhash64("cls"), F.lit(tiles)).cast("int")
     other = F.sequence(F.lit(0), F.lit(tiles - 1))
     dealt = classes.withColumn("tile", t).withColumn("pair", F.explode(F.transform(other, lambda j: F.least("tile", j) * MAX_TILES + F.greatest("tile", j)))).select("pair", "tile", "rep", "n", "raw")
