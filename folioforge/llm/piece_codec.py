@@ -28,23 +28,27 @@ from folioforge.llm.common import over_texts, tune
 MARK = "▁"
 #: Word-begin marks with what follows them, up to the next one or a line's end.
 _UNITS = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
-#: Words and pairs that a task keeps; when there are more, it starts again.
-KEEP = 400_000
+#: Words (by half of them at a time) and pairs that a worker keeps.
+KEEP = 1_200_000
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 
 class _Kept(dict):
-    """Results of make by word; starts again when there are KEEP, and keeps no very long words."""
+    """Results of make by word, KEEP of them at most; keeps no very long words. Words used since it was last half
+    full stay when it is."""
 
     def __init__(self, make: Callable):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, word: str):
-        got = self.make(word)
-        if len(self) >= KEEP:
-            self.clear()
+        got = self.old.get(word)
+        if got is None:
+            got = self.make(word)
         if len(word) < 64:
+            if len(self) >= KEEP // 2:
+                self.old = dict(self)
+                self.clear()
             self[word] = got
         return got
 
@@ -80,7 +84,8 @@ class PieceModel:
         odd = "".join(sorted(self.single - {MARK}))
         self.words = re.compile(f"{MARK}*[{re.escape(odd)}]+|{MARK}+|.", re.S)
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known = _Kept(lambda w: self._parts(w if w[0] == "\n" else MARK + w))
+        self.known = _Kept(self._known)
+        self.plain = all(chr(c) in self.single for c in range(33, 127))
         self.units = _Kept(lambda w: self._parts(w.replace(" ", MARK)))
 
     def _merge(self, text: str) -> list[str]:
@@ -114,23 +119,22 @@ class PieceModel:
         if word not in self.single and len(word) == 1:
             return tuple(self.byte[b] for b in word.encode())
         n = len(word)
-        last = [-1] * (n + 1)
-        sizes = [0] * (n + 1)
-        pairs, bad = self.pairs, self.unreachable
-        done = 0
+        last, sizes = [0] * (n + 1), [0] * (n + 1)
+        pairs, bad, done = self.pairs, self.unreachable, 0
         for end, (size, piece) in self.automaton.iter(word):
-            end += 1
-            if end <= done or piece in bad:
+            if end < done:
                 continue
-            before = end - size
-            if before:
-                p = last[before]
+            if size <= end:
+                p = last[end + 1 - size]
                 ok = pairs.get((p, piece))
                 if ok is None:
                     ok = self.compatible(p, piece)
                 if not ok:
                     continue
-            last[end], sizes[end], done = piece, size, end
+            if piece in bad:
+                continue
+            done = end + 1
+            last[done], sizes[done] = piece, size
         out = []
         while n:
             out.append(last[n])
@@ -142,6 +146,13 @@ class PieceModel:
         ids = tuple(chain.from_iterable(map(self.word, self.words.findall(word))))
         return ids, "," + ",".join(map(str, ids))
 
+    def _known(self, w: str) -> tuple[tuple[int, ...], str]:
+        """A word that a space or a line's end stands before; the line's end is part of it."""
+        if w[0] == "\n" or not (self.plain and w.isascii() and w.isprintable()):
+            return self._parts(w if w[0] == "\n" else MARK + w)
+        ids = self.word(MARK + w)
+        return ids, "," + ",".join(map(str, ids))
+
     def encode(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         """For each word its ids, and the ids as text with a comma before each."""
         if not text:
