@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_RECORDS = 2000
+#: Rows of an Arrow batch: some MB of texts, or of pairs of shingle sets, even if many are long.
+MAX_RECORDS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +99,7 @@ def over_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], C
         for batch in batches:
             for part, data, offs in pieces(batch, "_text", limit):
                 yield pa.RecordBatch.from_arrays(f(part.column(0), data, offs), names)
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     names = [x.split()[0] for x in schema.split(", ")]
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
@@ -115,6 +117,7 @@ def filtered(docs: DataFrame, text_col: str, make: Callable[[], Callable], limit
             batch = batch.rename_columns([f"c{i}" for i in range(len(names))])
             for part, data, offs in pieces(batch, f"c{at}", limit):
                 yield part.filter(pa.array(f(data, offs))).rename_columns(names)
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

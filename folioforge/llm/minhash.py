@@ -127,6 +127,7 @@ def _confirmer(num: int, den: int):
                     common = int(np.count_nonzero(both[1:] == both[:-1]))
                     good[i] = den * common >= num * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(good))
+        pa.default_memory_pool().release_unused()
 
     return run
 
