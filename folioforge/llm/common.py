@@ -47,6 +47,9 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n:04d}"
         df.write.parquet(path)
+        if self.n == 1:  # what isn't dropped before goes when the driver ends
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(p)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out

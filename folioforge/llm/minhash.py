@@ -204,7 +204,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch = Scratch(spark, "near-copies")
     links = scratch.table(link_documents(docs, id_col, text_col, words, num, den).select(F.col("doc_id").alias("_kept_id"), "kept"))
     gone = scratch.table(links.where("not kept").select("_kept_id").distinct())
-    out = docs.join(F.broadcast(gone) if gone.count() <= SEND_IDS else gone, F.col(id_col) == F.col("_kept_id"), "left_anti")
+    out = docs.join(F.broadcast(gone) if gone.count() <= SEND_IDS else gone, docs[id_col].cast("long") == gone["_kept_id"], "left_anti")
     if links.where("_kept_id is not null").groupBy("_kept_id").count().where("count > 1").isEmpty():
         return out
     return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))

@@ -30,7 +30,7 @@ MARK = "▁"
 #: Word-begin marks with what follows them, up to the next one or a line's end.
 _UNITS = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
 #: Words (by half of them at a time) and pairs that a worker keeps.
-KEEP = 1_000_000
+KEEP = 500_000
 
 
 class _Kept(dict):

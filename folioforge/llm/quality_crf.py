@@ -188,8 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     tune(spark)
     picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
     picked = picked.orderBy(F.xxhash64("_lid"), "_lid", "_y").limit(sample)
-    texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(picked), F.col(id_col) == F.col("_lid"))
-    got = over_texts(texts.withColumn("_y2", F.col("_y") + 2 * F.col("_lid")), "_y2", text_col, lambda: _featurer, "y long, x binary").orderBy("y").toPandas()
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid")
+    got = over_texts(texts.withColumn("_key", F.col("_y") + 2 * F.col("_lid")), "_key", "_text", lambda: _featurer, "y long, x binary").orderBy("y").toPandas()
     sequences = []
     for y, raw in zip(got["y"], got["x"], strict=True):
         x = np.frombuffer(raw, np.float32).reshape(-1, FEATURES)

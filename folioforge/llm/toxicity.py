@@ -99,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     tune(docs.sparkSession)
     picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
     picked = picked.orderBy(F.xxhash64("_lid"), "_lid", "_y").limit(sample)
-    texts = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(picked), F.col(id_col) == F.col("_lid")).select(F.col("_y").cast("long").alias("_y"), F.col("_lid"), F.col(text_col).alias("_text"))
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid").select(F.col("_y").cast("long").alias("_y"), "_lid", "_text")
     counts = texts.select("_y", "_text").mapInArrow(_counts, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
     whole = counts[counts["bin"] == -1]
     n0, n1 = int(whole["clean"].sum()), int(whole["toxic"].sum())
