@@ -22,6 +22,11 @@ def part(text: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+def let(value: Column, f) -> Column:
+    """f(value), with the value computed once: a name for it inside the expression."""
+    return F.transform(F.array(value), f)[0]
+
+
 def padded(number: Column, width: int) -> Column:
     """Zeros in front up to a width; longer numbers stay whole (lpad alone would cut them)."""
     return F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0"))
@@ -87,33 +92,41 @@ def source_precedence(correction: Column, div: Column, title: Column, date: Colu
 
 def page_range(text: Column) -> Column:
     """struct(n, repr) of one page or range: dropped leading digits come back, Roman numbers count."""
-    a, b = F.element_at(F.split(text, "-"), 1), F.try_element_at(F.split(text, "-"), F.lit(2))
     roman = lookup({r: i for i, r in enumerate(ROMAN, 1)})
-    full = F.when(F.length(b) < F.length(a), F.concat(F.substring(a, F.lit(1), F.length(a) - F.length(b)), b)).otherwise(b)
-    arabic = a.rlike(r"^\d+$")
-    n = (
-        F.when(b.isNull(), 1)
-        .when(arabic & b.rlike(r"^\d+$"), F.expr("1") + full.try_cast("int") - a.try_cast("int"))
-        .otherwise(F.element_at(roman, b) - F.element_at(roman, a) + 1)
-    )
-    return F.struct(n.cast("int").alias("n"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit("-"), F.when(arabic, full).otherwise(b))).alias("repr"))
+
+    def of(p: Column) -> Column:
+        a, b, arabic = p["a"], p["b"], p["arabic"]
+        full = F.when(arabic & (F.length(b) < F.length(a)), F.concat(F.substring(a, F.lit(1), F.length(a) - F.length(b)), b)).otherwise(b)
+        n = F.when(b.isNull(), 1).when(arabic, full.try_cast("int") - a.try_cast("int") + 1).otherwise(F.element_at(roman, b) - F.element_at(roman, a) + 1)
+        return F.struct(n.cast("int").alias("n"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit("-"), full)).alias("repr"))
+
+    parts = F.struct(F.regexp_extract(text, "^([^-]*)", 1).alias("a"), part(text, "^[^-]*-([^-]*)", 1).alias("b"), text.rlike(r"^\d+(-\d+)?$").alias("arabic"))
+    return let(parts, of)
 
 
 def pages(text: Column) -> Column:
     """struct(dl_page, dl_repr, dl_npgs, dl_anno) of a page string."""
-    t = F.regexp_extract(F.lower(text), r"(?s)^[^ndqsivx\d]*(.*?)[^ndqsivx\d]*$", 1)
-    anno = F.when(t.contains("nd"), "nd").when(t.contains("q"), "q").when(t.contains("ss"), "ss").when(t.contains("s"), "s").otherwise("")
-    t = F.when(anno == "nd", F.regexp_replace(t, "nd-? ?", "")).when(anno == "q", F.regexp_replace(t, "q-?", "")).when(anno == "ss", F.replace(t, F.lit("ss"), F.lit(""))).when(anno == "s", F.replace(t, F.lit("s"), F.lit(""))).otherwise(t)
-    clean = F.translate(t, "–;", "-,")
-    for a, b in ((" - ", "-"), ("-,", ","), (", ", ",")):
-        clean = F.replace(clean, F.lit(a), F.lit(b))
-    ranges = F.transform(F.split(clean, ","), page_range)
-    some = F.lower(text).rlike(r"[ivx\d]")
-    return F.when(some, F.struct(
-        F.coalesce(F.regexp_extract(t, r"(\d+)", 1).try_cast("int"), F.lit(0)).alias("dl_page"),
-        F.array_join(F.transform(ranges, lambda r: r["repr"]), ",").alias("dl_repr"),
-        F.aggregate(ranges, F.lit(0), lambda s, r: s + F.coalesce(r["n"], F.lit(0))).alias("dl_npgs"), anno.alias("dl_anno"),
-    )).otherwise(F.struct(F.lit(0).alias("dl_page"), F.lit("").alias("dl_repr"), F.lit(0).alias("dl_npgs"), F.lit("").alias("dl_anno")))
+
+    def trimmed(t: Column) -> Column:
+        noted = [("nd", "nd-? ?"), ("q", "q-?"), ("ss", "ss"), ("s", "s")]
+        anno, rest = F.when(t.contains("nd"), "nd"), F.when(t.contains("nd"), F.regexp_replace(t, "nd-? ?", ""))
+        for note, pattern in noted[1:]:
+            anno, rest = anno.when(t.contains(note), note), rest.when(t.contains(note), F.regexp_replace(t, pattern, ""))
+        return let(F.struct(anno.otherwise("").alias("anno"), rest.otherwise(t).alias("rest")), ranged)
+
+    def ranged(p: Column) -> Column:
+        clean = F.translate(p["rest"], "–;", "-,")
+        for a, b in ((" - ", "-"), ("-,", ","), (", ", ",")):
+            clean = F.replace(clean, F.lit(a), F.lit(b))
+        first = F.coalesce(F.regexp_extract(p["rest"], r"(\d+)", 1).try_cast("int"), F.lit(0))
+        return let(F.transform(F.split(clean, ","), page_range), lambda ranges: F.struct(
+            first.alias("dl_page"), F.array_join(F.transform(ranges, lambda r: r["repr"]), ",").alias("dl_repr"),
+            F.aggregate(ranges, F.lit(0), lambda s, r: s + F.coalesce(r["n"], F.lit(0))).alias("dl_npgs"), p["anno"].alias("dl_anno"),
+        ))
+
+    low = F.lower(text)
+    none = F.struct(F.lit(0).alias("dl_page"), F.lit("").alias("dl_repr"), F.lit(0).alias("dl_npgs"), F.lit("").alias("dl_anno"))
+    return F.when(low.rlike(r"[ivx\d]"), let(F.regexp_extract(low, r"(?s)^[^ndqsivx\d]*(.*?)[^ndqsivx\d]*$", 1), trimmed)).otherwise(none)
 
 
 def number_and_note(text: Column) -> tuple[Column, Column]:

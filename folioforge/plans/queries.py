@@ -367,7 +367,8 @@ KW = "array_to_string(list_transform(range(1, 9), lambda i: split_part(text, ' '
 
 
 def keyword_text(text):
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.split_part(text, F.lit(" "), i)), ", ")
+    """The first eight words; the split stops there."""
+    return F.array_join(F.slice(F.split(text, " ", 9), 1, 8), ", ")
 
 
 def _set_sql(text: str, pairs, ignore) -> str:
