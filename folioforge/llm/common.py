@@ -125,6 +125,16 @@ def filtered(docs: DataFrame, text_col: str, make: Callable[[], Callable], limit
     return docs.mapInArrow(run, schema)
 
 
+def hashed_sample(df: DataFrame, n: int, key: str) -> DataFrame:
+    """At most n rows of df, those with the least hashes of `key`. Rows that can't be among them are dropped where they
+    are read, so what tasks send on is bounded by n, whatever their number."""
+    total = df.count()
+    h = F.xxhash64(key)
+    if total > 2 * n:
+        df = df.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * (1.2 * n + 200) / total))
+    return df.orderBy(F.pmod(h, F.lit(1 << 30)), *df.columns).limit(n)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on uint64."""
     x = x ^ (x >> np.uint64(30))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import filtered, fold, over_texts, tune, word_hashes
+from folioforge.llm.common import filtered, fold, hashed_sample, over_texts, tune, word_hashes
 
 #: Labelled documents that the field is trained on, and lines of a training sequence (longer ones are cut in several).
 SAMPLE, SEQUENCE = 4000, 256
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     spark = docs.sparkSession
     tune(spark)
     picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
-    picked = picked.orderBy(F.xxhash64("_lid"), "_lid", "_y").limit(sample)
+    picked = hashed_sample(picked, sample, "_lid")
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid")
     got = over_texts(texts.withColumn("_key", F.col("_y") + 2 * F.col("_lid")), "_key", "_text", lambda: _featurer, "y long, x binary").orderBy("y").toPandas()
     sequences = []

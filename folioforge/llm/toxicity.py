@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import fold, folded, hashed_grams, over_texts, pieces, tune
+from folioforge.llm.common import fold, folded, hashed_grams, hashed_sample, over_texts, pieces, tune
 
 BITS, GRAMS = 18, (3, 4, 5, 6)
 #: Labelled documents that the classifier is fitted on, and n-gram bins that it uses: the most telling ones.
@@ -98,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     Null labels and texts are left out; with one class only, or none, all texts score alike."""
     tune(docs.sparkSession)
     picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
-    picked = picked.orderBy(F.xxhash64("_lid"), "_lid", "_y").limit(sample)
+    picked = hashed_sample(picked, sample, "_lid")
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid").select(F.col("_y").cast("long").alias("_y"), "_lid", "_text")
     counts = texts.select("_y", "_text").mapInArrow(_counts, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
     whole = counts[counts["bin"] == -1]
