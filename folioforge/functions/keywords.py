@@ -30,8 +30,8 @@ MMWR_REPLACE = [
 ]
 EID_REPLACE = [
     ("\n", ", "),
-    ("­ ", "-"),
-    ("​", ""),
+    ("\xad ", "-"),
+    ("\u200b", ""),
     ("\\", ""),
     ("Keywords: ", ""),
     ("Keywords:", ""),
@@ -57,15 +57,18 @@ PCD_IGNORE = [
     "Preventing Chronic Disease Journal", "Preventing Chronic Disease journal", "Preventing Chronic Disease revista",
     "Revista PCD (Preventing Chronic Disease [prevención de enfermedades crónicas])",
 ]
-MMWR_IGNORE_DESC = ["Add article description here.", "MMWR, Morbidity and Mortality Weekly Report, CDC, Centers for Disease Control and Prevention"] + [
-    f"The Morbidity and Mortality Weekly Report (MMWR) {kind} by the Centers for Disease Control and Prevention (CDC)."
-    for kind in ("Recommendations and Reports are prepared", "Series is prepared", "Surveillance Summaries are prepared", "is prepared")
+MMWR_IGNORE_DESC = [
+    "Add article description here.",
+    "MMWR, Morbidity and Mortality Weekly Report, CDC, Centers for Disease Control and Prevention",
+    "The Morbidity and Mortality Weekly Report (MMWR) Recommendations and Reports are prepared by the Centers for Disease Control and Prevention (CDC).",
+    "The Morbidity and Mortality Weekly Report (MMWR) Series is prepared by the Centers for Disease Control and Prevention (CDC).",
+    "The Morbidity and Mortality Weekly Report (MMWR) Surveillance Summaries are prepared by the Centers for Disease Control and Prevention (CDC).",
+    "The Morbidity and Mortality Weekly Report (MMWR) is prepared by the Centers for Disease Control and Prevention (CDC).",
 ]
-_PCD_ABOUT = "Preventing Chronic Disease (PCD) is a peer-reviewed electronic journal established by the National Center for Chronic Disease Prevention and Health Promotion. PCD provides an open exchange "
 PCD_IGNORE_DESC = [
     "CDC - Wide Page example description goes here",
-    _PCD_ABOUT + "of information and knowledge among researchers, practitioners, policy makers, and others who strive to improve the health of the public through chronic disease prevention.",
-    _PCD_ABOUT + "on the very latest in chronic disease prevention, research findings, public health interventions, and the exploration of new theories and concepts.",
+    "Preventing Chronic Disease (PCD) is a peer-reviewed electronic journal established by the National Center for Chronic Disease Prevention and Health Promotion. PCD provides an open exchange of information and knowledge among researchers, practitioners, policy makers, and others who strive to improve the health of the public through chronic disease prevention.",
+    "Preventing Chronic Disease (PCD) is a peer-reviewed electronic journal established by the National Center for Chronic Disease Prevention and Health Promotion. PCD provides an open exchange on the very latest in chronic disease prevention, research findings, public health interventions, and the exploration of new theories and concepts.",
 ]
 
 
@@ -88,7 +91,7 @@ def eid_keywords(text: Column) -> Column:
     """Array of keywords; suggested citations go."""
     t = chain(text, EID_REPLACE)
     t = F.regexp_replace(t, r"Suggested citation for this article:.*?10\.3201/eid\d{4}\.(AC|\d{2})\d{4}", "")
-    return _set(F.regexp_replace(t, r"Suggested citation for this article:[^,]*?, (?:[^,]*?, ){0,4}?[^,]*?(?:, |\z)", ""))
+    return _set(F.regexp_replace(t, r"Suggested citation for this article:[^,]*?, (?:[^,]*?, ){0,4}[^,]*?(?:, |\z)", ""))
 
 
 def pcd_keywords(text: Column) -> Column:
