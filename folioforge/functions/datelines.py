@@ -136,6 +136,39 @@ def number_and_note(text: Column) -> tuple[Column, Column]:
     return F.coalesce(padded(F.nullif(F.regexp_replace(F.regexp_replace(t, r"\D", ""), "^0+(?=.)", ""), F.lit("")), 2), F.lit("")), F.when(note.contains("&"), "").otherwise(note)
 
 
+def mmwr_script(html: Column) -> tuple[Column, Column]:
+    """Title and date that a page's script holds, null where it doesn't."""
+    return part(html, r"""reportTitle = ["'](.*?)["'];""", 1), part(html, r"""reportDate = ["'].*?([1-9ADFJMNOS].+?)["'];""", 1)
+
+
+def standard_name(path: Column) -> Column:
+    """Whether an article's file is named by the usual rule."""
+    return path.rlike(r"^/.*/(mm|rr|ss|su)\d{2}(\d{2,4}|SP)(a|e|md)\d*\.htm$")
+
+
+def which_dateline(script: Column, div: Column) -> tuple[Column, Column]:
+    """The script's dateline if it has over nine characters, else the element's; and which it is."""
+    script, div = (F.coalesce(x, F.lit("")) for x in (script, div))
+    return F.when(F.length(script) > 9, "var_dl").when(F.length(div) > 9, "div_dl").otherwise("_no_dl"), F.when(F.length(script) > 9, script).otherwise(div)
+
+
+def mmwr_detail(dateline: Column) -> dict[str, Column]:
+    """All parts of a dateline in lower case (G19): missing bars are added; a date that can't be read stays as it is
+    written; a volume part without three pieces gives `_`, which has no digits."""
+    low = F.lower(dateline)
+    low = F.concat(low, F.repeat(F.lit("/"), F.greatest(F.lit(0), F.lit(2) - F.regexp_count(low, F.lit("/")))))
+    fields = F.split(low, "/", 3)
+    date, rest = F.trim(fields[1]), F.split(F.trim(fields[2]), r" ?\(|\);?", -1)
+    vol, iss, pgs = (F.when(F.size(rest) == 3, rest[k]).otherwise("_") for k in range(3))
+    (vol_num, _), (iss_num, iss_anno) = number_and_note(vol), number_and_note(iss)
+    return {
+        "dl_ser": F.coalesce(F.element_at(lookup(SERIES), F.substring(F.trim(fields[0]), 1, 6)), F.lit("")),
+        "dl_date": F.coalesce(long_date(date), date),
+        "dl_vol_num": vol_num, "dl_iss_num": iss_num, "dl_iss_anno": iss_anno,
+        "pages": pages(pgs),
+    }
+
+
 EID = r"Volume (\d{1,2}), (?:Number (\d{1,2})|(Supplement))—([A-Sa-y]{3,9}) (\d{4})"
 
 
@@ -191,6 +224,15 @@ def pcd_toc_path(path: Column) -> dict[str, Column]:
     return {"lang": F.when(path.contains("/es/"), "es").otherwise("en"), "dl_year_mo": F.concat_ws("-", part(path, PCD_TOC_PATH, 1), month_number(part(path, PCD_TOC_PATH, 3)))}
 
 
+def pcd_english(path: Column) -> Column:
+    """Articles in English, by their files' names."""
+    return path.rlike(r"(\d{2}_\d{4}[aber\d]{0,2}|cover)\.htm")
+
+
+def pcd_translated(path: Column) -> Column:
+    return path.rlike(r"\d{2}_\d{4}[aber\d]{0,2}_(es|fr|zhs|zht)\.htm")
+
+
 PCD_PATH = r"^/pcd/issues/(\d{4})(?:/(jan|mar|apr|may|jul|sep|oct|nov))?/([a-z0-9_]{5,11})\.htm"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 
 import pandas as pd
@@ -14,9 +15,22 @@ from folioforge.functions import arrow_function
 # fixed values: characters taken as a space and as a line's end
 SPACES = "".join(map(chr, (0x09, 0x1F, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
 NEWLINES = "".join(map(chr, (0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029)))
-# fixed values: references that are replaced, and those that are deleted, before all others are resolved
-REPLACED = {"&#129;": "&uuml;", "&#822;": "&ndash;", "&#11834;": "&mdash;", "&#61620;": "&times;"}
-DELETED = ["&#157;", "&#1467;", "&#1560;", "&#8203;", "&lrm;", "&rlm;", "&#8288;", "&#8289;", "&#65533;"]
+# fixed values: references that are replaced or deleted before all others are resolved
+REPAIRS = {
+    "&#129;": "&uuml;",
+    "&#157;": "",
+    "&#822;": "&ndash;",
+    "&#1467;": "",
+    "&#1560;": "",
+    "&#8203;": "",
+    "&lrm;": "",
+    "&rlm;": "",
+    "&#8288;": "",
+    "&#8289;": "",
+    "&#11834;": "&mdash;",
+    "&#61620;": "&times;",
+    "&#65533;": "",
+}
 
 
 def reduce_space(text: Column, keep_pre: bool = False) -> Column:
@@ -33,9 +47,9 @@ def reduce_space(text: Column, keep_pre: bool = False) -> Column:
 def repair_known(text: Column) -> Column:
     """The named repairs (F13, first part): a thin space before three digits is a comma; listed references change or go."""
     t = F.regexp_replace(text, r"&thinsp;(?=\d{3})", ",")
-    for a, b in REPLACED.items():
+    for a, b in REPAIRS.items():
         t = F.replace(t, F.lit(a), F.lit(b))
-    return F.regexp_replace(t, "|".join(DELETED), "")
+    return t
 
 
 @arrow_function("string")
@@ -81,8 +95,6 @@ CODECS = {"utf-8": "utf_8", "iso-8859-1": "latin_1", "gb2312": "gb2312", "big5":
 
 def decode_bytes(raw: bytes | None) -> str | None:
     """Decode by the first declared charset of CODECS; bytes that it lacks come out as \\xNN (F1)."""
-    import re
-
     if raw is None:
         return None
     for name, codec in CODECS.items():
@@ -96,6 +108,27 @@ def decode_declared(content: pd.Series) -> pd.Series:
     return content.map(decode_bytes)
 
 
+@arrow_function("string")
+def decode_as(content: pd.Series, codec: pd.Series) -> pd.Series:
+    """Decoded by a named codec; bytes that it lacks come out as \\xNN."""
+    return pd.Series([None if r is None or c is None else bytes(r).decode(c, "backslashreplace") for r, c in zip(content, codec, strict=True)], dtype=object)
+
+
+@arrow_function("string")
+def fetched_text(content: pd.Series) -> pd.Series:
+    """UTF-8 if it is that, else windows-1252, else empty; all white space as single spaces (A1)."""
+
+    def text(raw: bytes | None) -> str:
+        for codec in ("utf_8", "cp1252"):
+            try:
+                return " ".join(re.split(r"\s+", bytes(raw or b"").decode(codec)))
+            except UnicodeDecodeError:
+                pass
+        return ""
+
+    return content.map(text)
+
+
 TRIED = ("ascii", "windows-1252", "iso-8859-1", "big5", "gb2312", "utf-8")
 
 

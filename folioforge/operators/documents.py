@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,6 +17,7 @@ PARSED = (
     "anchors array<struct<href string, string string>>, h1 string, dateline_div string, eid_citation string, text string, md string"
 )
 TAGS = "array<struct<name string, string string, attrs map<string, string>>>"
+DATELINE_PARTS = "title string, volumes string, div string, citations map<string, string>, notes array<struct<seq int, tag string, size int, string string, around string>>"
 SVG = "n int, len0 int, len1 int, len2 int, len3 int, len4 int, len5 int"
 
 
@@ -36,6 +38,24 @@ def parse_document(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([_parsed(x) for x in s], columns=names)
 
 
+_VOLUME, _VOLUMES = re.compile("Volume"), re.compile(r"(Past|Current) Volumes? \(")
+
+
+def _dateline_parts(text: str | None) -> tuple:
+    root = K.parse(text)
+    title, div = root.find("title"), root.find("div", class_="dateline")
+    heads = (around for _, tag, _, _, around in K.text_nodes(root, _VOLUMES) if tag == "h1")
+    notes = [dict(zip(("seq", "tag", "size", "string", "around"), n, strict=True)) for n in K.text_nodes(root, _VOLUME)]
+    return title.stripped() if title else None, next(heads, None), div.stripped() if div else None, K.citations(root), notes
+
+
+@arrow_function(DATELINE_PARTS)
+def dateline_parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """What datelines are read from, by one parse: title, heading of volumes, dateline element, citations, texts with `Volume`."""
+    for s in batches:
+        yield pd.DataFrame([_dateline_parts(x) for x in s], columns=["title", "volumes", "div", "citations", "notes"])
+
+
 @arrow_function(TAGS)
 def head_tags(s: pd.Series) -> pd.Series:
     return s.map(lambda x: [{"name": n, "string": t, "attrs": a} for n, t, a in K.tags(K.parse(K.head_only(x or "")))])

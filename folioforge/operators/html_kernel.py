@@ -70,6 +70,10 @@ class Node:
         at = next(i for i, c in enumerate(rest) if c is self) if rest else 0
         return next((c for c in rest[at + 1 :] if isinstance(c, Node)), None)
 
+    def stripped(self) -> str:
+        """The pieces of text, each without white space at its ends, put together."""
+        return "".join(t.strip() for t in self.texts())
+
     def serialise(self) -> str:
         out: list[str] = []
         stack: list = [self]
@@ -155,6 +159,34 @@ def tags(root: Node) -> list[tuple[str, str, dict[str, str]]]:
     return [(n.name, (n.string() or "").strip(), dict(n.attrs)) for n in root.walk()]
 
 
+def text_nodes(root: Node, pattern: re.Pattern) -> list[tuple[int, str, int, str, str]]:
+    """(place, element, its length as serialised, the text, the element's whole text) of the texts that match, in document order."""
+    out: list[tuple[int, str, int, str, str]] = []
+    wholes: dict[int, tuple[int, str]] = {}
+    stack: list = [(root, c) for c in reversed(root.children)]
+    while stack:
+        parent, c = stack.pop()
+        if isinstance(c, Node):
+            stack.extend((c, x) for x in reversed(c.children))
+        elif pattern.search(c):
+            if id(parent) not in wholes:
+                wholes[id(parent)] = len(parent.serialise()), parent.text()
+            out.append((len(out), parent.name, wholes[id(parent)][0], c, wholes[id(parent)][1]))
+    return out
+
+
+def citations(root: Node) -> dict[str, str]:
+    """The cell beside each header of a citation table, by the header's text."""
+    out: dict[str, str] = {}
+    for th in root.find_all("th"):
+        rest = th.parent.children if th.parent else []
+        at = next(i for i, c in enumerate(rest) if c is th)
+        cell = next((c for c in rest[at + 1 :] if isinstance(c, Node) and c.name == "td" and "citationCell" in c.attrs.get("class", "").split()), None)
+        if cell is not None:
+            out.setdefault((th.string() or "").strip(), cell.stripped())
+    return out
+
+
 def body(root: Node) -> Node:
     return root.find("body") or root
 

@@ -48,6 +48,38 @@ def override(df: DataFrame, corrections: DataFrame, on: str, column: str, value:
     return df.join(fix, on, "left").withColumn(column, F.coalesce("_fix", column)).drop("_fix")
 
 
+def lookup(df: DataFrame, key: str, table: DataFrame | None, name: str) -> DataFrame:
+    """The value of a (key, value) table beside each row, null where it has none (H8). The join is Spark's choice, by the table's size."""
+    if table is None:
+        return df.withColumn(name, F.lit(None).cast("string"))
+    return df.join(table.select(F.col("key").alias(key), F.col("value").alias(name)), key, "left")
+
+
+def compared(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
+    """Keys of both sides with the columns of each, _x and _y (H5)."""
+    x, y = (t.select(on, *(F.col(c).alias(c + end) for c in t.columns if c != on)) for t, end in ((a, "_x"), (b, "_y")))
+    return x.join(y, on)
+
+
+def drop_repeated_notices(links: DataFrame, notice: str, suffix: str) -> DataFrame:
+    """Without empty texts, and without links whose text starts with a notice, whose url has a suffix, and whose path
+    occurs more than once among all links (E5, E6)."""
+    counts = links.groupBy("path").agg(F.count("*").alias("_n")).where("_n > 1")
+    marked = links.join(counts, "path", "left")
+    gone = F.col("string").startswith(notice) & F.col("url").endswith(suffix) & F.col("_n").isNotNull()
+    return marked.where((F.col("string") != "") & ~F.coalesce(gone, F.lit(False))).select(*links.columns)
+
+
+def merged(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """Rows of both by key; where both have it, the second's."""
+    return first.join(second.select(key), key, "left_anti").unionByName(second)
+
+
+def greatest_counts(a: DataFrame, b: DataFrame, key: str, n: str) -> DataFrame:
+    """The union of two counters: the greater count of each key."""
+    return a.select(key, n).unionByName(b.select(key, n)).groupBy(key).agg(F.max(n).alias(n))
+
+
 def union(*tables: DataFrame) -> DataFrame:
     """UNION ALL by name; missing columns are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

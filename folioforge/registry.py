@@ -10,6 +10,7 @@ FLAGSHIP: Callable | None = None
 
 
 def queries() -> dict[str, Callable]:
+    import folioforge.plans.journal_queries
     import folioforge.plans.queries  # noqa: F401  (fills the tables)
 
     return dict(QUERIES)
