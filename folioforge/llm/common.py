@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,6 +62,14 @@ class Scratch:
                 delete(self.spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Collect the driver's garbage: the broadcasts, shuffles, compiled plans and samples of jobs that are done. Spark
+    drops the first two only when the driver's objects for them are collected. A full collection: once a stage, not a job."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark._jvm.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
