@@ -148,3 +148,17 @@ def test_windows_stay_within_texts():
     whole = model.log_probabilities(np.concatenate(parts), bounds)
     alone = np.concatenate([model.log_probabilities(p, np.array([0, len(p)])) for p in parts])
     assert np.allclose(whole, alone, atol=1e-5)
+
+
+def test_rare_words_have_their_own_probability(spark):
+    texts = [(1, "the cat " * 50), (2, "mouse " * 9), (3, "horse"), (4, "x" * 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = lm_score.fit(docs, words=2, steps=0)
+    asked = ["the", "cat", "mouse", "horse", "x" * 40, "qwert", "y" * 40]
+    got = {r.doc_id: r.log_prob for r in lm_score.score_documents(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    assert np.isclose(got[2] - got[3], np.log(9))  # of one length, by their own counts
+    assert got[5] < got[3] - 10 and got[6] < got[4] - 10
+    # lengths 5 and 32 on hold all their counts but for what is left to unseen words; a text is one word, so sums are of one context
+    own = np.exp(got[2]) + np.exp(got[3])
+    bucket = np.exp(model.log_probabilities(np.array([model.first_length + 4]), np.array([0, 1]))[0])
+    assert np.isclose(own, bucket * 10 / 10.5)
