@@ -162,3 +162,13 @@ def test_rare_words_have_their_own_probability(spark):
     own = np.exp(got[2]) + np.exp(got[3])
     bucket = np.exp(model.log_probabilities(np.array([model.first_length + 4]), np.array([0, 1]))[0])
     assert np.isclose(own, bucket * 10 / 10.5)
+
+
+def test_network_learns_from_all_documents(spark):
+    from folioforge.llm.common import table
+
+    docs = table(spark, SF, "documents").withColumn("doc_id", F.lit(None).cast("long"))  # ids choose nothing
+    model = lm_score.fit(docs, sample=50, steps=100)
+    h = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(lm_score.HELD * lm_score.ROUNDS))
+    assert model.trained == lm_score.count_words(docs.where(h >= lm_score.ROUNDS)).agg(F.sum("n")).first()[0]
+    assert model.means[-1] > max(model.means[:2])  # after the rounds; counts alone, the start
