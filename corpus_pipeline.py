@@ -4,12 +4,15 @@
     quality     documents that the line field scores below 0.5 go
     near-copies one document of each group of near-copies stays
     mixing      documents are put into the order of the mix of sources; none goes
-    pieces      each document's ids are counted and digested, with its decoded text
+    pieces      each document's ids are counted and digested, with its decoded text, its source and its place in the
+                mixed stream; `in_mix` marks the stream's first part, in which all sources hold their target weights
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from folioforge.llm import langid, minhash, mixing, piece_codec, quality_crf
 from folioforge.llm.common import Scratch, release, table
@@ -38,9 +41,26 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_order(docs)
 
 
+def in_stream(docs: DataFrame) -> DataFrame:
+    """docs with mix_place, 0 on: the row's place in its files, read one after another by the number in their names, or
+    in the partitions of a table that isn't read from files. Readers pack files by size, so their order isn't used."""
+    try:
+        rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:
+        m = F.monotonically_increasing_id()
+        rows = docs.select("*", F.concat(F.lit("part-"), F.shiftright(m, 33).cast("string")).alias("_file"), m.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    before = Window.orderBy(F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long"), "_file").rowsBetween(Window.unboundedPreceding, -1)  # over files
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    return rows.join(F.broadcast(files), "_file").select(*docs.columns, (F.col("_ahead") + F.col("_at")).alias("mix_place"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     release(spark)
-    return piece_codec.encode_digests(docs)
+    placed = in_stream(docs)
+    in_mix = mixing.mix(docs).where("in_mix").count()
+    rows = placed.select("mix_place", "doc_id", "source", (F.col("mix_place") < in_mix).alias("in_mix"))
+    digests = piece_codec.encode_digests(placed, id_col="mix_place").withColumnRenamed("doc_id", "mix_place")
+    return digests.join(rows, "mix_place").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "source", "mix_place", "in_mix")
 
 
 STAGES = [("language", language), ("quality", quality), ("near-copies", near_copies), ("mixing", mixed), ("pieces", encoded)]

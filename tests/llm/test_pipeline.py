@@ -47,3 +47,12 @@ def test_sql(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert sorted(map(str, got[columns].itertuples(index=False, name=None))) == sorted(map(str, want[columns].astype(got[columns].dtypes.to_dict()).itertuples(index=False, name=None)))
+
+
+def test_the_mix_reaches_the_result(spark):
+    """The rows' places are the mix's, which is another order than that of any earlier stage."""
+    rows = corpus_pipeline.run(spark, SF).toPandas().sort_values("mix_place")
+    assert rows["mix_place"].tolist() == list(range(len(rows)))
+    docs = spark.createDataFrame(rows[["doc_id", "source"]])
+    mix = sorted(mixing.mix(docs).collect(), key=lambda r: (r.slot, r.place))
+    assert rows["doc_id"].tolist() == [r.doc_id for r in mix] and rows["in_mix"].tolist() == [r.in_mix for r in mix]
