@@ -123,15 +123,16 @@ def journal_pcd_translations(spark, sf_dir):
 # ---- heads
 
 
-def head_pages(spark, sf_dir):
-    k = F.col("doc_id")
-    words = F.slice(F.split(F.coalesce("text", F.lit("")), " ", 4), 1, 3)
+def head_pages(spark, sf_dir, whole=False):
+    """Heads with the first three words of documents with a language; whole: with all words of all documents."""
+    k, lang = F.col("doc_id"), F.coalesce("lang", F.lit("none"))
+    words = F.split(F.coalesce("text", F.lit("")), " ") if whole else F.slice(F.split(F.coalesce("text", F.lit("")), " ", 4), 1, 3)
     clean = F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", ""))
     head = F.concat(
         F.lit("<html><head><title> Doc "), k.cast("string"), F.lit('</title><link rel="canonical" href="/d/'), k.cast("string"), F.lit('"><meta name="keywords" content="'), F.array_join(clean, ","), F.lit(',CDC"><meta name="Keywords" content="zeta; CDC">'),
-        F.lit('<meta name="citation_author" content="A"><meta name="citation_author" content="B"><meta name="empty" content=""><meta property="og:x" content="'), F.col("lang"), F.lit('"></head><body><title>no</title></body></html>'),
+        F.lit('<meta name="citation_author" content="A"><meta name="citation_author" content="B"><meta name="empty" content=""><meta property="og:x" content="'), lang, F.lit('"></head><body><title>no</title></body></html>'),
     )
-    return load(spark, sf_dir, "documents").where("lang is not null").select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
+    return load(spark, sf_dir, "documents").where(F.lit(whole) | F.col("lang").isNotNull()).select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
 
 
 HEAD_KW = "list_transform(range(1, 4), lambda i: regexp_replace(split_part(coalesce(text, ''), ' ', i::int), '[^a-z]', '', 'g'))"
@@ -148,13 +149,32 @@ def journal_head_metadata(spark, sf_dir):
     union all select 'meta:name:citation_author (more than one)', count(*), null from documents where lang is not null""")
 def meta_eav(spark, sf_dir):
     """Names of pairs with the pages that have them, and pages with several authors. Two authors of a page count once."""
-    pairs = J.head_pairs(head_pages(spark, sf_dir))
+    return attr_counts(J.head_pairs(head_pages(spark, sf_dir)))
+
+
+def attr_counts(pairs):
     each = pairs.groupBy("path", "attr_name").agg(F.count("*").alias("k"), F.max("attr_value").alias("v"))
     names = each.groupBy("attr_name").agg(F.count("*").alias("n"), F.max(F.when(F.col("attr_name") == "meta:property:og:x", F.col("v"))).alias("top"))
     several = each.where("k > 1").groupBy("attr_name").agg(F.count("*").alias("n")).select(F.concat("attr_name", F.lit(" (more than one)")).alias("attr_name"), "n", F.lit(None).cast("string").alias("top"))
     return names.unionByName(several)
 
 
+ALL_HEAD_KW = "list_transform(string_split(coalesce(text, ''), ' '), lambda x: regexp_replace(x, '[^a-z]', '', 'g'))"
+
+
+@query(f"""select '/d/' || doc_id as path, 'Doc ' || doc_id as title, '/d/' || doc_id as link_canon, 'A' as md_citation_author, 'A|B' as md_authors,
+    array_to_string(list_sort(list_distinct(list_concat(list_filter({ALL_HEAD_KW}, lambda x: x <> ''), ['zeta']))), '|') as md_kwds, '' as md_desc from documents""")
+def journal_head_metadata_whole(spark, sf_dir):
+    return J.head_metadata(head_pages(spark, sf_dir, whole=True), "pcd").select("path", "title", "link_canon", "md_citation_author", "md_authors", "md_kwds", "md_desc")
+
+
+@query("""with a as (select unnest(['title', 'link:rel:canonical', 'meta:name:keywords', 'meta:name:Keywords', 'meta:name:citation_author', 'meta:property:og:x']) as attr_name)
+    select attr_name, count(*) as n, max(case when attr_name = 'meta:property:og:x' then coalesce(lang, 'none') end) as top from a, documents group by 1
+    union all select 'meta:name:citation_author (more than one)', count(*), null from documents""")
+def meta_eav_whole(spark, sf_dir):
+    return attr_counts(J.head_pairs(head_pages(spark, sf_dir, whole=True)))
+
+
 # ---- the corpus table of one journal
 
 

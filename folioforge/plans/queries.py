@@ -396,6 +396,33 @@ def kwds_pcd(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.col("lang")), ignore=W.PCD_IGNORE).alias("md_kwds"))
 
 
+# the same of whole texts, whose words are all keywords
+
+ALL_KW = "replace(coalesce(text, ''), ' ', ', ')"
+
+
+def all_keyword_text(text):
+    return F.replace(F.coalesce(text, F.lit("")), F.lit(" "), F.lit(", "))
+
+
+@query(f"select doc_id, {_set_sql(ALL_KW + " || ', MMWR, CDC'", W.MMWR_REPLACE, W.MMWR_IGNORE)} as md_kwds from documents")
+def kwds_mmwr_whole(spark, sf_dir):
+    text = F.concat(all_keyword_text(F.col("text")), F.lit(", MMWR, CDC"))
+    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.mmwr_keywords(text), ignore=W.MMWR_IGNORE).alias("md_kwds"))
+
+
+@query(f"select doc_id, {_set_sql("'Keywords: ' || " + ALL_KW + " || ', CDC'", W.EID_REPLACE, W.EID_IGNORE)} as md_kwds from documents")
+def kwds_eid_whole(spark, sf_dir):
+    text = F.concat(F.lit("Keywords: "), all_keyword_text(F.col("text")), F.lit(", CDC"))
+    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.eid_keywords(text), ignore=W.EID_IGNORE).alias("md_kwds"))
+
+
+@query(f"select doc_id, {_set_sql("replace('Key words: ' || " + ALL_KW + ", ', ', '; ') || ',PCD,' || coalesce(lang, 'none')", W.PCD_REPLACE, W.PCD_IGNORE)} as md_kwds from documents")
+def kwds_pcd_whole(spark, sf_dir):
+    text = F.concat(F.lit("Key words: "), F.replace(all_keyword_text(F.col("text")), F.lit(", "), F.lit("; ")), F.lit(",PCD"))
+    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.coalesce("lang", F.lit("none"))), ignore=W.PCD_IGNORE).alias("md_kwds"))
+
+
 @query("select page_id, case when page_id % 3 = 0 then '' else url end as md_desc from pages")
 def desc_ignore(spark, sf_dir):
     text = F.when(F.col("page_id") % 3 == 0, F.lit(W.MMWR_IGNORE_DESC[0])).otherwise(F.col("url"))

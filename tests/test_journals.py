@@ -94,3 +94,22 @@ def test_bytes_read_as(spark):
 def test_curation(spark):
     links = spark.createDataFrame([("/a", "Este x", "/a_es.htm"), ("/a", "A", "/a_es.htm"), ("/b", "Este y", "/b_es.htm"), ("/c", "", "/c")], "path string, string string, url string")
     assert sorted(r.string for r in R.drop_repeated_notices(links, "Este ", "_es.htm").collect()) == ["A", "Este y"]
+
+
+def test_keywords_are_of_whole_texts(spark, tmp_path):
+    """By brute force: all words of a text, those far into it too, and documents without a language."""
+    from folioforge import registry
+
+    sf, q = "/root/testdata/sf0.001", registry.queries()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    heads = {r.path: r.md_kwds for r in q["journal_head_metadata_whole"](spark, sf).collect()}
+    assert len(heads) == len(docs)
+    for i, r in docs.items():
+        words = {"".join(c for c in w if "a" <= c <= "z") for w in (r.text or "").split(" ")}
+        assert heads[f"/d/{i}"] == "|".join(sorted(words - {""} | {"zeta"}))
+    for name in ("kwds_mmwr_whole", "kwds_eid_whole", "kwds_pcd_whole"):
+        got = {r.doc_id: r.md_kwds.split("|") for r in q[name](spark, sf).collect()}
+        late = [(i, w) for i, r in docs.items() for w in (r.text or "").split(" ")[8:] if w.isascii() and w.isalpha() and w.islower() and len(w) > 7]
+        assert len(got) == len(docs) and late and sum(w in got[i] for i, w in late) > 0.9 * len(late)
+    spark.createDataFrame([(1, "a b c d", None)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.md_kwds for r in q["journal_head_metadata_whole"](spark, str(tmp_path)).collect()] == ["a|b|c|d|zeta"]
