@@ -46,6 +46,14 @@ def dateline_detail(spark, sf_dir):
     return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.dl_page", "pages.dl_npgs").drop("pages")
 
 
+@query(f"""with {WEEKLY_SQL} select o_orderkey, case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol::varchar as dl_vol_num,
+    lpad((o_orderkey % 53 + 1)::varchar, 2, '0') as dl_iss_num, '' as dl_iss_anno, (o_orderkey % 900 + 1)::int as dl_page, (o_orderkey % 7 + 1)::int as dl_npgs from wk""")
+def dateline_detail_whole(spark, sf_dir):
+    """As dateline_detail, of all orders: those with ranges of one page too."""
+    rows = weekly(spark, sf_dir)
+    return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.dl_page", "pages.dl_npgs").drop("pages")
+
+
 EID_TEXT = "'Volume ' || (o_orderkey % 28 + 1) || ', ' || case when o_orderkey % 3 = 0 then 'Supplement' else 'Number ' || (o_orderkey % 12 + 1) end || '—' || strftime(o_orderdate, '%B %Y')"
 
 

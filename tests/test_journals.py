@@ -113,3 +113,13 @@ def test_keywords_are_of_whole_texts(spark, tmp_path):
         assert len(got) == len(docs) and late and sum(w in got[i] for i, w in late) > 0.9 * len(late)
     spark.createDataFrame([(1, "a b c d", None)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [r.md_kwds for r in q["journal_head_metadata_whole"](spark, str(tmp_path)).collect()] == ["a|b|c|d|zeta"]
+
+
+def test_one_page_ranges_are_returned(spark):
+    from folioforge import registry
+
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    rows = registry.queries()["dateline_detail_whole"](spark, sf).collect()
+    one = [r for r in rows if r.o_orderkey % 7 == 0]
+    assert len(rows) == orders.count() and one and all((r.dl_page, r.dl_npgs) == (r.o_orderkey % 900 + 1, 1) for r in one)
