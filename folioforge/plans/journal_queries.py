@@ -221,6 +221,18 @@ def codec_renditions(spark, sf_dir):
     return read.where("codec = 'utf_8'").groupBy("codec").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"))
 
 
+@query("select c as codec, count(*) as n, sum(case when c = 'utf_8' then length(html) else strlen(html) end) as chars from pages, (select unnest(['utf_8', 'latin_1']) as c) group by 1")
+def codec_renditions_whole(spark, sf_dir):
+    """Each page as every codec reads it (B11): as Latin-1, a character a byte."""
+    return page_renditions(load(spark, sf_dir, "pages")).groupBy("codec").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"))
+
+
+def page_renditions(pages):
+    """(page_id, codec, t)"""
+    codecs = F.explode(F.array(F.lit("utf_8"), F.lit("latin_1"))).alias("codec")
+    return pages.select("page_id", F.encode("html", "utf-8").alias("c"), codecs).select("page_id", "codec", T.decode_as("c", "codec").alias("t"))
+
+
 @query("select page_id from pages where contains(html, '&middot;')")
 def reference_members(spark, sf_dir):
     return load(spark, sf_dir, "pages").where(F.col("html").contains("&middot;")).select("page_id")

@@ -123,3 +123,11 @@ def test_one_page_ranges_are_returned(spark):
     rows = registry.queries()["dateline_detail_whole"](spark, sf).collect()
     one = [r for r in rows if r.o_orderkey % 7 == 0]
     assert len(rows) == orders.count() and one and all((r.dl_page, r.dl_npgs) == (r.o_orderkey % 900 + 1, 1) for r in one)
+
+
+def test_pages_as_both_codecs_read_them(spark):
+    from folioforge.plans import journal_queries as Q
+
+    pages = [(1, "naïve — Ünï"), (2, "plain"), (3, ""), (4, None)]
+    got = {(r.page_id, r.codec): r.t for r in Q.page_renditions(spark.createDataFrame(pages, "page_id long, html string")).collect()}
+    assert got == {(i, c): t if t is None else t.encode().decode(c) for i, t in pages for c in ("utf_8", "latin_1")}
