@@ -1,4 +1,4 @@
-"""Held-out accuracy of the classifiers, the field's marginals against enumeration, and the language model's probabilities."""
+"""Held-out accuracy of the classifiers, and the field's marginals against enumeration."""
 
 import itertools
 
@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import langid, lm_score, quality_crf, queries, toxicity
+from folioforge.llm import langid, quality_crf, queries, toxicity
 from folioforge.llm.common import fold
 
 SF = "/root/testdata/sf0.01"
@@ -118,57 +118,3 @@ def test_presence_by_text():
     for k, r in enumerate(raw):
         _, alone = toxicity.presence(*folded(np.frombuffer(r, np.uint8), np.array([0, len(r)])), np.ones(1 << toxicity.BITS, bool))
         assert list(bins[text == k]) == list(alone)
-
-
-def test_language_model(spark, tables, odd):
-    docs = tables[0]
-    counted = lm_score.count_words(docs).agg(F.sum("n")).first()[0]
-    assert counted == docs.agg(F.sum(F.size(F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")))).first()[0]
-    model = lm_score.fit(docs, sample=400)
-    # the classes' shares sum to 1, so a word's probabilities over the vocabulary do
-    assert np.allclose(np.bincount(model.token_class, np.exp(model.log_share), lm_score.CLASSES)[np.unique(model.token_class)], 1)
-    rows = {r.doc_id: r for r in lm_score.score_documents(odd, model).collect()}
-    assert rows[1].n_words == 0 and rows[1].log_prob == 0 and rows[1].mean_log_prob is None and rows[4].n_words == 30_000
-    held = docs.orderBy(F.xxhash64("doc_id").desc()).limit(100).toPandas()
-    tokens = [np.array(model.tokens(t)) for t in held["text"]]
-    bounds = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
-    flat = np.concatenate(tokens)
-    got = model.log_probabilities(flat, bounds)
-    counts = lm_score.fit(docs, sample=400, steps=0)
-    counts.leave[:] = 0
-    assert got.mean() > counts.log_probabilities(flat, bounds).mean() + 0.05
-    assert lm_score.score_documents(odd.limit(0), model).count() == 0
-    assert lm_score.fit(odd.limit(0)) is not None
-
-
-def test_windows_stay_within_texts():
-    model = lm_score.start(["a", "b", "c"], np.array([5, 3, 2]), np.ones(lm_score.LENGTHS, np.int64))
-    parts = [np.array([0, 1, 2, 0]), np.array([2]), np.array([], np.int64), np.array([1, 1])]
-    bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    whole = model.log_probabilities(np.concatenate(parts), bounds)
-    alone = np.concatenate([model.log_probabilities(p, np.array([0, len(p)])) for p in parts])
-    assert np.allclose(whole, alone, atol=1e-5)
-
-
-def test_rare_words_have_their_own_probability(spark):
-    texts = [(1, "the cat " * 50), (2, "mouse " * 9), (3, "horse"), (4, "x" * 40)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    model = lm_score.fit(docs, words=2, steps=0)
-    asked = ["the", "cat", "mouse", "horse", "x" * 40, "qwert", "y" * 40]
-    got = {r.doc_id: r.log_prob for r in lm_score.score_documents(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
-    assert np.isclose(got[2] - got[3], np.log(9))  # of one length, by their own counts
-    assert got[5] < got[3] - 10 and got[6] < got[4] - 10
-    # lengths 5 and 32 on hold all their counts but for what is left to unseen words; a text is one word, so sums are of one context
-    own = np.exp(got[2]) + np.exp(got[3])
-    bucket = np.exp(model.log_probabilities(np.array([model.first_length + 4]), np.array([0, 1]))[0])
-    assert np.isclose(own, bucket * 10 / 10.5)
-
-
-def test_network_learns_from_all_documents(spark):
-    from folioforge.llm.common import table
-
-    docs = table(spark, SF, "documents").withColumn("doc_id", F.lit(None).cast("long"))  # ids choose nothing
-    model = lm_score.fit(docs, sample=50, steps=100)
-    h = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(lm_score.HELD * lm_score.ROUNDS))
-    assert model.trained == lm_score.count_words(docs.where(h >= lm_score.ROUNDS)).agg(F.sum("n")).first()[0]
-    assert model.means[-1] > max(model.means[:2])  # after the rounds; counts alone, the start
