@@ -11,17 +11,17 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import Scratch, tune
 from folioforge.llm.components import components
 
-#: Rows of a tile that is dealt to tasks, rows of a block of a product, and tiles: SPREAD for a few vectors, up to
-#: MAX_TILES; with more vectors than TILE * MAX_TILES, tiles grow.
-TILE, BLOCK, SPREAD, MAX_TILES = 8192, 2048, 8, 256
+#: Bytes of a tile's vectors, as float64, that a task holds while the other tile's pass by; rows of a block of a product;
+#: tiles at least, for a few vectors. More vectors make more tiles, not larger ones.
+TILE_BYTES, BLOCK, SPREAD = 64 << 20, 2048, 8
 _SLICE = 1024
 
 
@@ -37,26 +37,34 @@ def _prepare(batches):
     """vec_id, digest of the vector (null if it links with nothing), its components as float32 if that holds them exactly, else float64."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
-        rows = [v.as_py() for v in column]
-        digest, raw = [], []
-        for v in rows:
-            ok = v is not None and len(v) > 0 and None not in v
-            x = np.array(v, np.float64) if ok else None
-            if ok and np.isfinite(x).all() and np.abs(x).max() > 0:
-                x = x + 0.0  # -0.0 is 0.0
-                digest.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
-                half = x.astype(np.float32)
-                raw.append(b"f" + half.tobytes() if (half == x).all() else b"d" + x.tobytes())
-            else:
-                raw.append(None)
-                digest.append(None)
+        digest, raw = [None] * len(ids), [None] * len(ids)
+        flat, lengths = column.flatten(), np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+        values = np.asarray(flat.fill_null(np.nan)).astype(np.float64) + 0.0  # -0.0 is 0.0
+        ends = np.cumsum(lengths)
+        some = np.flatnonzero(lengths > 0)
+        if len(some):
+            first = (ends - lengths)[some]
+            with np.errstate(over="ignore", invalid="ignore"):
+                half = values.astype(np.float32)
+                exact = np.logical_and.reduceat(half == values, first)
+                top = np.maximum.reduceat(np.abs(values), first)
+            for i in np.flatnonzero(np.isfinite(top) & (top > 0)):
+                k = some[i]
+                x = values[ends[k] - lengths[k] : ends[k]]
+                digest[k] = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
+                raw[k] = b"f" + half[ends[k] - lengths[k] : ends[k]].tobytes() if exact[i] else b"d" + x.tobytes()
         yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "cls", "raw"])
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(r, np.float32 if r[:1] == b"f" else np.float64, offset=1) for r in raw]).astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    kinds = np.array([r[:1] == b"f" for r in raw])
+    out = np.empty((len(raw), (len(raw[0]) - 1) // (4 if kinds[0] else 8)))
+    for kind, dtype in ((True, np.float32), (False, np.float64)):
+        rows = np.flatnonzero(kinds == kind)
+        if len(rows):
+            out[rows] = np.frombuffer(b"".join(raw[k][1:] for k in rows), dtype).reshape(len(rows), -1)
+    out /= np.abs(out).max(axis=1, keepdims=True)
+    return out / np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]
 
 
 def _local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -73,42 +81,74 @@ def _local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return root
 
 
-def tile_links(x: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, within: bool, least: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """For unit rows x: the weight of the partners of each row, each row's root over links between the index sets
-    left and right (within: all pairs of left), and the number of pairs computed again in full precision."""
-    codes, scale, error = quantise(x)
-    size = np.sqrt(np.einsum("ij,ij->i", codes.astype(np.float64), codes.astype(np.float64))) * scale
-    count, root, again = np.zeros(len(x), np.int64), np.arange(len(x)), 0
-    wide = codes.astype(np.float32)
-    for a in range(0, len(left), BLOCK):
-        i = left[a : a + BLOCK]
-        for b in range(a if within else 0, len(right), BLOCK):
-            j = right[b : b + BLOCK]
-            product = wide[i, :_SLICE] @ wide[j, :_SLICE].T
-            for k in range(_SLICE, x.shape[1], _SLICE):
-                product = product + (wide[i, k : k + _SLICE] @ wide[j, k : k + _SLICE].T).astype(np.float64)
-            # the least product of codes that a row's links can have, by the largest error and scale of the other side
-            need = least - (error[i] * size[j].max() + error[j].max() * size[i] + error[i] * error[j].max() + 1e-9)
-            floor = np.where(need > 0, need / (scale[i] * scale[j].max()), need / (scale[i] * scale[j].min()))
-            p, q = np.nonzero(product >= np.floor(floor).astype(product.dtype)[:, None])
-            if within and a == b:
-                p, q = p[p < q], q[p < q]
-            if not len(p):
-                continue
-            value, p, q = product[p, q].astype(np.float64) * scale[i[p]] * scale[j[q]], i[p], j[q]
-            slack = error[p] * size[q] + error[q] * size[p] + error[p] * error[q] + 1e-9
-            sure = value - slack >= least
-            maybe = ~sure & (value + slack >= least)
-            linked = sure.copy()
-            where = np.flatnonzero(maybe)
-            again += len(where)
-            for c in range(0, len(where), 65536):
-                w = where[c : c + 65536]
-                linked[w] = np.einsum("ij,ij->i", x[p[w]], x[q[w]]) >= least
-            p, q = p[linked], q[linked]
-            count += np.bincount(p, weight[q], len(x)).astype(np.int64) + np.bincount(q, weight[p], len(x)).astype(np.int64)
-            root = _merge(root, p, q)
-    return count, root, again
+class Side:
+    """Unit rows with their codes, and what the products of codes need."""
+
+    def __init__(self, x: np.ndarray, rep: np.ndarray, weight: np.ndarray, cls: np.ndarray | None = None):
+        self.x, self.rep, self.weight, self.cls = x, rep, weight, rep if cls is None else cls
+        codes, self.scale, self.error = quantise(x)
+        self.wide = codes.astype(np.float32)
+        self.size = np.sqrt(np.einsum("ij,ij->i", self.wide, self.wide, dtype=np.float64)) * self.scale
+
+
+def links(a: Side, i: slice, b: Side, j: slice, least: float, upper: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """Index pairs (of a, of b) of rows in the slices whose cosine is `least` or more (upper: with a's before b's only),
+    and how many were computed again in full precision."""
+    product = a.wide[i, :_SLICE] @ b.wide[j, :_SLICE].T
+    for k in range(_SLICE, a.wide.shape[1], _SLICE):
+        product = product + (a.wide[i, k : k + _SLICE] @ b.wide[j, k : k + _SLICE].T).astype(np.float64)
+    # the least product of codes that a row's links can have, by the largest error and scale of the other side
+    need = least - (a.error[i] * b.size[j].max() + b.error[j].max() * a.size[i] + a.error[i] * b.error[j].max() + 1e-9)
+    floor = np.where(need > 0, need / (a.scale[i] * b.scale[j].max()), need / (a.scale[i] * b.scale[j].min()))
+    p, q = np.nonzero(product >= np.floor(floor).astype(product.dtype)[:, None])
+    if upper:
+        p, q = p[p < q], q[p < q]
+    value = product[p, q].astype(np.float64)
+    p, q = p + i.start, q + j.start
+    value *= a.scale[p] * b.scale[q]
+    slack = a.error[p] * b.size[q] + b.error[q] * a.size[p] + a.error[p] * b.error[q] + 1e-9
+    linked = value - slack >= least
+    where = np.flatnonzero(~linked & (value + slack >= least))
+    for c in range(0, len(where), 65_536):
+        w = where[c : c + 65_536]
+        linked[w] = np.einsum("ij,ij->i", a.x[p[w]], b.x[q[w]]) >= least
+    return p[linked], q[linked], len(where)
+
+
+class Tile:
+    """One tile held by a task: what its rows, and the rows that pass by, are linked with."""
+
+    def __init__(self, held: Side, least: float):
+        self.held, self.least, self.again = held, least, 0
+        self.count, self.root = np.zeros(len(held.rep), np.int64), np.arange(len(held.rep))
+
+    def within(self) -> None:
+        n, h = len(self.held.rep), self.held
+        for a in range(0, n, BLOCK):
+            for b in range(a, n, BLOCK):
+                p, q, again = links(h, slice(a, min(n, a + BLOCK)), h, slice(b, min(n, b + BLOCK)), self.least, a == b)
+                self.again += again
+                self.count += np.bincount(p, h.weight[q], n).astype(np.int64) + np.bincount(q, h.weight[p], n).astype(np.int64)
+                if len(p):
+                    self.root = _merge(self.root, p, q)
+
+    def passing(self, other: Side) -> tuple[np.ndarray, np.ndarray]:
+        """(links of each row of other, an index of held that it is linked with, or -1). Held rows that share a partner get one root."""
+        n, m, h = len(self.held.rep), len(other.rep), self.held
+        count, to = np.zeros(m, np.int64), np.full(m, -1)
+        for a in range(0, n, BLOCK):
+            p, q, again = links(h, slice(a, min(n, a + BLOCK)), other, slice(0, m), self.least, False)
+            self.again += again
+            if len(p):
+                self.count += np.bincount(p, other.weight[q], n).astype(np.int64)
+                count += np.bincount(q, h.weight[p], m).astype(np.int64)
+                to[q[to[q] < 0]] = p[to[q] < 0]
+                self.root = _merge(self.root, p, to[q])
+        return count, to
+
+    def rows(self) -> tuple[np.ndarray, ...]:
+        some = self.count > 0
+        return self.held.cls[some], self.held.rep[some], self.count[some], self.held.rep[self.root][some]
 
 
 def _merge(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -116,19 +156,61 @@ def _merge(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return _local_roots(len(root), u, v)
 
 
+_MET = ["cls", "rep", "links", "root"]
+
+
 def _tile_task(least: float):
-    def run(key, pdf):
-        lo, hi = int(key[0]) // MAX_TILES, int(key[0]) % MAX_TILES
-        out = []
-        width = pdf["raw"].map(lambda r: (len(r) - 1) // (4 if r[:1] == b"f" else 8))
-        for _, part in pdf.groupby(width):  # vectors of other dimensions have no cosine with these
-            part = part.sort_values("rep", kind="stable")
-            tile, rep, weight = part["tile"].to_numpy(), part["rep"].to_numpy(), part["n"].to_numpy()
-            left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
-            count, root, again = tile_links(_unit(list(part["raw"])), weight, left, right, lo == hi, least)
+    """Rows sorted by (pair, width, side): of each pair of tiles the first tile is held, blocks of the second pass by."""
+
+    def run(batches):
+        held: list = []  # rows of the tile that is being gathered
+        other: list = []
+        key, tile = None, None
+
+        def side(rows):
+            names = np.empty(len(rows), object)
+            names[:] = [r[3] for r in rows]
+            return Side(_unit([r[2] for r in rows]), np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), names)
+
+        def out(cls, rep, count, root):
+            return pa.RecordBatch.from_arrays([pa.array(list(cls), pa.binary()), pa.array(rep, pa.int64()), pa.array(count, pa.int64()), pa.array(root, pa.int64())], _MET)
+
+        def passed():
+            nonlocal other
+            block, other = side(other), []
+            count, to = tile.passing(block)
             some = count > 0
-            out.append(pd.DataFrame({"rep": rep[some], "links": count[some], "root": rep[root][some]}))
-        return pd.concat(out)
+            return out(block.cls[some], block.rep[some], count[some], tile.held.rep[to[some]])
+
+        def ended():
+            if other:
+                yield passed()
+            if tile is None and held and key[2]:
+                made = Tile(side(held), least)
+                made.within()
+                yield out(*made.rows())
+            elif tile is not None:
+                yield out(*tile.rows())
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for pair, width, second, rep, n, raw, cls in zip(*columns, strict=True):
+                now = (pair, width, (pair >> 32) == (pair & 0xFFFFFFFF))
+                if now != key:
+                    if key is not None:
+                        yield from ended()
+                    key, tile, held, other = now, None, [], []
+                if not second:
+                    held.append((rep, n, raw, cls))
+                elif held:
+                    if tile is None:
+                        tile, held = Tile(side(held), least), [None]
+                    other.append((rep, n, raw, cls))
+                    if len(other) == BLOCK:
+                        yield passed()
+        if key is not None:
+            yield from ended()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -137,32 +219,37 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """(vec_id, n_links, component_id, kept) for every row of vectors; links are cosines of `least` or more.
 
     Equal vectors form a class that is compared once and counted with its size. Classes are dealt over tiles by a hash
-    of their id, so no tile is hot; each pair of tiles is one task of two tiles' rows. A task returns link counts and
-    the roots of its own link graph, never pairs. All pairs of classes are covered by tiles: the work is quadratic in
-    the number of different vectors, and nothing is left out.
+    of the vector, so no tile is hot; each pair of tiles is met by one task, which holds the first one and lets the second
+    pass by in blocks, so its memory is bounded by TILE_BYTES, however many vectors there are. A task returns link counts
+    and what its rows' link graph hangs on, never pairs. All pairs of classes are covered by tiles: the work is quadratic in
+    the number of different vectors, as is what is sent to tasks (each vector as often as there are tiles); nothing is left out.
 
     Null, empty or zero vectors and those with a null or non-finite component link with nothing (n_links 0, their own
     component). Vectors of different lengths never link. Rows that share an id are separate vectors, but share the
-    component; a null id is counted as a partner of others' links only in its class and gets a null component_id. An empty table gives an empty result.
+    component. Rows with a null id take part in no link: n_links 0, a null component_id, kept. An empty table gives an
+    empty result; other columns are ignored, whatever their names.
     """
     spark = vectors.sparkSession
     tune(spark)
     scratch = Scratch(spark, "vectors")
     ready = scratch.table(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("_v")).mapInArrow(_prepare, "vec_id long, cls binary, raw binary"))
     classes = scratch.table(ready.where("cls is not null and vec_id is not null").groupBy("cls").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.any_value("raw").alias("raw")))
-    n = classes.count()
-    tiles = max(1, min(MAX_TILES, max(math.ceil(n / TILE), min(SPREAD, math.ceil(n / 1024)))))
-    t = F.pmod(F.xxhash64("cls"), F.lit(tiles)).cast("int")
-    other = F.sequence(F.lit(0), F.lit(tiles - 1))
-    dealt = classes.withColumn("tile", t).withColumn("pair", F.explode(F.transform(other, lambda j: F.least("tile", j) * MAX_TILES + F.greatest("tile", j)))).select("pair", "tile", "rep", "n", "raw")
+    sized = classes.agg(F.count("*").alias("n"), F.max(F.length("raw")).alias("most")).first()
+    size = max(BLOCK, TILE_BYTES // (2 * (sized.most or 1)))
+    tiles = max(1, math.ceil(sized.n / size), min(SPREAD, math.ceil(sized.n / 1024)))
+    width = F.expr("(length(raw) - 1) div if(substring(raw, 1, 1) = X'66', 4, 8)")
+    placed = classes.withColumn("tile", F.pmod(F.xxhash64("cls"), F.lit(tiles))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    pair = F.shiftleft(F.least("tile", "other"), 32) + F.greatest("tile", "other")
+    dealt = placed.select(pair.alias("pair"), width.alias("width"), (F.col("tile") > F.col("other")).alias("second"), "rep", "n", "raw", "cls")
     pairs = tiles * (tiles + 1) // 2
-    met = scratch.table(dealt.repartition(min(pairs, 4096), "pair").groupBy("pair").applyInPandas(_tile_task(least), "rep long, links long, root long"))
+    dealt = dealt.repartition(min(pairs, 4096), "pair").sortWithinPartitions("pair", "width", "second", "rep")
+    met = scratch.table(dealt.mapInArrow(_tile_task(least), "cls binary, rep long, links long, root long"))
     shared = ready.where("cls is not null and vec_id is not null").groupBy("vec_id").agg(F.count("*").alias("k")).where("k > 1").select("vec_id")
     same = ready.where("cls is not null").join(shared, "vec_id", "left_semi").join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("a"), F.col("vec_id").alias("b"))
     found = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(same).distinct(), scratch)
-    links = met.groupBy("rep").agg(F.sum("links").alias("links"))
+    linked = met.groupBy("cls").agg(F.sum("links").alias("links"))
     of_class = scratch.table(
-        classes.select("cls", "rep", "n").join(links, "rep", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("cls", "rep", "n").join(linked, "cls", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
         .select("cls", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("comp", "rep").alias("comp"))
     )
     return (

@@ -131,5 +131,25 @@ def test_int8_bounds_hold():
     slack = error[:, None] * size[None] + error[None] * size[:, None] + error[:, None] * error[None]
     assert (np.abs(x @ x.T - near @ near.T) <= slack + 1e-12).all()
     for least in (0.95, 0.3, -0.2):
-        count, _, again = embed_dedup.tile_links(x, np.ones(300, np.int64), np.arange(300), np.arange(300), True, least)
-        assert (count == (x @ x.T >= least).sum(axis=1) - 1).all() and again < 300 * 150
+        tile = embed_dedup.Tile(embed_dedup.Side(x, np.arange(300), np.ones(300, np.int64)), least)
+        tile.within()
+        assert (tile.count == (x @ x.T >= least).sum(axis=1) - 1).all() and tile.again < 300 * 150
+
+
+def test_tiles_do_not_grow(spark, monkeypatch):
+    """Many small tiles of vectors of two lengths give what one tile gives."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(30, 12))
+    rows = [(k, [float(x) for x in base[k % 30][: 12 - 4 * (k % 2)] + rng.normal(size=12 - 4 * (k % 2)) * 0.06]) for k in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, embed_dedup.link_vectors(df).collect()))
+    monkeypatch.setattr(embed_dedup, "TILE_BYTES", 1)
+    monkeypatch.setattr(embed_dedup, "BLOCK", 64)
+    assert sorted(map(tuple, embed_dedup.link_vectors(df).collect())) == want and max(r[1] for r in want) > 20
+
+
+def test_null_vector_ids(spark):
+    rows = [(1, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.01]), (2, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "'x' as cls", "1 as rep", "2 as n_links", "'r' as raw")
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in embed_dedup.link_vectors(df).collect())
+    assert got == [("1", 1, "1", True), ("2", 0, "1", False), ("2", 1, "1", False), ("None", 0, "None", True)]
