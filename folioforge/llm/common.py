@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,8 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tune(spark: SparkSession) -> None:
-    """Arrow batches small enough that a batch of very long texts fits beside the JVM."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(MAX_RECORDS))
+    """Arrow batches small enough that a batch of very long texts fits beside the JVM. Results are computed later, so the
+    setting stays with the session; a smaller one is left alone."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= MAX_RECORDS:
+        spark.conf.set(key, str(MAX_RECORDS))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="folioforge-")
+    folder = tempfile.mkdtemp(prefix="folioforge-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    root = "file://" + folder
     spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -49,8 +55,7 @@ class Scratch:
         path = f"{self.root}/{self.n:04d}"
         df.write.parquet(path)
         if self.n == 1:  # what isn't dropped before goes when the driver ends
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+            delete_at_exit(self.spark, self.root)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
@@ -62,12 +67,9 @@ class Scratch:
                 delete(self.spark, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Collect the driver's garbage: the broadcasts, shuffles, compiled plans and samples of jobs that are done. Spark
-    drops the first two only when the driver's objects for them are collected. A full collection: once a stage, not a job."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    spark._jvm.System.gc()
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def delete(spark: SparkSession, path: str) -> None:

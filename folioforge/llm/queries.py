@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import embed_dedup, jpeg_media, langid, lm_score, minhash, mixing, piece_codec, quality_crf, sharding, toxicity
-from folioforge.llm.common import fold, shared_folder, table
+from folioforge.llm.common import delete_at_exit, fold, shared_folder, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_table(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
+    """Each row as it is read back from the shards of the store's last version."""
+    root = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    rows = sharding.shard_table(table(spark, sf_dir, "documents"), root)
+    delete_at_exit(spark, root)
+    return rows.select("doc_id", "n_chars", "text_md5", (F.col("shard_bytes") > 0).alias("stored"))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +67,8 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_minhash, op4_quality, op5_language, op6_toxicity, op7_mixing, op8_lm_score, op9_embedding, op10_media)}
 
 
+SHARDING_SQL = "select doc_id, length(text) as n_chars, md5(text) as text_md5, true as stored from documents"
+
 REACH = """
 reach as (
     select id, id as other from nodes
@@ -105,46 +111,34 @@ left join (select id as vec_id, min(other) as low from reach group by id) m usin
 
 MIXING_SQL = """
 with recursive counted as (select coalesce(source, chr(0)) as source, count(*) as n_docs from documents group by 1),
-sized as (
-    select source, n_docs, pow(n_docs, 0.5) as weight, greatest(1000, 4 * count(*) over ()) as period, count(*) over () as sources from counted
-),
-based as (
-    select *, round(weight / sum(weight) over (), 12) * (period - sources) as exact, floor(round(weight / sum(weight) over (), 12) * (period - sources)) as base from sized
-),
 plan as (
-    select source, n_docs, period,
-        (1 + base + case when row_number() over (order by base - exact, source) <= period - sources - sum(base) over () then 1 else 0 end)::bigint as quota
-    from based
+    select source, n_docs, n_docs // 16 as blocks, greatest(1, round(pow(n_docs, 0.5) / sum(pow(n_docs, 0.5)) over () * 4294967296))::bigint as w from counted
 ),
-s as (select list(source order by source) as names, list(quota order by source) as q, max(period) as period from plan),
+s as (select list(source order by source) as names, list(w order by source) as w, list(blocks order by source) as blocks, sum(w)::bigint as total from plan),
 run as (
-    select 0::bigint as t, list_transform(q, lambda x: 0::bigint) as done, null::bigint as pick from s
+    select 0::bigint as t, list_transform(w, lambda x: 0::bigint) as done, null::bigint as pick, null::bigint as j, true as real from s
     union all
-    select t + 1, list_transform(done, lambda d, i: case when i = p.i then d + 1 else d end), p.i
+    select t + 1, list_transform(done, lambda d, i: case when i = p.i then d + 1 else d end), p.i, p.j, p.j < blocks[p.i]
     from (
-        select t, done, list_min(list_filter(
-            list_transform(range(1, len(q) + 1), lambda i: case when done[i] < q[i] and (done[i] * period) // q[i] <= t
-                then {'deadline': ((done[i] + 1) * period + q[i] - 1) // q[i], 'i': i} end),
+        select t, done, blocks, list_min(list_filter(
+            list_transform(range(1, len(w) + 1), lambda i: case when (done[i] * total) // w[i] <= t
+                then {'deadline': ((done[i] + 1) * total + w[i] - 1) // w[i], 'i': i, 'j': done[i]} end),
             lambda y: y is not null)) as p
-        from run, s where t < period
+        from run, s where real
     )
 ),
-slots as (
-    select names[pick] as source, t - 1 as slot, row_number() over (partition by pick order by t) - 1 as j from run, s where pick is not null
-),
-horizon as (
-    select min(((n_docs // 16) // quota) * period + slot) as h from plan join slots on slots.source = plan.source and slots.j = (n_docs // 16) % quota
-),
+slots as (select names[pick] as source, t - 1 as slot, j from run, s where pick is not null and real),
+horizon as (select coalesce(max(t - 1), 0) as h from run where not real),
 placed as (
     select doc_id, coalesce(source, chr(0)) as source,
         row_number() over (partition by coalesce(source, chr(0)) order by doc_id is null, md5(doc_id::varchar), doc_id) - 1 as k
     from documents
 )
-select doc_id, nullif(d.source, chr(0)) as source, k // 16 as block, ((k // 16) // quota) * period + slot as slot, k % 16 as place,
-    ((k // 16) // quota) * period + slot < h as in_mix, quota, period
-from placed d join plan on plan.source = d.source join slots on slots.source = d.source and slots.j = (k // 16) % quota, horizon
+select doc_id, nullif(d.source, chr(0)) as source, k // 16 as block, coalesce(slot, h + ((k // 16 + 1) * total + plan.w - 1) // plan.w) as slot, k % 16 as place,
+    slot is not null as in_mix, plan.w / total::double as weight
+from placed d join plan on plan.source = d.source left join slots on slots.source = d.source and slots.j = k // 16, horizon, s
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}
+    return {"op1_sharding": SHARDING_SQL, "op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}

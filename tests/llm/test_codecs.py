@@ -4,11 +4,14 @@ import hashlib
 import random
 import uuid
 import zlib
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from folioforge.llm import jpeg_media as J
 from folioforge.llm import mixing, piece_codec, sharding
@@ -115,18 +118,28 @@ def test_colour_with_subsampling_and_prediction():
     assert (J.thumbnail(got[1][:, :, 0], 8) == np.clip(blocks[1] + 128, 0, 255)).all()
 
 
+def store_of(spark, **args):
+    return sharding.ShardStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", **args)
+
+
+def arrival(spark, k):
+    return spark.range(k * 1000, k * 1000 + 1000, 1, 2).selectExpr("id as doc_id", "repeat(cast(id as string), 50) as text", "null as extra")
+
+
 def test_store(spark):
-    root = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
-    store = sharding.ShardStore(spark, root, target=1 << 20, fanout=3)
+    store = store_of(spark, target=1 << 20, fanout=3)
     for k in range(7):
-        store.append(spark.range(k * 1000, k * 1000 + 1000, 1, 2).selectExpr("id as doc_id", "repeat(cast(id as string), 50) as text", "cast(null as string) as extra"))
+        store.append(arrival(spark, k))
     before = store.manifest()
     assert len(before["shards"]) == 14 and before["version"] == 7
     with pytest.raises(sharding.Conflict):
-        store.commit(3, [])
+        store.commit(3, StructType([]), [])
     after = store.compact()
     assert len(after["shards"]) < 5 and after["version"] > 7
-    assert store.versions() == [after["version"]]
+    assert store.read(7).count() == store.read().count() == 7000  # old versions are there until vacuum
+    store._write(arrival(spark, 9))  # a writer that failed before it committed
+    assert store.vacuum(keep_versions=1) == 0 and store.versions() == [after["version"]]  # files are too young
+    assert store.vacuum(keep_versions=1, retain=-5) == 14 + 2
     rows = store.read()
     assert rows.count() == 7000 and rows.select("doc_id").distinct().count() == 7000
     files = {s["path"].split("/")[-1] for s in after["shards"]}
@@ -134,34 +147,132 @@ def test_store(spark):
     assert store.compact()["version"] == after["version"]
 
 
+def test_columns_of_all_arrivals_live_on(spark):
+    store = store_of(spark, target=1 << 20, fanout=2)
+    store.append(spark.range(5).selectExpr("id as doc_id", "'a' as text"))
+    store.append(spark.range(5, 9).selectExpr("id as doc_id", "'b' as text", "id * 2 as extra"))
+    store.append(spark.range(9, 12).selectExpr("'c' as text", "cast(id as double) as score", "id as doc_id"))
+    store.append(spark.range(12, 14).selectExpr("id as doc_id", "'d' as text", "id * 2 as extra"))
+    want = [(k, "a", None, None) for k in range(5)] + [(k, "b", 2 * k, None) for k in range(5, 9)] + [(k, "c", None, float(k)) for k in range(9, 12)] + [(k, "d", 2 * k, None) for k in (12, 13)]
+    for _ in range(2):
+        assert sorted(map(tuple, store.read().select("doc_id", "text", "extra", "score").collect()), key=lambda r: r[0]) == want
+        assert len(store.compact()["shards"]) == 1 and store.vacuum(keep_versions=1, retain=0) >= 0
+    version = store.manifest()["version"]
+    for clash in ("id as doc_id, 7 as text", "id as doc_id, 'x' as TEXT"):
+        with pytest.raises(ValueError, match="clashes"):
+            store.append(spark.sql(f"select {clash} from range(3)"))
+    assert store.manifest()["version"] == version
+
+
+def test_racing_writers_lose_nothing(spark):
+    store = store_of(spark, target=1 << 20, fanout=2)
+    store.append(arrival(spark, 0))
+
+    def write(k):
+        own = sharding.ShardStore(spark, store.root, target=1 << 20, fanout=2)
+        return own.compact()["version"] if k % 4 == 0 else own.append(arrival(spark, k))["version"]
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(1, 13)))
+    writers = [k for k in range(1, 13) if k % 4]
+    rows = store.read()
+    assert rows.count() == 1000 * (1 + len(writers)) and rows.select("doc_id").distinct().count() == rows.count()
+    store.compact()
+    store.vacuum(keep_versions=1, retain=-5)
+    assert store.read().count() == 1000 * (1 + len(writers))
+    # of several writers of one version exactly one wins
+    base, won = store.manifest(), []
+
+    def commit(_):
+        try:
+            store.commit(base["version"], StructType.fromJson(base["schema"]), base["parts"])
+            won.append(1)
+        except sharding.Conflict:
+            pass
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(commit, range(6)))
+    assert len(won) == 1
+
+
 def test_shard_rows(spark):
-    rows = [(1, None, 3), (1, "a", None), (None, "b" * 100_000, 1), (2, "", 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, tier int")
+    rows = [(1, None, 3), (1, "a", None), (None, "b" * 100_000, 1), (2, "", 1), (2, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tier int").withColumn("_metadata", F.lit("clash")).withColumn("shard", F.lit(None))
     got = sharding.shard_table(df, f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}").collect()
-    assert sorted((str(r.doc_id), str(r.n_chars)) for r in got) == sorted((str(k), str(None if t is None else len(t))) for k, t, _ in rows)
-    assert sharding.shard_table(df.limit(0), f"{shared_folder(spark)}/none-{uuid.uuid4().hex}").count() == 0
+    assert sorted((str(r.doc_id), str(r.n_chars), str(r.text_md5)) for r in got) == sorted((str(k), str(None if t is None else len(t)), str(None if t is None else hashlib.md5(t.encode()).hexdigest())) for k, t, _ in rows)
+    assert all(r.shard.startswith("part-") and r.shard_bytes > 0 for r in got)
+    empty = sharding.shard_table(df.limit(0), f"{shared_folder(spark)}/none-{uuid.uuid4().hex}")
+    assert empty.count() == 0 and empty.columns == ["doc_id", "shard", "tier", "shard_bytes", "n_chars", "text_md5"]
+
+
+def deviations(slots: list[str], weights: dict) -> float:
+    """The most that a source's blocks so far ever differ from its share of the slots so far."""
+    seen, worst = dict.fromkeys(weights, 0), 0.0
+    for s, source in enumerate(slots, 1):
+        seen[source] += 1
+        worst = max(worst, *(abs(seen[k] - s * w) for k, w in weights.items()))
+    return worst
 
 
-@pytest.mark.parametrize("weights", [None, [("s0", 0.5), ("s1", 0.2), ("s2", 0.01)]])
+@pytest.mark.parametrize("weights", [None, [("s0", 0.5), ("s1", 0.2), ("s2", 0.01), ("s9", 3.0), ("s4", -1.0)]])
 def test_mix_stays_within_a_block(spark, weights):
     rows = [(k, ["s0", "s1", "s2", None, "s4"][0 if k % 3 == 0 else k % 5]) for k in range(3000)] + [(None, "s1"), (5, "s2"), (5, "s2")]
     df = spark.createDataFrame(rows, "doc_id long, source string").withColumn("slot", F.lit("clash"))
     w = spark.createDataFrame(weights, "source string, weight double") if weights else None
     got = mixing.mix(df, w, block=4).collect()
     assert sorted((str(r.doc_id), str(r.source)) for r in got) == sorted((str(a), str(b)) for a, b in rows)
-    assert len({(r.slot, r.place) for r in got}) == len(got)
+    assert len({(r.slot, r.source, r.place) for r in got}) == len(got)
+    mixed = [r for r in got if r.in_mix]
     at = {}
-    for r in got:
+    for r in mixed:
         assert at.setdefault(r.slot, r.source) == r.source
-    horizon = sum(1 for s in {r.slot for r in got if r.in_mix})
-    assert sorted({r.slot for r in got if r.in_mix}) == list(range(horizon)) and horizon > 20
-    assert all(sum(r.slot == s for r in got) == 4 for s in range(0, horizon, 7))
-    quota = {r.source: r.quota / r.period for r in got}
-    assert abs(sum(quota.values()) - 1) < 1e-9
-    seen = dict.fromkeys(quota, 0)
-    for s in range(horizon):
-        seen[at[s]] += 1
-        assert all(abs(n - (s + 1) * quota[k]) < 1 for k, n in seen.items())
+    assert sorted(at) == list(range(len(at))) and len(at) > 20 and len(mixed) == 4 * len(at)
+    assert all(r.slot >= len(at) for r in got if not r.in_mix)
+    sizes = Counter(s for _, s in rows)
+    named = {k: v for k, v in weights if v > 0 and k in sizes} if weights else {k: n**0.5 for k, n in sizes.items()}
+    target = {k: v / sum(named.values()) for k, v in named.items()}
+    assert deviations([at[s] for s in range(len(at))], target) < 1
+    assert all(abs(r.weight - target.get(r.source, 0)) < 1e-6 for r in got)
+    # the next slot's source has no block left
+    left = {k: sum(1 for s in at.values() if s == k) for k in target}
+    assert any(sizes[k] // 4 == n for k, n in left.items())
+
+
+def earliest_deadlines(w: list[int], slots: int) -> list[int]:
+    """Slot by slot: of released blocks the one with the earliest deadline."""
+    total, done, out = sum(w), [0] * len(w), []
+    for t in range(slots):
+        i = min((-(-(done[i] + 1) * total // w[i]), i) for i in range(len(w)) if done[i] * total // w[i] <= t)[1]
+        done[i] += 1
+        out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("weights", [[9, 1], [1, 1, 1], [2**31 - 7, 2**30 + 3, 12345678, 1, 99], list(range(1, 80)), [10**9, *[3] * 200]])
+def test_schedule_is_earliest_deadline_first(spark, weights):
+    """And stays within a block of the weights over many of the weights' periods."""
+    plan = spark.createDataFrame([(f"{k:04d}", w, 1 << 17) for k, w in enumerate(weights)], "source string, w long, blocks long")
+    slots = 1500
+    got = sorted((r.slot, int(r.source), r.j) for r in mixing.schedule(plan, slots, sum(weights), len(weights)).collect())
+    assert [i for _, i, _ in got] == earliest_deadlines(weights, slots) and [s for s, *_ in got] == list(range(slots))
+    assert deviations([i for _, i, _ in got], {k: w / sum(weights) for k, w in enumerate(weights)}) < 1
+    for i in {i for _, i, _ in got}:
+        assert [j for _, k, j in got if k == i] == list(range(sum(k == i for _, k, _ in got)))
+
+
+def test_weights_hold_over_many_slots(spark):
+    df = spark.range(60_000).selectExpr("id as doc_id", "if(id % 10 = 0, 'b', 'a') as source")
+    got = mixing.mix(df, spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, weight double"), block=4).where("in_mix and place = 0").collect()
+    at = {r.slot: r.source for r in got}
+    assert len(at) > 14_000 and deviations([at[s] for s in range(len(at))], {"a": 0.9, "b": 0.1}) < 1
+
+
+def test_many_sources(spark):
+    n = 100_000
+    df = spark.range(3 * n).selectExpr("id as doc_id", f"cast(if(id < {n}, id, pmod(hash(id), 1000)) as string) as source")
+    got = mixing.mix(df, block=1)
+    r = got.agg(F.count("*").alias("n"), F.count_if("in_mix").alias("mixed"), F.countDistinct(F.when(F.col("in_mix"), F.col("slot"))).alias("slots"), F.max(F.when(F.col("in_mix"), F.col("slot"))).alias("last")).first()
+    assert r.n == 3 * n and r.mixed == r.slots == r.last + 1 > 1000
 
 
 def test_mixed_documents(spark):
@@ -169,6 +280,6 @@ def test_mixed_documents(spark):
     out = mixing.in_order(df)
     assert out.columns == df.columns
     order = [r.doc_id for r in out.collect()]
-    place = {r.doc_id: (r.slot, r.place) for r in mixing.mix(df).collect()}
+    place = {r.doc_id: (r.slot, r.source, r.place) for r in mixing.mix(df).collect()}
     assert order == sorted(range(500), key=place.get)
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.in_order(df.limit(0)).count() == 0

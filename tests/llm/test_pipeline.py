@@ -26,7 +26,7 @@ def test_stages(spark):
     assert 0 < len(ids[2]) < len(ids[1])
     want = brute([(r.doc_id, r.text) for r in out[2].collect()], 5, 80, 100)
     assert sorted(ids[3]) == sorted(i for i, (_, c) in want.items() if i == c)
-    place = {r.doc_id: (r.slot, r.place) for r in mixing.mix(out[3]).collect()}
+    place = {r.doc_id: (r.slot, r.source, r.place) for r in mixing.mix(out[3]).collect()}
     assert ids[4] == sorted(ids[3], key=place.get)
     assert sorted(ids[5]) == sorted(ids[4])
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, out[5].collect()))
@@ -54,5 +54,5 @@ def test_the_mix_reaches_the_result(spark):
     rows = corpus_pipeline.run(spark, SF).toPandas().sort_values("mix_place")
     assert rows["mix_place"].tolist() == list(range(len(rows)))
     docs = spark.createDataFrame(rows[["doc_id", "source"]])
-    mix = sorted(mixing.mix(docs).collect(), key=lambda r: (r.slot, r.place))
+    mix = sorted(mixing.mix(docs).collect(), key=lambda r: (r.slot, r.source, r.place))
     assert rows["doc_id"].tolist() == [r.doc_id for r in mix] and rows["in_mix"].tolist() == [r.in_mix for r in mix]
