@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: first six letters of a series' name, and its code
-SERIES = {"weekly": "wr", "quickg": "wr", "dispat": "wr", "semana": "wr", "recomm": "rr", "survei": "ss", "supple": "su"}
+# fixed values: first six letters of a series' name, and its code; in detailed datelines the weekly's is another
+SERIES = {"weekly": "wr", "quickg": "wr", "dispat": "wr", "semana": "wr", "recomm": "rr", "survei": "ss", "supple": "su", "_": "_"}
+DETAIL_SERIES = {"weekly": "mm", "quickg": "mm", "dispat": "mm", "semana": "mm", "recomm": "rr", "survei": "ss", "supple": "su", "_": "_"}
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 ROMAN = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii", "xiii", "xiv", "xv"]
 #: Publication years less volume numbers.
@@ -37,14 +38,27 @@ def month_number(name: Column) -> Column:
     return F.element_at(lookup({m[:3].lower(): f"{i:02d}" for i, m in enumerate(MONTHS, 1)}), F.lower(F.substring(name, 1, 3)))
 
 
+#: Written dates: year, month, day groups of `Month D, YYYY`, `D Month YYYY`, `M/D/YYYY` (or D/M if M is over 12) and `YYYY-M-D`, a weekday before them.
+_NAME, _DAY, _YEAR = "(" + "|".join(["Sept", *(f"{m}|{m[:3]}" for m in MONTHS)]) + r")\.?", r"(\d{1,2})(?:st|nd|rd|th)?", r"(\d{4})"
+_WEEKDAY = r"(?:(?:Mon|Tues?|Wed(?:nes)?|Thu(?:rs?)?|Fri|Sat(?:ur)?|Sun)(?:day)?\.?,? )?"
+DATES = {rf"{_NAME},? {_DAY}(?:, ?| ){_YEAR}": (3, 1, 2), rf"{_DAY} {_NAME},? {_YEAR}": (3, 2, 1), rf"(\d{{1,2}})[/-](\d{{1,2}})[/-]{_YEAR}": (3, 1, 2), rf"{_YEAR}[/-](\d{{1,2}})[/-](\d{{1,2}})": (1, 2, 3)}
+
+
 def long_date(text: Column) -> Column:
-    """ISO date of `Month D, YYYY` (G6); missing parts are never made up."""
-    pattern = r"([A-Za-z]{3,9})\.? (\d{1,2}), ?(\d{4})"
-    y, m, d = part(text, pattern, 3), month_number(part(text, pattern, 1)), padded(part(text, pattern, 2), 2)
-    return F.to_date(F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd"))).cast("string")
+    """ISO date of a date in English or in digits (G6). Null for other languages and for dates that lack a part, which is never made up."""
+
+    def of(pattern: str, groups: tuple[int, int, int]) -> Column:
+        whole = rf"(?i)^\s*{_WEEKDAY}{pattern}\s*$"
+        y, m, d = (part(text, whole, k) for k in groups)
+        named = F.coalesce(month_number(m), padded(m.try_cast("int").cast("string"), 2))
+        swapped = m.try_cast("int") > 12
+        m, d = F.when(swapped, padded(d, 2)).otherwise(named), F.when(swapped, padded(m, 2)).otherwise(padded(d, 2))
+        return F.to_date(F.try_to_timestamp(F.concat(y, F.lit("-"), m, F.lit("-"), d), F.lit("yyyy-MM-dd"))).cast("string")
+
+    return F.coalesce(*(of(p, g) for p, g in DATES.items()))
 
 
-#: series / date / volume(issue); pages
+# fixed value: series / date / volume(issue); pages
 MMWR = r"(.*?)/(.*?)/\s*(\d+) ?\((.*?)\)[;,]?(.*)"
 
 
@@ -56,7 +70,7 @@ def mmwr(dateline: Column) -> dict[str, Column]:
     code = F.element_at(lookup(SERIES), F.lower(F.substring(F.trim(F.regexp_extract(dateline, MMWR, 1)), 1, 6)))
     first = part(pages, r"(\d+)", 1)
     return {
-        "series": F.concat(F.lit("mm"), code),
+        "series": F.when(vol.isNotNull(), F.concat(F.lit("mm"), F.coalesce(code, F.lit("")))),
         "dl_date": long_date(F.regexp_extract(dateline, MMWR, 2)),
         "dl_vol_iss": F.concat(vol, F.lit("("), issue, F.lit(")")),
         "dl_year_mo": (vol.cast("int") + MMWR_YEAR).cast("string"),
@@ -64,6 +78,7 @@ def mmwr(dateline: Column) -> dict[str, Column]:
     }
 
 
+# fixed values: paths of volumes and of articles
 VOLUME_PATH = r"^/mmwr(?:/preview)?/ind(ex|rr|ss)?_?(\d{2,4})_?(rr|ss|su)?\.html?"
 ARTICLE_PATH = r"^/.*/((\d{8})|(mm|rr|ss|su)(\d{2})(\d{2,4}|SP)?(a|e|fw|md|tc|toc|-Immunizationa)?(\d*)(.*))\.htm$"
 
@@ -73,7 +88,8 @@ def mmwr_volume_path(path: Column) -> dict[str, Column]:
     code = F.coalesce(part(path, VOLUME_PATH, 1), part(path, VOLUME_PATH, 3))
     y = part(path, VOLUME_PATH, 2)
     year = F.when(F.length(y) == 2, F.concat(F.lit("19"), y)).otherwise(y)
-    return {"series": F.concat(F.lit("mm"), F.when(code == "ex", "wr").otherwise(F.coalesce(code, F.lit("wr")))), "dl_date": year, "dl_vol_iss": padded((year.cast("int") - MMWR_YEAR).cast("string"), 2)}
+    named = F.concat(F.lit("mm"), F.when(code == "ex", "wr").otherwise(F.coalesce(code, F.lit(""))))
+    return {"series": F.when(y.isNotNull(), named), "dl_date": year, "dl_vol_iss": padded((year.cast("int") - MMWR_YEAR).cast("string"), 2)}
 
 
 def mmwr_article_path(path: Column) -> dict[str, Column]:
@@ -91,46 +107,61 @@ def source_precedence(correction: Column, div: Column, title: Column, date: Colu
 
 
 def page_range(text: Column) -> Column:
-    """struct(n, repr) of one page or range: dropped leading digits come back, Roman numbers count."""
+    """struct(n, repr) of a page or a range of pages (G15, G16): Arabic numbers lose leading zeros and get dropped leading
+    digits back, Roman ones up to xv count. n is null for what can't be read."""
     roman = lookup({r: i for i, r in enumerate(ROMAN, 1)})
+    number = r"^\s*\d+\s*$"
+
+    def arabic(sides: Column) -> Column:
+        plain = F.transform(sides, lambda s: F.when(s.rlike(number), F.trim(s).try_cast("bigint").cast("string")))
+        first, last = plain[0], F.element_at(plain, -1)
+        restored = F.concat(F.substring(first, F.lit(1), F.greatest(F.lit(0), F.length(first) - F.length(last))), last)
+        one, two = F.size(sides) == 1, F.size(sides) == 2
+        n = F.when(one & first.isNotNull(), 1).when(two, restored.try_cast("bigint") - first.try_cast("bigint") + 1)
+        return F.struct(n.cast("int").alias("n"), F.when(one, first).otherwise(F.concat_ws("-", first, restored)).alias("repr"))
+
+    def letters(sides: Column) -> Column:
+        span = F.element_at(roman, F.element_at(sides, -1)) - F.element_at(roman, sides[0]) + 1
+        n = F.when(F.size(sides) == 1, 1).when(F.size(sides) == 2, span)
+        return F.struct(n.cast("int").alias("n"), F.array_join(sides, "-").alias("repr"))
+
+    return let(F.split(text, "-"), lambda sides: F.when(text.rlike(r"\d"), arabic(sides)).otherwise(letters(sides)))
 
-    def of(p: Column) -> Column:
-        a, b, arabic = p["a"], p["b"], p["arabic"]
-        full = F.when(arabic & (F.length(b) < F.length(a)), F.concat(F.substring(a, F.lit(1), F.length(a) - F.length(b)), b)).otherwise(b)
-        n = F.when(b.isNull(), 1).when(arabic, full.try_cast("int") - a.try_cast("int") + 1).otherwise(F.element_at(roman, b) - F.element_at(roman, a) + 1)
-        return F.struct(n.cast("int").alias("n"), F.when(b.isNull(), a).otherwise(F.concat(a, F.lit("-"), full)).alias("repr"))
 
-    parts = F.struct(F.regexp_extract(text, "^([^-]*)", 1).alias("a"), part(text, "^[^-]*-([^-]*)", 1).alias("b"), text.rlike(r"^\d+(-\d+)?$").alias("arabic"))
-    return let(parts, of)
+# fixed values: notes on pages, in the order in which they are looked for, and what is removed with each
+NOTES = {"nd": "nd-? ?", "q": "q-?", "ss": "ss", "s": "s"}
+# fixed values: spellings of what stands between pages
+BETWEEN = {"–": "-", " - ": "-", ";": ",", "-,": ",", ", ": ","}
 
 
 def pages(text: Column) -> Column:
-    """struct(dl_page, dl_repr, dl_npgs, dl_anno) of a page string."""
-
-    def trimmed(t: Column) -> Column:
-        noted = [("nd", "nd-? ?"), ("q", "q-?"), ("ss", "ss"), ("s", "s")]
-        anno, rest = F.when(t.contains("nd"), "nd"), F.when(t.contains("nd"), F.regexp_replace(t, "nd-? ?", ""))
-        for note, pattern in noted[1:]:
-            anno, rest = anno.when(t.contains(note), note), rest.when(t.contains(note), F.regexp_replace(t, pattern, ""))
-        return let(F.struct(anno.otherwise("").alias("anno"), rest.otherwise(t).alias("rest")), ranged)
-
-    def ranged(p: Column) -> Column:
-        clean = F.translate(p["rest"], "–;", "-,")
-        for a, b in ((" - ", "-"), ("-,", ","), (", ", ",")):
-            clean = F.replace(clean, F.lit(a), F.lit(b))
-        first = F.coalesce(F.regexp_extract(p["rest"], r"(\d+)", 1).try_cast("int"), F.lit(0))
-        return let(F.transform(F.split(clean, ","), page_range), lambda ranges: F.struct(
+    """struct(dl_page, dl_repr, dl_npgs, dl_anno) of a page string (G17): the first Arabic page, the ranges written out,
+    their pages in all, and a note. All empty if there is no number, or if any range can't be read."""
+    low = F.lower(text)
+    core = F.regexp_extract(low, r"(?d)\A[^ndqsivx\d]*(.*?)[^ndqsivx\d]*\z", 1)
+
+    def of(noted: Column) -> Column:
+        rest = noted["rest"]
+        tokens = rest
+        for a, b in BETWEEN.items():
+            tokens = F.replace(tokens, F.lit(a), F.lit(b))
+        first = F.coalesce(F.regexp_extract(rest, r"(\d+)", 1).try_cast("int"), F.lit(0))
+        return let(F.transform(F.split(tokens, ","), page_range), lambda ranges: F.when(F.forall(ranges, lambda r: r["n"].isNotNull()), F.struct(
             first.alias("dl_page"), F.array_join(F.transform(ranges, lambda r: r["repr"]), ",").alias("dl_repr"),
-            F.aggregate(ranges, F.lit(0), lambda s, r: s + F.coalesce(r["n"], F.lit(0))).alias("dl_npgs"), p["anno"].alias("dl_anno"),
-        ))
+            F.aggregate(ranges, F.lit(0), lambda s, r: s + r["n"]).alias("dl_npgs"), noted["anno"].alias("dl_anno"),
+        )))
+
+    def noted(c: Column) -> Column:
+        found = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in NOTES.items())), lambda n: c.contains(n["k"]))
+        return let(F.get(found, F.lit(0)), lambda n: F.struct(F.coalesce(n["k"], F.lit("")).alias("anno"), F.when(n["k"].isNull(), c).otherwise(F.regexp_replace(c, n["v"], F.lit(""))).alias("rest")))
 
-    low = F.lower(text)
     none = F.struct(F.lit(0).alias("dl_page"), F.lit("").alias("dl_repr"), F.lit(0).alias("dl_npgs"), F.lit("").alias("dl_anno"))
-    return F.when(low.rlike(r"[ivx\d]"), let(F.regexp_extract(low, r"(?s)^[^ndqsivx\d]*(.*?)[^ndqsivx\d]*$", 1), trimmed)).otherwise(none)
+    readable = low.rlike(r"[ivx\d]") & low.rlike(r"(?d)\A[^ndqsivx\d]*(.*?)[^ndqsivx\d]*\z")
+    return F.coalesce(F.when(readable, let(core, lambda c: let(noted(c), of))), none)
 
 
 def number_and_note(text: Column) -> tuple[Column, Column]:
-    """The digits, two at least, and up to two other characters but `&`."""
+    """The digits, two at least, and the first two other characters, none if `&` is one of them."""
     t = F.lower(text)
     note = F.substring(F.regexp_replace(t, r"[\d-]", ""), 1, 2)
     return F.coalesce(padded(F.nullif(F.regexp_replace(F.regexp_replace(t, r"\D", ""), "^0+(?=.)", ""), F.lit("")), 2), F.lit("")), F.when(note.contains("&"), "").otherwise(note)
@@ -141,6 +172,12 @@ def mmwr_script(html: Column) -> tuple[Column, Column]:
     return part(html, r"""reportTitle = ["'](.*?)["'];""", 1), part(html, r"""reportDate = ["'].*?([1-9ADFJMNOS].+?)["'];""", 1)
 
 
+def mmwr_script_dateline(html: Column) -> Column:
+    """The dateline of a page's script; `_` for each piece that isn't there or is empty."""
+    title, date = mmwr_script(html)
+    return F.concat(F.coalesce(title, F.lit("_")), F.lit(" / "), F.coalesce(date, F.lit("_ / _")))
+
+
 def standard_name(path: Column) -> Column:
     """Whether an article's file is named by the usual rule."""
     return path.rlike(r"^/.*/(mm|rr|ss|su)\d{2}(\d{2,4}|SP)(a|e|md)\d*\.htm$")
@@ -160,15 +197,16 @@ def mmwr_detail(dateline: Column) -> dict[str, Column]:
     fields = F.split(low, "/", 3)
     date, rest = F.trim(fields[1]), F.split(F.trim(fields[2]), r" ?\(|\);?", -1)
     vol, iss, pgs = (F.when(F.size(rest) == 3, rest[k]).otherwise("_") for k in range(3))
-    (vol_num, _), (iss_num, iss_anno) = number_and_note(vol), number_and_note(iss)
+    (vol_num, vol_anno), (iss_num, iss_anno) = number_and_note(vol), number_and_note(iss)
     return {
-        "dl_ser": F.coalesce(F.element_at(lookup(SERIES), F.substring(F.trim(fields[0]), 1, 6)), F.lit("")),
+        "dl_ser": F.coalesce(F.element_at(lookup(DETAIL_SERIES), F.substring(F.trim(fields[0]), 1, 6)), F.lit("")),
         "dl_date": F.coalesce(long_date(date), date),
-        "dl_vol_num": vol_num, "dl_iss_num": iss_num, "dl_iss_anno": iss_anno,
+        "dl_vol_num": vol_num, "dl_vol_anno": vol_anno, "dl_iss_num": iss_num, "dl_iss_anno": iss_anno,
         "pages": pages(pgs),
     }
 
 
+# fixed values: datelines of the second and third journal
 EID = r"Volume (\d{1,2}), (?:Number (\d{1,2})|(Supplement))—([A-Sa-y]{3,9}) (\d{4})"
 
 
@@ -211,6 +249,16 @@ def pcd(dateline: Column) -> dict[str, Column]:
     }
 
 
+# fixed values: datelines of contents pages that state another or none
+PCD_TOC_CORRECTIONS = {
+    "/pcd/es/2006_jan_toc.htm": "Volumen 3: Nº 1, enero de 2006",
+    "/pcd/es/2010_jul_toc.htm": "Volumen 7: Nº 4, julio 2010",
+    "/pcd/es/2010_nov_toc.htm": "Volumen 7: Nº 6, noviembre de 2010",
+    "/pcd/es/2011_nov_toc.htm": "Volumen 8: Nº 6, noviembre de 2011",
+    "/pcd/es/2011_sep_toc.htm": "Volumen 8: Nº 5, septiembre de 2011",
+}
+
+
 def pcd_toc(text: Column) -> Column:
     """The dateline after the first ISSN, white space collapsed."""
     return F.regexp_replace(part(text, r"(?s)ISSN.*?(Volume.*?\d{4}\)?)", 1), r"(?U)\s+", " ")

@@ -33,15 +33,22 @@ REPAIRS = {
 }
 
 
-def reduce_space(text: Column, keep_pre: bool = False) -> Column:
+def reduce_space(text: Column, keep_pre: Column | bool = False) -> Column:
     """Spaces to one kind, line ends to newlines, runs collapsed, lines trimmed, at most one empty line.
-    keep_pre: texts with a <pre> element lose only spaces before a tag or a line's end."""
+    keep_pre: texts with a <pre> element lose spaces only at a line's start before a tag, and at a line's end."""
     t = F.translate(text, SPACES, " " * len(SPACES))
     t = F.translate(F.replace(t, F.lit("\r\n"), F.lit("\n")), NEWLINES, "\n" * len(NEWLINES))
-    full = F.regexp_replace(F.regexp_replace(t, " +", " "), "(?d)(?m)^ | $", "")
-    if keep_pre:
-        full = F.when(text.rlike("(?i)<pre[ >]"), F.regexp_replace(t, "(?d)(?m) +(<|$)", "$1")).otherwise(full)
-    return F.regexp_replace(full, "\n{3,}", "\n\n")
+    out = F.regexp_replace(F.regexp_replace(t, " +", " "), "(?d)(?m)^ | $", "")
+    if keep_pre is not False:
+        sparing = text.rlike("(?i)<pre[ >]")
+        sparing = sparing if keep_pre is True else sparing & keep_pre
+        out = F.when(sparing, F.regexp_replace(t, "(?d)(?m)^ +(?=<)| +$", "")).otherwise(out)
+    return F.regexp_replace(out, "\n{3,}", "\n\n")
+
+
+def cleaned(html: Column, keep_pre: Column | bool = False) -> Column:
+    """Entities repaired, then white space reduced; keep_pre by source: true for the weeklies' (F17)."""
+    return reduce_space(repair_entities(html), keep_pre)
 
 
 def repair_known(text: Column) -> Column:
@@ -71,15 +78,17 @@ def unescape_common(text: Column) -> Column:
 
 @arrow_function("char string, codepoint string, name string, canonical string")
 def resolve_reference(ref: pd.Series) -> pd.DataFrame:
-    """A reference's characters, code points, Unicode names and HTML name (F10). For distinct references: join the result."""
-    by_char = {v: k for k, v in sorted(html.entities.html5.items(), reverse=True) if k.endswith(";")}
+    """A reference's characters, code points, Unicode names and HTML name (F10); control characters are written as
+    escapes, what isn't a reference gives nulls. For distinct references: join the result."""
+    shown = {"\t": "\\t", "\n": "\\n", "\v": "\\v", "\f": "\\f", "\r": "\\r"}
     rows = []
     for r in ref:
         c = html.unescape(r)
         if c == r:
             rows.append((None, None, None, None))
         else:
-            rows.append((c, " ".join(f"U+{ord(x):04X}" for x in c), "; ".join(unicodedata.name(x, "(control)") for x in c), f"&{by_char[c]}" if c in by_char else None))
+            name = html.entities.codepoint2name.get(ord(c)) if len(c) == 1 else None
+            rows.append(("".join(shown.get(x, x) for x in c), " ".join(f"U+{ord(x):04X}" for x in c), "; ".join(unicodedata.name(x, "no name") for x in c), name))
     return pd.DataFrame(rows, columns=["char", "codepoint", "name", "canonical"])
 
 
@@ -89,6 +98,11 @@ def declared_charset(content: Column) -> Column:
     return F.nullif(head, F.lit(""))
 
 
+def declared_charsets(content: Column) -> Column:
+    """All charsets that a page's metas declare, the last one of each line, as written (F2)."""
+    return F.regexp_extract_all(F.decode(content.cast("binary"), "iso-8859-1"), F.lit(r'(?id)<meta.*charset="?(.*?)"'), F.lit(1))
+
+
 #: In the order in which a declaration is looked for; cp1252 without one.
 CODECS = {"utf-8": "utf_8", "iso-8859-1": "latin_1", "gb2312": "gb2312", "big5": "big5"}
 
@@ -146,12 +160,23 @@ def try_codecs(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([[ok(bytes(r), c) for c in TRIED] for r in content], columns=[c.replace("-", "_") for c in TRIED])
 
 
+def mismatch(tried: Column, charsets: Column) -> Column:
+    """Whether a codec that a page declares fails on it (F5). tried: of try_codecs; charsets: of declared_charsets."""
+    named = F.lower(F.array_join(charsets, "|"))
+    return F.array_contains(F.array(*(named.contains(c) & ~tried[c.replace("-", "_")] for c in TRIED)), F.lit(True))
+
+
 @arrow_function("binary")
 def patch_bytes(content: pd.Series, old: pd.Series, new: pd.Series) -> pd.Series:
     """Replace bytes by bytes on patched documents (F7); null patches change nothing."""
     return pd.Series([c if o is None else bytes(c).replace(bytes(o), bytes(n)) for c, o, n in zip(content, old, new, strict=True)])
 
 
+def patched(text: Column, patches: Column) -> Column:
+    """Strings replaced by strings, one patch after another (F12). patches: array of struct(old, new); null changes nothing."""
+    return F.coalesce(F.aggregate(patches, text, lambda t, p: F.replace(t, p["old"], p["new"])), text)
+
+
 def first_closers_removed(text: Column) -> Column:
     """Without the first </body> and the first </html>."""
     for tag in ("body", "html"):

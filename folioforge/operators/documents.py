@@ -10,32 +10,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions import arrow_function
+from folioforge.functions import urls as U
 from folioforge.operators import html_kernel as K
-
-PARSED = (
-    "title string, canonical string, metas array<struct<name string, content string>>, "
-    "anchors array<struct<href string, string string>>, h1 string, dateline_div string, eid_citation string, text string, md string"
-)
+from folioforge.operators.relational import union
+
+#: What can be read off a document's tree.
+FIELDS = {
+    "title": "string", "canonical": "string", "metas": "array<struct<name string, content string>>", "anchors": "array<struct<href string, string string, only string>>",
+    "h1": "string", "dateline_div": "string", "eid_citation": "string", "text": "string", "md": "string",
+}
+HEAD = {"title", "canonical", "metas"}
 TAGS = "array<struct<name string, string string, attrs map<string, string>>>"
 DATELINE_PARTS = "title string, volumes string, div string, citations map<string, string>, notes array<struct<seq int, tag string, size int, string string, around string>>"
-SVG = "n int, len0 int, len1 int, len2 int, len3 int, len4 int, len5 int"
-
-
-def _parsed(text: str | None) -> tuple:
-    root = K.parse(text)
-    title, canonical, metas = K.head_meta(root)
-    h1, div = root.find("h1"), root.find("div", class_="dateline")
-    cell = next((s.text() for th in root.find_all("th") if th.text().strip() == "EID" and (s := th.next_element()) is not None), None)
-    links = K.anchors(root)
-    plain = K.plain_text(root)
-    return title, canonical, [{"name": a, "content": b} for a, b in metas], [{"href": a, "string": b} for a, b in links], h1.text().strip() if h1 else None, div.text().strip() if div else None, cell, plain, K.markdown(root)
-
-
-@arrow_function(PARSED)
-def parse_document(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    names = ["title", "canonical", "metas", "anchors", "h1", "dateline_div", "eid_citation", "text", "md"]
-    for s in batches:
-        yield pd.DataFrame([_parsed(x) for x in s], columns=names)
+SVG = "n int, trimmed int, len0 int, len1 int, len2 int, len3 int, len4 int, len5 int"
+
+
+def _parsed(text: str | None, fields: tuple[str, ...]) -> tuple:
+    root = K.parse(K.head_only(text or "") if HEAD >= set(fields) else text)
+    out: dict = {}
+    if HEAD & set(fields):
+        title, canonical, metas = K.head_meta(root)
+        out |= {"title": title, "canonical": canonical, "metas": [{"name": a, "content": b} for a, b in metas]}
+    if "anchors" in fields:
+        out["anchors"] = [{"href": a, "string": b, "only": c} for a, b, c in K.anchors(root)]
+    if "h1" in fields:
+        out["h1"] = h1.text().strip() if (h1 := root.find("h1")) else None
+    if "dateline_div" in fields:
+        out["dateline_div"] = div.text().strip() if (div := root.find("div", class_="dateline")) else None
+    if "eid_citation" in fields:
+        out["eid_citation"] = next((s.text() for th in root.find_all("th") if th.text().strip() == "EID" and (s := th.next_element()) is not None), None)
+    if "text" in fields:  # it takes elements out of the tree, as Markdown then does
+        out["text"] = K.plain_text(root)
+    if "md" in fields:
+        out["md"] = K.markdown(root)
+    return tuple(out[k] for k in fields)
+
+
+def parse_document(html: Column | str, *fields: str) -> Column:
+    """A struct of some FIELDS, all by default, by one parse; of the head alone if no others are asked for."""
+    fields = fields or tuple(FIELDS)
+
+    def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            yield pd.DataFrame([_parsed(x, fields) for x in s], columns=list(fields))
+
+    parsed.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return arrow_function(", ".join(f"{k} {FIELDS[k]}" for k in fields))(parsed)(html)
 
 
 _VOLUME, _VOLUMES = re.compile("Volume"), re.compile(r"(Past|Current) Volumes? \(")
@@ -68,25 +88,57 @@ def trim_svg(s: pd.Series) -> pd.Series:
 
 @arrow_function(SVG)
 def svg_lengths(s: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([[n, *lengths] for n, lengths in (K.svg_lengths(x or "") for x in s)], columns=[x.split()[0] for x in SVG.split(", ")])
+    return pd.DataFrame([[n, trimmed, *lengths] for n, trimmed, lengths in (K.svg_lengths(x or "") for x in s)], columns=[x.split()[0] for x in SVG.split(", ")])
 
 
 def native_anchors(html: Column) -> Column:
-    """Raw `<a href="...">text</a>` without nested markup, in order, by regular expression alone (D6, fast path)."""
+    """Raw `<a href="...">text</a>` without nested markup, in order, by regular expression alone: for pages that are known to hold no others."""
     hrefs, texts = (F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)">([^<]*)</a>'), F.lit(k)) for k in (1, 2))
     return F.arrays_zip(hrefs.alias("href"), texts.alias("string"))
 
 
-def meta_value(metas: Column, name: str) -> Column:
-    """The first content of a name, case-sensitive; empty if there is none."""
-    return F.coalesce(F.try_element_at(F.filter(metas, lambda m: m["name"] == name), F.lit(1))["content"], F.lit(""))
-
-
-def links(pages: DataFrame, level: str, href: str | None = None, text: str | None = None, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Link rows of a level: the pages' anchors whose href and text match."""
-    out = pages.select(F.col(url_col).alias("base"), F.posexplode(native_anchors(F.col(html_col))).alias("seq", "a")).select("base", "seq", "a.href", "a.string")
-    if href:
-        out = out.where(F.col("href").rlike(href))
-    if text:
-        out = out.where(F.col("string").rlike(text))
-    return out.withColumn("level", F.lit(level))
+def links(pages: DataFrame, level: str, href: str | None = None, text: str | None = None, first: bool = False, base: str | None = None, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Link rows of a level (D1-D7): base, seq, href, url, path, filename, mirror_path, string, level of the pages'
+    anchors, by the tree, whose href matches, and whose only text does (an anchor with markup in it has none). first: the
+    first one of each page. base: what links are resolved against and said to come from, the page's url by default."""
+    anchors = pages.select((F.lit(base) if base else F.col(url_col)).alias("_base"), parse_document(F.col(html_col), "anchors")["anchors"].alias("_a"))
+
+    def wanted(a: Column) -> Column:
+        out = a["href"].isNotNull()
+        if href:
+            out = out & a["href"].rlike(f"(?U){href}")
+        return out & F.coalesce(a["only"].rlike(f"(?U){text}"), F.lit(False)) if text else out
+
+    numbered = F.filter(F.transform("_a", lambda a, i: F.struct(i.alias("seq"), a["href"].alias("href"), a["string"].alias("string"), a["only"].alias("only"))), wanted)
+    rows = anchors.select("_base", F.explode(F.slice(numbered, 1, 1) if first else numbered).alias("_l"))
+    out = rows.select("_l.seq", U.resolve_links("_base", "_l.href", "_l.string").alias("_r"))
+    return out.select("_r.base", "seq", "_r.href", "_r.url", "_r.path", "_r.filename", "_r.mirror_path", "_r.string", F.lit(level).alias("level"))
+
+
+# fixed values: which anchors make up the levels of each journal: of href, of text, and whether only the first counts
+HARVEST = {
+    "mmwr": {"home": (r"about.html", None, True), "series": (None, r"Past Volumes", False), "volume": (r"/(ind\w*\d{2,4}\w*\.html?)", None, False), "article": (r"(mmwrhtml|volumes)/(\w|-|/)+.html?", None, False)},
+    "eid": {"home": (r"eid", r"EID Journal", True), "series": (None, r"Past Issues", False), "volume": (r"volume-\d{1,2}", r"Volume.+?\d{4}", False), "issue": (None, r"Table of Contents", False), "article": (r"_article$", None, False)},
+    "pcd": {"home": (r"pcd/index.htm", r"Preventing Chronic Disease", True), "series": (r"archive", None, True), "volume": (r"\d{4}.*(TOC|toc).htm", None, False), "article": (r"((\d{2}_\d{4,5}([aber]|_es|_fr|_zhs|_zht)?)|cover).htm", None, False)},
+}
+# fixed values: a page of volumes doesn't link to itself; the first volume's link is on the second one's page
+EID_VOLUMES = {"/past-issues/volume-1": r"Volume.+?\d{4}", "/past-issues/volume-2": r"Volume.+?1995"}
+# fixed value: the page that links to itself as the Spanish archive
+PCD_SPANISH = r"pcd/es/archive_es.htm"
+
+
+def harvest(journal: str, pages: dict[str, DataFrame], volumes_base: str | None = None) -> DataFrame:
+    """All link rows of a journal (D1-D5, D8). pages: by level, the (url, html) in which that level's anchors are looked
+    for. The second journal's volumes are those of two pages, resolved against volumes_base."""
+    found = []
+    for level, (href, text, first) in HARVEST[journal].items():
+        if level not in pages:
+            continue
+        if journal == "eid" and level == "volume":
+            found += [links(pages[level].where(F.col("url").endswith(end)), level, href, only, base=volumes_base) for end, only in EID_VOLUMES.items()]
+        elif journal == "pcd" and level == "series":
+            spanish = F.col("url").endswith("/archive_es.htm")
+            found += [links(pages[level].where(~spanish), level, href, text, first), links(pages[level].where(spanish), level, PCD_SPANISH, first=True)]
+        else:
+            found.append(links(pages[level], level, href, text, first))
+    return union(*found)

@@ -142,9 +142,9 @@ def head_only(text: str) -> str:
     return text[: m.end()] if m else text
 
 
-def anchors(root: Node) -> list[tuple[str | None, str]]:
-    """(href, pieces of text, stripped, with bars between) of each anchor."""
-    return [(a.attrs.get("href"), "|".join(t for x in a.texts() if (t := x.strip()))) for a in root.find_all("a")]
+def anchors(root: Node) -> list[tuple[str | None, str, str | None]]:
+    """(href, pieces of text, stripped, with bars between, the only text if it is one) of each anchor."""
+    return [(a.attrs.get("href"), "|".join(t for x in a.texts() if (t := x.strip())), a.string()) for a in root.find_all("a")]
 
 
 def head_meta(root: Node) -> tuple[str, str, list[tuple[str, str]]]:
@@ -211,13 +211,16 @@ def trim_svg(text: str) -> str:
     return root.serialise()
 
 
-def svg_lengths(text: str) -> tuple[int, list[int]]:
-    """Drawings, and the document's length as parsed and after each of five reductions: attribute values, attributes,
-    strings, contents, elements (F21)."""
+def svg_lengths(text: str) -> tuple[int, int, list[int]]:
+    """Drawings, the document's length with its drawings trimmed, and its length as parsed and after each of five
+    reductions: attribute values, attributes, strings, contents, elements (F21). The document is parsed and written once;
+    after that only drawings are written again."""
     root = parse(text)
-    drawings = list(root.find_all("svg"))
-    inside = [n for s in drawings for n in [s, *s.walk()]]
-    out = [len(root.serialise())]
+    whole, drawings = len(root.serialise()), list(root.find_all("svg"))
+    held = {id(n) for s in drawings for n in s.walk()}
+    outer = [s for s in drawings if id(s) not in held]
+    inside = [n for s in outer for n in [s, *s.walk()]]
+    rest = whole - sum(len(s.serialise()) for s in outer)
 
     def values():
         for n in inside:
@@ -227,6 +230,11 @@ def svg_lengths(text: str) -> tuple[int, list[int]]:
         for n in inside:
             n.attrs = {}
 
+    def leaves():
+        for n in inside:
+            if n.name != "svg" and not any(isinstance(c, Node) for c in n.children):
+                n.children = []
+
     def strings():
         for n in inside:
             n.children = [c for c in n.children if isinstance(c, Node)]
@@ -235,44 +243,77 @@ def svg_lengths(text: str) -> tuple[int, list[int]]:
         for n in drawings:
             n.children = []
 
-    for step in (values, attributes, strings, contents, lambda: root.remove(("svg",))):
+    out = []
+    for step in (values, attributes, leaves, strings, contents):
         step()
-        out.append(len(root.serialise()))
-    return len(drawings), out
+        out.append(rest + sum(len(s.serialise()) for s in outer))
+    return len(drawings), out.pop(2), [whole, *out, rest]
 
 
 def markdown(root: Node) -> str:
     """ATX headings closed with #, _ and __ for emphasis, ~ and ^ for sub and sup, links, images, lists, quotes, code, tables (L3)."""
     b = body(root)
     b.remove((*REMOVED, "style"))
-    return re.sub(r"\n{3,}", "\n\n", _md(b, 0)).strip()
+    done: dict[int, str] = {}
+    stack: list[tuple[Node, bool]] = [(b, False)]
+    while stack:  # children first; a stack, so that depth doesn't matter
+        n, ready = stack.pop()
+        if not ready:
+            stack.append((n, True))
+            stack.extend((c, False) for c in n.children if isinstance(c, Node))
+            continue
+        done[id(n)] = _md(n, [re.sub(r"\s+", " ", c) if isinstance(c, str) else done[id(c)] for c in n.children], done)
+        if n.name not in _TABLE:
+            for c in n.children:
+                done.pop(id(c), None)
+    return re.sub(r"\n{3,}", "\n\n", done[id(b)]).strip()
+
+
+#: Elements whose parts a table still asks for.
+_TABLE = frozenset("thead tbody tfoot tr colgroup".split())
+_MARKS = {"em": "_", "i": "_", "strong": "__", "b": "__", "sub": "~", "sup": "^", "del": "~~", "s": "~~", "code": "`", "kbd": "`", "samp": "`"}
+
+
+def _own(table: Node, name: str) -> Iterator[Node]:
+    """Elements of a table that aren't a nested table's."""
+    stack = [c for c in reversed(table.children) if isinstance(c, Node)]
+    while stack:
+        n = stack.pop()
+        if n.name == name:
+            yield n
+        elif n.name in _TABLE:
+            stack.extend(c for c in reversed(n.children) if isinstance(c, Node))
 
 
-def _md(n: Node | str, depth: int) -> str:
-    if isinstance(n, str):
-        return re.sub(r"\s+", " ", n)
-    if depth > 200:
-        return re.sub(r"\s+", " ", n.text())
+def _md(n: Node, inner: list[str], done: dict[int, str]) -> str:
+    """Markdown of an element, given that of its children."""
     if n.name == "pre":
         return f"\n\n```\n{n.text()}\n```\n\n"
     if n.name == "table":
-        rows = [[_md(c, depth + 1).strip().replace("|", "\\|") for c in r.children if isinstance(c, Node) and c.name in ("td", "th")] for r in n.find_all("tr")]
+        title = "".join(f"\n\n{done[id(c)].strip()}" for c in _own(n, "caption"))
+        rows = [[re.sub(r"\s*\n\s*", " ", done[id(c)].strip()).replace("|", "\\|") for c in r.children if isinstance(c, Node) and c.name in ("td", "th")] for r in _own(n, "tr")]
         rows = [r for r in rows if r]
         if not rows:
-            return ""
+            return title + "\n\n" if title else ""
         wide = max(map(len, rows))
         line = lambda r: "| " + " | ".join(r + [""] * (wide - len(r))) + " |"
-        return "\n\n" + "\n".join([line(rows[0]), "|" + " --- |" * wide, *map(line, rows[1:])]) + "\n\n"
+        return title + "\n\n" + "\n".join([line(rows[0]), "|" + " --- |" * wide, *map(line, rows[1:])]) + "\n\n"
     if n.name in ("ul", "ol"):
-        items = [_md(c, depth + 1).strip() for c in n.children if isinstance(c, Node)]
-        return "\n\n" + "\n".join(f"{f'{i}.' if n.name == 'ol' else '*'} " + x.replace("\n", "\n  ") for i, x in enumerate(items, 1)) + "\n\n"
-    inner = "".join(_md(c, depth + 1) for c in n.children)
-    wrapped = inner.strip()
+        lines, k = [], 0
+        for c, x in zip(n.children, inner, strict=True):
+            if isinstance(c, Node) and c.name == "li":
+                k += 1
+                lines.append(f"{f'{k}.' if n.name == 'ol' else '*'} " + x.strip().replace("\n", "\n  "))
+            elif x.strip():  # text and elements beside the items
+                lines.append(x.strip())
+        return "\n\n" + "\n".join(lines) + "\n\n"
+    text = "".join(inner)
+    wrapped = text.strip()
     if re.fullmatch("h[1-6]", n.name):
         return f"\n\n{'#' * int(n.name[1])} {wrapped} {'#' * int(n.name[1])}\n\n"
-    if n.name in ("em", "i", "strong", "b", "sub", "sup", "code", "kbd", "samp", "del", "s") and wrapped:
-        mark = {"em": "_", "i": "_", "strong": "__", "b": "__", "sub": "~", "sup": "^", "del": "~~", "s": "~~"}.get(n.name, "`")
-        return f"{' ' if inner[0].isspace() else ''}{mark}{wrapped}{mark}{' ' if inner[-1].isspace() else ''}"
+    if n.name in _MARKS and wrapped:
+        mark = _MARKS[n.name]
+        return f"{' ' if text[0].isspace() else ''}{mark}{wrapped}{mark}{' ' if text[-1].isspace() else ''}"
     if n.name == "a" and n.attrs.get("href") and wrapped:
         return f"[{wrapped}]({n.attrs['href']})"
     if n.name == "img":
@@ -285,4 +326,4 @@ def _md(n: Node | str, depth: int) -> str:
         return "\n\n" + "\n".join("> " + x for x in wrapped.split("\n")) + "\n\n"
     if n.name == "p" or n.name in BLOCKS or n.name == "body":
         return f"\n\n{wrapped}\n\n"
-    return inner
+    return text

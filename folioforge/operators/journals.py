@@ -50,8 +50,7 @@ def mmwr_datelines(pages: DataFrame, corrections: DataFrame | None = None) -> Da
 def mmwr_dateline_details(pages: DataFrame) -> DataFrame:
     """Everything that says when an article appeared, side by side (G11-G14, G19): the path's parts, script, element and metas, and the parsed dateline."""
     df = pages.select("path", "html", P.dateline_parts("html").alias("_p"), P.head_tags("html").alias("_tags"))
-    title, date = D.mmwr_script(F.col("html"))
-    script = F.concat(F.coalesce(title, F.lit("_")), F.lit(" / "), F.coalesce(date, F.lit("_ / _")))
+    script = D.mmwr_script_dateline(F.col("html"))
     df = df.select("path", D.standard_name(F.col("path")).alias("fn_stan"), *(c.alias(n) for n, c in D.mmwr_article_path(F.col("path")).items() if n != "lang"),
         script.alias("var_dl"), F.coalesce("_p.div", F.lit("_ / _ / _")).alias("div_dl"), *(first_meta(F.col("_tags"), m).alias("md_" + m) for m in MMWR_METAS))
     src, text = D.which_dateline(F.col("var_dl"), F.col("div_dl"))
@@ -89,11 +88,13 @@ def citation_cells(pages: DataFrame) -> DataFrame:
 
 
 def pcd_contents_datelines(pages: DataFrame, year_mo_to_vol_iss: DataFrame | None = None, corrections: DataFrame | None = None) -> DataFrame:
-    """path, lang, dateline, dl_vol_iss, dl_year_mo of contents pages."""
+    """path, lang, dateline, dl_vol_iss, dl_year_mo of contents pages (G29, G30). Corrections (key, value) come on top of
+    the fixed ones, both only for pages with an ISSN."""
+    fixed = F.element_at(D.lookup(D.PCD_TOC_CORRECTIONS), F.col("path"))
     parts = D.pcd_toc_path(F.col("path"))
     df = pages.select("path", D.pcd_toc(F.col("html")).alias("_found"), F.col("html").contains("ISSN").alias("_issn"), *(c.alias(n) for n, c in parts.items()))
     df = R.lookup(R.lookup(df, "path", corrections, "_cx"), "dl_year_mo", year_mo_to_vol_iss, "dl_vol_iss")
-    return df.select("path", "lang", F.when(F.col("_issn"), F.coalesce("_cx", "_found")).alias("dateline"), "dl_vol_iss", "dl_year_mo")
+    return df.select("path", "lang", F.when(F.col("_issn"), F.coalesce(F.col("_cx"), fixed, F.col("_found"))).alias("dateline"), "dl_vol_iss", "dl_year_mo")
 
 
 _MONTHED = r"(?is)Volume.{1,2}\d.{1,20}(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
@@ -171,6 +172,18 @@ def head_counts(pages: DataFrame) -> DataFrame:
     return head_pairs(pages).groupBy("path", "attr_name").agg(F.count("*").alias("n"))
 
 
+def head_counts_wide(pages: DataFrame, names: list[str]) -> DataFrame:
+    """path and a count a name, 0 where a page has none (I8): one pass, for names that are given."""
+    counts = (F.count_if(F.col("attr_name") == n).alias(n) for n in names)
+    return pages.select("path").distinct().join(head_pairs(pages).groupBy("path").agg(*counts), "path", "left").na.fill(0, names)
+
+
+def tag_rows(pages: DataFrame) -> DataFrame:
+    """path, seq, tag_name, tag_str, n_attr, tag_attr of all tags of heads."""
+    rows = pages.select("path", F.posexplode(P.head_tags("html")).alias("seq", "t"))
+    return rows.select("path", "seq", F.col("t.name").alias("tag_name"), F.col("t.string").alias("tag_str"), F.size("t.attrs").alias("n_attr"), F.col("t.attrs").alias("tag_attr"))
+
+
 def corpus_rows(links: DataFrame, datelines: DataFrame, metadata: DataFrame, journal: str) -> DataFrame:
     """The corpus' 23 columns for a journal (H1, J7-J11): links of kept levels joined with datelines and head metadata by path."""
     df = R.corpus(links.select("url", "base", "string", "level", "mirror_path"), datelines, metadata, LEVELS_KEPT)

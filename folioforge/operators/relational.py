@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +40,14 @@ def duplicates(df: DataFrame, key: Column, alias: str = "n") -> DataFrame:
     return df.withColumn("_key", key).join(counted, "_key").drop("_key")
 
 
+def duplicates_by_column(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
+    """(column, value, id, n) of all rows whose value of a column occurs more than once."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns)))
+    long = df.select(F.col(id_col).alias("id"), pairs.alias("_p")).select("_p.column", "_p.value", "id").where("value is not null")
+    counted = long.groupBy("column", "value").agg(F.count("*").alias("n")).where("n > 1")
+    return long.join(counted, ["column", "value"])
+
+
 def drop_rows(df: DataFrame, rules: DataFrame, on: list[str]) -> DataFrame:
     """Rows that no rule names."""
     return df.join(rules.select(*on).distinct(), on, "left_anti")
@@ -55,6 +66,18 @@ def lookup(df: DataFrame, key: str, table: DataFrame | None, name: str) -> DataF
     return df.join(table.select(F.col("key").alias(key), F.col("value").alias(name)), key, "left")
 
 
+def looked_up(df: DataFrame, store: DataFrame, key: str, value: str) -> DataFrame:
+    """df with the store's value of its key (H9). A row without one ends the query with an error that names its key."""
+    kept = store.select(F.col(key), F.col(value), F.lit(True).alias("_there"))
+    missing = F.raise_error(F.concat(F.lit(f"no {value} of "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return df.join(kept, key, "left").withColumn(value, F.when(F.col("_there"), F.col(value)).otherwise(missing)).drop("_there")
+
+
+def subset(df: DataFrame, column: str, patterns: list[str]) -> DataFrame:
+    """Rows whose column matches one of the patterns."""
+    return df.where(reduce(lambda a, b: a | b, (F.col(column).rlike(p) for p in patterns)))
+
+
 def compared(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
     """Keys of both sides with the columns of each, _x and _y (H5)."""
     x, y = (t.select(on, *(F.col(c).alias(c + end) for c in t.columns if c != on)) for t, end in ((a, "_x"), (b, "_y")))
@@ -91,6 +114,15 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     return out.select(*(F.when(F.col(g) == 1, "All").otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c, g in ((a, "_a"), (b, "_b"))), "n")
 
 
+def grouping_counts(df: DataFrame, sets: list[list[str]]) -> DataFrame:
+    """Counts by each set of columns, one table for all (B7, K1): `_set` is its columns with commas between; columns outside it are null."""
+    out = []
+    for columns in sets:
+        counts = df.groupBy(*columns).agg(F.count("*").alias("n"))
+        out.append(counts.select(F.lit(",".join(columns)).alias("_set"), *(F.col(c).cast("string") for c in columns), "n"))
+    return union(*out)
+
+
 def value_counts(df: DataFrame, column: str, domain: list[str]) -> DataFrame:
     """Counts in the domain's order, zeros too (K2)."""
     all_ = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(domain, 1)], f"ord int, {column} string")
@@ -110,10 +142,59 @@ def corpus(links: DataFrame, datelines: DataFrame, metadata: DataFrame, levels:
     return kept.join(datelines.withColumnRenamed("path", "mirror_path"), "mirror_path").join(metadata.withColumnRenamed("path", "mirror_path"), "mirror_path")
 
 
+#: The columns by which the corpus is sorted; strings by code point, nulls last.
+CORPUS_KEYS = ["collection", "series", "level", "lang", "dl_vol_iss", "dl_date", "dl_page", "dl_art_num"]
+
+
+def corpus_order(prefix: str = "_o") -> dict[str, Column]:
+    """Columns that sort ascending as the corpus does: domains by their order, what is outside them and nulls last."""
+    domains = {"collection": COLLECTIONS, "series": SERIES, "level": LEVELS}
+    out: dict[str, Column] = {}
+    for k, c in enumerate(CORPUS_KEYS):
+        value = ordinal(F.col(c), domains[c]) if c in domains else F.col(c)
+        out |= {f"{prefix}{k}n": value.isNull(), f"{prefix}{k}": value}
+    return out
+
+
+def corpus_places(df: DataFrame, tie: str, name: str = "place") -> DataFrame:
+    """df with each row's place in the corpus' order (K10), ties by a unique column."""
+    order = corpus_order()
+    return ranked(df.withColumns(order), [*order, tie], name).drop(*order)
+
+
 def sorted_corpus(df: DataFrame) -> DataFrame:
-    """In the order of the corpus table: domains by their order, strings by code point, nulls last."""
-    keys = [domain_order(F.col("collection"), COLLECTIONS), domain_order(F.col("series"), SERIES), domain_order(F.col("level"), LEVELS)]
-    return df.orderBy(*keys, *(F.col(c).asc_nulls_last() for c in ("lang", "dl_vol_iss", "dl_date", "dl_page", "dl_art_num")))
+    order = corpus_order()
+    return df.withColumns(order).orderBy(*order).drop(*order)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as written to the folder for checkpoints, that of spark.checkpoint.dir: computed once, and there when executors are lost."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+            folder = tempfile.mkdtemp(prefix="folioforge-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
+def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """1 on in the order of keys, over many partitions: the rows before each partition are counted first."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33)))
+    counts = rows.groupBy("_p").agg(F.count("*").alias("_n"))
+    ahead = counts.withColumn("_a", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_a")  # a row a partition
+    return rows.join(F.broadcast(ahead), "_p").withColumn(name, F.col("_a") + F.col("_m") - F.shiftleft(F.col("_p"), 33) + 1).drop("_m", "_p", "_a")
+
+
+def outside_domains(df: DataFrame) -> DataFrame:
+    """(column, value, n) of values of the corpus' ordered columns that their domains lack (L8); those read back as null."""
+    domains = {"stratum": STRATA, "collection": COLLECTIONS, "series": SERIES, "level": LEVELS}
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.when(~F.col(c).isin(d), F.col(c)).alias("value")) for c, d in domains.items())))
+    return df.select(pairs.alias("_p")).select("_p.*").where("value is not null and value <> ''").groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
 def projected(df: DataFrame) -> DataFrame:
@@ -132,6 +213,17 @@ def key_differences(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return left.join(right, key, "full").where("_a is null or _b is null").select(key, F.when(F.col("_b").isNull(), "left").otherwise("right").alias("side"))
 
 
+def consistent(corpus: DataFrame, stores: dict[str, DataFrame], key: str, place: str) -> DataFrame:
+    """(store, n, missing, more, moved): for each store the corpus' keys that it lacks, those that the corpus lacks, and
+    keys that stand at another place (L6). All 0 but n: the store's keys are the corpus', in its order."""
+    out = []
+    for name, store in stores.items():
+        both = corpus.select(key, F.col(place).alias("_x")).join(store.select(key, F.col(place).alias("_y")), key, "full")
+        count = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+        out.append(both.agg(F.count("_y").alias("n"), count(F.col("_y").isNull()).alias("missing"), count(F.col("_x").isNull()).alias("more"), count(F.col("_x") != F.col("_y")).alias("moved")).withColumn("store", F.lit(name)))
+    return union(*out)
+
+
 def presence(df: DataFrame, key: str, column: str, values: list[str]) -> DataFrame:
     """One boolean column a value, and the values present with bars between (K6-K8)."""
     wide = df.groupBy(key).agg(*(F.bool_or(F.col(column).eqNullSafe(v)).alias(v) for v in values))

@@ -10,7 +10,7 @@ from folioforge.functions import urls as U
 from folioforge.operators import documents as P
 from folioforge.operators import journals as J
 from folioforge.operators import relational as R
-from folioforge.plans.queries import WEEKLY_SQL, load, query, weekly
+from folioforge.plans.queries import LANGS, WEEKLY_SQL, load, query, svg_pages, weekly
 
 # ---- datelines of pages
 
@@ -39,19 +39,33 @@ def journal_mmwr_datelines(spark, sf_dir):
     return J.mmwr_datelines(pages, fixes)
 
 
-@query(f"""with {WEEKLY_SQL} select o_orderkey, case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol::varchar as dl_vol_num,
-    lpad((o_orderkey % 53 + 1)::varchar, 2, '0') as dl_iss_num, '' as dl_iss_anno, (o_orderkey % 900 + 1)::int as dl_page, (o_orderkey % 7 + 1)::int as dl_npgs from wk where o_orderkey % 7 > 0""")
+@query(f"""with {WEEKLY_SQL} select o_orderkey, case o_orderkey % 4 when 0 then 'mm' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol::varchar as dl_vol_num, '' as dl_vol_anno,
+    lpad((o_orderkey % 53 + 1)::varchar, 2, '0') as dl_iss_num, '' as dl_iss_anno, (o_orderkey % 900 + 1)::int as dl_page, (o_orderkey % 7 + 1)::int as dl_npgs, (o_orderkey % 900 + 1) || '-' || (o_orderkey % 900 + 1 + o_orderkey % 7) as dl_repr, '' as dl_anno from wk""")
 def dateline_detail(spark, sf_dir):
-    rows = weekly(spark, sf_dir).where("o_orderkey % 7 > 0")
-    return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.dl_page", "pages.dl_npgs").drop("pages")
+    """All orders, ranges of one page among them."""
+    rows = weekly(spark, sf_dir)
+    return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.*").drop("pages")
 
 
-@query(f"""with {WEEKLY_SQL} select o_orderkey, case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol::varchar as dl_vol_num,
-    lpad((o_orderkey % 53 + 1)::varchar, 2, '0') as dl_iss_num, '' as dl_iss_anno, (o_orderkey % 900 + 1)::int as dl_page, (o_orderkey % 7 + 1)::int as dl_npgs from wk""")
-def dateline_detail_whole(spark, sf_dir):
-    """As dateline_detail, of all orders: those with ranges of one page too."""
-    rows = weekly(spark, sf_dir)
-    return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.dl_page", "pages.dl_npgs").drop("pages")
+#: Datelines with odd parts, by o_orderkey % 6.
+ODD_DATELINES = "case o_orderkey % 6 when 0 then '_ / _ / _' when 1 then 'Weekly / Junio 1983 / 32a(S-1b);1' when 2 then 'Semanal / June 3, 1983 / 32(RR-5);iv,007-9' when 3 then 'Surveillance Summaries' when 4 then 'Other / May 1, 2001 / 50(3&4) 5-x,8-9' else 'QuickGuide / 1/2/1983 / 9(1);ND-1-4' end"
+
+
+@query(f"""with d as (select unnest([0, 1, 2, 3, 4, 5]) as k, unnest(['_', 'mm', 'mm', 'ss', '', 'mm']) as dl_ser, unnest(['_', 'junio 1983', '1983-06-03', '', '2001-05-01', '1']) as dl_date,
+        unnest(['', '32', '32', '', '50', '219839']) as dl_vol_num, unnest(['_', 'a', '', '_', '', '/ ']) as dl_vol_anno, unnest(['', '01', '05', '', '34', '01']) as dl_iss_num, unnest(['_', 'sb', 'rr', '_', '', '']) as dl_iss_anno,
+        unnest([0, 1, 7, 0, 0, 1]) as dl_page, unnest(['', '1', 'iv,7-9', '', '', '1-4']) as dl_repr, unnest([0, 1, 4, 0, 0, 4]) as dl_npgs, unnest(['', '', '', '', '', 'nd']) as dl_anno)
+    select o_orderkey, d.* exclude (k) from orders join d on k = o_orderkey % 6""")
+def dateline_odd(spark, sf_dir):
+    """Missing parts, other languages, notes on numbers, pages that can't be read, a bar too many."""
+    rows = load(spark, sf_dir, "orders").select("o_orderkey", F.expr(ODD_DATELINES).alias("dateline"))
+    return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.*").drop("pages")
+
+
+@query(f"""with {WEEKLY_SQL} select {MMWR_PATH} as path, case when o_orderkey % 3 = 0 then '_ / _ / _' else dateline end as var_dl, case when o_orderkey % 3 = 0 then dateline else '_ / _ / _' end as div_dl, case when o_orderkey % 3 = 0 then 'div_dl' else 'var_dl' end as src, dateline as dl,
+    case o_orderkey % 4 when 0 then 'mm' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, (o_orderkey % 900 + 1)::int as dl_page, not (o_orderkey % 7 > 0 and o_orderkey % 11 = 0) as fn_stan from wk""")
+def journal_mmwr_details(spark, sf_dir):
+    """Path, script, element and parsed dateline side by side."""
+    return J.mmwr_dateline_details(mmwr_pages(spark, sf_dir)).select("path", "var_dl", "div_dl", "src", "dl", "dl_ser", "dl_page", "fn_stan")
 
 
 EID_TEXT = "'Volume ' || (o_orderkey % 28 + 1) || ', ' || case when o_orderkey % 3 = 0 then 'Supplement' else 'Number ' || (o_orderkey % 12 + 1) end || '—' || strftime(o_orderdate, '%B %Y')"
@@ -78,9 +92,13 @@ def journal_eid_datelines(spark, sf_dir):
     return J.eid_datelines(pages, pages.where("o_orderkey % 8 = 0").select(F.regexp_replace("path", r"\.html$", "").alias("key"), F.lit("0007").alias("value")))
 
 
-@query(f"select {EID_PATH} as path, null::varchar as dl_title, null::varchar as dl_toc_a, {EID_TEXT} as dl_header_h5, null::varchar as dl_p from orders")
+@query(f"select {EID_PATH} as path, case when o_orderkey % 2 = 0 then {EID_TEXT} end as dl_title, case when o_orderkey % 3 = 0 then {EID_TEXT} end as dl_toc_a, {EID_TEXT} as dl_header_h5, case when o_orderkey % 5 = 0 then {EID_TEXT} end as dl_p from orders")
 def journal_eid_probe(spark, sf_dir):
-    return J.eid_probe(eid_pages(spark, sf_dir))
+    """Datelines in titles, links, headers and paragraphs."""
+    k, text = F.col("o_orderkey"), F.regexp_extract("html", "<h5 class=header>(.*?)</h5>", 1)
+    put = lambda m, a, b: F.when(k % m == 0, F.concat(F.lit(a), text, F.lit(b))).otherwise("")
+    pages = eid_pages(spark, sf_dir).select("path", F.concat(put(2, "<title>In ", "</title>"), put(3, "<a href='/x'>", "</a>"), "html", put(5, "<p>", " and more</p>")).alias("html"))
+    return J.eid_probe(pages)
 
 
 @query("select case when o_orderkey % 4 = 0 then '' else 'AMA|EID' end as headers, count(*) as n, max(case when o_orderkey % 4 = 0 then '' else '2017;23(12):' || (o_orderkey % 5000 + 1) end) as eid from orders group by 1")
@@ -131,33 +149,15 @@ def journal_pcd_translations(spark, sf_dir):
 # ---- heads
 
 
-def head_pages(spark, sf_dir, whole=False):
-    """Heads with the first three words of documents with a language; whole: with all words of all documents."""
+def head_pages(spark, sf_dir):
+    """Heads with all words of all documents."""
     k, lang = F.col("doc_id"), F.coalesce("lang", F.lit("none"))
-    words = F.split(F.coalesce("text", F.lit("")), " ") if whole else F.slice(F.split(F.coalesce("text", F.lit("")), " ", 4), 1, 3)
-    clean = F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", ""))
+    clean = F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.regexp_replace(w, "[^a-z]", ""))
     head = F.concat(
         F.lit("<html><head><title> Doc "), k.cast("string"), F.lit('</title><link rel="canonical" href="/d/'), k.cast("string"), F.lit('"><meta name="keywords" content="'), F.array_join(clean, ","), F.lit(',CDC"><meta name="Keywords" content="zeta; CDC">'),
         F.lit('<meta name="citation_author" content="A"><meta name="citation_author" content="B"><meta name="empty" content=""><meta property="og:x" content="'), lang, F.lit('"></head><body><title>no</title></body></html>'),
     )
-    return load(spark, sf_dir, "documents").where(F.lit(whole) | F.col("lang").isNotNull()).select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
-
-
-HEAD_KW = "list_transform(range(1, 4), lambda i: regexp_replace(split_part(coalesce(text, ''), ' ', i::int), '[^a-z]', '', 'g'))"
-
-
-@query(f"""select '/d/' || doc_id as path, 'Doc ' || doc_id as title, '/d/' || doc_id as link_canon, 'A' as md_citation_author, 'A|B' as md_authors,
-    array_to_string(list_sort(list_distinct(list_concat(list_filter({HEAD_KW}, lambda x: x <> ''), ['zeta']))), '|') as md_kwds, '' as md_desc from documents where lang is not null""")
-def journal_head_metadata(spark, sf_dir):
-    return J.head_metadata(head_pages(spark, sf_dir), "pcd").select("path", "title", "link_canon", "md_citation_author", "md_authors", "md_kwds", "md_desc")
-
-
-@query("""with a as (select unnest(['title', 'link:rel:canonical', 'meta:name:keywords', 'meta:name:Keywords', 'meta:name:citation_author', 'meta:property:og:x']) as attr_name)
-    select attr_name, count(*) as n, max(case when attr_name = 'meta:property:og:x' then lang end) as top from a, documents where lang is not null group by 1
-    union all select 'meta:name:citation_author (more than one)', count(*), null from documents where lang is not null""")
-def meta_eav(spark, sf_dir):
-    """Names of pairs with the pages that have them, and pages with several authors. Two authors of a page count once."""
-    return attr_counts(J.head_pairs(head_pages(spark, sf_dir)))
+    return load(spark, sf_dir, "documents").select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
 
 
 def attr_counts(pairs):
@@ -172,15 +172,29 @@ ALL_HEAD_KW = "list_transform(string_split(coalesce(text, ''), ' '), lambda x: r
 
 @query(f"""select '/d/' || doc_id as path, 'Doc ' || doc_id as title, '/d/' || doc_id as link_canon, 'A' as md_citation_author, 'A|B' as md_authors,
     array_to_string(list_sort(list_distinct(list_concat(list_filter({ALL_HEAD_KW}, lambda x: x <> ''), ['zeta']))), '|') as md_kwds, '' as md_desc from documents""")
-def journal_head_metadata_whole(spark, sf_dir):
-    return J.head_metadata(head_pages(spark, sf_dir, whole=True), "pcd").select("path", "title", "link_canon", "md_citation_author", "md_authors", "md_kwds", "md_desc")
+def journal_head_metadata(spark, sf_dir):
+    return J.head_metadata(head_pages(spark, sf_dir), "pcd").select("path", "title", "link_canon", "md_citation_author", "md_authors", "md_kwds", "md_desc")
 
 
 @query("""with a as (select unnest(['title', 'link:rel:canonical', 'meta:name:keywords', 'meta:name:Keywords', 'meta:name:citation_author', 'meta:property:og:x']) as attr_name)
     select attr_name, count(*) as n, max(case when attr_name = 'meta:property:og:x' then coalesce(lang, 'none') end) as top from a, documents group by 1
     union all select 'meta:name:citation_author (more than one)', count(*), null from documents""")
-def meta_eav_whole(spark, sf_dir):
-    return attr_counts(J.head_pairs(head_pages(spark, sf_dir, whole=True)))
+def meta_eav(spark, sf_dir):
+    """Names of pairs with the pages that have them, and pages with several authors. Two authors of a page count once."""
+    return attr_counts(J.head_pairs(head_pages(spark, sf_dir)))
+
+
+@query("select '/d/' || doc_id as path, 1::bigint as \"title\", 2::bigint as \"meta:name:citation_author\", 0::bigint as \"meta:name:absent\", 1::bigint as \"meta:property:og:x\" from documents")
+def head_counts_wide(spark, sf_dir):
+    return J.head_counts_wide(head_pages(spark, sf_dir), ["title", "meta:name:citation_author", "meta:name:absent", "meta:property:og:x"])
+
+
+@query("""with t as (select unnest(['html', 'head', 'title', 'link', 'meta', 'meta']) as tag_name, unnest(['', '', '', 'href|rel', 'content|name', 'content|property']) as signature, unnest([0, 0, 0, 2, 2, 2]) as n_attr, unnest([1, 1, 1, 1, 5, 1]) as times)
+    select tag_name, signature, n_attr, (times * (select count(*) from documents))::bigint as n from t""")
+def tag_attr_signature(spark, sf_dir):
+    """Tags of heads by their attributes' names."""
+    rows = J.tag_rows(head_pages(spark, sf_dir))
+    return rows.groupBy("tag_name", F.array_join(F.array_sort(F.map_keys("tag_attr")), "|").alias("signature"), "n_attr").agg(F.count("*").alias("n"))
 
 
 # ---- the corpus table of one journal
@@ -213,16 +227,8 @@ def byte_patches(spark, sf_dir):
     return pages.select("page_id", T.patch_bytes("c", F.lit(b"&copy;"), F.lit(b"(c)")).cast("string").alias("html"))
 
 
-@query("select c as codec, count(*) as n, sum(length(html)) as chars from pages, (select unnest(['utf_8', 'latin_1']) as c) where c = 'utf_8' group by 1")
-def codec_renditions(spark, sf_dir):
-    """Each page as every codec reads it (B11); here those read as UTF-8."""
-    codecs = F.explode(F.array(F.lit("utf_8"), F.lit("latin_1"))).alias("codec")
-    read = load(spark, sf_dir, "pages").select("page_id", F.encode("html", "utf-8").alias("c"), codecs).select("codec", T.decode_as("c", "codec").alias("t"))
-    return read.where("codec = 'utf_8'").groupBy("codec").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"))
-
-
 @query("select c as codec, count(*) as n, sum(case when c = 'utf_8' then length(html) else strlen(html) end) as chars from pages, (select unnest(['utf_8', 'latin_1']) as c) group by 1")
-def codec_renditions_whole(spark, sf_dir):
+def codec_renditions(spark, sf_dir):
     """Each page as every codec reads it (B11): as Latin-1, a character a byte."""
     return page_renditions(load(spark, sf_dir, "pages")).groupBy("codec").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars"))
 
@@ -247,12 +253,12 @@ def spanish_paths(spark, sf_dir):
 
 @query("select page_id, url from pages where regexp_matches(url, '/[a-c]') or regexp_matches(url, '\\.net')")
 def url_subset(spark, sf_dir):
-    return load(spark, sf_dir, "pages").where(F.col("url").rlike("/[a-c]") | F.col("url").rlike(r"\.net")).select("page_id", "url")
+    return R.subset(load(spark, sf_dir, "pages").select("page_id", "url"), "url", ["/[a-c]", r"\.net"])
 
 
-@query("select coalesce(a.source, b.source) as source, greatest(coalesce(a.n, 0), coalesce(b.n, 0)) as n from (select source, count(*) as n from documents where lang = 'en' group by 1) a full join (select source, count(*) as n from documents where lang = 'fr' group by 1) b on a.source = b.source")
+@query("select coalesce(a.source, b.source) as source, greatest(coalesce(a.n, 0), coalesce(b.n, 0)) as n from (select coalesce(source, '?') as source, count(*) as n from documents where lang = 'en' group by 1) a full join (select coalesce(source, '?') as source, count(*) as n from documents where lang = 'fr' group by 1) b on a.source = b.source")
 def counter_union(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").where("source is not null")
+    docs = load(spark, sf_dir, "documents").withColumn("source", F.coalesce("source", F.lit("?")))
     a, b = (docs.where(F.col("lang") == x).groupBy("source").agg(F.count("*").alias("n")) for x in ("en", "fr"))
     return R.greatest_counts(a, b, "source", "n")
 
@@ -271,26 +277,25 @@ def corrected_compared(spark, sf_dir):
     return R.compared(docs, fixed, "doc_id")
 
 
-@query("select k as languages, count(*) as stems, sum(en) as en, sum(es) as es, sum(fr) as fr from (select *, en + es + fr as k from (select source, doc_id % 7 as g, max(coalesce(lang = 'en', false)::int)::bigint as en, max(coalesce(lang = 'es', false)::int)::bigint as es, max(coalesce(lang = 'fr', false)::int)::bigint as fr from documents where source is not null group by all)) group by 1")
+@query(f"select k as languages, count(*) as stems, {', '.join(f'sum({x})::bigint as {x}' for x in LANGS)} from (select *, {' + '.join(LANGS)} as k from (select source, doc_id % 7 as g, {', '.join(f"max(coalesce(lang = '{x}', false)::int)::bigint as {x}" for x in LANGS)} from documents group by all)) group by 1")
 def presence_sums(spark, sf_dir):
     """Sums over the rows and the columns of a matrix of languages by stem (K6)."""
-    docs = load(spark, sf_dir, "documents").where("source is not null").withColumn("stem", F.concat_ws("/", "source", F.col("doc_id") % 7))
-    wide = R.presence(docs, "stem", "lang", ["en", "es", "fr"])
-    ones = {v: F.col(v).cast("long") for v in ("en", "es", "fr")}
-    return wide.withColumns({v: F.coalesce(c, F.lit(0)) for v, c in ones.items()}).withColumn("languages", F.expr("en + es + fr")).groupBy("languages").agg(F.count("*").alias("stems"), *(F.sum(v).alias(v) for v in ones))
+    docs = load(spark, sf_dir, "documents").withColumn("stem", F.concat_ws("/", F.coalesce("source", F.lit("?")), F.col("doc_id") % 7))
+    wide = R.presence(docs, "stem", "lang", LANGS)
+    return wide.withColumns({v: F.coalesce(F.col(v).cast("long"), F.lit(0)) for v in LANGS}).withColumn("languages", F.expr(" + ".join(LANGS))).groupBy("languages").agg(F.count("*").alias("stems"), *(F.sum(v).alias(v) for v in LANGS))
 
 
-@query("select page_id, length(html) - 40 as len, len(regexp_extract_all(html, '(?i)<p[ >]')) as p from pages")
+@query("select doc_id, (doc_id % 4)::int as n_svg, length(regexp_replace(coalesce(text, ''), '[^a-z ]', '', 'g'))::int + 33 + (doc_id % 4)::int * 8 as len5 from documents")
 def svg_counts_joined(spark, sf_dir):
-    """Counts by pattern joined with lengths by page."""
-    pages = load(spark, sf_dir, "pages")
-    counts = pages.select("page_id", T.count_tag(F.col("html"), "p").alias("p"))
-    return counts.join(pages.select("page_id", (F.length("html") - 40).alias("len")), "page_id")
+    """Counts of drawings by pattern joined with parsed lengths by document."""
+    pages = svg_pages(spark, sf_dir)
+    counts = pages.select("doc_id", T.count_tag(F.col("html"), "svg").alias("n_svg"))
+    return counts.join(pages.select("doc_id", P.svg_lengths("html")["len5"].alias("len5")), "doc_id")
 
 
-@query("with w as (select doc_id, unnest(range(0, 2))::int as seq, source, coalesce(lang, '') as lang from documents where source is not null) select doc_id, seq, case when seq = 0 then 'p' else 'b' end as tag, 'Volume ' || case when seq = 0 then source else lang end as string from w")
+@query("with w as (select doc_id, unnest(range(0, 2))::int as seq, coalesce(source, '') as source, coalesce(lang, '') as lang from documents) select doc_id, seq, case when seq = 0 then 'p' else 'b' end as tag, 'Volume ' || case when seq = 0 then source else lang end as string from w")
 def text_node_search(spark, sf_dir):
     """Text nodes that match, with their place and element."""
-    html = F.concat(F.lit("<p>Volume "), F.col("source"), F.lit("<b>Volume "), F.coalesce("lang", F.lit("")), F.lit("</b> other</p>"))
-    docs = load(spark, sf_dir, "documents").where("source is not null").select("doc_id", P.dateline_parts(html).alias("p"))
+    html = F.concat(F.lit("<p>Volume "), F.coalesce("source", F.lit("")), F.lit("<b>Volume "), F.coalesce("lang", F.lit("")), F.lit("</b> other</p>"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", P.dateline_parts(html).alias("p"))
     return docs.select("doc_id", F.explode("p.notes").alias("n")).select("doc_id", "n.seq", "n.tag", "n.string")

@@ -108,24 +108,26 @@ def anchors_harvest(spark, sf_dir):
     return page_anchors(spark, sf_dir).drop("url")
 
 
-@query(f"with {ANCHORS} select page_id, seq, regexp_replace('https://' || lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) || href, '[?#;].*$', '') as link from anchors where starts_with(href, '/')")
+HREF = "case o_orderkey % 6 when 0 then 'http://m.org/p' || o_orderkey || ';v=1' when 1 then '//m.org/q' || o_orderkey || '?x=1' when 2 then '/r/s' || o_orderkey || '.htm#top' when 3 then '#t' || o_orderkey when 4 then '' else '../u/v' || o_orderkey || '.htm' end"
+
+
+@query("select o_orderkey, 'https://' || case o_orderkey % 6 when 0 then 'm.org/p' || o_orderkey when 1 then 'm.org/q' || o_orderkey when 2 then 'h.org/r/s' || o_orderkey || '.htm' when 5 then 'h.org/u/v' || o_orderkey || '.htm' else 'h.org/a/b.htm' end as link from orders")
 def anchors_resolved(spark, sf_dir):
-    a = page_anchors(spark, sf_dir).where(F.col("href").startswith("/"))
-    return a.select("page_id", "seq", U.resolve_native(F.col("url"), F.col("href")).alias("link"))
+    """Absolute, scheme-relative, root-relative and empty links natively, the others by full resolution."""
+    base = F.lit("http://h.org/a/b.htm?z=1")
+    links = load(spark, sf_dir, "orders").select("o_orderkey", F.expr(HREF).alias("href"))
+    return links.select("o_orderkey", F.coalesce(U.resolve_native(base, F.col("href")), U.resolve_links(base, F.col("href"), F.lit(""))["url"]).alias("link"))
 
 
-@query()
-def anchors_parsed(spark, sf_dir):
-    """All anchors by the tree, resolved by RFC 3986; a test holds them against the fast path."""
-    rows = load(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(P.parse_document("html")["anchors"]).alias("seq", "a"))
-    return rows.select("page_id", "seq", U.resolve_links("url", "a.href", "a.string").alias("l")).select("page_id", "seq", "l.*")
+PLAIN = "replace(replace(replace(replace(string, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
 
 
-@query(f"with {ANCHORS}, named as (select page_id, 'volume' as level from anchors where regexp_matches(string, '^[A-Z]') union all select page_id, 'issue' from anchors where length(string) > 6 union all select page_id, 'article' from anchors where regexp_matches(href, 't')) select level, count(*) as n, count(distinct page_id) as pages from named group by 1")
-def anchors_level_union(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages").withColumn("url", F.col("page_id").cast("string"))
-    found = R.union(P.links(pages, "volume", text="^[A-Z]"), P.links(pages, "issue", text="^.{7,}$"), P.links(pages, "article", href="t"))
-    return found.groupBy("level").agg(F.count("*").alias("n"), F.countDistinct("base").alias("pages"))
+@query(f"""with {ANCHORS}, l as (select page_id, seq, url as base, href, 'https://' || regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) || regexp_replace(href, '[?#;].*$', '') as url, regexp_replace(href, '[?#;].*$', '') as path, trim({PLAIN}) as string from anchors)
+    select *, regexp_extract(path, '([^/]*)$', 1) as filename, case when path like '%/' then path || 'index.html' when not contains(regexp_extract(path, '([^/]*)$', 1), '.') then path || '.html' else path end as mirror_path from l""")
+def anchors_parsed(spark, sf_dir):
+    """All anchors by the tree, resolved by RFC 3986. These pages' links are all root-relative and without markup, so SQL can follow."""
+    rows = load(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(P.parse_document("html", "anchors")["anchors"]).alias("seq", "a"))
+    return rows.select("page_id", "seq", U.resolve_links("url", "a.href", "a.string").alias("l")).select("page_id", "seq", "l.*")
 
 
 @query("select doc_id, lang, n from (select *, count(*) over (partition by text) as n from documents) where n > 1")
@@ -133,11 +135,11 @@ def dup_groups(spark, sf_dir):
     return R.duplicates(load(spark, sf_dir, "documents"), F.sha2("text", 256)).select("doc_id", "lang", "n")
 
 
-@query(f"select 'canonical' as key, count(*) as n from (select count(*) over (partition by {CANON}) as n from pages) where n > 1 union all select 'filename', count(*) from (select count(*) over (partition by regexp_extract({PATH}, '([^/]*)$', 1)) as n from pages) where n > 1")
+@query(f"""with v as (select page_id as id, unnest([{{'column': 'canonical', 'value': {CANON}}}, {{'column': 'filename', 'value': regexp_extract({PATH}, '([^/]*)$', 1)}}], recursive := true) from pages)
+    select * from (select "column", value, id, count(*) over (partition by "column", value) as n from v) where n > 1""")
 def dup_per_column(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages").select(U.canonical(F.col("url")).alias("canonical"), U.filename_of(U.path_of(F.col("url"))).alias("filename"))
-    each = pages.select(F.expr("stack(2, 'canonical', canonical, 'filename', filename) as (key, value)")).groupBy("key", "value").agg(F.count("*").alias("k"))
-    return each.groupBy("key").agg(F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("n"))
+    pages = load(spark, sf_dir, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"), U.filename_of(U.path_of(F.col("url"))).alias("filename"))
+    return R.duplicates_by_column(pages, ["canonical", "filename"], "page_id").select("column", "value", "id", "n")
 
 
 @query("select doc_id, source, n_chars from documents where doc_id not in (select doc_id from labels where quality = 0)")
@@ -164,12 +166,37 @@ def crosstab_margins(spark, sf_dir):
     return R.crosstab(load(spark, sf_dir, "documents"), "lang", "source")
 
 
-@query()
+DECLARED = """case when page_id % 3 = 0 then replace(html, 'charset="utf-8"', 'charset="windows-1252"') when page_id % 3 = 1 then replace(html, '<head>', '<head><meta http-equiv="x" content="text/html; charset=US-ASCII">' || chr(10)) else html end"""
+
+
+def declared_pages(spark, sf_dir):
+    """Pages of which a third declares another charset, and a third declares one more."""
+    k, h = F.col("page_id"), F.col("html")
+    other, more = F.replace(h, F.lit('charset="utf-8"'), F.lit('charset="windows-1252"')), F.replace(h, F.lit("<head>"), F.lit('<head><meta http-equiv="x" content="text/html; charset=US-ASCII">\n'))
+    return load(spark, sf_dir, "pages").withColumn("html", F.when(k % 3 == 0, other).when(k % 3 == 1, more).otherwise(h))
+
+
+@query(f"""with p as (select page_id, {DECLARED} as html from pages), t as (select page_id, html, array_to_string(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1), '|') as charsets, not regexp_matches(html, '[^\x00-\x7F]') as ascii, not regexp_matches(hex(encode(html)), '^(..)*(81|8D|8F|90|9D)') as windows_1252 from p)
+    select page_id, charsets, ascii, windows_1252, true as iso_8859_1, true as utf_8, (contains(lower(charsets), 'ascii') and not ascii) or (contains(lower(charsets), 'windows-1252') and not windows_1252) as mismatch, not contains(lower(charsets), 'windows-1252') or ascii as same from t""")
 def codec_trial(spark, sf_dir):
-    """Strict decoding under six codecs and the declared one."""
-    pages = load(spark, sf_dir, "pages").withColumn("content", F.encode("html", "utf-8"))
-    tried = pages.select("page_id", T.declared_charset(F.col("content")).alias("charset"), T.try_codecs("content").alias("t"), (T.decode_declared("content") == F.col("html")).alias("same"))
-    return tried.select("page_id", "charset", "t.*", "same")
+    """Strict decoding under the codecs, all declared charsets, whether a declared one fails, and whether the declared one gives the text back."""
+    pages = declared_pages(spark, sf_dir).withColumn("content", F.encode("html", "utf-8"))
+    tried = pages.select("page_id", T.declared_charsets(F.col("content")).alias("c"), T.try_codecs("content").alias("t"), (T.decode_declared("content") == F.col("html")).alias("same"))
+    return tried.select("page_id", F.array_join("c", "|").alias("charsets"), "t.ascii", "t.windows_1252", "t.iso_8859_1", "t.utf_8", T.mismatch(F.col("t"), F.col("c")).alias("mismatch"), "same")
+
+
+@query(f"""with p as (select {DECLARED} as html from pages), c as (select regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1) as c, contains(html, 'charset="utf-8"') as utf_8 from p)
+    select 'utf_8' as codec, coalesce(charsets, 'All') as charset, n from (select array_to_string(c, '|') as charsets, count(*) as n from c group by cube (array_to_string(c, '|')))""")
+def charsets_by_codec(spark, sf_dir):
+    """Codec by list of declared charsets with margins, one codec after another (F6); here the codec that all pages are in."""
+    pages = declared_pages(spark, sf_dir).select(F.array_join(T.declared_charsets(F.col("html")), "|").alias("charset"), T.try_codecs(F.encode("html", "utf-8"))["utf_8"].alias("ok"))
+    return R.crosstab(pages.where("ok"), "charset", "ok").where("ok = 'All'").select(F.lit("utf_8").alias("codec"), "charset", "n")
+
+
+@query(f"""with p as (select {DECLARED} as html from pages) select distinct unnest(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1)) as charset from p""")
+def charsets_distinct(spark, sf_dir):
+    """All charsets that any page declares."""
+    return declared_pages(spark, sf_dir).select(F.explode(T.declared_charsets(F.col("html"))).alias("charset")).distinct()
 
 
 @query(f"select {PAGE_LANG} as lang, ent, count(*) as n from (select html, unnest(regexp_extract_all(html, '&#?[a-zA-Z0-9_]+;')) as ent from pages) group by all")
@@ -177,7 +204,9 @@ def entity_census(spark, sf_dir):
     return load(spark, sf_dir, "pages").select(page_lang(F.col("html")).alias("lang"), F.explode(T.entities(F.col("html"))).alias("ent")).groupBy("lang", "ent").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""with e as (select ent, count(*) as n from (select unnest(regexp_extract_all(html, '&#?[a-zA-Z0-9_]+;')) as ent from pages) group by 1)
+    select ent, n, char, codepoint, name, canonical from e left join (values ('&amp;', '&', 'U+0026', 'AMPERSAND', 'amp'), ('&copy;', '©', 'U+00A9', 'COPYRIGHT SIGN', 'copy'), ('&middot;', '·', 'U+00B7', 'MIDDLE DOT', 'middot'),
+        ('&quot;', '"', 'U+0022', 'QUOTATION MARK', 'quot'), ('&lt;', '<', 'U+003C', 'LESS-THAN SIGN', 'lt'), ('&gt;', '>', 'U+003E', 'GREATER-THAN SIGN', 'gt')) r(ref, char, codepoint, name, canonical) on ent = ref""")
 def entity_resolve(spark, sf_dir):
     """Names and code points of the references: resolved once for each distinct one."""
     counts = load(spark, sf_dir, "pages").select(F.explode(T.entities(F.col("html"))).alias("ent")).groupBy("ent").agg(F.count("*").alias("n"))
@@ -209,17 +238,32 @@ def tag_counts(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", *(T.count_tag(h, t).alias(t) for t in ("p", "li", "svg")), (T.count_tag(h, "pre") > 0).alias("pre"))
 
 
-SVG = '<svg width="9"><g id="a"><title>one</title><path d="M0 0"/></g></svg>'
+SVG = '<svg width="9"><g id="a"><title>one</title><path d="M0 0"></path></g></svg>'
+#: Less characters after each reduction of a drawing: attribute values, attributes, strings, contents, the element.
+SVG_LESS = [6, 20, 3, 35, 11]
 
 
-@query()
+def svg_pages(spark, sf_dir):
+    """Small pages with none to three drawings between texts of any length."""
+    drawings = F.repeat(F.lit(f"{SVG}<p>x</p>"), (F.col("doc_id") % 4).cast("int"))
+    words = F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-z ]", "")
+    return load(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<html><body><p>"), words, F.lit("</p>"), drawings, F.lit("</body></html>")).alias("html"))
+
+
+@query(f"""with a as (select doc_id, (doc_id % 4)::int as k, length(regexp_replace(coalesce(text, ''), '[^a-z ]', '', 'g'))::int as w from documents),
+    l as (select doc_id, k as n_svg, a.w + 33 + a.k * {len(SVG) + 8} as len0, k from a)
+    select doc_id, n_svg, len0, {", ".join(f"len0 - k * {sum(SVG_LESS[:i])} as len{i}" for i in range(1, 6))}, {", ".join(f"k * {x} as dif{i}{i + 1}" for i, x in enumerate(SVG_LESS))}, len0 - k * {sum(SVG_LESS[:3])} as trimmed from l""")
 def svg_lengths(spark, sf_dir):
-    """Lengths after five reductions of a drawing put into every page, and their differences."""
-    pages = load(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<article>"), F.lit(f"<article>{SVG}")).alias("html"))
-    out = pages.select("page_id", T.count_tag(F.col("html"), "svg").alias("n_svg"), F.length(P.trim_svg("html")).alias("trimmed"), P.svg_lengths("html").alias("s")).select("page_id", "n_svg", "trimmed", "s.*")
+    """Counts of drawings by pattern, lengths after five reductions, their differences, and the trimmed length, by one parse."""
+    out = svg_pages(spark, sf_dir).select("doc_id", T.count_tag(F.col("html"), "svg").alias("n_svg"), P.svg_lengths("html").alias("s")).select("doc_id", "n_svg", "s.*").drop("n")
     return out.select("*", *((F.col(f"len{k}") - F.col(f"len{k + 1}")).alias(f"dif{k}{k + 1}") for k in range(5)))
 
 
+@query(f"""select doc_id, '<html><body><p>' || regexp_replace(coalesce(text, ''), '[^a-z ]', '', 'g') || '</p>' || repeat('<svg><g><title></title><path></path></g></svg><p>x</p>', (doc_id % 4)::int) || '</body></html>' as html from documents""")
+def svg_trimmed(spark, sf_dir):
+    return svg_pages(spark, sf_dir).select("doc_id", P.trim_svg("html").alias("html"))
+
+
 # ---- datelines
 
 WEEKLY = "case o_orderkey % 4 when 0 then 'Weekly' when 1 then 'Recommendations and Reports' when 2 then 'Surveillance Summaries' else 'Supplement' end"
@@ -242,27 +286,45 @@ def dateline_mmwr(spark, sf_dir):
     return weekly(spark, sf_dir).select("o_orderkey", "dateline", *(c.alias(n) for n, c in D.mmwr(F.col("dateline")).items()))
 
 
-RANGES = """rng as (
-    select o_orderkey, o_orderkey % 900 + 100 as a, o_orderkey % 900 + 100 + o_orderkey % 60 as b from orders
-), txt as (
-    select *, a || '-' || case when a // 100 = b // 100 then right('0' || (b % 100), 2) else b::varchar end as short from rng
+#: Page strings of every kind by o_orderkey % 8: cut and whole ranges, single pages with zeros in front, Roman ones, some that can't be read.
+RANGES = """rng as (select o_orderkey, o_orderkey % 8 as kind, o_orderkey % 900 + 100 as a, o_orderkey % 900 + 100 + o_orderkey % 60 as b from orders),
+txt as (
+    select *, case kind when 0 then a || '-' || case when a // 100 = b // 100 then right('0' || (b % 100), 2) else b::varchar end when 1 then a || '-' || b when 2 then '00' || a when 3 then a::varchar
+        when 4 then '0' || a || '-0' || b when 5 then 'ii-' || ['v', 'ix', 'xv'][a % 3 + 1] when 6 then 'xi' else ['x-' || a, a || '-' || b || '-1', 'i-xx'][a % 3 + 1] end as short,
+        case when kind in (0, 1, 4) then b - a + 1 when kind in (2, 3, 6) then 1 when kind = 5 then [4, 8, 14][a % 3 + 1] end::int as n,
+        case when kind in (0, 1, 4) then a || '-' || b when kind in (2, 3) then a::varchar when kind = 5 then 'ii-' || ['v', 'ix', 'xv'][a % 3 + 1] when kind = 6 then 'xi' end as repr
+    from rng
 )"""
 
 
-@query(f"with {RANGES} select o_orderkey, short, (b - a + 1)::int as n, a || '-' || b as repr from txt")
+def page_strings(spark, sf_dir):
+    rng = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderkey % 8 as kind", "o_orderkey % 900 + 100 as a", "o_orderkey % 900 + 100 + o_orderkey % 60 as b")
+    short = F.expr("""case kind when 0 then a || '-' || case when a div 100 = b div 100 then right('0' || (b % 100), 2) else '' || b end when 1 then a || '-' || b when 2 then '00' || a when 3 then '' || a
+        when 4 then '0' || a || '-0' || b when 5 then 'ii-' || array('v', 'ix', 'xv')[int(a % 3)] when 6 then 'xi' else array('x-' || a, a || '-' || b || '-1', 'i-xx')[int(a % 3)] end""")
+    return rng.select("o_orderkey", "kind", "a", short.alias("short"))
+
+
+@query(f"with {RANGES} select o_orderkey, short, n, repr from txt")
 def page_range(spark, sf_dir):
-    k = F.col("o_orderkey")
-    a, b = k % 900 + 100, k % 900 + 100 + k % 60
-    short = F.concat(a.cast("string"), F.lit("-"), F.when(F.expr("(o_orderkey % 900 + 100) div 100 = (o_orderkey % 900 + 100 + o_orderkey % 60) div 100"), F.lpad((b % 100).cast("string"), 2, "0")).otherwise(b.cast("string")))
-    return load(spark, sf_dir, "orders").select("o_orderkey", short.alias("short")).select("o_orderkey", "short", D.page_range(F.col("short")).alias("r")).select("o_orderkey", "short", "r.*")
+    got = page_strings(spark, sf_dir).select("o_orderkey", "short", D.page_range(F.col("short")).alias("r"))
+    return got.select("o_orderkey", "short", "r.n", F.when(F.col("r.n").isNotNull(), F.col("r.repr")).alias("repr"))
 
 
-@query(f"with {RANGES} select o_orderkey, a::int as dl_page, a || '-' || b || ',' || (a + 900) as dl_repr, (b - a + 2)::int as dl_npgs, case when o_orderkey % 5 = 0 then 'nd' else '' end as dl_anno from txt")
+@query(f"""with {RANGES}, p as (select *, case when o_orderkey % 5 = 0 then 'nd' when o_orderkey % 7 = 0 then 'q' when o_orderkey % 11 = 0 then 's' else '' end as anno from txt)
+    select o_orderkey, case when n is null then 0 when kind in (5, 6) then a + 900 else a end::int as dl_page, case when n is null then '' else repr || ',' || (a + 900) end as dl_repr, coalesce(n + 1, 0) as dl_npgs, case when n is null then '' else anno end as dl_anno from p""")
 def pages_total(spark, sf_dir):
-    base = page_range(spark, sf_dir)
-    first = F.regexp_extract("short", r"^(\d+)", 1)
-    text = F.concat(F.when(F.col("o_orderkey") % 5 == 0, "ND-").otherwise(""), F.col("short"), F.lit(";"), (first.cast("int") + 900).cast("string"))
-    return base.select("o_orderkey", D.pages(text).alias("p")).select("o_orderkey", "p.*")
+    """Notes before the pages, a second page after them; one range that can't be read empties the whole."""
+    text = F.expr("case when o_orderkey % 5 = 0 then 'ND-' when o_orderkey % 7 = 0 then 'Q-' when o_orderkey % 11 = 0 then 'S' else 'pp. ' end || short || '; ' || (a + 900)")
+    return page_strings(spark, sf_dir).select("o_orderkey", D.pages(text).alias("p")).select("o_orderkey", "p.*")
+
+
+#: Dates as they are written, by o_orderkey % 6; the last kinds are in Spanish and without a day.
+WRITTEN = "case o_orderkey % 6 when 0 then date_format(o_orderdate, 'MMMM d, yyyy') when 1 then date_format(o_orderdate, 'd MMM yyyy') when 2 then date_format(o_orderdate, 'M/d/yyyy') when 3 then date_format(o_orderdate, 'EEEE, MMM. dd, yyyy') when 4 then date_format(o_orderdate, 'd') || ' de enero de 1999' else date_format(o_orderdate, 'MMMM yyyy') end"
+
+
+@query("select o_orderkey, case when o_orderkey % 6 < 4 then strftime(o_orderdate, '%Y-%m-%d') end as dl_date from orders")
+def dates_written(spark, sf_dir):
+    return load(spark, sf_dir, "orders").select("o_orderkey", D.long_date(F.expr(WRITTEN)).alias("dl_date"))
 
 
 @query("select o_orderkey, case when o_orderkey % 3 = 0 then lpad((o_orderkey % 28 + 1)::varchar, 2, '0') || '(SU)' else lpad((o_orderkey % 28 + 1)::varchar, 2, '0') || '(' || lpad((o_orderkey % 12 + 1)::varchar, 2, '0') || ')' end as dl_vol_iss, strftime(o_orderdate, '%Y-%m') as dl_year_mo, case when o_orderkey % 28 + 1 <= 12 then 'eid0' when o_orderkey % 28 + 1 <= 18 then 'eid1' when o_orderkey % 28 + 1 <= 24 then 'eid2' else 'eid3' end as series from orders")
@@ -295,7 +357,7 @@ def source_precedence(spark, sf_dir):
     return df.select("o_orderkey", src.alias("src"), text.alias("dateline"))
 
 
-@query("select o_orderkey, 'mm' || case when o_orderkey % 3 = 0 then 'rr' else 'wr' end as series, (1960 + o_orderkey % 60)::varchar as dl_date, lpad((9 + o_orderkey % 60)::varchar, 2, '0') as dl_vol_iss from orders")
+@query("select o_orderkey, 'mm' || case when o_orderkey % 3 = 0 then 'rr' else '' end as series, (1960 + o_orderkey % 60)::varchar as dl_date, lpad((9 + o_orderkey % 60)::varchar, 2, '0') as dl_vol_iss from orders")
 def volume_paths(spark, sf_dir):
     k = F.col("o_orderkey")
     path = F.concat(F.lit("/mmwr/preview/ind"), (k % 60 + 1960).cast("string"), F.when(k % 3 == 0, "_rr").otherwise(""), F.lit(".html"))
@@ -338,10 +400,13 @@ def key_symmetric_diff(spark, sf_dir):
 # ---- heads and inventories
 
 
-@query("select page_id, trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')) as title, '' as canonical, 0 as n_metas from pages")
+@query("select page_id, trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')) as title, '/c/' || page_id as canonical, 1 + (page_id % 3)::int as n_metas, 'v' || page_id as first_meta from pages")
 def head_meta(spark, sf_dir):
-    p = load(spark, sf_dir, "pages").select("page_id", P.parse_document("html").alias("p"))
-    return p.select("page_id", "p.title", "p.canonical", F.size("p.metas").alias("n_metas"))
+    """Of heads alone, into which a canonical link, metas with and without content, and properties are put."""
+    k = F.col("page_id").cast("string")
+    more = F.concat(F.lit('<link rel="x canonical" href="/c/'), k, F.lit('"><meta name="first" content="v'), k, F.lit('"><meta name="none" content=""><meta content="nameless">'), F.repeat(F.lit('<meta property="p" content="q">'), (F.col("page_id") % 3).cast("int")), F.lit("</head>"))
+    p = load(spark, sf_dir, "pages").select("page_id", P.parse_document(F.replace("html", F.lit("</head>"), more), "title", "canonical", "metas").alias("p"))
+    return p.select("page_id", "p.title", "p.canonical", F.size("p.metas").alias("n_metas"), F.col("p.metas")[0]["content"].alias("first_meta"))
 
 
 @query("select t as tag_name, count(*) as n from (select unnest(regexp_extract_all(regexp_extract(html, '(?is)^(.*?)</head>', 1), '<([a-z]+)[ >]', 1)) as t from pages) group by 1")
@@ -350,26 +415,25 @@ def head_tag_inventory(spark, sf_dir):
     return rows.groupBy(F.col("t.name").alias("tag_name")).agg(F.count("*").alias("n"))
 
 
-@query()
-def tag_attr_signature(spark, sf_dir):
-    rows = load(spark, sf_dir, "pages").select(F.explode(P.head_tags("html")).alias("t"))
-    return rows.groupBy(F.col("t.name").alias("tag_name"), F.array_join(F.array_sort(F.map_keys("t.attrs")), "|").alias("signature")).agg(F.count("*").alias("n"))
+LANGS = ["de", "en", "es", "fr"]
 
 
-@query("pivot (select source, lang from documents where lang in ('en', 'fr')) on lang in ('en', 'fr') using count(*) group by source")
+@query(f"select source, {', '.join(f"count(*) filter (lang = '{x}') as {x}" for x in LANGS)} from documents group by source")
 def pivot_counts(spark, sf_dir):
-    return load(spark, sf_dir, "documents").groupBy("source").pivot("lang", ["en", "fr"]).agg(F.count(F.lit(1))).na.fill(0)
+    return load(spark, sf_dir, "documents").groupBy("source").pivot("lang", LANGS).agg(F.count(F.lit(1))).na.fill(0, LANGS)
 
 
-# ---- keywords
+@query("select case when grouping(lang) = 0 and grouping(source) = 0 then 'lang,source' when grouping(lang) = 0 then 'lang' else 'source' end as _set, lang, source, count(*) as n from documents group by grouping sets ((lang), (source), (lang, source))")
+def grouping_tables(spark, sf_dir):
+    return R.grouping_counts(load(spark, sf_dir, "documents"), [["lang"], ["source"], ["lang", "source"]])
 
-KW = "array_to_string(list_transform(range(1, 9), lambda i: split_part(text, ' ', i::int)), ', ')"
 
+@query("select * exclude (r) from (select doc_id, source, n_chars, row_number() over (partition by source order by n_chars desc, doc_id) as r from documents) where r = 1")
+def first_by_key(spark, sf_dir):
+    return R.first_by(load(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), "source", [F.desc("n_chars"), "doc_id"])
 
-def keyword_text(text):
-    """The first eight words; the split stops there."""
-    return F.array_join(F.slice(F.split(text, " ", 9), 1, 8), ", ")
 
+# ---- keywords
 
 def _set_sql(text: str, pairs, ignore) -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
@@ -378,25 +442,7 @@ def _set_sql(text: str, pairs, ignore) -> str:
     return f"array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split({text}, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x not in ({', '.join(map(quote, ignore))})))), '|')"
 
 
-@query(f"select doc_id, {_set_sql(KW + " || ', MMWR, CDC'", W.MMWR_REPLACE, W.MMWR_IGNORE)} as md_kwds from documents")
-def kwds_mmwr(spark, sf_dir):
-    text = F.concat(keyword_text(F.col("text")), F.lit(", MMWR, CDC"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.mmwr_keywords(text), ignore=W.MMWR_IGNORE).alias("md_kwds"))
-
-
-@query(f"select doc_id, {_set_sql("'Keywords: ' || " + KW + " || ', CDC'", W.EID_REPLACE, W.EID_IGNORE)} as md_kwds from documents")
-def kwds_eid(spark, sf_dir):
-    text = F.concat(F.lit("Keywords: "), keyword_text(F.col("text")), F.lit(", CDC"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.eid_keywords(text), ignore=W.EID_IGNORE).alias("md_kwds"))
-
-
-@query(f"select doc_id, {_set_sql("replace('Key words: ' || " + KW + ", ', ', '; ') || ',PCD,' || lang", W.PCD_REPLACE, W.PCD_IGNORE)} as md_kwds from documents")
-def kwds_pcd(spark, sf_dir):
-    text = F.concat(F.lit("Key words: "), F.replace(keyword_text(F.col("text")), F.lit(", "), F.lit("; ")), F.lit(",PCD"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.col("lang")), ignore=W.PCD_IGNORE).alias("md_kwds"))
-
-
-# the same of whole texts, whose words are all keywords
+# all words of the texts are keywords
 
 ALL_KW = "replace(coalesce(text, ''), ' ', ', ')"
 
@@ -406,19 +452,19 @@ def all_keyword_text(text):
 
 
 @query(f"select doc_id, {_set_sql(ALL_KW + " || ', MMWR, CDC'", W.MMWR_REPLACE, W.MMWR_IGNORE)} as md_kwds from documents")
-def kwds_mmwr_whole(spark, sf_dir):
+def kwds_mmwr(spark, sf_dir):
     text = F.concat(all_keyword_text(F.col("text")), F.lit(", MMWR, CDC"))
     return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.mmwr_keywords(text), ignore=W.MMWR_IGNORE).alias("md_kwds"))
 
 
 @query(f"select doc_id, {_set_sql("'Keywords: ' || " + ALL_KW + " || ', CDC'", W.EID_REPLACE, W.EID_IGNORE)} as md_kwds from documents")
-def kwds_eid_whole(spark, sf_dir):
+def kwds_eid(spark, sf_dir):
     text = F.concat(F.lit("Keywords: "), all_keyword_text(F.col("text")), F.lit(", CDC"))
     return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.eid_keywords(text), ignore=W.EID_IGNORE).alias("md_kwds"))
 
 
 @query(f"select doc_id, {_set_sql("replace('Key words: ' || " + ALL_KW + ", ', ', '; ') || ',PCD,' || coalesce(lang, 'none')", W.PCD_REPLACE, W.PCD_IGNORE)} as md_kwds from documents")
-def kwds_pcd_whole(spark, sf_dir):
+def kwds_pcd(spark, sf_dir):
     text = F.concat(F.lit("Key words: "), F.replace(all_keyword_text(F.col("text")), F.lit(", "), F.lit("; ")), F.lit(",PCD"))
     return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.coalesce("lang", F.lit("none"))), ignore=W.PCD_IGNORE).alias("md_kwds"))
 
@@ -429,10 +475,10 @@ def desc_ignore(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", W.description(text, W.MMWR_IGNORE_DESC).alias("md_desc"))
 
 
-@query("select pattern, count(*) as n from (select source, doc_id % 7 as g, concat_ws('|', case when bool_or(lang = 'en') then 'en' end, case when bool_or(lang = 'es') then 'es' end, case when bool_or(lang = 'fr') then 'fr' end) as pattern from documents group by all) group by 1")
+@query(f"select pattern, count(*) as n from (select source, doc_id % 7 as g, concat_ws('|', {', '.join(f"case when bool_or(lang = '{x}') then '{x}' end" for x in LANGS)}) as pattern from documents group by all) group by 1")
 def lang_presence_pattern(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").withColumn("stem", F.concat_ws("/", "source", F.col("doc_id") % 7))
-    return R.presence(docs, "stem", "lang", ["en", "es", "fr"]).groupBy("pattern").agg(F.count("*").alias("n"))
+    docs = load(spark, sf_dir, "documents").withColumn("stem", F.concat_ws("/", F.coalesce("source", F.lit("?")), F.col("doc_id") % 7))
+    return R.presence(docs, "stem", "lang", LANGS).groupBy("pattern").agg(F.count("*").alias("n"))
 
 
 @query(f"with {LABELLED} select v as collection, count(page_id) as n from (select unnest({R.COLLECTIONS!r}) as v) left join labelled on collection = v group by 1")
@@ -444,18 +490,7 @@ def collection_value_counts(spark, sf_dir):
 def corpus_sorted(spark, sf_dir):
     """Places in the corpus' order, numbered from the counts of range partitions rather than by one task."""
     df = labelled(load(spark, sf_dir, "pages")).select("page_id", "collection", F.coalesce(R.ordinal(F.col("collection"), R.COLLECTIONS), F.lit(99)).alias("o"))
-    return ranked(df, ["o", "collection", "page_id"], "place").select("page_id", "collection", F.col("place").cast("int").alias("place"))
-
-
-def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """1 on in the order of keys, over many partitions: the rows before each partition are counted first."""
-    from pyspark.sql import Window
-
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_m", 33)).persist()
-    counts = rows.groupBy("_p").agg(F.count("*").alias("_n"))
-    ahead = counts.withColumn("_a", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_a")
-    return rows.join(F.broadcast(ahead), "_p").withColumn(name, F.col("_a") + F.col("_m") - F.shiftleft(F.col("_p"), 33) + 1).drop("_m", "_p", "_a")
+    return R.ranked(df, ["o", "collection", "page_id"], "place").select("page_id", "collection", F.col("place").cast("int").alias("place"))
 
 
 @query(f"with {LABELLED} select {', '.join((c if c in ('url', 'collection', 'series', 'level', 'lang') else (repr('') if c not in ('stratum', 'mirror_path') else {'stratum': "series || '_' || case when level = 'volume' then 'toc' else 'art' end", 'mirror_path': MIRROR}[c])) + ' as ' + c for c in R.CORPUS)} from labelled")
@@ -464,18 +499,80 @@ def corpus_table(spark, sf_dir):
     return R.projected(df.select("url", "stratum", "collection", "series", "level", "lang", "mirror_path"))
 
 
+EIGHT = ["collection", "series", "level", "lang", "dl_vol_iss", "dl_date", "dl_page", "dl_art_num"]
+
+
+@query(f"""with r as (select o_orderkey, {R.COLLECTIONS!r} as cs, {R.SERIES!r} as ss, {R.LEVELS!r} as ls, o_orderkey % 25 as c, o_orderkey % 13 as s, o_orderkey % 6 as l, o_orderpriority as lang, nullif(o_orderkey % 9, 0) as v from orders)
+    select o_orderkey, row_number() over (order by case when c < 22 then c end nulls last, case when s < 11 then s end nulls last, case when l < 5 then l end nulls last, lang nulls last, v::varchar nulls last, o_orderkey)::bigint as place from r""")
+def corpus_eight_levels(spark, sf_dir):
+    """Places by all the corpus' keys, with values outside the domains and nulls."""
+    pick = lambda values, m: F.get(F.array(*map(F.lit, [*values, "other"])), (F.col("o_orderkey") % m).cast("int"))
+    df = load(spark, sf_dir, "orders").select("o_orderkey", pick(R.COLLECTIONS, 25).alias("collection"), pick(R.SERIES, 13).alias("series"), pick(R.LEVELS, 6).alias("level"), F.col("o_orderpriority").alias("lang"), F.nullif((F.col("o_orderkey") % 9).cast("string"), F.lit("0")).alias("dl_vol_iss"), *(F.lit(None).cast("string").alias(c) for c in EIGHT[5:]))
+    return R.corpus_places(df, "o_orderkey").select("o_orderkey", "place")
+
+
+@query(f"with r as (select unnest([{{'column': 'collection', 'value': 'x' || o_orderstatus}}, {{'column': 'level', 'value': o_orderpriority}}], recursive := true) from orders) select \"column\", value, count(*) as n from r where value <> 'xF' group by all")
+def domain_violations(spark, sf_dir):
+    """Values that ordered domains lack, counted."""
+    status = F.concat(F.lit("x"), "o_orderstatus")
+    return R.outside_domains(load(spark, sf_dir, "orders").select(F.when(status == "xF", "eid_toc_en").otherwise(status).alias("collection"), F.lit("eid").alias("series"), F.lit("").alias("stratum"), F.col("o_orderpriority").alias("level")))
+
+
+@query("select page_id, replace(replace(html, '&copy;', '(c)'), '(c)', '[c]') || '' as html from pages where page_id % 2 = 0 union all select page_id, html from pages where page_id % 2 = 1")
+def string_patches(spark, sf_dir):
+    """Patches of strings by document, one after another; documents without any stay as they are."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "html")
+    patch = F.array(*(F.struct(F.lit(a).alias("old"), F.lit(b).alias("new")) for a, b in (("&copy;", "(c)"), ("(c)", "[c]"))))
+    patches = pages.where("page_id % 2 = 0").select("page_id", patch.alias("patches"))
+    return pages.join(patches, "page_id", "left").select("page_id", T.patched(F.col("html"), F.col("patches")).alias("html"))
+
+
+@query("select page_id, (page_id % 3)::int as boms from pages")
+def bom_counts(spark, sf_dir):
+    marked = F.concat(F.repeat(F.lit("\ufeff"), (F.col("page_id") % 3).cast("int")), "html")
+    return load(spark, sf_dir, "pages").select("page_id", T.boms(marked).alias("boms"))
+
+
+@query("select doc_id, n_chars from documents")
+def store_lookup(spark, sf_dir):
+    """Each row's document from the store; one that lacked it would end the query."""
+    docs = load(spark, sf_dir, "documents")
+    return R.looked_up(docs.select("doc_id"), docs.select("doc_id", "n_chars"), "doc_id", "n_chars")
+
+
+#: A page of which text and Markdown are known: headings, emphasis, links, lists with loose text, a table in a table, what is removed.
+SHOWN = "<html><body><h2>N {n}</h2><script>var s = 1;</script><p>a <b>b</b> <i>c</i>  d</p><form>f</form><ul>loose<li>x</li><li><a href='/y'>y</a></li></ul><table><caption>cap</caption><tr><th>h</th><th>i</th></tr><tr><td>{n}</td><td><table><tr><td>in</td></tr></table></td></tr></table></body></html>"
+
+
+SHOWN_MD = "## N {n} ##¶¶a __b__ _c_ d¶¶loose¶* x¶* [y](/y)¶¶cap¶¶| h | i |¶| --- | --- |¶| {n} | \\| in \\| \\| --- \\| |"
+
+
+def _filled(text: str) -> str:
+    return "replace(replace('" + text.replace("'", "''") + "', '¶', chr(10)), '{n}', doc_id::varchar)"
+
+
+@query(f"select doc_id, length({_filled(SHOWN)}) as html_chars, 'N ' || doc_id || 'a b c dloosexycaphi' || doc_id || 'in' as text, {_filled(SHOWN_MD)} as md from documents")
+def contents_rendered(spark, sf_dir):
+    """HTML, plain text and Markdown of a page whose renditions are known, for each document's number."""
+    first, *rest = SHOWN.split("{n}")
+    html = F.concat(F.lit(first), *(x for r in rest for x in (F.col("doc_id").cast("string"), F.lit(r))))
+    return load(spark, sf_dir, "documents").select("doc_id", html.alias("html")).select("doc_id", F.length("html").alias("html_chars"), P.parse_document("html", "text", "md").alias("p")).select("doc_id", "html_chars", "p.text", "p.md")
+
+
 @query()
 def contents_renditions(spark, sf_dir):
     """HTML, plain text and Markdown of each page from one parse."""
-    return load(spark, sf_dir, "pages").select("url", F.col("html"), P.parse_document("html").alias("p")).select("url", "html", "p.text", "p.md")
+    return load(spark, sf_dir, "pages").select("url", F.col("html"), P.parse_document("html", "text", "md").alias("p")).select("url", "html", "p.text", "p.md")
 
 
-@query(f"with {LABELLED} select collection, count(*) as n, sum(length(url)) as chars, true as same from labelled group by 1")
+@query("with k as (select count(distinct page_id) as n from pages) select unnest(['html', 'text', 'md']) as store, n, 0::bigint as missing, 0::bigint as more, 0::bigint as moved from k")
 def reconstruct_consistency(spark, sf_dir):
-    """The three renditions of a collection hold the same keys."""
-    df = labelled(load(spark, sf_dir, "pages"))
-    keys = df.select("collection", F.explode(F.array(*map(F.lit, ("html", "md", "txt")))).alias("kind"), "url").groupBy("collection", "kind").agg(F.count("*").alias("n"), F.sum(F.length("url")).alias("chars"), F.bit_xor(F.xxhash64("url")).alias("mark"))
-    return keys.groupBy("collection").agg(F.max("n").alias("n"), F.max("chars").alias("chars"), ((F.min("n") == F.max("n")) & (F.min("mark") == F.max("mark"))).alias("same"))
+    """The three renditions, made from the pages, hold the corpus' keys in the corpus' order."""
+    pages = load(spark, sf_dir, "pages")
+    corpus = R.ranked(pages.select("page_id"), ["page_id"], "place")
+    made = pages.select("page_id", "html", P.parse_document("html", "text", "md").alias("p")).select("page_id", "html", "p.text", "p.md")
+    stores = {c: R.ranked(made.where(F.col(c).isNotNull()).select("page_id"), ["page_id"], "place") for c in ("html", "text", "md")}
+    return R.consistent(corpus, stores, "page_id", "place")
 
 
 registry.FLAGSHIP = corpus_collection_counts

@@ -10,6 +10,8 @@ FLAGSHIP: Callable | None = None
 
 
 def queries() -> dict[str, Callable]:
+    import folioforge.plans.harvest_queries
+    import folioforge.plans.io_queries
     import folioforge.plans.journal_queries
     import folioforge.plans.queries  # noqa: F401  (fills the tables)
 

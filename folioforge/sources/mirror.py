@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.functions.text import fetched_text
+
 SCHEMA = "url string, mirror_path string, content binary, length long"
 
 
@@ -44,3 +46,8 @@ def mirror(spark: SparkSession, links: DataFrame, folder: str, fetch: Callable[[
         todo = got.where("length = 0").select("url", "mirror_path")
     every = spark.read.schema(SCHEMA + ", attempt int").option("basePath", folder).parquet(folder)
     return every.where((F.col("length") > 0) | (F.col("attempt") == attempts - 1))
+
+
+def fetched_pages(links: DataFrame, fetch: Callable[[str], bytes] = fetch_url) -> DataFrame:
+    """(url, mirror_path, html) of links: fetched, decoded, white space collapsed (A1, A2); empty after any failure."""
+    return fetched(links, fetch).select("url", "mirror_path", fetched_text("content").alias("html"))

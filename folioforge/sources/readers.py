@@ -6,7 +6,7 @@ import io
 import json
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +35,29 @@ def mirror_list(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("compress_pct", F.regexp_replace("compress_pct", "%$", "").try_cast("double"))
 
 
-def corpus_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The corpus table as it was exported; empty fields are empty strings."""
-    from folioforge.operators.relational import CORPUS
+def mirrored(spark: SparkSession, path: str, links: DataFrame, root: str = "") -> DataFrame:
+    """(level, mirror_path, content, length) of the files of a mirror that links name, in the order of level and path (A5)."""
+    from folioforge.operators.relational import LEVELS, domain_order
 
-    df = spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in CORPUS), quote='"', escape='"', multiLine=True)
-    return df.na.fill("")
+    wanted = links.select("mirror_path", "level").distinct()
+    out = raw_pages(spark, path, root).withColumnRenamed("path", "mirror_path").join(wanted, "mirror_path")
+    return out.select("level", "mirror_path", "content", "length").orderBy(domain_order(F.col("level"), LEVELS), "mirror_path")
+
+
+def corpus_csv(spark: SparkSession, path: str, domains: bool = False) -> DataFrame:
+    """The corpus table as it was exported; empty fields are empty strings (A9). domains: values that their column's
+    domain lacks are null, as ordered categories make them (L8)."""
+    from folioforge.operators import relational as R
+
+    df = spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in R.CORPUS), quote='"', escape='"', multiLine=True).na.fill("")
+    if domains:
+        df = df.withColumns({c: F.when(F.col(c).isin(d), F.col(c)) for c, d in {"stratum": R.STRATA, "collection": R.COLLECTIONS, "series": R.SERIES, "level": R.LEVELS}.items()})
+    return df
+
+
+def records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON records, one a line."""
+    return spark.read.schema(schema).json(path)
 
 
 def checkpoint(spark: SparkSession, path: str) -> DataFrame:
@@ -48,15 +65,35 @@ def checkpoint(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def zipped_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """(member, url, content) of JSON objects in zip files (A10)."""
+def bundles(spark: SparkSession, path: str) -> DataFrame:
+    """(collection, url, content) of bundles written by writers.bundle_objects: an object of bounded size a line."""
+    lines = spark.read.schema("json string, collection string").text(path)
+    return lines.select("collection", F.explode(F.from_json("json", "map<string, string>")).alias("url", "content"))
+
+
+def zipped_bundles(spark: SparkSession, path: str, rows: int = 500) -> DataFrame:
+    """(member, url, content) of JSON objects in zip files (A10); a zip file is read by one task, its entries are passed
+    on `rows` at a time."""
 
     def run(batches):
-        for pdf in batches:
-            for raw in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
+        for batch in batches:
+            for raw in batch.column(0):
+                with zipfile.ZipFile(io.BytesIO(raw.as_buffer())) as z:
                     for name in z.namelist():
-                        d = json.loads(z.read(name))
-                        yield pd.DataFrame({"member": name, "url": list(d), "content": list(d.values())})
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "member string, url string, content string")
+                        items = list(json.loads(z.read(name)).items())
+                        for a in range(0, len(items), rows):
+                            part = items[a : a + rows]
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([k for k, _ in part], pa.string()), pa.array([v for _, v in part], pa.string())], ["member", "url", "content"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "member string, url string, content string")
+
+
+def renditions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(url, and a column a rendition) of the zipped bundles of several renditions, merged by url (A10). Of a url that
+    occurs in several members the last one by name counts."""
+    out = None
+    for name, path in paths.items():
+        last = F.max_by("content", "member").alias(name)
+        one = zipped_bundles(spark, path).groupBy("url").agg(last)
+        out = one if out is None else out.join(one, "url", "full")
+    return out

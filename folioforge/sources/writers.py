@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions import arrow_function
+
 
 def checkpoint(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
@@ -25,6 +30,21 @@ def bundles(df: DataFrame, path: str, max_records: int = 50_000) -> None:
     df.repartition("collection", F.pmod(F.xxhash64("url"), F.lit(16))).write.option("maxRecordsPerFile", max_records).partitionBy("collection").mode("errorifexists").json(path)
 
 
-def bundle_json(df: DataFrame, column: str) -> DataFrame:
-    """One JSON object {url: content} a collection (B10, exact shape), for collections that fit a row: export only."""
-    return df.groupBy("collection").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", column))))).alias("json"))
+def _escaped(m: re.Match) -> str:
+    raw = m[0].encode("utf-16-be")
+    return "".join(f"\\u{raw[k]:02x}{raw[k + 1]:02x}" for k in range(0, len(raw), 2))
+
+
+@arrow_function("string")
+def ascii_json(text: pd.Series) -> pd.Series:
+    """JSON with all but ASCII characters as \\uXXXX."""
+    return text.map(lambda x: re.sub(r"[^\x00-\x7f]", _escaped, x), na_action="ignore")
+
+
+def bundle_objects(df: DataFrame, column: str, path: str, ascii_only: bool, rows: int = 5000) -> None:
+    """JSON objects {url: content} of about `rows` urls each, one a line, in a folder a collection (B10): HTML and text
+    with ASCII escapes, Markdown without. Collections of any size are cut by a hash of the url."""
+    sizes = df.groupBy("collection").agg(F.ceil(F.count("*") / rows).alias("_parts"))
+    keyed = df.join(sizes, "collection").select("collection", F.pmod(F.xxhash64("url"), F.col("_parts")).alias("_part"), "url", F.col(column).alias("_content"))
+    made = keyed.groupBy("collection", "_part").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", "_content"))))).alias("json"))
+    made.select("collection", (ascii_json("json") if ascii_only else F.col("json")).alias("json")).write.partitionBy("collection").mode("errorifexists").text(path)

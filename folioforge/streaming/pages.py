@@ -22,10 +22,11 @@ def arriving(spark: SparkSession, folder: str, files_a_batch: int = 100) -> Data
 
 
 def cleaned(pages: DataFrame) -> DataFrame:
-    """url, paths, title, text and Markdown, with entities and white space put right: works on streams and on tables."""
+    """url, paths, title, text and Markdown, with entities and white space put right by the batch rules, which spare <pre>
+    in the weeklies' pages only: works on streams and on tables."""
     path = U.path_of(F.col("url"))
-    html = T.reduce_space(T.repair_known(F.col("html")), keep_pre=True)
-    return pages.select("page_id", U.canonical(F.col("url")).alias("url"), U.mirror_path(path).alias("mirror_path"), P.parse_document(html).alias("p")).select("page_id", "url", "mirror_path", "p.title", "p.text", "p.md")
+    html = T.cleaned(F.col("html"), keep_pre=path.startswith("/mmwr/"))
+    return pages.select("page_id", U.canonical(F.col("url")).alias("url"), U.mirror_path(path).alias("mirror_path"), P.parse_document(html, "title", "text", "md").alias("p")).select("page_id", "url", "mirror_path", "p.title", "p.text", "p.md")
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:

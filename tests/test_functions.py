@@ -62,16 +62,48 @@ def test_entities(spark):
 
 def test_space(spark):
     assert one(spark, "a b c \r\n  d e  \n\n\n\nf", T.reduce_space) == "a b c\nd\ne\n\nf"
-    assert one(spark, "<pre >a  b  </pre>  \nx", lambda c: T.reduce_space(c, keep_pre=True)) == "<pre >a  b</pre>\nx"
+    sparing = lambda c: T.reduce_space(c, keep_pre=True)
+    assert one(spark, "<pre >a  b  </pre>  \nx", sparing) == "<pre >a  b  </pre>\nx"
+    assert one(spark, "  <PRE>\n   <b>a  <i>  x \n   \n\n\n  c</pre>", sparing) == "<PRE>\n<b>a  <i>  x\n\n  c</pre>"
+    assert one(spark, " <p>a  <b>  x ", sparing) == "<p>a <b> x" and one(spark, "<pre>a  b", T.reduce_space) == "<pre>a b"
+    flags = spark.createDataFrame([("<pre>a  b", True), ("<pre>a  b", False)], "x string, f boolean").select(T.cleaned(F.col("x"), F.col("f")).alias("y")).collect()
+    assert [r.y for r in flags] == ["<pre>a  b", "<pre>a b"]
 
 
-@pytest.mark.parametrize("text, n, shown", [("v", 1, "v"), ("i-v", 5, "i-v"), ("5", 1, "5"), ("5-9", 5, "5-9"), ("15-9", 5, "15-19"), ("105-9", 5, "105-109"), ("105-19", 15, "105-119")])
+@pytest.mark.parametrize("text, n, shown", [("v", 1, "v"), ("i-v", 5, "i-v"), ("5", 1, "5"), ("5-9", 5, "5-9"), ("15-9", 5, "15-19"), ("105-9", 5, "105-109"), ("105-19", 15, "105-119"), ("007-9", 3, "7-9"), ("0005", 1, "5"), ("x-xv", 6, "x-xv"), ("9-5", -3, "9-5"), (" 7 - 9 ", 3, "7-9"), ("", 1, "")])
 def test_page_range(spark, text, n, shown):
     got = one(spark, text, D.page_range)
     assert (got.n, got["repr"]) == (n, shown)
 
 
+@pytest.mark.parametrize("text", ["5-x", "i-xx", "1-2-3", "5a", "-5", "i-"])
+def test_unreadable_ranges(spark, text):
+    assert one(spark, text, D.page_range).n is None
+
+
+DATES = ["January 5, 1999", "Jan. 5, 1999", "5 January 1999", "1/5/1999", "13/5/1999", "1999-01-05", "Friday, March 5, 1999", "Sept 4, 2001", "May 5 1999", "March 5th, 1999", "1999/2/3", "june 3, 1983", "5 de enero de 1999", "5 enero 1999", "enero 5, 1999", "June 4 / 5, 1999", "", "February 30, 1999"]
+
+
+def test_dates_are_those_of_the_parser(spark):
+    """For dates that state all parts; of others a part would be made up."""
+    from dateutil.parser import ParserError, parse
+
+    for text in DATES:
+        try:
+            want = parse(text).date().isoformat()
+        except (ParserError, ValueError):
+            want = None
+        assert one(spark, text, D.long_date) == want, text
+    assert one(spark, "January 1999", D.long_date) is None
+
+
 def test_pages(spark):
+    assert tuple(one(spark, "5-x,8-9", D.pages)) == (0, "", 0, "")
+    assert tuple(one(spark, "ND-719 - 722; 0730", D.pages)) == (719, "719-722,730", 5, "nd")
+    assert tuple(one(spark, "Q1-Q4", D.pages)) == (1, "1-4", 4, "q")
+    assert tuple(one(spark, "pp. 12–5.", D.pages)) == (12, "12-15", 4, "")
+    assert tuple(one(spark, "SS1", D.pages)) == (1, "1", 1, "ss")
+    assert tuple(one(spark, "x\ny", D.pages)) == (0, "x", 1, "") and tuple(one(spark, "x\ni", D.pages)) == (0, "", 0, "")
     assert tuple(one(spark, "856-857;859-869", D.pages)) == (856, "856-857,859-869", 13, "")
     assert tuple(one(spark, "i-iii,vii-viii,1-17", D.pages)) == (1, "i-iii,vii-viii,1-17", 22, "")
     assert tuple(one(spark, "", D.pages)) == (0, "", 0, "")
@@ -85,6 +117,14 @@ def test_datelines(spark):
     assert row("Recommendations and Reports / June 25, 1993 / 42(RR-10);i-iii,vii-viii,1-17", D.mmwr)["dl_vol_iss"] == "42(10)"
     assert row("Weekly / January 1, 2021 / 69(5152);1953-1956", D.mmwr) | {"x": 0} == {"series": "mmwr", "dl_date": "2021-01-01", "dl_vol_iss": "69(5152)", "dl_year_mo": "2020", "dl_page": "1953", "x": 0}
     assert set(row("nothing here", D.mmwr).values()) == {None}
+    assert row("Other / June 25, 1993 / 42(1);3", D.mmwr)["series"] == "mm" and row("_ / x / 42(1);3", D.mmwr)["series"] == "mm_"
+    assert row("/mmwr/preview/ind1985.html", D.mmwr_volume_path)["series"] == "mm" and row("/mmwr/index2004.html", D.mmwr_volume_path)["series"] == "mmwr"
+    detail = row("Weekly / 5 Junio 1983 / 32a(13);007-9", D.mmwr_detail)
+    assert (detail["dl_ser"], detail["dl_date"], detail["dl_vol_num"], detail["dl_vol_anno"], detail["dl_iss_num"], detail["pages"]["dl_repr"]) == ("mm", "5 junio 1983", "32", "a", "13", "7-9")
+    assert row("_ / _ / _", D.mmwr_detail)["dl_ser"] == "_"
+    assert one(spark, 'reportTitle = ""; reportDate = "";', D.mmwr_script_dateline) == "_ / _ / _" == one(spark, "", D.mmwr_script_dateline)
+    assert row("/pcd/issues/2012/jan/12_0069.htm", D.pcd_path) == {"year": "2012", "month": "01", "volume": "09", "article": "12_0069"}
+    assert [one(spark, p, D.pcd_english) for p in ("/pcd/issues/2012/12_0069.htm", "/pcd/issues/2012/12_0069_es.htm", "/x/cover.htm")] == [True, False, True]
     assert row("/mmwr/preview/ind1985_su.html", D.mmwr_volume_path) == {"series": "mmsu", "dl_date": "1985", "dl_vol_iss": "34"}
     got = row("/mmwr/preview/mmwrhtml/rr5810a1_ensp.htm", D.mmwr_article_path)
     assert (got["lang"], got["fn_ser"], got["fn_vol"], got["fn_iss"], got["fn_aem"], got["fn_seq"], got["fn_sfx"]) == ("es", "rr", "58", "10", "a", "1", "_ensp")
@@ -117,17 +157,29 @@ PAGE = """<html><head><title> A &amp; B </title><meta name="keywords" content="k
 def test_kernel():
     root = K.parse(PAGE)
     assert K.head_meta(root) == ("A & B", "/c", [("keywords", "k")])
-    assert K.anchors(root) == [("/x", "y|z")]
+    assert K.anchors(root) == [("/x", "y|z", None)] and K.anchors(K.parse("<A HREF=/y class=k><!-- --> only </A><a>x</a>")) == [("/y", "only", " only "), (None, "x", "x")]
     assert next(s.text() for th in root.find_all("th") if (s := th.next_element())) == "2017;23(12):2029"
     md = K.markdown(K.parse(PAGE))
     assert "# T #" in md and "two __bold__ [y _z_](/x)" in md and "* p\n* q" in md and "| a | b |" in md
     assert "var a" not in K.plain_text(K.parse(PAGE))
     assert K.trim_svg(PAGE).count("<svg>") == 1 and "M" not in K.trim_svg(PAGE).split("<svg>")[1].split("</svg>")[0]
-    n, lengths = K.svg_lengths(PAGE)
-    assert n == 1 and lengths == sorted(lengths, reverse=True)
+    n, trimmed, lengths = K.svg_lengths(PAGE)
+    assert n == 1 and lengths == sorted(lengths, reverse=True) and trimmed == len(K.trim_svg(PAGE))
+    twice = "<p>a</p><svg a=1><svg b='x'>t<path d=1 /></svg><text>u<b>v</b>w</text></svg><svg></svg>"
+    n, trimmed, lengths = K.svg_lengths(twice)
+    assert n == 3 and trimmed == len(K.trim_svg(twice)) and lengths[0] == len(K.parse(twice).serialise()) and lengths[-1] == len("<p>a</p>")
     assert K.parse(None).text() == "" and K.markdown(K.parse("")) == ""
 
 
+def test_markdown():
+    md = lambda x: K.markdown(K.parse(x))
+    assert md("<ul>loose<li>a</li><p>x</p><li>b<ul><li>c</ul></ul>") == "loose\n* a\nx\n* b\n  \n  * c"
+    assert md("<table><caption>cap</caption><tr><td>a<table><tr><td>in</td></tr></table></td><td>b|c</td></tr></table>").count("in") == 1
+    assert md("<table><caption>cap</caption><thead><tr><th>h</thead><tbody><tr><td>x<br>y</tbody></table>") == "cap\n\n| h |\n| --- |\n| x y |"
+    assert md("<div>" * 5000 + "deep <b>x</b>") == "deep __x__"
+    assert md("<ol><li>a<li>b</ol><h3> t <em>u</em></h3><blockquote>q</blockquote>") == "1. a\n2. b\n\n### t _u_ ###\n\n> q"
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="<>/ap\"'=b &;\n", max_size=60))
 def test_kernel_never_fails(text):
@@ -150,7 +202,15 @@ def test_exports(spark, tmp_path):
     renditions = spark.createDataFrame([("eid0_art_en", "u1", "<p>", "é")], "collection string, url string, html string, md string")
     writers.bundles(renditions, f"{tmp_path}/bundles")
     assert spark.read.json(f"{tmp_path}/bundles").count() == 1
-    assert writers.bundle_json(renditions, "md").first().json == '{"u1":"é"}'
+    writers.bundle_objects(renditions, "md", f"{tmp_path}/md", ascii_only=False)
+    writers.bundle_objects(renditions.withColumn("md", F.lit("é😀\n")), "md", f"{tmp_path}/txt", ascii_only=True)
+    assert spark.read.text(f"{tmp_path}/md").first().value == '{"u1":"é"}' and spark.read.text(f"{tmp_path}/txt").first().value == '{"u1":"\\u00e9\\ud83d\\ude00\\n"}'
+    assert readers.bundles(spark, f"{tmp_path}/txt").first().content == "é😀\n"
+    writers.checkpoint(df, f"{tmp_path}/kept")
+    with pytest.raises(Exception, match="exist"):
+        writers.checkpoint(df, f"{tmp_path}/kept")
+    typed = readers.corpus_csv(spark, f"{tmp_path}/csv", domains=True).orderBy("url").collect()
+    assert [r.collection for r in typed] == ["eid0_art_en", "pcd_art_en"] and typed[0].series is None
 
 
 def test_zipped(spark, tmp_path):
@@ -160,5 +220,49 @@ def test_zipped(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("eid_html.json", json.dumps({"u": "x", "v": "y"}))
     assert sorted((r.member, r.url, r.content) for r in readers.zipped_bundles(spark, f"{tmp_path}/a.zip").collect()) == [("eid_html.json", "u", "x"), ("eid_html.json", "v", "y")]
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("eid_md.json", json.dumps({"u": "m", "w": "n"}))
+    assert sorted(map(tuple, readers.renditions(spark, {"html": f"{tmp_path}/a.zip", "md": f"{tmp_path}/b.zip"}).collect())) == [("u", "x", "m"), ("v", "y", None), ("w", None, "n")]
     (tmp_path / "d.json").write_text('{"a": "1"}')
     assert readers.dictionary(spark, f"{tmp_path}/d.json").first().asDict() == {"key": "a", "value": "1"}
+
+
+def test_charsets(spark):
+    raw = b'<meta charset="utf-8">\n<META http-equiv=x content="text/html; charset=GB2312"> <meta charset="big5">\n\xff'
+    df = spark.createDataFrame([(raw,), (b"plain",)], "c binary").select(T.declared_charsets(F.col("c")).alias("d"), T.try_codecs("c").alias("t"))
+    rows = df.select("d", "t", T.mismatch(F.col("t"), F.col("d")).alias("m")).collect()
+    assert [(r.d, r.m) for r in rows] == [(["utf-8", "big5"], True), ([], False)] and not rows[0].t.utf_8 and rows[1].t.ascii
+
+
+def test_patches(spark):
+    patch = [("a", "b"), ("b", "c")]
+    df = spark.createDataFrame([("aab", patch), ("a", None), ("a", [])], "x string, p array<struct<old string, new string>>")
+    assert [r.y for r in df.select(T.patched(F.col("x"), F.col("p")).alias("y")).collect()] == ["ccc", "a", "a"]
+
+
+def test_lookups_fail_fast(spark):
+    df, store = spark.range(3), spark.createDataFrame([(0, "x"), (1, None)], "id long, html string")
+    assert [r.html for r in R.looked_up(df.where("id < 2"), store, "id", "html").orderBy("id").collect()] == ["x", None]
+    with pytest.raises(Exception, match="no html of 2"):
+        R.looked_up(df, store, "id", "html").collect()
+
+
+def test_consistency_sees_differences(spark):
+    corpus = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "url string, place long")
+    stores = {"same": corpus, "other": spark.createDataFrame([("b", 1), ("a", 2), ("x", 3)], "url string, place long"), "none": corpus.limit(0)}
+    got = {r.store: (r.n, r.missing, r.more, r.moved) for r in R.consistent(corpus, stores, "url", "place").collect()}
+    assert got == {"same": (3, 0, 0, 0), "other": (3, 1, 1, 2), "none": (0, 3, 0, 0)}
+
+
+def test_sorted_corpus(spark):
+    cols = ", ".join(f"{c} string" for c in R.CORPUS_KEYS)
+    rows = [("mmrr_toc_en", "eid", "article", None, "2", None, None, None), ("mmwr_toc_en", "eid", "home", "x", None, None, None, None), ("zz", "mmwr", "home", "a", "1", None, None, None), ("mmrr_toc_en", "eid", "article", None, "10", None, None, None), (None, "mmwr", "home", "a", "0", None, None, None)]
+    got = [tuple(r)[:5] for r in R.sorted_corpus(spark.createDataFrame(rows, cols)).collect()]
+    assert got == [rows[k][:5] for k in (1, 3, 0, 4, 2)]
+    placed = R.corpus_places(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"id long, {cols}"), "id").orderBy("place").collect()
+    assert [(r.id, r.place) for r in placed] == [(1, 1), (3, 2), (0, 3), (4, 4), (2, 5)]
+
+
+def test_references(spark):
+    df = spark.createDataFrame([("&#169;",), ("&copy;",), ("&#10;",), ("&none;",), ("&NotEqualTilde;",), ("&#128512;",)], "x string").select(T.resolve_reference("x").alias("r"))
+    assert [tuple(r.r) for r in df.collect()] == [("©", "U+00A9", "COPYRIGHT SIGN", "copy")] * 2 + [("\\n", "U+000A", "no name", None), (None,) * 4, ("≂̸", "U+2242 U+0338", "MINUS TILDE; COMBINING LONG SOLIDUS OVERLAY", None), ("😀", "U+1F600", "GRINNING FACE", None)]

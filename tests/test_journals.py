@@ -44,11 +44,39 @@ def test_details(spark):
         return J.mmwr_dateline_details(pages(spark, ("/mmwr/preview/mmwrhtml/mm3213a1.htm", html))).first()
 
     r = row(("Weekly", "April 08, 1983 / 32(13);171-172,178"))
-    assert (r.fn_stan, r.fn_vol, r.src, r.md_Volume, r.dl_ser, r.dl_date, r.dl_vol_num, r.dl_iss_num, r.dl_page, r.dl_repr, r.dl_npgs) == (True, "32", "var_dl", "32", "wr", "1983-04-08", "32", "13", 171, "171-172,178", 3)
+    assert (r.fn_stan, r.fn_vol, r.src, r.md_Volume, r.dl_ser, r.dl_date, r.dl_vol_num, r.dl_iss_num, r.dl_page, r.dl_repr, r.dl_npgs) == (True, "32", "var_dl", "32", "mm", "1983-04-08", "32", "13", 171, "171-172,178", 3)
     r = row(("Something else", "June 1983"))
     assert (r.dl_ser, r.dl_date, r.dl_vol_num, r.dl_iss_num, r.dl_page, r.dl_npgs) == ("", "june 1983", "", "", 0, 0)
 
 
+def test_contents_with_fixed_datelines(spark):
+    rows = pages(spark, ("/pcd/es/2011_sep_toc.htm", "ISSN 1 Volume 8: No. 5, 2011"), ("/pcd/es/2010_jul_toc.htm", "none"), ("/pcd/issues/2004/apr/toc.htm", "Volume 0 1999 ISSN x Volume 1:\n No. 2, April 2004"), ("/pcd/issues/2023/2023_TOC.htm", "ISSN"))
+    got = {r.path: (r.lang, r.dateline, r.dl_year_mo) for r in J.pcd_contents_datelines(rows).collect()}
+    assert got == {
+        "/pcd/es/2011_sep_toc.htm": ("es", "Volumen 8: Nº 5, septiembre de 2011", "2011-09"), "/pcd/es/2010_jul_toc.htm": ("es", None, "2010-07"),
+        "/pcd/issues/2004/apr/toc.htm": ("en", "Volume 1: No. 2, April 2004", "2004-04"), "/pcd/issues/2023/2023_TOC.htm": ("en", None, "2023"),
+    }
+
+
+def test_links_by_the_tree_and_by_pattern(spark):
+    """On the pages that hold none but plain anchors both give the same; table functions too."""
+    from folioforge import registry
+
+    q, sf = registry.queries(), "/root/testdata/sf0.001"
+    plain = sorted((r.page_id, r.seq, r.href) for r in q["anchors_harvest"](spark, sf).collect())
+    assert plain and plain == sorted((r.page_id, r.seq, r.href) for r in q["anchors_parsed"](spark, sf).collect()) == sorted((r.page_id, r.seq, r.href) for r in q["anchors_lateral"](spark, sf).collect())
+
+
+def test_table_functions(spark):
+    from folioforge.functions import tables
+
+    tables.register(spark)
+    html = '<head><title>t</title><meta name="a" content="b"></head><A HREF="/x">y<b>z</b></A>'
+    assert spark.sql(f"select * from html_anchors('{html}')").collect() == [(0, "/x", "y|z")]
+    assert spark.sql(f"select * from html_metas('{html}')").collect() == [(0, "a", "b")]
+    assert [(r.tag_name, r.n_attr) for r in spark.sql(f"select * from html_tags('{html}')").collect()] == [("head", 0), ("title", 0), ("meta", 2)]
+
+
 def test_citations_and_probe(spark):
     html = '<title>Volume 9, Number 4—April 2003</title><table><tr><th>AMA</th><th>x</th><td class="citationCell">a <i>b</i></td></tr><tr><th>EID<td class="y">no<td class="z citationCell">c</table>'
     assert J.citation_cells(pages(spark, ("p", html), ("q", ""))).orderBy("path").collect()[0][1:] == ("AMA|EID|x", "ab", "", "c")
@@ -102,17 +130,17 @@ def test_keywords_are_of_whole_texts(spark, tmp_path):
 
     sf, q = "/root/testdata/sf0.001", registry.queries()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    heads = {r.path: r.md_kwds for r in q["journal_head_metadata_whole"](spark, sf).collect()}
+    heads = {r.path: r.md_kwds for r in q["journal_head_metadata"](spark, sf).collect()}
     assert len(heads) == len(docs)
     for i, r in docs.items():
         words = {"".join(c for c in w if "a" <= c <= "z") for w in (r.text or "").split(" ")}
         assert heads[f"/d/{i}"] == "|".join(sorted(words - {""} | {"zeta"}))
-    for name in ("kwds_mmwr_whole", "kwds_eid_whole", "kwds_pcd_whole"):
+    for name in ("kwds_mmwr", "kwds_eid", "kwds_pcd"):
         got = {r.doc_id: r.md_kwds.split("|") for r in q[name](spark, sf).collect()}
         late = [(i, w) for i, r in docs.items() for w in (r.text or "").split(" ")[8:] if w.isascii() and w.isalpha() and w.islower() and len(w) > 7]
         assert len(got) == len(docs) and late and sum(w in got[i] for i, w in late) > 0.9 * len(late)
     spark.createDataFrame([(1, "a b c d", None)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    assert [r.md_kwds for r in q["journal_head_metadata_whole"](spark, str(tmp_path)).collect()] == ["a|b|c|d|zeta"]
+    assert [r.md_kwds for r in q["journal_head_metadata"](spark, str(tmp_path)).collect()] == ["a|b|c|d|zeta"]
 
 
 def test_one_page_ranges_are_returned(spark):
@@ -120,7 +148,7 @@ def test_one_page_ranges_are_returned(spark):
 
     sf = "/root/testdata/sf0.001"
     orders = spark.read.parquet(f"{sf}/orders.parquet")
-    rows = registry.queries()["dateline_detail_whole"](spark, sf).collect()
+    rows = registry.queries()["dateline_detail"](spark, sf).collect()
     one = [r for r in rows if r.o_orderkey % 7 == 0]
     assert len(rows) == orders.count() and one and all((r.dl_page, r.dl_npgs) == (r.o_orderkey % 900 + 1, 1) for r in one)
 
