@@ -26,12 +26,16 @@ T = BANDS * ROWS
 SEND_IDS = 2_000_000
 #: Bytes of text that are turned into shingles at a time.
 SLICE = 1 << 19
+#: Pairs that one copy of a leader's set is joined with, and members of a bucket that are compared within one cell; larger groups go in parts.
+PAIRS, CELL = 4096, 1024
 #: One-bit coordinates of the finer sketch, and the standard deviations that a pair may lie below what is asked for.
 FINE, DEVIATIONS = 2048, 5.5
 
 _U = np.uint64
 _FULL = _U(0xFFFFFFFFFFFFFFFF)
 _ROUND = mix64(np.arange(1, 2 * FINE + 1, dtype=_U) * _U(0xD1B54A32D192ED03))
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its shingles of `words` lower-cased words."""
     hashed, start, _ = word_hashes(data, offs)
@@ -132,6 +136,15 @@ def _confirmer(num: int, den: int):
     return run
 
 
+def in_parts(df: DataFrame, key: str, size: int, scratch: Scratch) -> DataFrame:
+    """df with `_parts`: in how many parts the rows of its key go, 1 for keys of up to `size` rows. Only the others are joined."""
+    large = scratch.table(df.groupBy(key).agg(F.count("*").alias("_k")).where(F.col("_k") > size).select(key, F.ceil(F.col("_k") / size).cast("int").alias("_parts")))
+    few = large.count()
+    if not few:
+        return df.withColumn("_parts", F.lit(1))
+    return df.join(F.broadcast(large) if few <= SEND_IDS else large, key, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs.
 
@@ -142,7 +155,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null or empty texts and texts of white space have no shingles: n_shingles 0, a component of their own. Rows that
     share an id are one document: they get one component. A null id is linked with nothing: its component_id is null
-    and it is kept. An empty table gives an empty result. Other columns are ignored, whatever their names.
+    and it is kept. Texts of any length are read whole, one at a time if they are long. An empty table gives an empty
+    result. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -161,7 +175,11 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pairs = scratch.table(pairs)
         ids = scratch.table(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
         sets = scratch.table(over_texts(texts_of(ids), "_id", "_text", _setter(words), "doc_id long, s binary", limit=SLICE))
-        joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("right")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("left")), "a")
+        # the set of a document with many pairs is copied, so that no task gets all of them
+        pairs = scratch.table(in_parts(pairs, "a", PAIRS, scratch).withColumn("part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int")).select("a", "b", "part"))
+        copies = pairs.select("a", "part").distinct()
+        left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("left")).join(copies, "a")
+        joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("right")), "b").join(left, ["a", "part"])
         out = scratch.table(joined.select("a", "b", "left", "right").mapInArrow(_confirmer(num, den), "a long, b long"))
         scratch.drop(pairs, ids, sets)
         return out
@@ -180,11 +198,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         # a column a word: their comparison stays small enough to be compiled
         words_ = [F.coalesce(F.col("bits")[k], F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)]
         rest = scratch.table(rest.join(fine, "rep").select("key", "rep", "comp", "bands", *words_)).select("key", "rep", "comp", "bands", *(F.coalesce(f"w{k}", F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)))
+        # a large bucket is cut into a square of cells, of which each task takes one
+        rest = in_parts(rest, "key", CELL, scratch).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int"))
+        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
         x, y = rest.alias("x"), rest.alias("y")
+        cell = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "lo", "hi")] + [(F.col("x.lo") == F.col("x.hi")) | (F.col("x.chunk") != F.col("y.chunk"))]
         apart = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(FINE // 64)), F.lit(0))
         # a pair that is still possible, in the first of the buckets that it shares
         first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
+        pairs = x.join(y, cell[0] & cell[1] & cell[2] & cell[3] & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
         more = confirm(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch)
@@ -199,7 +221,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Rows of docs less all but one document of each component. Rows that share an id are repeats: one of them stays."""
+    """Rows of docs less all but one document of each component. Of rows that share an id and a text one stays; rows that
+    share an id only are one document, and stay or go together. Nulls and empty tables as in link_documents."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-copies")
     links = scratch.table(link_documents(docs, id_col, text_col, words, num, den).select(F.col("doc_id").alias("_kept_id"), "kept"))
@@ -207,4 +230,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = docs.join(F.broadcast(gone) if gone.count() <= SEND_IDS else gone, docs[id_col].cast("long") == gone["_kept_id"], "left_anti")
     if links.where("_kept_id is not null").groupBy("_kept_id").count().where("count > 1").isEmpty():
         return out
-    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
+    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(out.where(F.col(id_col).isNull()))

@@ -75,13 +75,30 @@ def test_long_text_and_stragglers(spark):
     assert got == brute(rows, 3, 85, 100)
 
 
+def test_large_groups_go_in_parts(spark, monkeypatch):
+    """Leaders with many pairs and buckets with many members give what small ones give."""
+    monkeypatch.setattr(minhash, "PAIRS", 8)
+    monkeypatch.setattr(minhash, "CELL", 8)
+    rng = random.Random(6)
+    rows = []
+    for k in range(120):
+        w = [f"w{i}" for i in range(150)]
+        for at in rng.sample(range(150), rng.choice([1, 3, 5, 8, 10])):
+            w[at] = f"x{k}-{at}"
+        rows.append((k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.link_documents(df, words=3, num=85).collect()}
+    assert got == brute(rows, 3, 85, 100)
+
+
 def test_repeated_rows_null_ids_and_clashing_columns(spark):
     rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "y"), (None, "a b c d e f g", "z"), (2, "q r s t u v w", "x"), (3, None, "x"), (None, None, None), (1, "q r s t u v w", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id string").selectExpr("*", "1 as kept", "'k' as cls", "array(1L) as bands", "'a' as a", "'_text' as _text")
     got = minhash.link_documents(df).collect()
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == [("1", "1", True)] * 3 + [("2", "1", False), ("3", "3", True), ("None", "None", True), ("None", "None", True)]
     kept = minhash.drop_near_copies(df)
-    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None", "None"]
+    # an id's different texts both stay, its repeated text once
+    assert kept.columns == df.columns and sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "a b c d e f g"), ("1", "q r s t u v w"), ("3", "None"), ("None", "None"), ("None", "a b c d e f g")]
 
 
 def test_empty_tables(spark):
