@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import filtered, fold, hashed_sample, over_texts, tune, word_hashes
+from folioforge.llm.common import Scratch, filtered, fold, hashed_sample, over_texts, tune, word_hashes
 
-#: Labelled documents that the field is trained on, and lines of a training sequence (longer ones are cut in several).
-SAMPLE, SEQUENCE = 4000, 256
+#: Labelled documents that the field is trained on at most, and lines of a training sequence (longer documents are cut into
+#: several); of their sequences at most SEQUENCES, with at most LINES lines in all, go to the driver, by a hash.
+SAMPLE, SEQUENCE, SEQUENCES, LINES = 4000, 128, 8000, 200_000
 
 _UPPER, _LETTER, _DIGIT, _STOP, _SYMBOL = (np.zeros(256, bool) for _ in range(5))
 _UPPER[65:91] = True
@@ -178,33 +179,40 @@ def train(sequences: list[tuple[np.ndarray, int]], steps: int = 250, rate: float
 
 def _featurer(ids, data, offs):
     x, _, bounds = line_features(data, offs)
-    return [ids, pa.array([x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())]
+    return [ids, pa.array([[x[k : min(k + SEQUENCE, b)].tobytes() for k in range(a, b, SEQUENCE)] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.list_(pa.binary()))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> LineField:
-    """Train on at most `sample` labelled documents for which `learn` (over labels) holds, taken by a hash of the id.
-    Documents that are labelled and not in docs, null labels and null texts are left out; without any, all score alike."""
+    """Train on at most `sample` labelled documents for which `learn` (over labels) holds, taken by a hash of the id, and
+    of their lines on at most LINES. A document with several labels has the greatest. Documents that are labelled and
+    not in docs, null ids, labels and texts are left out; without any, all texts score alike. Rows of docs that repeat count as often."""
     spark = docs.sparkSession
     tune(spark)
-    picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
+    picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_lid")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
     picked = hashed_sample(picked, sample, "_lid")
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid")
-    got = over_texts(texts.withColumn("_key", F.col("_y") + 2 * F.col("_lid")), "_key", "_text", lambda: _featurer, "y long, x binary").orderBy("y").toPandas()
-    sequences = []
+    cut = over_texts(texts.withColumn("_key", F.col("_y") + 2 * F.col("_lid")), "_key", "_text", lambda: _featurer, "y long, x array<binary>")
+    cut = Scratch(spark, "lines").table(cut.select("y", F.posexplode("x").alias("at", "x")).withColumn("h", F.xxhash64("y", "at", "x")))
+    got = hashed_sample(cut, SEQUENCES, "h").toPandas()
+    sequences, lines = [], 0
     for y, raw in zip(got["y"], got["x"], strict=True):
         x = np.frombuffer(raw, np.float32).reshape(-1, FEATURES)
-        sequences += [(x[a : a + SEQUENCE], int(y) % 2) for a in range(0, len(x), SEQUENCE)]
+        lines += len(x)
+        if lines > LINES:
+            break
+        sequences.append((x, int(y) % 2))
     return train(sequences)
 
 
 def score_documents(docs: DataFrame, model: LineField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) for every row, over whole texts; null and empty texts score as one empty line."""
+    """(doc_id, score) for every row, over whole texts of any length; null and empty texts score as one empty line. Rows
+    that repeat or share an id are each scored, as is a null id. An empty table gives an empty result; other columns are ignored."""
     tune(docs.sparkSession)
     return over_texts(docs, id_col, text_col, lambda: lambda ids, data, offs: [ids, pa.array(model.score(data, offs), pa.float64())], "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: LineField, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """Rows of docs, unchanged, that score `least` or more."""
+    """Rows of docs, all columns unchanged, whose whole text scores `least` or more; null texts as empty ones, repeated rows each."""
     tune(docs.sparkSession)
     return filtered(docs, text_col, lambda: lambda data, offs: model.score(data, offs) >= least)
 
