@@ -8,16 +8,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import filtered, fold, folded, hashed_grams, over_texts, tune
+from folioforge.llm.common import Scratch, filtered, fold, folded, hashed_grams, over_texts, pieces, tune
 
 BITS, GRAMS = 15, (1, 2, 3)
-#: Documents of each language, as expected, that the regression is fitted on; document frequencies are of all.
+#: Different texts of each language that the regression is fitted on, all if there are no more; document frequencies are of all.
 SAMPLE = 1500
-#: Languages that are learned at most: those with the most documents. Sets the size of the model, not of the input.
+#: Languages that the model's dense weights have room for; more are an error.
 LANGUAGES = 1000
+#: Below so many texts in all, the temperature is fitted on predictions of models that each left out one of FOLDS parts; else one part is left out.
+CROSSED, FOLDS = 500, 5
 UNKNOWN = "und"
 
 
@@ -90,8 +92,6 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def _frequencies(batches):
     """Of each task: the number of its documents with each bin, and at bin -1 that of all its documents."""
-    from folioforge.llm.common import pieces
-
     total, n = np.zeros(1 << BITS, np.int64), 0
     for batch in batches:
         for _, data, offs in pieces(batch, "_text"):
@@ -111,10 +111,15 @@ def _counter(ids, data, offs):
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> LanguageModel:
     """Learn from the rows for which `learn` holds and whose language isn't null: document frequencies from all of
-    them, the regression and the temperature from about `sample` rows a language, taken by a hash of the text."""
-    tune(docs.sparkSession)
-    known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
-    sizes = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(LANGUAGES).collect()}
+    them, the regression and the temperature from at most `sample` different texts a language, those with the least
+    hashes. Null texts are left out; without rows, or with one language, the temperature stays 1."""
+    spark = docs.sparkSession
+    tune(spark)
+    known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang")).withColumn("_h", F.xxhash64("_text", F.lit(11)))
+    hashes = Scratch(spark, "languages").table(known.select("_lang", "_h").distinct())
+    sizes = {r["_lang"]: r["count"] for r in hashes.groupBy("_lang").count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages")
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.ones(1 << BITS), np.zeros(((1 << BITS) + 1, 0)))
@@ -124,22 +129,39 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     frequency = np.zeros(1 << BITS)
     frequency[list(seen)] = list(seen.values())
     model = LanguageModel(languages, np.log((1 + n) / (1 + frequency)) + 1, np.zeros(((1 << BITS) + 1, len(languages))))
-    share = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / v)))])
-    taken = known.where(F.pmod(F.xxhash64("_text", F.lit(11)), F.lit(1 << 20)) < F.element_at(share, F.col("_lang")) * (1 << 20))
+    # hashes above a language's bound can't be among its least ones; what is left of a language is ranked
+    h = F.pmod("_h", F.lit(1 << 40))
+    bound = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(1 << 40 if v <= 2 * sample else int((1 << 40) * (1.2 * sample + 200) / v)))])
+    ranked = hashes.where(h < F.element_at(bound, F.col("_lang"))).withColumn("_r", F.row_number().over(Window.partitionBy("_lang").orderBy(h, "_h")))
+    chosen = ranked.where(F.col("_r") <= sample).select("_lang", "_h")
     index = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
-    got = over_texts(taken.withColumn("_id", F.element_at(index, F.col("_lang"))), "_id", "_text", lambda: _counter, "y long, bins binary, counts binary").toPandas()
+    taken = known.join(F.broadcast(chosen), ["_lang", "_h"]).dropDuplicates(["_lang", "_h"]).withColumn("_id", F.element_at(index, F.col("_lang")))
+    got = over_texts(taken, "_id", "_text", lambda: _counter, "y long, bins binary, counts binary").toPandas()
     vectors = []
     for y, b, c in zip(got["y"], got["bins"], got["counts"], strict=True):
         bins = np.frombuffer(b, np.int32)
         vectors.append((bins, model.vector(bins, np.frombuffer(c, np.int32)), int(y)))
     vectors.sort(key=lambda v: (v[2], len(v[0]), v[0].tobytes(), v[1].tobytes()))  # the same model however tasks end
-    check = [v for i, v in enumerate(vectors) if i % 5 == 0]
-    fit_ftrl([v for i, v in enumerate(vectors) if i % 5], model)
-    if len(check) >= 20 and len(languages) > 1:
-        model.temperature = fit_temperature(np.array([model.logits(b, x) for b, x, _ in check]), np.array([y for *_, y in check]))
+    calibrate(model, vectors)
     return model
 
 
+def calibrate(model: LanguageModel, vectors: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+    """Fit the regression, and the temperature on rows that the models which predict them haven't seen (CROSSED)."""
+    few = len(vectors) < CROSSED
+    logits, y = [], []
+    if len(model.languages) > 1 and len(vectors) >= FOLDS:
+        for k in range(FOLDS if few else 1):
+            fit_ftrl([v for i, v in enumerate(vectors) if i % FOLDS != k], model)
+            left = vectors[k::FOLDS]
+            logits += [model.logits(b, x) for b, x, _ in left]
+            y += [v[2] for v in left]
+    if few or not logits:
+        fit_ftrl(vectors, model)
+    if logits:
+        model.temperature = fit_temperature(np.array(logits), np.array(y))
+
+
 def _predictor(model: LanguageModel):
     def make():
         def f(ids, data, offs):
@@ -154,13 +176,15 @@ def _predictor(model: LanguageModel):
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row. Null texts and texts without a letter are `und` with score 0, as is
-    every text if there was nothing to learn from. Whole texts are read; other columns are ignored."""
+    every text if there was nothing to learn from. Whole texts are read; rows that repeat or share an id are each
+    predicted, as is a null id. An empty table gives an empty result; other columns are ignored."""
     tune(docs.sparkSession)
     return over_texts(docs, id_col, text_col, _predictor(model), "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5, languages: set[str] | None = None) -> DataFrame:
-    """Rows of docs, unchanged, whose language is found with a score of `least` or more (and is one of `languages`)."""
+    """Rows of docs, all columns unchanged, whose language is found in the whole text with a score of `least` or more (and
+    is one of `languages`). Null texts and texts without a letter go; repeated rows are each looked at."""
     tune(docs.sparkSession)
 
     def make():
