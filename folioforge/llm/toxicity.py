@@ -95,9 +95,10 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, epochs: i
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> ToxicModel:
     """Fit on at most `sample` labelled documents for which `learn` (over labels) holds, taken by a hash of the id.
-    Null labels and texts are left out; with one class only, or none, all texts score alike."""
+    A document with several labels has the greatest. Null ids, labels and texts are left out; with one class only, or
+    none, all texts score alike. Rows of docs that repeat count as often."""
     tune(docs.sparkSession)
-    picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_y"))
+    picked = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_lid")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
     picked = hashed_sample(picked, sample, "_lid")
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid").select(F.col("_y").cast("long").alias("_y"), "_lid", "_text")
     counts = texts.select("_y", "_text").mapInArrow(_counts, "bin int, clean long, toxic long").groupBy("bin").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
@@ -130,7 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 
 def score_documents(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) for every row, over whole texts. Null and empty texts have no features: they score as the bias."""
+    """(doc_id, score) for every row, over whole texts of any length. Null and empty texts have no features: they score as
+    the bias. Rows that repeat or share an id are each scored, as is a null id. An empty table gives an empty result; other columns are ignored."""
     tune(docs.sparkSession)
     return over_texts(docs, id_col, text_col, lambda: lambda ids, data, offs: [ids, pa.array(model.score(data, offs), pa.float64())], "doc_id long, score double")
 

@@ -118,3 +118,98 @@ def test_presence_by_text():
     for k, r in enumerate(raw):
         _, alone = toxicity.presence(*folded(np.frombuffer(r, np.uint8), np.array([0, len(r)])), np.ones(1 << toxicity.BITS, bool))
         assert list(bins[text == k]) == list(alone)
+
+
+def plain_features(text):
+    """Character n-grams of lengths 1 to 3, by hand: runs of what isn't a letter are one space, with one at both ends."""
+    low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text)
+    return " " + "".join(c for i, c in enumerate(low) if c != " " or i == 0 or low[i - 1] != " ") + " "
+
+
+def test_language_probabilities_by_hand(spark, tables):
+    """TF-IDF, logits and calibrated probabilities of whole texts, n-gram by n-gram."""
+    from collections import Counter
+
+    from folioforge.llm.common import hashed_grams
+
+    docs = tables[0].where("length(text) < 600").limit(60)
+    model = langid.fit(docs, F.lit(True))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict_languages(docs, model).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    bins = lambda t: Counter(int(hashed_grams(np.array([ord(c) for c in t[i : i + n]], np.uint32), n, langid.BITS)[0]) for n in langid.GRAMS for i in range(len(t) - n + 1))
+    seen = Counter(b for r in docs.where("lang is not null").collect() for b in set(bins(plain_features(r.text))))
+    known = docs.where("lang is not null").count()
+    for k, text in texts.items():
+        x = {b: (1 + np.log(n)) * (np.log((1 + known) / (1 + seen[b])) + 1) for b, n in bins(plain_features(text)).items()}
+        norm = np.sqrt(sum(v * v for v in x.values()))
+        z = model.weights[-1] + sum(v / norm * model.weights[b] for b, v in x.items())
+        p = np.exp(z / model.temperature) / np.exp(z / model.temperature).sum()
+        assert got[k][0] == model.languages[int(p.argmax())] and np.isclose(got[k][1], p.max(), rtol=1e-9)
+
+
+def test_calibration_of_few_rows(spark, tables):
+    """Few rows are predicted by models that haven't seen them; no language is left out, and too many are an error."""
+    docs = tables[0].where("lang is not null").limit(60)
+    model = langid.fit(docs, F.lit(True))
+    assert 0.02 < model.temperature < 20 and model.temperature != 1.0
+    assert langid.fit(docs.limit(2), F.lit(True)).temperature == 1.0
+    many = spark.range(1200).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('l', id) as lang")
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(many, F.lit(True))
+    copies = docs.limit(1).crossJoin(spark.range(3000)).select("text", "lang").unionByName(docs.select("text", "lang")).selectExpr("1L as doc_id", "text", "lang")
+    assert set(langid.fit(copies, F.lit(True), sample=20).languages) == {r.lang for r in docs.collect()}
+
+
+def test_quality_score_by_hand(spark, tables):
+    """The length-weighted mean of the lines' marginals, these by enumeration."""
+    model = quality_crf.LineField(np.random.default_rng(0).normal(size=3 * quality_crf.FEATURES + 1), np.random.default_rng(1).normal(size=(2, 2)))
+    rows = [(1, "One two.\nbuy!! now!!\n\ntwo two\nlast line here"), (2, ""), (3, "\n\n"), (4, "a"), (5, None)]
+    got = {r.doc_id: r.score for r in quality_crf.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for k, text in rows:
+        raw = (text or "").encode()
+        x, _, _ = quality_crf.line_features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        zero = np.zeros(quality_crf.FEATURES)
+        lines = [np.concatenate((x[i], x[i - 1] if i else zero, x[i + 1] if i + 1 < len(x) else zero, [1.0])) @ model.weights for i in range(len(x))]
+        total, good = 0.0, np.zeros(len(x))
+        for labels in itertools.product((0, 1), repeat=len(x)):
+            w = np.exp(sum(s * y for s, y in zip(lines, labels, strict=True)) + sum(model.transition[a, b] for a, b in itertools.pairwise(labels)))
+            total += w
+            good += w * np.array(labels)
+        size = np.array([len(line) for line in raw.split(b"\n")], float)
+        size = size if size.any() else np.ones(len(x))
+        assert np.isclose(got[k], (good / total * size).sum() / size.sum(), rtol=1e-6)
+
+
+def test_toxicity_by_hand(spark, tables):
+    """Which n-grams a text has, their log-count ratios and the score, in plain Python."""
+    from folioforge.llm.common import hashed_grams
+
+    docs = tables[0].where("length(text) < 500").limit(80)
+    labels = docs.selectExpr("doc_id", "if(doc_id % 3 = 0, 1, 0) as toxic").unionByName(docs.limit(1).selectExpr("doc_id", "1 as toxic"))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    weight = dict(zip(model.bins.tolist(), model.weights, strict=True))
+    from folioforge.llm.common import folded
+
+    for r in docs.collect():
+        raw = r.text.encode()
+        _, bins = toxicity.presence(*folded(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])), np.ones(1 << toxicity.BITS, bool))
+        low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in r.text)
+        grams = {int(hashed_grams(np.array([ord(c) for c in low[i : i + n]], np.uint32), n, toxicity.BITS)[0]) for n in toxicity.GRAMS for i in range(len(low) - n + 1)}
+        assert set(bins.tolist()) <= grams
+        z = model.bias + sum(weight.get(b, 0.0) for b in set(bins.tolist()))
+        assert np.isclose(got[r.doc_id], 1 / (1 + np.exp(-z)), atol=1e-9)
+    assert toxicity.fit(docs, labels.where("doc_id < 0"), F.lit(True)).bins.size == 0
+
+
+def test_several_labels_and_long_documents(spark, monkeypatch):
+    """A document with several labels has the greatest; lines that go to the driver are bounded."""
+    docs = spark.range(40).selectExpr("id as doc_id", "if(id % 2 = 0, 'Good words here. ', 'x## !!') as t").selectExpr("doc_id", "repeat(concat(t, '\n'), 500) as text")
+    labels = docs.selectExpr("doc_id", "1 - doc_id % 2 as quality").unionByName(docs.selectExpr("doc_id", "0 as quality"))
+    monkeypatch.setattr(quality_crf, "LINES", 3000)
+    seen = []
+    monkeypatch.setattr(quality_crf, "train", lambda s, t=quality_crf.train: seen.append(s) or t(s))
+    model = quality_crf.fit(docs, labels, F.lit(True))
+    assert 2000 < sum(len(x) for x, _ in seen[0]) <= 3000 and all(len(x) <= quality_crf.SEQUENCE for x, _ in seen[0])
+    scores = {r.doc_id: r.score for r in quality_crf.score_documents(docs, model).collect()}
+    assert min(v for k, v in scores.items() if k % 2 == 0) > max(v for k, v in scores.items() if k % 2)
