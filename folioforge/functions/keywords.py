@@ -45,6 +45,9 @@ EID_REPLACE = [
     ("“unassisted by education, and unfettered by the rules of art,” ", "“unassisted by education and unfettered by the rules of art”, "),
 ]
 PCD_REPLACE = [(";", ","), ("\u0092", "’"), ("Key words: ", ""), ("Key Words: ", ""), ("Tianjin, China", "Tianjin China")]
+# fixed values: suggested citations, by their number or as far as their commas reach, and names that run on into other words
+EID_CITATIONS = [r"Suggested citation for this article:.*?10\.3201/eid\d{4}\.(AC|\d{2})\d{4}", r"Suggested citation for this article:[^,]*?, (?:[^,]*?, ){0,4}[^,]*?(?:, |\z)"]
+PCD_RUN_ONS = {r"\BPreventing Chronic Disease": ",Preventing Chronic Disease", r"NCCDPHP\B": "NCCDPHP,"}
 # fixed values: keywords and descriptions that say nothing of the document
 MMWR_IGNORE = [
     "", "CDC", "Centers For Disease Control and Prevention", "Centers for Disease Control", "Centers for Disease Control and Prevention", "MMWR",
@@ -90,14 +93,17 @@ def mmwr_keywords(text: Column) -> Column:
 def eid_keywords(text: Column) -> Column:
     """Array of keywords; suggested citations go."""
     t = chain(text, EID_REPLACE)
-    t = F.regexp_replace(t, r"Suggested citation for this article:.*?10\.3201/eid\d{4}\.(AC|\d{2})\d{4}", "")
-    return _set(F.regexp_replace(t, r"Suggested citation for this article:[^,]*?, (?:[^,]*?, ){0,4}[^,]*?(?:, |\z)", ""))
+    for pattern in EID_CITATIONS:
+        t = F.regexp_replace(t, pattern, "")
+    return _set(t)
 
 
 def pcd_keywords(text: Column) -> Column:
     """Array of keywords; run-on names of the journal are cut off."""
-    t = F.regexp_replace(chain(text, PCD_REPLACE), r"\BPreventing Chronic Disease", ",Preventing Chronic Disease")
-    return _set(F.regexp_replace(t, r"NCCDPHP\B", "NCCDPHP,"))
+    t = chain(text, PCD_REPLACE)
+    for pattern, cut in PCD_RUN_ONS.items():
+        t = F.regexp_replace(t, pattern, cut)
+    return _set(t)
 
 
 def joined(*sets: Column, ignore: list[str]) -> Column:

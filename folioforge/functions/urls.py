@@ -14,6 +14,10 @@ from folioforge.functions import arrow_function
 LINK = "base string, href string, url string, path string, filename string, mirror_path string, string string"
 
 
+#: A name with an extension: a dot after something that isn't one.
+EXTENSION = r"^\.*[^.].*\."
+
+
 def canonical(url: Column) -> Column:
     """https, without parameters, query and fragment (C1, for absolute URLs)."""
     return F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z]+://", "https://"), r"[?#;].*$", "")
@@ -41,7 +45,7 @@ def mirror_path(path: Column) -> Column:
     """Where a page is kept: index.html for a folder, .html after a name without an extension (C2), slashes forward."""
     path = F.translate(path, "\\", "/")
     name = filename_of(path)
-    return F.when(name == "", F.concat(path, F.lit("index.html"))).when(~name.contains("."), F.concat(path, F.lit(".html"))).otherwise(path)
+    return F.when(name == "", F.concat(path, F.lit("index.html"))).when(~name.rlike(EXTENSION), F.concat(path, F.lit(".html"))).otherwise(path)
 
 
 def resolve_native(base: Column, href: Column) -> Column:
@@ -63,7 +67,7 @@ def resolve(base: str, href: str | None, text: str) -> dict | None:
     path = parts.path.split(";")[0] if ";" in parts.path.rsplit("/", 1)[-1] else parts.path
     url = f"https://{parts.netloc}{path}" if parts.netloc else f"https:{path}"
     name = posixpath.basename(path)
-    kept = path + "index.html" if not name else path if "." in name else path + ".html"
+    kept = path + "index.html" if not name else path if posixpath.splitext(name)[1] else path + ".html"
     return {"base": base, "href": href, "url": url, "path": path, "filename": name, "mirror_path": kept, "string": text}
 
 

@@ -76,6 +76,18 @@ def dateline_parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([_dateline_parts(x) for x in s], columns=["title", "volumes", "div", "citations", "notes"])
 
 
+def text_nodes(html: Column | str, pattern: str) -> Column:
+    """The texts that match a pattern, in document order: struct(seq, tag, size, string, around) of each."""
+    compiled = re.compile(pattern)
+
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield s.map(lambda x: [dict(zip(("seq", "tag", "size", "string", "around"), n, strict=True)) for n in K.text_nodes(K.parse(x), compiled)])
+
+    found.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return arrow_function("array<struct<seq int, tag string, size int, string string, around string>>")(found)(html)
+
+
 @arrow_function(TAGS)
 def head_tags(s: pd.Series) -> pd.Series:
     return s.map(lambda x: [{"name": n, "string": t, "attrs": a} for n, t, a in K.tags(K.parse(K.head_only(x or "")))])

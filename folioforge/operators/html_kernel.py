@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import html.parser
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -129,13 +130,65 @@ class _Builder(HTMLParser):
             self.at.children.append(data)
 
 
-def parse(text: str | None) -> Node:
+#: Markup that leaves nothing to tolerate: a comment, a doctype, an end tag, a start tag with plain attributes.
+_PLAIN = re.compile(
+    r"""<!--(?!-?>)(?:[^-]|-(?!-))*-->|<!doctype[^<>\[]*>|</([a-z][a-z0-9]*)>|<([a-z][a-z0-9]*)((?:\s+[a-z_][a-z0-9_:.-]*(?:=(?:"[^"]*"|'[^']*'|[^\s"'=<>`/]+))?)*)\s*(/?)>""", re.I
+)
+_ATTRIBUTE = re.compile(r"""([a-z_][a-z0-9_:.-]*)(?:=(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`/]+)))?""", re.I)
+_attribute_text = getattr(html.parser, "_unescape_attribute", html.unescape)
+
+
+def _plain(text: str) -> Node | None:
+    """The tree of a document whose markup is plain throughout, else None: the same tree as by the tokenizer, sooner."""
     b = _Builder()
-    b.feed(text or "")
-    b.close()
+    at, data = 0, b.handle_data
+    while (i := text.find("<", at)) >= 0:
+        m = _PLAIN.match(text, i)
+        if m is None:
+            return None
+        if i > at:
+            data(html.unescape(text[at:i]))
+        at = m.end()
+        end, tag, attributes, empty = m.groups()
+        if end:
+            b.handle_endtag(end.lower())
+        elif tag:
+            tag = tag.lower()
+            found = []
+            if attributes:
+                for a in _ATTRIBUTE.finditer(attributes):
+                    value = a[2] if a[2] is not None else a[3] if a[3] is not None else a[4]
+                    found.append((a[1].lower(), _attribute_text(value) if value and "&" in value else value))
+            if empty:
+                b.handle_startendtag(tag, found)
+                continue
+            b.handle_starttag(tag, found)
+            if tag in ("script", "style"):
+                close = re.compile(rf"</\s*{tag}", re.I).search(text, at)
+                if close is None or text[close.end() : close.end() + 1] != ">" or len(close[0]) != len(tag) + 2:
+                    return None
+                if close.start() > at:
+                    data(text[at : close.start()])
+                at = close.start()
+            elif tag in ("title", "textarea", "iframe", "noembed", "noframes", "xmp", "plaintext"):
+                nxt = text.find("<", at)
+                if nxt < 0 or text[nxt : nxt + len(tag) + 3].lower() != f"</{tag}>":
+                    return None
+    if at < len(text):
+        data(html.unescape(text[at:]))
     return b.root
 
 
+def parse(text: str | None) -> Node:
+    root = _plain(text or "")
+    if root is None:
+        b = _Builder()
+        b.feed(text or "")
+        b.close()
+        root = b.root
+    return root
+
+
 def head_only(text: str) -> str:
     """The part before the body, for what is read from the head alone."""
     m = re.search(r"(?i)</head>|<body[ >]", text)

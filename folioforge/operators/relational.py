@@ -114,6 +114,13 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     return out.select(*(F.when(F.col(g) == 1, "All").otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c, g in ((a, "_a"), (b, "_b"))), "n")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where it has fewer partitions than that, as a small file has, for costly work by row. Tables of
+    ordinary size come as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def grouping_counts(df: DataFrame, sets: list[list[str]]) -> DataFrame:
     """Counts by each set of columns, one table for all (B7, K1): `_set` is its columns with commas between; columns outside it are null."""
     out = []

@@ -78,7 +78,7 @@ def eid_pages(spark, sf_dir):
     cell = F.concat(F.lit('<table><tr><th>AMA</th><td class="citationCell">x</td></tr><tr><th>EID</th><td class="citationCell">2017;23(12):'), (k % 5000 + 1).cast("string"), F.lit("</td></tr></table>"))
     html = F.concat(F.lit("<html><body><h5 class=header>"), text, F.lit("</h5>"), F.when(k % 4 == 0, "").otherwise(cell), F.lit("</body></html>"))
     path = F.concat(F.lit("/eid/article/"), vol, F.lit("/"), iss, F.lit("/"), F.lpad(k.cast("string"), 9, "0"), F.lit("_article.html"))
-    return load(spark, sf_dir, "orders").select(path.alias("path"), html.alias("html"), k)
+    return R.spread(load(spark, sf_dir, "orders")).select(path.alias("path"), html.alias("html"), k)
 
 
 EID_PATH = "'/eid/article/' || (o_orderkey % 28 + 1) || '/' || (o_orderkey % 12 + 1) || '/' || lpad(o_orderkey::varchar, 9, '0') || '_article.html'"
@@ -112,7 +112,7 @@ def pcd_pages(spark, sf_dir):
     late = F.concat(F.when(k % 3 == 0, "ORIGINAL RESEARCH — ").otherwise(""), F.lit("<em>Volume "), (k % 8 + 9).cast("string"), F.lit(" — "), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("</em>"))
     html = F.concat(F.lit("<html><body><div>Volume 1 of all</div><p>"), F.when(k % 2 == 0, early).otherwise(F.replace(F.replace(late, F.lit("<em>"), F.lit("")), F.lit("</em>"), F.lit("  "))), F.lit("</p><p>more</p></body></html>"))
     path = F.concat(F.lit("/pcd/issues/"), F.date_format("o_orderdate", "yyyy"), F.lit("/"), F.lpad(k.cast("string"), 8, "0"), F.lit(".htm"))
-    return load(spark, sf_dir, "orders").select(path.alias("path"), html.alias("html"), k)
+    return R.spread(load(spark, sf_dir, "orders")).select(path.alias("path"), html.alias("html"), k)
 
 
 @query("""select '/pcd/issues/' || strftime(o_orderdate, '%Y') || '/' || lpad(o_orderkey::varchar, 8, '0') || '.htm' as path,
@@ -120,12 +120,13 @@ def pcd_pages(spark, sf_dir):
     case when o_orderkey % 10 = 0 then '09' when o_orderkey % 2 = 0 then lpad((o_orderkey % 8 + 1)::varchar, 2, '0') || '(' || (o_orderkey % 4 + 1) || ')' else lpad((o_orderkey % 8 + 9)::varchar, 2, '0') end as dl_vol_iss,
     case when o_orderkey % 10 <> 0 and o_orderkey % 2 = 0 then strftime(o_orderdate, '%Y-%m') else strftime(o_orderdate, '%Y') end as dl_year_mo,
     case when o_orderkey % 10 = 0 then '2012-03-01' when o_orderkey % 8 = 4 then '2008-01-15' when o_orderkey % 2 = 0 then 'xxxx-xx' else strftime(o_orderdate, '%Y-%m-%d') end as dl_date,
-    '' as dl_art_num, 'en' as lang, case when o_orderkey % 10 = 0 then 'ESSAY' when o_orderkey % 2 = 1 and o_orderkey % 3 = 0 then 'ORIGINAL RESEARCH' else '' end as dl_cat from orders""")
+    case when o_orderkey % 6 = 0 then 'A' || o_orderkey else '' end as dl_art_num, 'en' as lang, case when o_orderkey % 10 = 0 then 'ESSAY' when o_orderkey % 2 = 1 and o_orderkey % 3 = 0 then 'ORIGINAL RESEARCH' else '' end as dl_cat from orders""")
 def journal_pcd_datelines(spark, sf_dir):
-    """Both forms, corrections of every tenth page, and the date of one issue from its lookup."""
+    """Both forms, corrections of every tenth page, the date of one issue and article numbers from their lookups."""
     pages = pcd_pages(spark, sf_dir)
     fixes = pages.where("o_orderkey % 10 = 0").select(F.col("path").alias("key"), F.lit("ESSAY — Volume 9 — March 1, 2012").alias("value"))
-    return J.pcd_article_datelines(pages, fixes, spark.createDataFrame([("05(1)", "2008-01-15")], "key string, value string"))
+    numbers = pages.where("o_orderkey % 6 = 0").select(F.col("path").alias("key"), F.concat(F.lit("A"), F.col("o_orderkey").cast("string")).alias("value"))
+    return J.pcd_article_datelines(pages, fixes, spark.createDataFrame([("05(1)", "2008-01-15")], "key string, value string"), numbers)
 
 
 @query("""select '/pcd/' || case when o_orderkey % 2 = 0 then 'es/' else 'issues/' end || '2011' || case when o_orderkey % 2 = 0 then '_sep_toc' else '/sep/toc' end || '.htm?' || o_orderkey as path,
@@ -157,7 +158,7 @@ def head_pages(spark, sf_dir):
         F.lit("<html><head><title> Doc "), k.cast("string"), F.lit('</title><link rel="canonical" href="/d/'), k.cast("string"), F.lit('"><meta name="keywords" content="'), F.array_join(clean, ","), F.lit(',CDC"><meta name="Keywords" content="zeta; CDC">'),
         F.lit('<meta name="citation_author" content="A"><meta name="citation_author" content="B"><meta name="empty" content=""><meta property="og:x" content="'), lang, F.lit('"></head><body><title>no</title></body></html>'),
     )
-    return load(spark, sf_dir, "documents").select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
+    return R.spread(load(spark, sf_dir, "documents")).select(F.concat(F.lit("/d/"), k.cast("string")).alias("path"), head.alias("html"))
 
 
 def attr_counts(pairs):
@@ -293,9 +294,26 @@ def svg_counts_joined(spark, sf_dir):
     return counts.join(pages.select("doc_id", P.svg_lengths("html")["len5"].alias("len5")), "doc_id")
 
 
-@query("with w as (select doc_id, unnest(range(0, 2))::int as seq, coalesce(source, '') as source, coalesce(lang, '') as lang from documents) select doc_id, seq, case when seq = 0 then 'p' else 'b' end as tag, 'Volume ' || case when seq = 0 then source else lang end as string from w")
+@query("with w as (select doc_id, unnest(range(0, 2))::int as seq, coalesce(source, '') as source, coalesce(lang, '') as lang from documents) select doc_id, seq, case when seq = 0 then 'p' else 'b' end as tag, 'No. ' || case when seq = 0 then source else lang end as string, (case when seq = 0 then 28 + length(source) + length(lang) else 11 + length(lang) end)::int as size from w")
 def text_node_search(spark, sf_dir):
-    """Text nodes that match, with their place and element."""
-    html = F.concat(F.lit("<p>Volume "), F.coalesce("source", F.lit("")), F.lit("<b>Volume "), F.coalesce("lang", F.lit("")), F.lit("</b> other</p>"))
-    docs = load(spark, sf_dir, "documents").select("doc_id", P.dateline_parts(html).alias("p"))
-    return docs.select("doc_id", F.explode("p.notes").alias("n")).select("doc_id", "n.seq", "n.tag", "n.string")
+    """Text nodes that match a pattern, with their place, element and its length."""
+    html = F.concat(F.lit("<p>No. "), F.coalesce("source", F.lit("")), F.lit("<b>No. "), F.coalesce("lang", F.lit("")), F.lit("</b> other</p>"))
+    docs = R.spread(load(spark, sf_dir, "documents")).select("doc_id", P.text_nodes(html, r"^No\.").alias("notes"))
+    return docs.select("doc_id", F.explode("notes").alias("n")).select("doc_id", "n.seq", "n.tag", "n.string", "n.size")
+
+
+@query("""select o_orderkey, case when o_orderkey % 3 < 2 then (2004 + o_orderkey % 20)::varchar end as year, case when o_orderkey % 3 = 0 then '10' end as month, case when o_orderkey % 3 < 2 then lpad((1 + o_orderkey % 20)::varchar, 2, '0') end as volume,
+    case o_orderkey % 3 when 0 then '04_0079_es' when 1 then '11_0132' end as article, o_orderkey % 3 > 0 as english, o_orderkey % 3 = 0 as translated from orders""")
+def pcd_paths(spark, sf_dir):
+    """Parts of articles' paths, and whether they are English or translated."""
+    path = F.expr("case o_orderkey % 3 when 0 then '/pcd/issues/' || (2004 + o_orderkey % 20) || '/oct/04_0079_es.htm' when 1 then '/pcd/issues/' || (2004 + o_orderkey % 20) || '/11_0132.htm' else '/other/cover.htm' end")
+    return load(spark, sf_dir, "orders").select("o_orderkey", *(c.alias(n) for n, c in D.pcd_path(path).items()), D.pcd_english(path).alias("english"), D.pcd_translated(path).alias("translated"))
+
+
+@query(r"""with t as (select doc_id, case when doc_id % 4 < 2 then '  <PRE >' else '' end || coalesce(replace(text, ' t', '   <t'), '') || '&#8203;   &amp;' || chr(10) || chr(10) || chr(10) || chr(10) || '  z' as x from documents),
+    u as (select doc_id, replace(replace(x, '&#8203;', ''), '&amp;', '&') as x from t)
+    select doc_id, regexp_replace(case when doc_id % 4 = 1 then regexp_replace(regexp_replace(x, '(?m)^ +<', '<', 'g'), '(?m) +$', '', 'g') else regexp_replace(regexp_replace(x, ' +', ' ', 'g'), '(?m)^ | $', '', 'g') end, '\n{3,}', chr(10) || chr(10), 'g') as html from u""")
+def cleaned_by_source(spark, sf_dir):
+    """Entities and white space by each source's rule: those of odd numbers spare <pre>."""
+    html = F.concat(F.when(F.col("doc_id") % 4 < 2, "  <PRE >").otherwise(""), F.coalesce(F.replace("text", F.lit(" t"), F.lit("   <t")), F.lit("")), F.lit("&#8203;   &amp;\n\n\n\n  z"))
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", T.cleaned(html, F.col("doc_id") % 2 == 1).alias("html"))

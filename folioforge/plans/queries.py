@@ -126,7 +126,7 @@ PLAIN = "replace(replace(replace(replace(string, '&copy;', '©'), '&middot;', '
     select *, regexp_extract(path, '([^/]*)$', 1) as filename, case when path like '%/' then path || 'index.html' when not contains(regexp_extract(path, '([^/]*)$', 1), '.') then path || '.html' else path end as mirror_path from l""")
 def anchors_parsed(spark, sf_dir):
     """All anchors by the tree, resolved by RFC 3986. These pages' links are all root-relative and without markup, so SQL can follow."""
-    rows = load(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(P.parse_document("html", "anchors")["anchors"]).alias("seq", "a"))
+    rows = R.spread(load(spark, sf_dir, "pages")).select("page_id", "url", F.posexplode(P.parse_document("html", "anchors")["anchors"]).alias("seq", "a"))
     return rows.select("page_id", "seq", U.resolve_links("url", "a.href", "a.string").alias("l")).select("page_id", "seq", "l.*")
 
 
@@ -173,7 +173,7 @@ def declared_pages(spark, sf_dir):
     """Pages of which a third declares another charset, and a third declares one more."""
     k, h = F.col("page_id"), F.col("html")
     other, more = F.replace(h, F.lit('charset="utf-8"'), F.lit('charset="windows-1252"')), F.replace(h, F.lit("<head>"), F.lit('<head><meta http-equiv="x" content="text/html; charset=US-ASCII">\n'))
-    return load(spark, sf_dir, "pages").withColumn("html", F.when(k % 3 == 0, other).when(k % 3 == 1, more).otherwise(h))
+    return R.spread(load(spark, sf_dir, "pages")).withColumn("html", F.when(k % 3 == 0, other).when(k % 3 == 1, more).otherwise(h))
 
 
 @query(f"""with p as (select page_id, {DECLARED} as html from pages), t as (select page_id, html, array_to_string(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1), '|') as charsets, not regexp_matches(html, '[^\x00-\x7F]') as ascii, not regexp_matches(hex(encode(html)), '^(..)*(81|8D|8F|90|9D)') as windows_1252 from p)
@@ -215,7 +215,7 @@ def entity_resolve(spark, sf_dir):
 
 @query("select page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&') as html from pages")
 def entity_repair(spark, sf_dir):
-    return load(spark, sf_dir, "pages").select("page_id", T.repair_entities(F.col("html")).alias("html"))
+    return R.spread(load(spark, sf_dir, "pages")).select("page_id", T.repair_entities(F.col("html")).alias("html"))
 
 
 SPOILT = "replace(replace(coalesce(text, ''), ' t', '  ' || chr(160) || 't'), chr(10), ' ' || chr(13) || chr(10) || ' ' || chr(8232) || chr(10) || chr(10))"
@@ -224,12 +224,12 @@ SPOILT = "replace(replace(coalesce(text, ''), ' t', '  ' || chr(160) || 't'), ch
 @query(rf"select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(replace({SPOILT}, chr(160), ' '), chr(13) || chr(10), chr(10)), chr(8232), chr(10)), ' +', ' ', 'g'), '(?m)^ | $', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') as text from documents")
 def space_reduce(spark, sf_dir):
     spoilt = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(" t"), F.lit("  \u00a0t")), F.lit("\n"), F.lit(" \r\n \u2028\n\n"))
-    return load(spark, sf_dir, "documents").select("doc_id", T.reduce_space(spoilt).alias("text"))
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", T.reduce_space(spoilt).alias("text"))
 
 
 @query("select page_id, regexp_replace(regexp_replace(html, '(?is)^(.*?)</body>', '\\1'), '(?is)^(.*?)</html>', '\\1') as html from pages")
 def first_closer_removed(spark, sf_dir):
-    return load(spark, sf_dir, "pages").select("page_id", T.first_closers_removed(F.col("html")).alias("html"))
+    return R.spread(load(spark, sf_dir, "pages")).select("page_id", T.first_closers_removed(F.col("html")).alias("html"))
 
 
 @query("select page_id, len(regexp_extract_all(html, '(?i)<p[ >]')) as p, len(regexp_extract_all(html, '(?i)<li[ >]')) as li, len(regexp_extract_all(html, '(?i)<svg[ >]')) as svg, regexp_matches(html, '(?i)<pre[ >]') as pre from pages")
@@ -247,7 +247,7 @@ def svg_pages(spark, sf_dir):
     """Small pages with none to three drawings between texts of any length."""
     drawings = F.repeat(F.lit(f"{SVG}<p>x</p>"), (F.col("doc_id") % 4).cast("int"))
     words = F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-z ]", "")
-    return load(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<html><body><p>"), words, F.lit("</p>"), drawings, F.lit("</body></html>")).alias("html"))
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", F.concat(F.lit("<html><body><p>"), words, F.lit("</p>"), drawings, F.lit("</body></html>")).alias("html"))
 
 
 @query(f"""with a as (select doc_id, (doc_id % 4)::int as k, length(regexp_replace(coalesce(text, ''), '[^a-z ]', '', 'g'))::int as w from documents),
@@ -278,7 +278,7 @@ def weekly(spark, sf_dir):
     k = F.col("o_orderkey")
     name = F.expr(WEEKLY)
     text = F.concat(name, F.lit(" / "), F.date_format("o_orderdate", "MMMM dd, yyyy"), F.lit(" / "), (F.year("o_orderdate") - 1951).cast("string"), F.lit("("), (k % 53 + 1).cast("string"), F.lit(");"), (k % 900 + 1).cast("string"), F.lit("-"), (k % 900 + 1 + k % 7).cast("string"))
-    return load(spark, sf_dir, "orders").select("o_orderkey", text.alias("dateline"))
+    return R.spread(load(spark, sf_dir, "orders")).select("o_orderkey", text.alias("dateline"))
 
 
 @query(f"with {WEEKLY_SQL} select o_orderkey, dateline, 'mm' || case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as series, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol || '(' || lpad((o_orderkey % 53 + 1)::varchar, 2, '0') || ')' as dl_vol_iss, (vol + 1951)::varchar as dl_year_mo, lpad((o_orderkey % 900 + 1)::varchar, 4, '0') as dl_page from wk")
@@ -298,7 +298,7 @@ txt as (
 
 
 def page_strings(spark, sf_dir):
-    rng = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderkey % 8 as kind", "o_orderkey % 900 + 100 as a", "o_orderkey % 900 + 100 + o_orderkey % 60 as b")
+    rng = R.spread(load(spark, sf_dir, "orders")).selectExpr("o_orderkey", "o_orderkey % 8 as kind", "o_orderkey % 900 + 100 as a", "o_orderkey % 900 + 100 + o_orderkey % 60 as b")
     short = F.expr("""case kind when 0 then a || '-' || case when a div 100 = b div 100 then right('0' || (b % 100), 2) else '' || b end when 1 then a || '-' || b when 2 then '00' || a when 3 then '' || a
         when 4 then '0' || a || '-0' || b when 5 then 'ii-' || array('v', 'ix', 'xv')[int(a % 3)] when 6 then 'xi' else array('x-' || a, a || '-' || b || '-1', 'i-xx')[int(a % 3)] end""")
     return rng.select("o_orderkey", "kind", "a", short.alias("short"))
@@ -405,13 +405,13 @@ def head_meta(spark, sf_dir):
     """Of heads alone, into which a canonical link, metas with and without content, and properties are put."""
     k = F.col("page_id").cast("string")
     more = F.concat(F.lit('<link rel="x canonical" href="/c/'), k, F.lit('"><meta name="first" content="v'), k, F.lit('"><meta name="none" content=""><meta content="nameless">'), F.repeat(F.lit('<meta property="p" content="q">'), (F.col("page_id") % 3).cast("int")), F.lit("</head>"))
-    p = load(spark, sf_dir, "pages").select("page_id", P.parse_document(F.replace("html", F.lit("</head>"), more), "title", "canonical", "metas").alias("p"))
+    p = R.spread(load(spark, sf_dir, "pages")).select("page_id", P.parse_document(F.replace("html", F.lit("</head>"), more), "title", "canonical", "metas").alias("p"))
     return p.select("page_id", "p.title", "p.canonical", F.size("p.metas").alias("n_metas"), F.col("p.metas")[0]["content"].alias("first_meta"))
 
 
 @query("select t as tag_name, count(*) as n from (select unnest(regexp_extract_all(regexp_extract(html, '(?is)^(.*?)</head>', 1), '<([a-z]+)[ >]', 1)) as t from pages) group by 1")
 def head_tag_inventory(spark, sf_dir):
-    rows = load(spark, sf_dir, "pages").select("page_id", F.posexplode(P.head_tags("html")).alias("seq", "t"))
+    rows = R.spread(load(spark, sf_dir, "pages")).select("page_id", F.posexplode(P.head_tags("html")).alias("seq", "t"))
     return rows.groupBy(F.col("t.name").alias("tag_name")).agg(F.count("*").alias("n"))
 
 
@@ -454,19 +454,21 @@ def all_keyword_text(text):
 @query(f"select doc_id, {_set_sql(ALL_KW + " || ', MMWR, CDC'", W.MMWR_REPLACE, W.MMWR_IGNORE)} as md_kwds from documents")
 def kwds_mmwr(spark, sf_dir):
     text = F.concat(all_keyword_text(F.col("text")), F.lit(", MMWR, CDC"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.mmwr_keywords(text), ignore=W.MMWR_IGNORE).alias("md_kwds"))
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", W.joined(W.mmwr_keywords(text), ignore=W.MMWR_IGNORE).alias("md_kwds"))
 
 
 @query(f"select doc_id, {_set_sql("'Keywords: ' || " + ALL_KW + " || ', CDC'", W.EID_REPLACE, W.EID_IGNORE)} as md_kwds from documents")
 def kwds_eid(spark, sf_dir):
-    text = F.concat(F.lit("Keywords: "), all_keyword_text(F.col("text")), F.lit(", CDC"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.eid_keywords(text), ignore=W.EID_IGNORE).alias("md_kwds"))
+    number, commas = F.lit(", Suggested citation for this article: A B. 10.3201/eid2312.AC2312"), F.lit(", Suggested citation for this article: A B, C D, title, 2010")
+    cited = F.when(F.col("doc_id") % 3 == 0, number).when(F.col("doc_id") % 3 == 1, commas).otherwise("")
+    text = F.concat(F.lit("Keywords: "), all_keyword_text(F.col("text")), F.lit(", CDC"), cited)
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", W.joined(W.eid_keywords(text), ignore=W.EID_IGNORE).alias("md_kwds"))
 
 
-@query(f"select doc_id, {_set_sql("replace('Key words: ' || " + ALL_KW + ", ', ', '; ') || ',PCD,' || coalesce(lang, 'none')", W.PCD_REPLACE, W.PCD_IGNORE)} as md_kwds from documents")
+@query(f"select doc_id, {_set_sql("replace('Key words: ' || " + ALL_KW + ", ', ', '; ') || ',PCD,foo,bar,' || coalesce(lang, 'none')", W.PCD_REPLACE, W.PCD_IGNORE)} as md_kwds from documents")
 def kwds_pcd(spark, sf_dir):
-    text = F.concat(F.lit("Key words: "), F.replace(all_keyword_text(F.col("text")), F.lit(", "), F.lit("; ")), F.lit(",PCD"))
-    return load(spark, sf_dir, "documents").select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.coalesce("lang", F.lit("none"))), ignore=W.PCD_IGNORE).alias("md_kwds"))
+    text = F.concat(F.lit("Key words: "), F.replace(all_keyword_text(F.col("text")), F.lit(", "), F.lit("; ")), F.lit(",PCD,fooPreventing Chronic Disease,NCCDPHPbar"))
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", W.joined(W.pcd_keywords(text), W.pcd_keywords(F.coalesce("lang", F.lit("none"))), ignore=W.PCD_IGNORE).alias("md_kwds"))
 
 
 @query("select page_id, case when page_id % 3 = 0 then '' else url end as md_desc from pages")
@@ -556,13 +558,13 @@ def contents_rendered(spark, sf_dir):
     """HTML, plain text and Markdown of a page whose renditions are known, for each document's number."""
     first, *rest = SHOWN.split("{n}")
     html = F.concat(F.lit(first), *(x for r in rest for x in (F.col("doc_id").cast("string"), F.lit(r))))
-    return load(spark, sf_dir, "documents").select("doc_id", html.alias("html")).select("doc_id", F.length("html").alias("html_chars"), P.parse_document("html", "text", "md").alias("p")).select("doc_id", "html_chars", "p.text", "p.md")
+    return R.spread(load(spark, sf_dir, "documents")).select("doc_id", html.alias("html")).select("doc_id", F.length("html").alias("html_chars"), P.parse_document("html", "text", "md").alias("p")).select("doc_id", "html_chars", "p.text", "p.md")
 
 
 @query()
 def contents_renditions(spark, sf_dir):
     """HTML, plain text and Markdown of each page from one parse."""
-    return load(spark, sf_dir, "pages").select("url", F.col("html"), P.parse_document("html", "text", "md").alias("p")).select("url", "html", "p.text", "p.md")
+    return R.spread(load(spark, sf_dir, "pages")).select("url", F.col("html"), P.parse_document("html", "text", "md").alias("p")).select("url", "html", "p.text", "p.md")
 
 
 @query("with k as (select count(distinct page_id) as n from pages) select unnest(['html', 'text', 'md']) as store, n, 0::bigint as missing, 0::bigint as more, 0::bigint as moved from k")

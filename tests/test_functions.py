@@ -27,6 +27,8 @@ def one(spark, value, f):
         ("https://h.org/a/b/c.htm", "../x.htm?y=1#z", "https://h.org/a/x.htm", "/a/x.htm"),
         ("http://h.org/a/", "#top", "https://h.org/a/", "/a/index.html"),
         ("https://h.org/a/b.htm", "//m.org/q;p=1", "https://m.org/q", "/q.html"),
+        ("https://h.org/a/", ".hidden", "https://h.org/a/.hidden", "/a/.hidden.html"),
+        ("https://h.org/a/", "b.c/d.", "https://h.org/a/b.c/d.", "/a/b.c/d."),
         ("https://h.org/a/b.htm", "mailto:x@y.z", "https:x@y.z", "x@y.z"),
     ],
 )
@@ -35,6 +37,12 @@ def test_links(base, href, url, kept):
     assert (row["url"], row["mirror_path"]) == (url, kept)
 
 
+def test_mirror_paths(spark):
+    paths = ["/a/", "/a/b", "/a/b.htm", "/a/.hidden", "/a/..x", "/a/.x.y", "\\a\\b", "/a.b/c"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(U.mirror_path(F.col("p")).alias("m")).collect()
+    assert [r.m for r in got] == ["/a/index.html", "/a/b.html", "/a/b.htm", "/a/.hidden.html", "/a/..x.html", "/a/.x.y", "/a/b.html", "/a.b/c.html"]
+
+
 def test_native_resolution_agrees(spark):
     cases = [("https://h.org/a/b.htm", h) for h in ("/x/y.htm?q=1", "http://o.org/z#t", "//m.org/q;p=1", "#top")]
     df = spark.createDataFrame(cases, "base string, href string").select("base", "href", U.resolve_native(F.col("base"), F.col("href")).alias("u"))
@@ -171,6 +179,35 @@ def test_kernel():
     assert K.parse(None).text() == "" and K.markdown(K.parse("")) == ""
 
 
+def tolerant(text):
+    b = K._Builder()
+    b.feed(text)
+    b.close()
+    return b.root
+
+
+def shape(n):
+    return n if isinstance(n, str) else (n.name, n.attrs, [shape(c) for c in n.children])
+
+
+PIECES = ["<p>", "</p>", "<b class=x id='y'>", "</b>", "<br/>", "<a href=\"/x?a=1&amp;b=2\">", "</a>", "<script>", "</script>", "var a='<p>';", "<!-- c -- d -->", "<!-->", "<!DOCTYPE html>", "a & b", "&lt;i&gt;", "&copy 1", " < ", "<title>", "</title>", "<li", "<td x=>", "\n", "é", "<style>", "</style >", "&", "<img src=/a/>", "<svg viewBox='0 0'/>", "<![CDATA[x]]>", "</>", "text"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_plain_markup_gives_the_tokenizers_tree(pieces):
+    text = "".join(pieces)
+    root = K._plain(text)
+    assert root is None or shape(root) == shape(tolerant(text))
+
+
+def test_pages_are_plain(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    roots = [K._plain(h) for h in pages]
+    assert sum(r is not None for r in roots) > 0.9 * len(pages)
+    assert all(r is None or shape(r) == shape(tolerant(h)) for r, h in zip(roots, pages, strict=True))
+
+
 def test_markdown():
     md = lambda x: K.markdown(K.parse(x))
     assert md("<ul>loose<li>a</li><p>x</p><li>b<ul><li>c</ul></ul>") == "loose\n* a\nx\n* b\n  \n  * c"
