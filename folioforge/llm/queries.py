@@ -9,49 +9,55 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import embed_dedup, jpeg_media, langid, lm_score, minhash, mixing, piece_codec, quality_crf, sharding, toxicity
 from folioforge.llm.common import delete_at_exit, fold, shared_folder, table
+from folioforge.operators.relational import spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, over all cores even if it is one small file."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row as it is read back from the shards of the store's last version."""
     root = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
-    rows = sharding.shard_table(table(spark, sf_dir, "documents"), root)
+    rows = sharding.shard_table(documents(spark, sf_dir), root)
     delete_at_exit(spark, root)
     return rows.select("doc_id", "n_chars", "text_md5", (F.col("shard_bytes") > 0).alias("stored"))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_codec.encode_digests(table(spark, sf_dir, "documents"))
+    return piece_codec.encode_digests(documents(spark, sf_dir))
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.link_documents(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
+    return minhash.link_documents(documents(spark, sf_dir), words=3, num=85, den=100)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     model = quality_crf.fit(docs, table(spark, sf_dir, "labels"), quality_crf.training_rows())
     scored = quality_crf.score_documents(docs, model)
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     found = langid.predict_languages(docs, langid.fit(docs, langid.training_rows()))
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     scored = toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.training_rows()))
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(documents(spark, sf_dir))
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return lm_score.score_documents(docs, lm_score.fit(docs))
 
 
@@ -60,15 +66,31 @@ def op9_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jpeg_media.media_features(jpeg_media.to_media(table(spark, sf_dir, "documents")))
+    return jpeg_media.media_features(jpeg_media.to_media(documents(spark, sf_dir)))
+
+
+def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2 can be held against in SQL: decoding gives the text back, with spaces for the pieces' space sign."""
+    return op2_sentencepiece(spark, sf_dir).select("doc_id", "decoded_sha256")
+
+
+def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op10 can be held against in SQL: the payload that is read back from the media."""
+    return op10_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_minhash, op4_quality, op5_language, op6_toxicity, op7_mixing, op8_lm_score, op9_embedding, op10_media)}
+    return {f.__name__: f for f in (piece_round_trip, media_payload, op1_sharding, op2_sentencepiece, op3_minhash, op4_quality, op5_language, op6_toxicity, op7_mixing, op8_lm_score, op9_embedding, op10_media)}
 
 
 SHARDING_SQL = "select doc_id, length(text) as n_chars, md5(text) as text_md5, true as stored from documents"
 
+ROUND_TRIP_SQL = "select doc_id, sha256(replace(coalesce(text, ''), chr(9601), ' ')) as decoded_sha256 from documents"
+PAYLOAD_SQL = """
+with b as (select doc_id, coalesce(text, '') as t, strlen(coalesce(text, ''))::bigint as n from documents)
+select doc_id, n as n_bytes, greatest(64, (n + 63) // 64 * 64) as payload_bytes, sha256(t || repeat(chr(0), (greatest(64, (n + 63) // 64 * 64) - n)::bigint)) as payload_sha256 from b
+"""
+
 REACH = """
 reach as (
     select id, id as other from nodes
@@ -141,4 +163,4 @@ from placed d join plan on plan.source = d.source left join slots on slots.sourc
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": SHARDING_SQL, "op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}
+    return {"piece_round_trip": ROUND_TRIP_SQL, "media_payload": PAYLOAD_SQL, "op1_sharding": SHARDING_SQL, "op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}

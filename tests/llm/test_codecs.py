@@ -69,6 +69,89 @@ def test_both_decoders_agree_and_damage_is_null():
     assert got[0] == got[1] == got[2] == (None, None) and got[4][0] == texts[0] + bytes(20)
 
 
+def decoded_by_the_standard(file: bytes) -> tuple[int, int, list[list[int]]]:
+    """Width, height and quantised coefficients (in zigzag order, a list a block) of a grey baseline JPEG, bit by bit from
+    the standard's text alone: no code or table of the operator is used."""
+    assert file[:2] == b"\xff\xd8" and file[-2:] == b"\xff\xd9"
+    at, tables, restart, size = 2, {}, 0, (0, 0)
+    while True:
+        marker, length = file[at + 1], int.from_bytes(file[at + 2 : at + 4], "big")
+        body, at = file[at + 4 : at + 2 + length], at + 2 + length
+        if marker == 0xC0:
+            assert body[0] == 8 and body[5] == 1 and body[7] == 0x11
+            size = int.from_bytes(body[3:5], "big"), int.from_bytes(body[1:3], "big")
+        elif marker == 0xC4:
+            while body:
+                counts, symbols, code, k = body[1:17], body[17 : 17 + sum(body[1:17])], 0, 0
+                codes = {}
+                for n, count in enumerate(counts, 1):
+                    for _ in range(count):
+                        assert code < (1 << n) - 1  # no code of ones alone
+                        codes[n, code] = symbols[k]
+                        code, k = code + 1, k + 1
+                    code <<= 1
+                tables[body[0]], body = codes, body[17 + len(symbols) :]
+        elif marker == 0xDD:
+            restart = int.from_bytes(body, "big")
+        elif marker == 0xDA:
+            break
+    scan, intervals, now = file[at:-2], [], bytearray()
+    k = 0
+    while k < len(scan):
+        if scan[k] == 255 and scan[k + 1] == 0:
+            now.append(255)
+        elif scan[k] == 255:
+            assert scan[k + 1] == 0xD0 + len(intervals) % 8
+            intervals.append(now)
+            now = bytearray()
+        else:
+            now.append(scan[k])
+            k -= 1
+        k += 2
+    out = []
+    for raw in [*intervals, now]:
+        bits = "".join(f"{b:08b}" for b in raw)
+        place, dc = 0, 0
+
+        def symbol(codes):
+            nonlocal place
+            for n in range(1, 17):
+                if (n, int(bits[place : place + n], 2)) in codes:
+                    place += n
+                    return codes[n, int(bits[place - n : place], 2)]
+            raise ValueError
+
+        def value(n):
+            nonlocal place
+            v, place = int(bits[place : place + n] or "0", 2) if n else 0, place + n
+            return v if not n or v >> (n - 1) else v - (1 << n) + 1
+
+        for _ in range(restart):
+            dc += value(symbol(tables[0]))
+            block, i = [dc] + [0] * 63, 1
+            while i < 64:
+                s = symbol(tables[16])
+                if s == 0:
+                    break
+                i += s >> 4
+                if s & 15:
+                    block[i] = value(s & 15)
+                i += 1
+            out.append(block)
+        assert set(bits[place:]) <= {"1"} and len(bits) - place < 8
+    return *size, out
+
+
+def test_files_are_those_of_the_standard():
+    texts = [b"", b"plain text " * 30, bytes(range(256)) * 3, b"\xff" * 129, b"\x00" * 63 + b"\x80", "naïve 日本 😀".encode() * 5]
+    offs = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    for text, file in zip(texts, J.write_payloads(np.frombuffer(b"".join(texts), np.uint8), offs), strict=True):
+        across, down, blocks = decoded_by_the_standard(file)
+        stored = text + bytes(max(64, -(-len(text) // 64) * 64) - len(text))
+        got = bytes(v & 255 for b in blocks for v in b)
+        assert got[: len(stored)] == stored and not any(got[len(stored) :]) and len(blocks) == across // 8 * (down // 8)
+
+
 class Bits:
     def __init__(self):
         self.out, self.now, self.n = bytearray(), 0, 0

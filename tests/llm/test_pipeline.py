@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -56,3 +57,26 @@ def test_the_mix_reaches_the_result(spark):
     docs = spark.createDataFrame(rows[["doc_id", "source"]])
     mix = sorted(mixing.mix(docs).collect(), key=lambda r: (r.slot, r.source, r.place))
     assert rows["doc_id"].tolist() == [r.doc_id for r in mix] and rows["in_mix"].tolist() == [r.in_mix for r in mix]
+
+
+ODD = [(9101, None), (9102, ""), (9103, " \n"), (9104, "12 34 --")]
+
+
+def test_odd_rows_in_every_stage(spark):
+    """Nulls in every column, empty and very long texts, repeats, clashing columns, and empty tables."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    some = docs.where("length(text) > 400").orderBy("doc_id").limit(30)
+    first = some.first()
+    clean = first.text
+    rows = [(k, t, None, None, None) for k, t in ODD] + [(None, clean, None, None, None), (None, clean, "en", "s", 1), (9001, clean + (" " + clean) * 300, None, None, None), (9002, clean, "en", None, 3), (9002, clean, "en", None, 3), (first.doc_id, clean[::-1] and "other " + clean, "en", "x", 4)]
+    df = some.unionByName(spark.createDataFrame(rows, docs.schema)).withColumns({c: F.lit("clash") for c in ("score", "slot", "kept", "_text", "_id", "_mix_id", "mix_place", "_file")})
+    now, ids = df, []
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, now, SF).cache()
+        assert name == "pieces" or got.columns == df.columns
+        assert stage(spark, df.limit(0), SF).count() == 0
+        ids.append(sorted(str(r.doc_id) for r in got.select("doc_id").collect()))
+        now = got if name != "pieces" else now
+    assert not {str(k) for k, _ in ODD} & set(ids[0]) and {"None", "9001", "9002"} <= set(ids[0])
+    assert ids[2].count("None") == ids[1].count("None") and ids[2].count("9002") <= 1
+    assert ids[3] == ids[2] and ids[4] == ids[3]
