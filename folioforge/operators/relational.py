@@ -115,8 +115,8 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores where it has fewer partitions than that, as a small file has, for costly work by row. Tables of
-    ordinary size come as they are, without a shuffle."""
+    """A scan over all cores where it has fewer partitions than that, as a small file has, for costly work by row. Tables of
+    ordinary size come as they are, without a shuffle. For scans only: the plan of a query with shuffles would run."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 

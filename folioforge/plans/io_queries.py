@@ -27,7 +27,7 @@ def folder(spark) -> str:
     path = f"{root.rstrip('/')}/io-{uuid.uuid4().hex}"
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
+    return f"{path}/files"
 
 
 def put(spark, path: str, content: str) -> None:
@@ -49,7 +49,7 @@ def source_mirror_files(spark, sf_dir):
         put(spark, f"{at}/m/{r.r_name}.html", f"<p>é {r.r_name}</p>")
     path = F.concat(F.lit("/m/"), "r_name", F.lit(".html"))
     links = regions.where("r_regionkey <> 4").select("r_regionkey", path.alias("mirror_path"), F.element_at(F.array(*map(F.lit, ("article", "volume", "home"))), (F.col("r_regionkey") % 3 + 1).cast("int")).alias("level"))
-    got = readers.mirrored(spark, at, links, at.rsplit("/", 1)[1])
+    got = readers.mirrored(spark, at, links, "/files")
     text = readers.text_pages(spark, at).select(F.regexp_replace("path", "^.*?(/m/[^/]*)$", "$1").alias("mirror_path"), "html")
     return got.join(text, "mirror_path").join(links.select("mirror_path", "r_regionkey"), "mirror_path").select("r_regionkey", "mirror_path", "level", "length", "html")
 
@@ -128,3 +128,15 @@ def sink_bundles(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").where("source is not null").select(F.col("source").alias("collection"), F.col("doc_id").cast("string").alias("url"), F.concat(F.coalesce("text", F.lit("")), F.lit(" é😀")).alias("html"))
     writers.bundle_objects(docs, "html", at, ascii_only=True, rows=50)
     return readers.bundles(spark, at)
+
+
+@query("""with r as (select 'by lang' as sheet, lang as a, null as b, count(*) as n from documents group by all union all select 'by source & lang', source, lang, count(*) from documents group by all)
+    select sheet, coalesce(a, '-') as a, coalesce(b, '-') as b, n from r""")
+def sink_workbook(spark, sf_dir):
+    """Counts by several groupings as a workbook, a sheet a grouping, and back."""
+    at = f"{folder(spark)}/counts.xlsx"
+    docs = load(spark, sf_dir, "documents")
+    counts = {"by lang": docs.groupBy("lang").agg(F.lit(None).alias("b"), F.count("*").alias("n")), "by source & lang": docs.groupBy("source", "lang").agg(F.count("*").alias("n"))}
+    writers.workbook(counts, at)
+    cells = readers.workbook(spark, at).where("row > 0")
+    return cells.select("sheet", F.coalesce(F.col("cells")[0], F.lit("-")).alias("a"), F.coalesce(F.col("cells")[1], F.lit("-")).alias("b"), F.col("cells")[2].cast("long").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import json
 import zipfile
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -97,3 +98,24 @@ def renditions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         one = zipped_bundles(spark, path).groupBy("url").agg(last)
         out = one if out is None else out.join(one, "url", "full")
     return out
+
+
+def workbook(spark: SparkSession, path: str) -> DataFrame:
+    """(sheet, row, cells) of spreadsheet files as writers.workbook makes them: row 0 is the header, empty cells are null."""
+
+    def run(batches):
+        for batch in batches:
+            for raw in batch.column(0):
+                with zipfile.ZipFile(io.BytesIO(raw.as_buffer())) as z:
+                    names = [x.get("name") for x in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if x.tag.endswith("}sheet")]
+                    for k, name in enumerate(names, 1):
+                        with z.open(f"xl/worksheets/sheet{k}.xml") as f:
+                            n = 0
+                            for _, x in ElementTree.iterparse(f):
+                                if x.tag.endswith("}row"):
+                                    cells = ["".join(c.itertext()) if len(c) else None for c in x]
+                                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int32()), pa.array([cells], pa.list_(pa.string()))], ["sheet", "row", "cells"])
+                                    n += 1
+                                    x.clear()
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "sheet string, row int, cells array<string>")

@@ -303,3 +303,15 @@ def test_sorted_corpus(spark):
 def test_references(spark):
     df = spark.createDataFrame([("&#169;",), ("&copy;",), ("&#10;",), ("&none;",), ("&NotEqualTilde;",), ("&#128512;",)], "x string").select(T.resolve_reference("x").alias("r"))
     assert [tuple(r.r) for r in df.collect()] == [("©", "U+00A9", "COPYRIGHT SIGN", "copy")] * 2 + [("\\n", "U+000A", "no name", None), (None,) * 4, ("≂̸", "U+2242 U+0338", "MINUS TILDE; COMBINING LONG SOLIDUS OVERLAY", None), ("😀", "U+1F600", "GRINNING FACE", None)]
+
+
+def test_workbooks(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, 'a "<&>"\n é', True, 1.5, None), (2, "\x01", False, None, "x")], "k long, s string, b boolean, d double, e string")
+    writers.workbook({"one": df, 'two "&"': df.limit(0)}, f"{tmp_path}/w/a.xlsx")
+    rows = [tuple(r) for r in readers.workbook(spark, f"{tmp_path}/w/a.xlsx").orderBy("sheet", "row").collect()]
+    assert rows == [("one", 0, ["k", "s", "b", "d", "e"]), ("one", 1, ["1", 'a "<&>"\n é', "1", "1.5", None]), ("one", 2, ["2", "_x0001_", "0", None, "x"]), ('two "&"', 0, ["k", "s", "b", "d", "e"])]
+    with pytest.raises(Exception, match="exist"):
+        writers.workbook({"one": df}, f"{tmp_path}/w/a.xlsx")
+    monkeypatch.setattr(writers, "SHEET_ROWS", 1)
+    with pytest.raises(ValueError, match="room"):
+        writers.workbook({"one": df}, f"{tmp_path}/w/b.xlsx")
