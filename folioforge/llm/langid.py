@@ -61,14 +61,18 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], model: LanguageModel, epochs: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5, seed: int = 7) -> None:
+#: Bins and counts of a text's n-grams, and its language's number.
+Row = tuple[np.ndarray, np.ndarray, int]
+
+
+def fit_ftrl(rows: list[Row], model: LanguageModel, epochs: int = 4, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5, seed: int = 7) -> None:
     """FTRL-proximal: a weight is 0 while |z| <= l1, else -(z - sign(z) l1) / ((beta + sqrt(n)) / alpha + l2)."""
     z, n = np.zeros_like(model.weights), np.zeros_like(model.weights)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for r in rng.permutation(len(rows)):
-            bins, x, y = rows[r]
-            at, x = np.append(bins, len(z) - 1), np.append(x, 1.0)
+            bins, counts, y = rows[r]
+            at, x = np.append(bins, len(z) - 1), np.append(model.vector(bins, counts), 1.0)
             za, na = z[at], n[at]
             w = np.where(np.abs(za) <= l1, 0.0, -(za - np.sign(za) * l1) / ((beta + np.sqrt(na)) / alpha + l2))
             p = softmax(x @ w)
@@ -103,10 +107,15 @@ def _frequencies(batches):
     yield pa.RecordBatch.from_arrays([pa.array(np.append(bins, -1), pa.int32()), pa.array(np.append(total[bins], n), pa.int64())], ["bin", "n"])
 
 
-def _counter(ids, data, offs):
-    points, chars = folded(data, offs)
-    rows = [term_counts(points[a:b]) for a, b in zip(chars[:-1], chars[1:], strict=True)]
-    return [ids, pa.array([b.astype(np.int32).tobytes() for b, _ in rows], pa.binary()), pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary())]
+def _counted(batches):
+    """y, h of each text with its bins (16 bits each) and their counts (32)."""
+    for batch in batches:
+        for part, data, offs in pieces(batch, "_text"):
+            points, chars = folded(data, offs)
+            rows = [term_counts(points[a:b]) for a, b in zip(chars[:-1], chars[1:], strict=True)]
+            bins, counts = pa.array([b.astype(np.uint16).tobytes() for b, _ in rows], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bins, counts], ["y", "h", "bins", "counts"])
+    pa.default_memory_pool().release_unused()
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> LanguageModel:
@@ -135,29 +144,29 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     ranked = hashes.where(h < F.element_at(bound, F.col("_lang"))).withColumn("_r", F.row_number().over(Window.partitionBy("_lang").orderBy(h, "_h")))
     chosen = ranked.where(F.col("_r") <= sample).select("_lang", "_h")
     index = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
-    taken = known.join(F.broadcast(chosen), ["_lang", "_h"]).dropDuplicates(["_lang", "_h"]).withColumn("_id", F.element_at(index, F.col("_lang")))
-    got = over_texts(taken, "_id", "_text", lambda: _counter, "y long, bins binary, counts binary").toPandas()
-    vectors = []
-    for y, b, c in zip(got["y"], got["bins"], got["counts"], strict=True):
-        bins = np.frombuffer(b, np.int32)
-        vectors.append((bins, model.vector(bins, np.frombuffer(c, np.int32)), int(y)))
-    vectors.sort(key=lambda v: (v[2], len(v[0]), v[0].tobytes(), v[1].tobytes()))  # the same model however tasks end
-    calibrate(model, vectors)
+    taken = known.join(F.broadcast(chosen), ["_lang", "_h"]).dropDuplicates(["_lang", "_h"]).select(F.element_at(index, F.col("_lang")).cast("long").alias("_y"), "_h", "_text")
+    got = taken.mapInArrow(_counted, "y long, h long, bins binary, counts binary").toArrow().sort_by([("y", "ascending"), ("h", "ascending")])  # the same model however tasks end
+    rows: list[Row] = []
+    for y, bins, counts in zip(got["y"].to_pylist(), got["bins"], got["counts"], strict=True):  # views of the table's memory
+        rows.append((np.frombuffer(bins.as_buffer(), np.uint16), np.frombuffer(counts.as_buffer(), np.uint32), y))
+    calibrate(model, rows)
+    del rows, got, bins, counts
+    pa.default_memory_pool().release_unused()
     return model
 
 
-def calibrate(model: LanguageModel, vectors: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+def calibrate(model: LanguageModel, rows: list[Row]) -> None:
     """Fit the regression, and the temperature on rows that the models which predict them haven't seen (CROSSED)."""
-    few = len(vectors) < CROSSED
+    few = len(rows) < CROSSED
     logits, y = [], []
-    if len(model.languages) > 1 and len(vectors) >= FOLDS:
+    if len(model.languages) > 1 and len(rows) >= FOLDS:
         for k in range(FOLDS if few else 1):
-            fit_ftrl([v for i, v in enumerate(vectors) if i % FOLDS != k], model)
-            left = vectors[k::FOLDS]
-            logits += [model.logits(b, x) for b, x, _ in left]
+            fit_ftrl([v for i, v in enumerate(rows) if i % FOLDS != k], model)
+            left = rows[k::FOLDS]
+            logits += [model.logits(b, model.vector(b, c)) for b, c, _ in left]
             y += [v[2] for v in left]
     if few or not logits:
-        fit_ftrl(vectors, model)
+        fit_ftrl(rows, model)
     if logits:
         model.temperature = fit_temperature(np.array(logits), np.array(y))
 

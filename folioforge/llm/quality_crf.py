@@ -160,7 +160,7 @@ def train(sequences: list[tuple[np.ndarray, int]], steps: int = 250, rate: float
     x = np.concatenate([s for s, _ in sequences])
     bounds = np.concatenate(([0], np.cumsum([len(s) for s, _ in sequences])))
     y = np.repeat([float(label) for _, label in sequences], np.diff(bounds))
-    full = neighbourly(x, bounds).astype(np.float64)
+    full = neighbourly(x, bounds)
     lines = len(full)
     inner = np.ones(lines, bool)
     inner[bounds[1:] - 1] = False
@@ -170,8 +170,8 @@ def train(sequences: list[tuple[np.ndarray, int]], steps: int = 250, rate: float
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         w, a = theta[:-4], theta[-4:].reshape(2, 2)
-        p, pairs, _ = marginals(full @ w, bounds, a)
-        g = np.concatenate((full.T @ (p - y), (pairs - seen).ravel())) / lines + l2 * theta
+        p, pairs, _ = marginals((full @ w.astype(np.float32)).astype(np.float64), bounds, a)
+        g = np.concatenate((full.T @ (p - y).astype(np.float32), (pairs - seen).ravel())) / lines + l2 * theta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return LineField(theta[:-4], theta[-4:].reshape(2, 2))
@@ -193,15 +193,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_lid")
     cut = over_texts(texts.withColumn("_key", F.col("_y") + 2 * F.col("_lid")), "_key", "_text", lambda: _featurer, "y long, x array<binary>")
     cut = Scratch(spark, "lines").table(cut.select("y", F.posexplode("x").alias("at", "x")).withColumn("h", F.xxhash64("y", "at", "x")))
-    got = hashed_sample(cut, SEQUENCES, "h").toPandas()
+    got = hashed_sample(cut, SEQUENCES, "h").toArrow()
     sequences, lines = [], 0
-    for y, raw in zip(got["y"], got["x"], strict=True):
-        x = np.frombuffer(raw, np.float32).reshape(-1, FEATURES)
+    for y, raw in zip(got["y"].to_pylist(), got["x"], strict=True):  # views of the table's memory
+        x = np.frombuffer(raw.as_buffer(), np.float32).reshape(-1, FEATURES)
         lines += len(x)
         if lines > LINES:
             break
         sequences.append((x, int(y) % 2))
-    return train(sequences)
+    model = train(sequences)
+    del sequences, got
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score_documents(docs: DataFrame, model: LineField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
