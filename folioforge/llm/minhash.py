@@ -136,13 +136,14 @@ def _confirmer(num: int, den: int):
     return run
 
 
-def in_parts(df: DataFrame, key: str, size: int, scratch: Scratch) -> DataFrame:
-    """df with `_parts`: in how many parts the rows of its key go, 1 for keys of up to `size` rows. Only the others are joined."""
-    large = scratch.table(df.groupBy(key).agg(F.count("*").alias("_k")).where(F.col("_k") > size).select(key, F.ceil(F.col("_k") / size).cast("int").alias("_parts")))
-    few = large.count()
-    if not few:
-        return df.withColumn("_parts", F.lit(1))
-    return df.join(F.broadcast(large) if few <= SEND_IDS else large, key, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+def in_parts(df: DataFrame, key: str, size: int, scratch: Scratch) -> DataFrame | None:
+    """df with `_parts`: in how many parts the rows of its key go, 1 for keys of up to `size` rows; None if that is all of
+    them. Only the larger ones are joined."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_k"))
+    if (counts.agg(F.max("_k")).first()[0] or 0) <= size:
+        return None
+    large = scratch.table(counts.where(F.col("_k") > size).select(key, F.ceil(F.col("_k") / size).cast("int").alias("_parts")))
+    return df.join(F.broadcast(large) if large.count() <= SEND_IDS else large, key, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -175,11 +176,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pairs = scratch.table(pairs)
         ids = scratch.table(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
         sets = scratch.table(over_texts(texts_of(ids), "_id", "_text", _setter(words), "doc_id long, s binary", limit=SLICE))
-        # the set of a document with many pairs is copied, so that no task gets all of them
-        pairs = scratch.table(in_parts(pairs, "a", PAIRS, scratch).withColumn("part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int")).select("a", "b", "part"))
-        copies = pairs.select("a", "part").distinct()
-        left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("left")).join(copies, "a")
-        joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("right")), "b").join(left, ["a", "part"])
+        left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("left"))
+        on, parted = ["a"], in_parts(pairs, "a", PAIRS, scratch)
+        if parted is not None:  # the set of a document with many pairs is copied, so that no task gets all of them
+            pairs = scratch.table(parted.withColumn("part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int")).select("a", "b", "part"))
+            left, on = left.join(pairs.select("a", "part").distinct(), "a"), ["a", "part"]
+        joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("right")), "b").join(left, on)
         out = scratch.table(joined.select("a", "b", "left", "right").mapInArrow(_confirmer(num, den), "a long, b long"))
         scratch.drop(pairs, ids, sets)
         return out
@@ -198,15 +200,16 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         # a column a word: their comparison stays small enough to be compiled
         words_ = [F.coalesce(F.col("bits")[k], F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)]
         rest = scratch.table(rest.join(fine, "rep").select("key", "rep", "comp", "bands", *words_)).select("key", "rep", "comp", "bands", *(F.coalesce(f"w{k}", F.lit(0)).alias(f"w{k}") for k in range(FINE // 64)))
-        # a large bucket is cut into a square of cells, of which each task takes one
-        rest = in_parts(rest, "key", CELL, scratch).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int"))
-        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+        cell, parted = F.lit(True), in_parts(rest, "key", CELL, scratch)
+        if parted is not None:  # a large bucket is cut into a square of cells, of which each task takes one
+            rest = parted.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+            rest = rest.withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+            cell = (F.col("x.lo") == F.col("y.lo")) & (F.col("x.hi") == F.col("y.hi")) & ((F.col("x.lo") == F.col("x.hi")) | (F.col("x.chunk") != F.col("y.chunk")))
         x, y = rest.alias("x"), rest.alias("y")
-        cell = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("key", "lo", "hi")] + [(F.col("x.lo") == F.col("x.hi")) | (F.col("x.chunk") != F.col("y.chunk"))]
         apart = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(FINE // 64)), F.lit(0))
         # a pair that is still possible, in the first of the buckets that it shares
         first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-        pairs = x.join(y, cell[0] & cell[1] & cell[2] & cell[3] & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & cell & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & (apart <= FINE - agreeing(num, den)) & first)
         more = confirm(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch)
