@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -67,6 +68,17 @@ class Scratch:
                 delete(self.spark, path)
 
 
+#: Of the C library, where it has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give memory that is free back to the system: workers outlive their tasks, and the driver its fits."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def delete_at_exit(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
@@ -113,7 +125,7 @@ def over_texts(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], C
         for batch in batches:
             for part, data, offs in pieces(batch, "_text", limit):
                 yield pa.RecordBatch.from_arrays(f(part.column(0), data, offs), names)
-        pa.default_memory_pool().release_unused()  # workers outlive their tasks
+        release()
 
     names = [x.split()[0] for x in schema.split(", ")]
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
@@ -131,7 +143,7 @@ def filtered(docs: DataFrame, text_col: str, make: Callable[[], Callable], limit
             batch = batch.rename_columns([f"c{i}" for i in range(len(names))])
             for part, data, offs in pieces(batch, f"c{at}", limit):
                 yield part.filter(pa.array(f(data, offs))).rename_columns(names)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return docs.mapInArrow(run, schema)
 

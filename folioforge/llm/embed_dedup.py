@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch, tune
+from folioforge.llm.common import Scratch, release, tune
 from folioforge.llm.components import components
 
 #: Bytes of a tile's vectors, as float64, that a task holds while the other tile's pass by; rows of a block of a product;
@@ -210,7 +210,7 @@ def _tile_task(least: float):
                         yield passed()
         if key is not None:
             yield from ended()
-        pa.default_memory_pool().release_unused()
+        release()
 
     return run
 

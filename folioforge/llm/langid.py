@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch, filtered, fold, folded, hashed_grams, over_texts, pieces, tune
+from folioforge.llm.common import Scratch, filtered, fold, folded, hashed_grams, over_texts, pieces, release, tune
 
 BITS, GRAMS = 15, (1, 2, 3)
 #: Different texts of each language that the regression is fitted on, all if there are no more; document frequencies are of all.
@@ -115,7 +115,7 @@ def _counted(batches):
             rows = [term_counts(points[a:b]) for a, b in zip(chars[:-1], chars[1:], strict=True)]
             bins, counts = pa.array([b.astype(np.uint16).tobytes() for b, _ in rows], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bins, counts], ["y", "h", "bins", "counts"])
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> LanguageModel:
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
         rows.append((np.frombuffer(bins.as_buffer(), np.uint16), np.frombuffer(counts.as_buffer(), np.uint32), y))
     calibrate(model, rows)
     del rows, got, bins, counts
-    pa.default_memory_pool().release_unused()
+    release()
     return model
 
 

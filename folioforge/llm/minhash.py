@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch, mix64, over_texts, tune, word_hashes
+from folioforge.llm.common import Scratch, mix64, over_texts, release, tune, word_hashes
 from folioforge.llm.components import components
 
 BANDS, ROWS = 40, 6
@@ -131,7 +131,7 @@ def _confirmer(num: int, den: int):
                     common = int(np.count_nonzero(both[1:] == both[:-1]))
                     good[i] = den * common >= num * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(good))
-        pa.default_memory_pool().release_unused()
+        release()
 
     return run
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import Scratch, filtered, fold, hashed_sample, over_texts, tune, word_hashes
+from folioforge.llm.common import Scratch, filtered, fold, hashed_sample, over_texts, release, tune, word_hashes
 
 #: Labelled documents that the field is trained on at most, and lines of a training sequence (longer documents are cut into
 #: several); of their sequences at most SEQUENCES, with at most LINES lines in all, go to the driver, by a hash.
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         sequences.append((x, int(y) % 2))
     model = train(sequences)
     del sequences, got
-    pa.default_memory_pool().release_unused()
+    release()
     return model
 
 
