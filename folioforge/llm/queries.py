@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import embed_dedup, jpeg_media, langid, lm_score, minhash, mixing, piece_codec, quality_crf, sharding, toxicity
+from folioforge.llm import embed_dedup, importance, jpeg_media, langid, lm_score, minhash, mixing, piece_codec, quality_crf, sharding, token_counts, toxicity, vector_codes
 from folioforge.llm.common import delete_at_exit, fold, shared_folder, table
 from folioforge.operators.relational import spread
 
@@ -69,6 +69,18 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg_media.media_features(jpeg_media.to_media(documents(spark, sf_dir)))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode_vectors(spread(table(spark, sf_dir, "embeddings")))
+
+
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op2 can be held against in SQL: decoding gives the text back, with spaces for the pieces' space sign."""
     return op2_sentencepiece(spark, sf_dir).select("doc_id", "decoded_sha256")
@@ -80,7 +92,7 @@ def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (piece_round_trip, media_payload, op1_sharding, op2_sentencepiece, op3_minhash, op4_quality, op5_language, op6_toxicity, op7_mixing, op8_lm_score, op9_embedding, op10_media)}
+    return {f.__name__: f for f in (piece_round_trip, media_payload, op1_sharding, op2_sentencepiece, op3_minhash, op4_quality, op5_language, op6_toxicity, op7_mixing, op8_lm_score, op9_embedding, op10_media, op11_token_counts, op12_importance, op13_vector_codes)}
 
 
 SHARDING_SQL = "select doc_id, length(text) as n_chars, md5(text) as text_md5, true as stored from documents"
@@ -162,5 +174,68 @@ from placed d join plan on plan.source = d.source left join slots on slots.sourc
 """
 
 
+#: CRC-32 of distinct words and pairs by the table of its 256 steps, whose entries the first fold makes.
+IMPORTANCE_SQL = """
+with steps as (
+    select list(list_reduce(range(0, 9), lambda c, k: case when k = 0 then c when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i) order by i) as t from range(0, 256) r(i)
+),
+spoken as (
+    select 'd' as side, doc_id as id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents
+    union all
+    select 't', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') from benchmark
+),
+runs as (select side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from spoken),
+held as (select side, id, f, count(*) as n from runs group by all),
+names as (select distinct f, hex(encode(f)) as h from held),
+hashed as (
+    select f, xor(list_reduce(list_transform(range(1, strlen(h), 2), lambda i: ('0x' || substr(h, i, 2))::bigint), lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]), 4294967295::bigint), 4294967295) % 10000 as bucket
+    from names, steps
+),
+sums as (select bucket, coalesce(sum(n) filter (side = 'd'), 0)::bigint as s, coalesce(sum(n) filter (side = 't'), 0)::bigint as t from held join hashed using (f) group by bucket),
+whole as (select sum(s)::bigint as s, sum(t)::bigint as t from sums),
+gain as (select bucket, floor(1000 * ln(((sums.t + 1) * (whole.s + 10000)::double) / ((sums.s + 1) * (whole.t + 10000)::double)))::bigint as g from sums, whole),
+mean as (select id as doc_id, sum(n)::bigint as n_features, floor(sum(n * g) / sum(n)::double)::bigint as weight from held join hashed using (f) join gain using (bucket) where side = 'd' group by id),
+scored as (
+    select id as doc_id, len(w) as words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+    from spoken left join mean on doc_id = id where side = 'd'
+),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) as k, count(*) over () as n from scored where words >= 20)
+select s.doc_id, n_features, weight, score, case when k <= 25 * n // 100 then k end as rank from scored s left join placed using (doc_id)
+"""
+
+_PARTS = "list_transform(range(0, 8), lambda p: list_slice(v, p * 8 + 1, p * 8 + 8))"
+_NEAREST = """a{k} as materialized (
+    select vec_id, p, arg_min(e, d * 16 + e) as e, min(d) as d
+    from (select parts.vec_id, parts.p, b.e, list_sum(list_transform(list_zip(x, z), lambda y: (y[1] - y[2]) * (y[1] - y[2])))::bigint as d from parts join b{k} b using (p))
+    group by all
+)"""
+_MEANS = """m{k} as (
+    select p, e, i, sum(x[i])::bigint as s, count(*) as n from a{j} join parts using (vec_id, p), range(1, 9) r(i) group by all
+),
+b{k} as materialized (
+    select p, e, coalesce(l, z) as z from b{j} left join (select p, e, list((s - ((s % n) + n) % n) // n order by i) as l from m{k} group by all) using (p, e)
+)"""
+
+#: For vectors of 64 components, as the table has them.
+VECTOR_SQL = (
+    f"""
+with ok as (
+    select vec_id, label, list_transform(embedding, lambda c: floor(c::double * 4096)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+),
+parts as materialized (select vec_id, unnest(range(0, 8)) as p, unnest({_PARTS}) as x from ok),
+b0 as materialized (select p, r - 1 as e, x as z from parts join (select vec_id, row_number() over (order by vec_id) as r from ok) using (vec_id) where r <= 16),
+"""
+    + ",\n".join(x for k in range(1, 7) for x in (_NEAREST.format(k=k - 1), _MEANS.format(k=k, j=k - 1)))
+    + f""",
+{_NEAREST.format(k=6)},
+coded as (select vec_id, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from a6 group by vec_id),
+digest as (select sha256(string_agg(array_to_string(z, ','), ',' order by p, e)) as codebooks_sha256 from b6)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256 from coded join ok using (vec_id), digest
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"piece_round_trip": ROUND_TRIP_SQL, "media_payload": PAYLOAD_SQL, "op1_sharding": SHARDING_SQL, "op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}
+    return {"op12_importance": IMPORTANCE_SQL, "op13_vector_codes": VECTOR_SQL, "piece_round_trip": ROUND_TRIP_SQL, "media_payload": PAYLOAD_SQL, "op1_sharding": SHARDING_SQL, "op3_minhash": MINHASH_SQL, "op7_mixing": MIXING_SQL, "op9_embedding": EMBEDDING_SQL}
