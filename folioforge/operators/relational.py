@@ -53,6 +53,39 @@ def drop_rows(df: DataFrame, rules: DataFrame, on: list[str]) -> DataFrame:
     return df.join(rules.select(*on).distinct(), on, "left_anti")
 
 
+#: Blocks of a Bloom filter, each a bitmap of 4 kB: 16 MB at most are sent to tasks, however many keys there are.
+BLOOM_BLOCKS, BLOOM_BITS, BLOOM_KEYS = 4096, 4, 2048
+_BLOCK = 32_768
+
+
+def bloom_filter(df: DataFrame, key: str, blocks: int) -> DataFrame:
+    """(block, bits) of the keys: a hash picks a key's block, others BLOOM_BITS bits of it. Built by Spark's bitmap aggregates."""
+    return df.select(*_bloom_places(F.col(key), blocks)).select("block", F.explode("places").alias("at")).groupBy("block").agg(F.bitmap_construct_agg("at").alias("bits"))
+
+
+def _bloom_places(key: Column, blocks: int) -> tuple[Column, Column]:
+    h = F.xxhash64(key)
+    places = F.transform(F.sequence(F.lit(1), F.lit(BLOOM_BITS)), lambda i: F.pmod(F.xxhash64(h, i), F.lit(_BLOCK)))
+    return F.pmod(h, F.lit(blocks)).alias("block"), places.alias("places")
+
+
+def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key isn't among those of seen; null keys are never seen. A Bloom filter of bounded size over the seen
+    keys lets most new rows pass without a join; only those that it may hold are compared with the keys themselves."""
+    n = seen.count()
+    blocks = max(1, min(BLOOM_BLOCKS, -(-n // BLOOM_KEYS)))
+    kept = bloom_filter(seen.where(F.col(key).isNotNull()), key, blocks)
+    block, places = _bloom_places(F.col(key), blocks)
+    marked = df.withColumns({"_block": block, "_places": places}).join(F.broadcast(kept.select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))), "_block", "left")
+    # bit k of a bitmap is bit k % 8 of its byte k / 8
+    byte = lambda k: F.conv(F.hex(F.substring("_bits", F.shiftright(k, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    held = F.forall("_places", lambda k: (F.floor(byte(k) / F.pow(F.lit(2), k % 8)) % 2) == 1)
+    maybe = F.col("_bits").isNotNull() & F.col(key).isNotNull() & held
+    marked = marked.withColumn("_maybe", F.coalesce(maybe, F.lit(False))).drop("_block", "_places", "_bits")
+    new = marked.where(~F.col("_maybe")).select(*df.columns)
+    return new.unionByName(marked.where("_maybe").select(*df.columns).join(seen.select(key).distinct(), key, "left_anti").select(*df.columns))
+
+
 def override(df: DataFrame, corrections: DataFrame, on: str, column: str, value: str = "value") -> DataFrame:
     """The column's value from corrections where they have the key."""
     fix = corrections.select(F.col(on), F.col(value).alias("_fix"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioforge.functions import tables
+from folioforge.operators import crawl
 from folioforge.operators import documents as P
+from folioforge.plans.io_queries import folder
 from folioforge.plans.queries import ANCHORS, load, query
+from folioforge.sources import mirror
 
 #: journal, level, url and HTML of a page that level's links are looked for in, and the link rows that it has: seq, href, url, path, filename, mirror_path, string.
 #: {k} is the customer's key. Among the anchors are ones with attributes, in upper case, with markup inside, and ones that don't count.
@@ -84,3 +87,59 @@ def anchors_lateral(spark, sf_dir):
     """The same by a table function in SQL."""
     tables.register(spark)
     return spark.sql("select p.page_id, a.* from {pages} p, lateral html_anchors(p.html) a", pages=load(spark, sf_dir, "pages"))
+
+
+#: Pages of `pages` as articles of a site: issue page_id // 20 (from 0), of volume issue % 29 + 1, each article's issue by its
+#: page; the next issue's page leads to the first article of an issue too.
+SITE_LINKS = """
+article as (select page_id as p, page_id // 20 as i, page_id // 20 % 29 + 1 as v, html from pages),
+issue as (select distinct i, v from article),
+volume as (select distinct v from issue),
+link as (
+    select 'https://e.org/eid/' as base, '/eid/' as href, '/eid/' as path, 'EID Journal' as string, 'home' as level, 0 as seq
+    union all select 'https://e.org/eid/', '/eid/past-issues/volume-30', '/eid/past-issues/volume-30', 'Past Issues', 'series', 1
+    union all select 'https://e.org/eid/past-issues/volume-30', '/eid/past-issues/volume-' || v, '/eid/past-issues/volume-' || v, 'Volume ' || v || '—' || (1994 + v), 'volume', row_number() over (partition by v = 1 order by v) - 1 from volume
+    union all select 'https://e.org/eid/past-issues/volume-' || v, '/eid/articles/issue/' || v || '/' || i || '/toc', '/eid/articles/issue/' || v || '/' || i || '/toc', 'Table of Contents', 'issue', row_number() over (partition by v order by i) - 1 from issue
+    union all select 'https://e.org/eid/articles/issue/' || v || '/' || i || '/toc', '/eid/article/' || v || '/' || p || '_article', '/eid/article/' || v || '/' || p || '_article', 'Article ' || p, 'article', p % 20 from article
+    union all select 'https://e.org/eid/articles/issue/' || n.v || '/' || n.i || '/toc', '/eid/article/' || a.v || '/' || p || '_article', '/eid/article/' || a.v || '/' || p || '_article', 'Again ' || p, 'article', 20 from article a join issue n on n.i = a.i + 1 where p % 20 = 0
+),
+reach as (
+    select base, href, path, string, level, seq from link where level = 'home'
+    union
+    select l.base, l.href, l.path, l.string, l.level, l.seq from reach r join link l on l.base = case when l.level = 'volume' then case when r.level = 'series' then 'https://e.org' || r.path end else 'https://e.org' || r.path end
+)"""
+
+
+@query(f"with recursive {SITE_LINKS} select level, base, seq::int as seq, href, path, string, coalesce(strlen(html), -1)::bigint as article_length from reach left join article on level = 'article' and path = '/eid/article/' || v || '/' || p || '_article'")
+def crawl_articles(spark, sf_dir):
+    """From a home page to all articles of a site whose articles are `pages` (3.1, D1-D8, A5): the site is a tree of files,
+    written and read by the data source. The crawl stops behind its third level, and another one goes on in its folder."""
+    at = folder(spark)
+    mirror.register(spark)
+    site_of(load(spark, sf_dir, "pages")).write.format("pages").mode("append").save(f"{at}/site")
+    root = f"{at}/site/{mirror.versions(f'{at}/site')[-1]}"
+    new = lambda: crawl.Crawl(spark, "eid", "https://e.org/eid/", f"{at}/crawl", lanes=8, root=root)
+    new().run(levels=3)
+    found = new().run()
+    return found.select("level", "base", "seq", "href", "path", "string", F.when(F.col("level") == "article", F.col("length")).otherwise(-1).alias("article_length"))
+
+
+def site_of(pages):
+    """(mirror_path, content) of the site's files: home, volumes, issues, and the pages themselves."""
+    p, text = F.col("page_id"), lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    article = pages.select(p, F.expr("page_id div 20").alias("i"), F.expr("page_id div 20 % 29 + 1").alias("v"), "html")
+    listed = lambda rows, by, order: rows.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "a"))), lambda x: x["a"]), "").alias("body"))
+    own = article.select("i", "v", (p % 20).alias("k"), text('<a href="/eid/article/', F.col("v"), "/", p, '_article">Article ', p, "</a>").alias("a"))
+    issue = article.select("i", "v").distinct()
+    first = article.where("page_id % 20 = 0").select((F.col("i") + 1).alias("i"), text('<a href="/eid/article/', F.col("v"), "/", p, '_article">Again ', p, "</a>").alias("a"))
+    again = first.join(issue, "i").select("i", "v", F.lit(20).alias("k"), "a")
+    issues = listed(own.unionByName(again), ["i", "v"], "k").select(text("/eid/articles/issue/", F.col("v"), "/", F.col("i"), "/toc.html").alias("mirror_path"), "body")
+    contents = issue.select("v", "i", text('<a href="/eid/articles/issue/', F.col("v"), "/", F.col("i"), '/toc">Table of Contents</a>').alias("a"))
+    volumes = issue.select("v").distinct()
+    one = volumes.select("v", text('<a href="/eid/past-issues/volume-', F.col("v"), '">Volume ', F.col("v"), "—", F.col("v") + 1994, "</a>").alias("a"))
+    # volumes but the first are listed by the first one's page, the first by the second's; all pages list their own issues behind those
+    lists = listed(one.withColumn("v2", F.when(F.col("v") == 1, 2).otherwise(1)), ["v2"], "v").withColumnsRenamed({"v2": "v", "body": "head"})
+    every = lists.join(listed(contents, ["v"], "i"), "v", "full").select(text("/eid/past-issues/volume-", F.col("v"), ".html").alias("mirror_path"), F.concat(F.coalesce("head", F.lit("")), F.coalesce("body", F.lit(""))).alias("body"))
+    fixed = pages.sparkSession.createDataFrame([("/eid/index.html", '<a href="/eid/">EID Journal</a><a href="/eid/past-issues/volume-30">Past Issues</a>'), ("/eid/past-issues/volume-30.html", "")], "mirror_path string, body string")
+    rows = issues.unionByName(every).unionByName(fixed).select("mirror_path", F.concat(F.lit("<html><body>"), "body", F.lit("</body></html>")).cast("binary").alias("content"))
+    return rows.unionByName(article.select(text("/eid/article/", F.col("v"), "/", p, "_article.html").alias("mirror_path"), F.col("html").cast("binary").alias("content")))

@@ -54,19 +54,40 @@ def source_mirror_files(spark, sf_dir):
     return got.join(text, "mirror_path").join(links.select("mirror_path", "r_regionkey"), "mirror_path").select("r_regionkey", "mirror_path", "level", "length", "html")
 
 
-def answer(url: str) -> bytes:
-    """A stand-in for the web: nothing for some pages, other bytes than UTF-8 for others."""
+_asked: dict[str, int] = {}
+
+
+def answer(url: str, timeout: float) -> bytes:
+    """A stand-in for the web: some pages never answer, some only when they are asked again, some in other bytes than UTF-8."""
     k = int(url.rsplit("/", 1)[1])
-    return b"" if k % 7 == 0 else f"café \n {k}".encode("utf_8" if k % 2 else "cp1252")
+    _asked[url] = _asked.get(url, 0) + 1
+    if k % 7 == 0 or (k % 5 == 2 and _asked[url] % 2):
+        raise TimeoutError(url)
+    return f"café \n {k}".encode("utf_8" if k % 2 else "cp1252")
 
 
-@query("select n_nationkey, case when n_nationkey % 7 = 0 then 0 when n_nationkey % 2 = 1 then 8 + length(n_nationkey::varchar) else 7 + length(n_nationkey::varchar) end::bigint as length, case when n_nationkey % 7 = 0 then '' else 'café ' || n_nationkey end as html from nation")
+@query("""with k as (select c_custkey, c_custkey % 7 = 0 as never, c_custkey % 5 = 2 as later, length(c_custkey::varchar) as n from customer)
+    select c_custkey, case when never then 0 when c_custkey % 2 = 1 then 8 + n else 7 + n end::bigint as length, case when never or later then 2 else 1 end::int as attempts, case when never then '' else 'café ' || c_custkey end as html from k""")
 def source_fetched(spark, sf_dir):
-    """Pages fetched into a mirror, those without an answer again, and pages fetched as text."""
-    links = load(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit("https://h.org/"), F.col("n_nationkey").cast("string")).alias("url"), F.concat(F.lit("/n/"), F.col("n_nationkey").cast("string")).alias("mirror_path"))
-    kept = mirror.mirror(spark, links, folder(spark), answer, attempts=2, at_once=4).select("mirror_path", "length")
-    text = mirror.fetched_pages(links, answer).select("mirror_path", "html")
-    return links.join(kept, "mirror_path").join(text, "mirror_path").select("n_nationkey", "length", "html")
+    """Pages of three hosts, one of which has most of them, fetched by the data source: some answer at the second attempt,
+    some never (A1, A2, B1, B4)."""
+    k = F.col("c_custkey")
+    host = F.when(k % 10 == 0, "https://a.org/").when(k % 10 == 1, "https://B.org/").otherwise("https://h.org/")
+    links = load(spark, sf_dir, "customer").select("c_custkey", F.concat(host, k.cast("string")).alias("url"), F.concat(F.lit("/n/"), k.cast("string")).alias("mirror_path"))
+    kept = mirror.mirror(spark, links, folder(spark), lanes=8, fetch="folioforge.plans.io_queries:answer", attempts=2)
+    return links.select("c_custkey", "mirror_path").join(kept, "mirror_path").join(mirror.fetched_pages(kept).select("mirror_path", "html"), "mirror_path").select("c_custkey", "length", "attempts", "html")
+
+
+@query("with t as (select page_id, case when page_id % 3 = 0 then html || ' new' else html end as html from pages) select page_id, strlen(html)::bigint as length, md5(html) as content_md5 from t")
+def sink_mirror_tree(spark, sf_dir):
+    """A tree of raw files written by the data source, a third of them written again, and read back."""
+    at = folder(spark)
+    mirror.register(spark)
+    pages = load(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("/site/"), (F.col("page_id") % 40).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html")).alias("mirror_path"), "html")
+    files = pages.select("mirror_path", F.col("html").cast("binary").alias("content"))
+    files.write.format("pages").mode("append").save(at)
+    pages.where("page_id % 3 = 0").select("mirror_path", F.concat("html", F.lit(" new")).cast("binary").alias("content")).write.format("pages").mode("append").save(at)
+    return mirror.tree(spark, at).join(pages, "mirror_path").select("page_id", "length", F.md5("content").alias("content_md5"))
 
 
 @query("select n_name as key, 'n' || n_nationkey || ' \"é\"' as value from nation")

@@ -9,7 +9,6 @@ from folioforge.functions import text as T
 from folioforge.operators import html_kernel as K
 from folioforge.operators import journals as J
 from folioforge.operators import relational as R
-from folioforge.sources import mirror
 
 
 def pages(spark, *rows):
@@ -95,24 +94,6 @@ def test_suggested_citation_goes_as_far_as_it_can(spark):
     assert got == "cough|fever"
 
 
-def test_fetching_again(spark, tmp_path):
-    """What failed is fetched again, and only that; each path has one row."""
-    seen = tmp_path / "seen"
-    seen.mkdir()
-
-    def fetch(url):
-        again = (seen / url).exists()
-        with open(seen / url, "a") as f:
-            f.write("x")
-        return b"" if url == "never" or (url == "later" and not again) else url.encode()
-
-    links = spark.createDataFrame([("now", "/a"), ("later", "/b"), ("never", "/c"), ("now", "/a")], "url string, mirror_path string")
-    got = mirror.mirror(spark, links, f"{tmp_path}/out", fetch, attempts=3, at_once=2)
-    assert sorted((r.mirror_path, r.content.decode(), r.length) for r in got.collect()) == [("/a", "now", 3), ("/b", "later", 5), ("/c", "", 0)]
-    assert {f.name: len(f.read_text()) for f in seen.iterdir()} == {"now": 1, "later": 2, "never": 3}
-    assert mirror.fetch_url("http://127.0.0.1:9/none", 0.5) == b""
-
-
 def test_bytes_read_as(spark):
     df = spark.createDataFrame([(b"a \n b\xe9", "latin_1"), (b"\xc3\xa9", "utf_8"), (b"\x81", "cp1252"), (None, None)], "c binary, k string")
     got = df.select(T.fetched_text("c").alias("t"), T.decode_as("c", "k").alias("d")).collect()
