@@ -33,29 +33,71 @@ def padded(number: Column, width: int) -> Column:
     return F.lpad(number, F.greatest(F.lit(width), F.length(number)), F.lit("0"))
 
 
+def unpadded(number: Column) -> Column:
+    """Digits without the zeros in front of a number."""
+    return F.regexp_replace(number, r"^0+(?=\d)", "")
+
+
 def month_number(name: Column) -> Column:
     """01..12 from an English month's first three letters."""
     return F.element_at(lookup({m[:3].lower(): f"{i:02d}" for i, m in enumerate(MONTHS, 1)}), F.lower(F.substring(name, 1, 3)))
 
 
-#: Written dates: year, month, day groups of `Month D, YYYY`, `D Month YYYY`, `M/D/YYYY` (or D/M if M is over 12) and `YYYY-M-D`, a weekday before them.
-_NAME, _DAY, _YEAR = "(" + "|".join(["Sept", *(f"{m}|{m[:3]}" for m in MONTHS)]) + r")\.?", r"(\d{1,2})(?:st|nd|rd|th)?", r"(\d{4})"
-_WEEKDAY = r"(?:(?:Mon|Tues?|Wed(?:nes)?|Thu(?:rs?)?|Fri|Sat(?:ur)?|Sun)(?:day)?\.?,? )?"
-DATES = {rf"{_NAME},? {_DAY}(?:, ?| ){_YEAR}": (3, 1, 2), rf"{_DAY} {_NAME},? {_YEAR}": (3, 2, 1), rf"(\d{{1,2}})[/-](\d{{1,2}})[/-]{_YEAR}": (3, 1, 2), rf"{_YEAR}[/-](\d{{1,2}})[/-](\d{{1,2}})": (1, 2, 3)}
+#: Words of dates that say nothing of the day, and names of months.
+_IDLE = ["at", "on", "and", "ad", "of", "st", "nd", "rd", "th", *(d[:k] for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday") for k in (3, len(d)))]
+_MONTH_WORDS = {w: i for i, m in enumerate(MONTHS, 1) for w in {m.lower(), m[:3].lower()}} | {"sept": 9}
+#: Times of day, as 10:30, 10:30:00.5 pm GMT, T10:30 or 10 AM.
+_CLOCK = r"(?:(?<=\d)t|\b)\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[ap]\.?m\b\.?)?(?:\s*(?:utc|gmt|z)\b)?|\b\d{1,2}\s*[ap]\.?m\b\.?"
+#: Years of two digits from this one on are of the twentieth century, the others of the twenty-first.
+CENTURY = 76
+_READ = "struct<v:array<int>,m:int,y:int,ok:boolean>"
+
+
+def _date_token(read: Column, t: Column) -> Column:
+    """What is read of a date, with one more word or number: values in order, the places (from 1) of the month's name and of
+    the year's long number, and whether all is well."""
+    number, month = F.when(t.rlike(r"^\d{1,4}$"), t.cast("int")), F.element_at(lookup(_MONTH_WORDS), t)
+    place, long = F.size(read["v"]) + 1, F.coalesce(F.length(t) > 2, F.lit(False))
+    put = F.struct(
+        F.concat(read["v"], F.array(F.coalesce(number, month))).alias("v"), F.when(month.isNotNull(), place).otherwise(read["m"]).alias("m"), F.when(number.isNotNull() & long, place).otherwise(read["y"]).alias("y"),
+        (read["ok"] & ~(month.isNotNull() & (read["m"] > 0)) & ~(number.isNotNull() & long & (read["y"] > 0))).alias("ok"),
+    )
+    bad = F.struct(read["v"].alias("v"), read["m"].alias("m"), read["y"].alias("y"), F.lit(False).alias("ok"))
+    return F.when(number.isNotNull() | month.isNotNull(), put).when(t.isin(_IDLE), read).otherwise(bad).cast(_READ)
+
+
+def _date_parts(read: Column) -> Column:
+    """ISO date of three values: by name of the month and long year, else by their order and size."""
+    v = [F.try_element_at(read["v"], F.lit(k)) for k in (1, 2, 3)]
+    m, y = read["m"], read["y"]
+    at = lambda k: F.try_element_at(read["v"], F.nullif(k, F.lit(0)))
+    ymd = lambda *parts: F.array(*parts)
+    order = (
+        F.when((m > 0) & (y > 0), ymd(at(y), at(m), at(6 - m - y)))
+        .when(m == 1, F.when(v[1] > 31, ymd(v[1], v[0], v[2])).otherwise(ymd(v[2], v[0], v[1])))
+        .when(m == 2, F.when(v[0] > 31, ymd(v[0], v[1], v[2])).otherwise(ymd(v[2], v[1], v[0])))
+        .when(m == 3, F.when(v[1] > 31, ymd(v[1], v[2], v[0])).otherwise(ymd(v[0], v[2], v[1])))
+        .when((v[0] > 31) | (y == 1), ymd(*v))
+        .when(v[0] > 12, ymd(v[2], v[1], v[0]))
+        .otherwise(ymd(v[2], v[0], v[1]))
+    )
+
+    def iso(d: Column) -> Column:
+        year = d[0] + F.when((y > 0) | (d[0] > 99), 0).when(d[0] >= CENTURY, 1900).otherwise(2000)
+        return F.to_date(F.try_to_timestamp(F.concat(padded(year.cast("string"), 4), F.lit("-"), padded(d[1].cast("string"), 2), F.lit("-"), padded(d[2].cast("string"), 2)), F.lit("yyyy-MM-dd"))).cast("string")
+
+    return F.when(read["ok"] & (F.size(read["v"]) == 3), let(order, iso))
 
 
 def long_date(text: Column) -> Column:
-    """ISO date of a date in English or in digits (G6). Null for other languages and for dates that lack a part, which is never made up."""
-
-    def of(pattern: str, groups: tuple[int, int, int]) -> Column:
-        whole = rf"(?i)^\s*{_WEEKDAY}{pattern}\s*$"
-        y, m, d = (part(text, whole, k) for k in groups)
-        named = F.coalesce(month_number(m), padded(m.try_cast("int").cast("string"), 2))
-        swapped = m.try_cast("int") > 12
-        m, d = F.when(swapped, padded(d, 2)).otherwise(named), F.when(swapped, padded(m, 2)).otherwise(padded(d, 2))
-        return F.to_date(F.try_to_timestamp(F.concat(y, F.lit("-"), m, F.lit("-"), d), F.lit("yyyy-MM-dd"))).cast("string")
-
-    return F.coalesce(*(of(p, g) for p, g in DATES.items()))
+    """ISO date of a date in English or in digits (G6): one fold over its words and numbers, in any order that tells year,
+    month and day apart; a time of day behind it is passed over. Null for other words, as of other languages, and for dates
+    that lack a part, which is never made up."""
+    plain = F.regexp_replace(F.lower(text), _CLOCK, " ")
+    plain = F.regexp_replace(plain, r"\b(\d{4}|\d{2})(\d{2})(\d{2})\b", "$1-$2-$3")
+    tokens = F.regexp_extract_all(plain, F.lit(r"[a-z]+|\d+|[^a-z\d\s.,;/'-]+"), F.lit(0))
+    start = F.struct(F.array().cast("array<int>").alias("v"), F.lit(0).alias("m"), F.lit(0).alias("y"), F.lit(True).alias("ok")).cast(_READ)
+    return F.aggregate(tokens, start, _date_token, _date_parts)
 
 
 # fixed value: series / date / volume(issue); pages
@@ -63,18 +105,20 @@ MMWR = r"(.*?)/(.*?)/\s*(\d+) ?\((.*?)\)[;,]?(.*)"
 
 
 def mmwr(dateline: Column) -> dict[str, Column]:
-    """series, dl_date, dl_vol_iss, dl_year_mo, dl_page of a weekly's dateline."""
-    vol, iss, pages = part(dateline, MMWR, 3), F.regexp_extract(dateline, MMWR, 4), F.regexp_extract(dateline, MMWR, 5)
+    """series, dl_date, dl_vol_iss, dl_year_mo, dl_page of a weekly's dateline (G4-G9). Issues and pages are numbers: zeros
+    in front don't count, but for those that fill them up."""
+    groups = F.split(F.regexp_replace(F.regexp_extract(dateline, MMWR, 0), f"^{MMWR}$", "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")  # the parts of one match
+    named, date, vol, iss, pages = (F.coalesce(F.get(groups, F.lit(k)), F.lit("")) for k in range(5))
+    vol = F.nullif(vol, F.lit(""))
     digits = F.nullif(F.regexp_replace(iss, r"\D", ""), F.lit(""))
-    issue = F.when(iss.contains("Special Issue"), "SP").otherwise(padded(digits, 2))
-    code = F.element_at(lookup(SERIES), F.lower(F.substring(F.trim(F.regexp_extract(dateline, MMWR, 1)), 1, 6)))
-    first = part(pages, r"(\d+)", 1)
+    issue = F.when(iss == "Special Issue", "SP").otherwise(padded(unpadded(digits), 2))
+    code = F.element_at(lookup(SERIES), F.lower(F.substring(F.trim(named), 1, 6)))
     return {
         "series": F.when(vol.isNotNull(), F.concat(F.lit("mm"), F.coalesce(code, F.lit("")))),
-        "dl_date": long_date(F.regexp_extract(dateline, MMWR, 2)),
+        "dl_date": long_date(date),
         "dl_vol_iss": F.concat(vol, F.lit("("), issue, F.lit(")")),
         "dl_year_mo": (vol.cast("int") + MMWR_YEAR).cast("string"),
-        "dl_page": F.coalesce(padded(first, 4), part(pages, "([ivx]+)", 1)),
+        "dl_page": F.coalesce(padded(unpadded(part(pages, r"(\d+)", 1)), 4), part(pages, "([ivx]+)", 1)),
     }
 
 

@@ -16,13 +16,13 @@ class HtmlAnchors:
 
 class HtmlTags:
     def eval(self, html: str):
-        for k, (name, string, attrs) in enumerate(K.tags(K.parse(K.head_only(html or "")))):
+        for k, (name, string, attrs) in enumerate(K.tags(K.parse_head(html))):
             yield k, name, string, len(attrs), attrs
 
 
 class HtmlMetas:
     def eval(self, html: str):
-        for k, (name, content) in enumerate(K.head_meta(K.parse(K.head_only(html or "")))[2]):
+        for k, (name, content) in enumerate(K.head_meta(K.parse_head(html))[2]):
             yield k, name, content
 
 

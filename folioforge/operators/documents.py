@@ -26,7 +26,7 @@ SVG = "n int, trimmed int, len0 int, len1 int, len2 int, len3 int, len4 int, len
 
 
 def _parsed(text: str | None, fields: tuple[str, ...]) -> tuple:
-    root = K.parse(K.head_only(text or "") if HEAD >= set(fields) else text)
+    root = K.parse_head(text) if HEAD >= set(fields) else K.parse(text)
     out: dict = {}
     if HEAD & set(fields):
         title, canonical, metas = K.head_meta(root)
@@ -90,7 +90,7 @@ def text_nodes(html: Column | str, pattern: str) -> Column:
 
 @arrow_function(TAGS)
 def head_tags(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: [{"name": n, "string": t, "attrs": a} for n, t, a in K.tags(K.parse(K.head_only(x or "")))])
+    return s.map(lambda x: [{"name": n, "string": t, "attrs": a} for n, t, a in K.tags(K.parse_head(x))])
 
 
 @arrow_function("string")

@@ -189,10 +189,39 @@ def parse(text: str | None) -> Node:
     return root
 
 
-def head_only(text: str) -> str:
-    """The part before the body, for what is read from the head alone."""
-    m = re.search(r"(?i)</head>|<body[ >]", text)
-    return text[: m.end()] if m else text
+class _Done(Exception):
+    pass
+
+
+class _Head(_Builder):
+    """The tree up to the end of the head: its end tag, or the body's start tag."""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "body":
+            raise _Done
+        super().handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        super().handle_endtag(tag)
+        if tag == "head":
+            raise _Done
+
+
+def parse_head(text: str | None) -> Node:
+    """The tree of what stands before the body, for what is read from the head alone (I2). Tags inside scripts, titles,
+    comments and values are text and end no head; the rest of the page isn't read."""
+    text = text or ""
+    m = re.search(r"(?i)</head\s*>|<body[\s>/]", text)
+    root = _plain(text[: m.start()]) if m else parse(text)  # plain up to there: a real tag
+    if root is None:
+        b = _Head()
+        try:
+            b.feed(text)
+            b.close()
+        except _Done:
+            pass
+        root = b.root
+    return root
 
 
 def anchors(root: Node) -> list[tuple[str | None, str, str | None]]:
@@ -304,18 +333,20 @@ def svg_lengths(text: str) -> tuple[int, int, list[int]]:
 
 
 def markdown(root: Node) -> str:
-    """ATX headings closed with #, _ and __ for emphasis, ~ and ^ for sub and sup, links, images, lists, quotes, code, tables (L3)."""
+    """ATX headings closed with #, _ and __ for emphasis, ~ and ^ for sub and sup, links, images, lists, quotes, code, tables (L3). * and _ of texts are escaped outside code."""
     b = body(root)
     b.remove((*REMOVED, "style"))
     done: dict[int, str] = {}
-    stack: list[tuple[Node, bool]] = [(b, False)]
+    stack: list[tuple[Node, bool, bool]] = [(b, False, False)]
     while stack:  # children first; a stack, so that depth doesn't matter
-        n, ready = stack.pop()
+        n, ready, code = stack.pop()
+        code = code or n.name in _CODE
         if not ready:
-            stack.append((n, True))
-            stack.extend((c, False) for c in n.children if isinstance(c, Node))
+            stack.append((n, True, code))
+            stack.extend((c, False, code) for c in n.children if isinstance(c, Node))
             continue
-        done[id(n)] = _md(n, [re.sub(r"\s+", " ", c) if isinstance(c, str) else done[id(c)] for c in n.children], done)
+        spaced = [re.sub(r"\s+", " ", c) if isinstance(c, str) else None for c in n.children]
+        done[id(n)] = _md(n, [done[id(c)] if t is None else t if code else _EMPHASIS.sub(r"\\\g<0>", t) for c, t in zip(n.children, spaced, strict=True)], done)
         if n.name not in _TABLE:
             for c in n.children:
                 done.pop(id(c), None)
@@ -327,6 +358,10 @@ _TABLE = frozenset("thead tbody tfoot tr colgroup".split())
 _MARKS = {"em": "_", "i": "_", "strong": "__", "b": "__", "sub": "~", "sup": "^", "del": "~~", "s": "~~", "code": "`", "kbd": "`", "samp": "`"}
 
 
+#: Elements whose text is as it is; elsewhere characters that would be read as emphasis have a backslash in front.
+_CODE, _EMPHASIS = frozenset("code kbd samp pre".split()), re.compile("[*_]")
+
+
 def _own(table: Node, name: str) -> Iterator[Node]:
     """Elements of a table that aren't a nested table's."""
     stack = [c for c in reversed(table.children) if isinstance(c, Node)]

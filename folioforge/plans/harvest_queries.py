@@ -99,9 +99,9 @@ link as (
     select 'https://e.org/eid/' as base, '/eid/' as href, '/eid/' as path, 'EID Journal' as string, 'home' as level, 0 as seq
     union all select 'https://e.org/eid/', '/eid/past-issues/volume-30', '/eid/past-issues/volume-30', 'Past Issues', 'series', 1
     union all select 'https://e.org/eid/past-issues/volume-30', '/eid/past-issues/volume-' || v, '/eid/past-issues/volume-' || v, 'Volume ' || v || '—' || (1994 + v), 'volume', row_number() over (partition by v = 1 order by v) - 1 from volume
-    union all select 'https://e.org/eid/past-issues/volume-' || v, '/eid/articles/issue/' || v || '/' || i || '/toc', '/eid/articles/issue/' || v || '/' || i || '/toc', 'Table of Contents', 'issue', row_number() over (partition by v order by i) - 1 from issue
+    union all select 'https://e.org/eid/past-issues/volume-' || v, '/eid/articles/issue/' || v || '/' || i || '/toc', '/eid/articles/issue/' || v || '/' || i || '/toc', 'Table of Contents', 'issue', row_number() over (partition by v order by i) - 1 + (select count(*) from volume o where case issue.v when 1 then o.v <> 1 when 2 then o.v = 1 else false end) from issue
     union all select 'https://e.org/eid/articles/issue/' || v || '/' || i || '/toc', '/eid/article/' || v || '/' || p || '_article', '/eid/article/' || v || '/' || p || '_article', 'Article ' || p, 'article', p % 20 from article
-    union all select 'https://e.org/eid/articles/issue/' || n.v || '/' || n.i || '/toc', '/eid/article/' || a.v || '/' || p || '_article', '/eid/article/' || a.v || '/' || p || '_article', 'Again ' || p, 'article', 20 from article a join issue n on n.i = a.i + 1 where p % 20 = 0
+    union all select 'https://e.org/eid/articles/issue/' || n.v || '/' || n.i || '/toc', '/eid/article/' || a.v || '/' || p || '_article', '/eid/article/' || a.v || '/' || p || '_article', 'Again ' || p, 'article', (select count(*) from article o where o.i = n.i) from article a join issue n on n.i = a.i + 1 where p % 20 = 0
 ),
 reach as (
     select base, href, path, string, level, seq from link where level = 'home'

@@ -30,7 +30,7 @@ def mmwr_pages(spark, sf_dir):
 
 @query(f"""with {WEEKLY_SQL} select {MMWR_PATH} as path, case when o_orderkey % 9 = 0 then 'cx' when o_orderkey % 3 = 0 then 'div' else 'var' end as src, dateline,
     case when o_orderkey % 7 = 0 then 'mmnd' else 'mm' || case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end end as series,
-    case when o_orderkey % 7 > 0 and o_orderkey % 11 = 0 then 'es' else 'en' end as lang, (vol + 1951)::varchar as dl_year_mo, vol || '(' || lpad((o_orderkey % 53 + 1)::varchar, 2, '0') || ')' as dl_vol_iss,
+    case when o_orderkey % 7 > 0 and o_orderkey % 11 = 0 then 'es' else 'en' end as lang, (vol + 1951)::varchar as dl_year_mo, vol || '(' || case when o_orderkey % 10 = 7 then 'SP' else lpad((o_orderkey % 53 + 1)::varchar, 2, '0') end || ')' as dl_vol_iss,
     strftime(o_orderdate, '%Y-%m-%d') as dl_date, lpad((o_orderkey % 900 + 1)::varchar, 4, '0') as dl_page from wk""")
 def journal_mmwr_datelines(spark, sf_dir):
     """From elements, scripts and corrections (of every ninth page)."""
@@ -43,7 +43,7 @@ def journal_mmwr_datelines(spark, sf_dir):
     lpad((o_orderkey % 53 + 1)::varchar, 2, '0') as dl_iss_num, '' as dl_iss_anno, (o_orderkey % 900 + 1)::int as dl_page, (o_orderkey % 7 + 1)::int as dl_npgs, (o_orderkey % 900 + 1) || '-' || (o_orderkey % 900 + 1 + o_orderkey % 7) as dl_repr, '' as dl_anno from wk""")
 def dateline_detail(spark, sf_dir):
     """All orders, ranges of one page among them."""
-    rows = weekly(spark, sf_dir)
+    rows = weekly(spark, sf_dir, odd=False)
     return rows.select("o_orderkey", *(c.alias(n) for n, c in D.mmwr_detail(F.col("dateline")).items())).select("*", "pages.*").drop("pages")
 
 

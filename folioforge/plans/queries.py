@@ -268,20 +268,25 @@ def svg_trimmed(spark, sf_dir):
 
 WEEKLY = "case o_orderkey % 4 when 0 then 'Weekly' when 1 then 'Recommendations and Reports' when 2 then 'Surveillance Summaries' else 'Supplement' end"
 WEEKLY_SQL = f"""wk as (
-    select o_orderkey, {WEEKLY} || ' / ' || strftime(o_orderdate, '%B %d, %Y') || ' / ' || (year(o_orderdate) - 1951) || '(' || (o_orderkey % 53 + 1) || ');' || (o_orderkey % 900 + 1) || '-' || (o_orderkey % 900 + 1 + o_orderkey % 7) as dateline,
+    select o_orderkey, {WEEKLY} || ' / ' || strftime(o_orderdate, '%B %d, %Y') || ' / ' || (year(o_orderdate) - 1951) || '(' || case o_orderkey % 10 when 7 then 'Special Issue' when 8 then 'Special Issue ' || (o_orderkey % 53 + 1) when 9 then '00' || (o_orderkey % 53 + 1) else (o_orderkey % 53 + 1)::varchar end
+            || ');' || case when o_orderkey % 11 = 3 then '000' else '' end || (o_orderkey % 900 + 1) || '-' || (o_orderkey % 900 + 1 + o_orderkey % 7) as dateline,
         o_orderdate, year(o_orderdate) - 1951 as vol
     from orders
 )"""
 
 
-def weekly(spark, sf_dir):
+ODD_ISSUE = "'(' || case o_orderkey % 10 when 7 then 'Special Issue' when 8 then 'Special Issue ' || (o_orderkey % 53 + 1) when 9 then '00' || (o_orderkey % 53 + 1) else string(o_orderkey % 53 + 1) end || ');' || if(o_orderkey % 11 = 3, '000', '')"
+
+
+def weekly(spark, sf_dir, odd=True):
+    """Datelines of `orders`; odd: with special issues, and with zeros in front of issues and pages."""
     k = F.col("o_orderkey")
     name = F.expr(WEEKLY)
-    text = F.concat(name, F.lit(" / "), F.date_format("o_orderdate", "MMMM dd, yyyy"), F.lit(" / "), (F.year("o_orderdate") - 1951).cast("string"), F.lit("("), (k % 53 + 1).cast("string"), F.lit(");"), (k % 900 + 1).cast("string"), F.lit("-"), (k % 900 + 1 + k % 7).cast("string"))
+    text = F.concat(name, F.lit(" / "), F.date_format("o_orderdate", "MMMM dd, yyyy"), F.lit(" / "), (F.year("o_orderdate") - 1951).cast("string"), F.expr(ODD_ISSUE if odd else "'(' || (o_orderkey % 53 + 1) || ');'"), (k % 900 + 1).cast("string"), F.lit("-"), (k % 900 + 1 + k % 7).cast("string"))
     return R.spread(load(spark, sf_dir, "orders")).select("o_orderkey", text.alias("dateline"))
 
 
-@query(f"with {WEEKLY_SQL} select o_orderkey, dateline, 'mm' || case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as series, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol || '(' || lpad((o_orderkey % 53 + 1)::varchar, 2, '0') || ')' as dl_vol_iss, (vol + 1951)::varchar as dl_year_mo, lpad((o_orderkey % 900 + 1)::varchar, 4, '0') as dl_page from wk")
+@query(f"with {WEEKLY_SQL} select o_orderkey, dateline, 'mm' || case o_orderkey % 4 when 0 then 'wr' when 1 then 'rr' when 2 then 'ss' else 'su' end as series, strftime(o_orderdate, '%Y-%m-%d') as dl_date, vol || '(' || case when o_orderkey % 10 = 7 then 'SP' else lpad((o_orderkey % 53 + 1)::varchar, 2, '0') end || ')' as dl_vol_iss, (vol + 1951)::varchar as dl_year_mo, lpad((o_orderkey % 900 + 1)::varchar, 4, '0') as dl_page from wk")
 def dateline_mmwr(spark, sf_dir):
     return weekly(spark, sf_dir).select("o_orderkey", "dateline", *(c.alias(n) for n, c in D.mmwr(F.col("dateline")).items()))
 
@@ -318,13 +323,17 @@ def pages_total(spark, sf_dir):
     return page_strings(spark, sf_dir).select("o_orderkey", D.pages(text).alias("p")).select("o_orderkey", "p.*")
 
 
-#: Dates as they are written, by o_orderkey % 6; the last kinds are in Spanish and without a day.
-WRITTEN = "case o_orderkey % 6 when 0 then date_format(o_orderdate, 'MMMM d, yyyy') when 1 then date_format(o_orderdate, 'd MMM yyyy') when 2 then date_format(o_orderdate, 'M/d/yyyy') when 3 then date_format(o_orderdate, 'EEEE, MMM. dd, yyyy') when 4 then date_format(o_orderdate, 'd') || ' de enero de 1999' else date_format(o_orderdate, 'MMMM yyyy') end"
+#: Dates as they are written, by o_orderkey % 14; the last kinds are in Spanish, without a day, and impossible.
+WRITTEN = [
+    "MMMM d, yyyy", "d MMM yyyy", "M/d/yyyy", "EEEE, MMM. dd, yyyy", "M/d/yy", "d-MMM-yyyy", "yyyy MMMM d", "MMMM d, yyyy, 10 'AM'", "yyyy-MM-dd'T'HH:mm:ss", "yyyyMMdd", "d MMMM, yy", "d 'de enero de' yyyy", "MMMM yyyy", "'February 30, 'yyyy",
+]
 
 
-@query("select o_orderkey, case when o_orderkey % 6 < 4 then strftime(o_orderdate, '%Y-%m-%d') end as dl_date from orders")
+@query("select o_orderkey, case when o_orderkey % 14 < 11 then strftime(o_orderdate, '%Y-%m-%d') end as dl_date from orders")
 def dates_written(spark, sf_dir):
-    return load(spark, sf_dir, "orders").select("o_orderkey", D.long_date(F.expr(WRITTEN)).alias("dl_date"))
+    orders = R.spread(load(spark, sf_dir, "orders"))
+    text = F.element_at(F.array(*(F.date_format("o_orderdate", w) for w in WRITTEN)), (F.col("o_orderkey") % len(WRITTEN) + 1).cast("int"))
+    return orders.select("o_orderkey", D.long_date(text).alias("dl_date"))
 
 
 @query("select o_orderkey, case when o_orderkey % 3 = 0 then lpad((o_orderkey % 28 + 1)::varchar, 2, '0') || '(SU)' else lpad((o_orderkey % 28 + 1)::varchar, 2, '0') || '(' || lpad((o_orderkey % 12 + 1)::varchar, 2, '0') || ')' end as dl_vol_iss, strftime(o_orderdate, '%Y-%m') as dl_year_mo, case when o_orderkey % 28 + 1 <= 12 then 'eid0' when o_orderkey % 28 + 1 <= 18 then 'eid1' when o_orderkey % 28 + 1 <= 24 then 'eid2' else 'eid3' end as series from orders")
@@ -402,10 +411,11 @@ def key_symmetric_diff(spark, sf_dir):
 
 @query("select page_id, trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')) as title, '/c/' || page_id as canonical, 1 + (page_id % 3)::int as n_metas, 'v' || page_id as first_meta from pages")
 def head_meta(spark, sf_dir):
-    """Of heads alone, into which a canonical link, metas with and without content, and properties are put."""
+    """Of heads alone, into which a canonical link, metas with and without content, properties, and what looks like their end are put."""
     k = F.col("page_id").cast("string")
     more = F.concat(F.lit('<link rel="x canonical" href="/c/'), k, F.lit('"><meta name="first" content="v'), k, F.lit('"><meta name="none" content=""><meta content="nameless">'), F.repeat(F.lit('<meta property="p" content="q">'), (F.col("page_id") % 3).cast("int")), F.lit("</head>"))
-    p = R.spread(load(spark, sf_dir, "pages")).select("page_id", P.parse_document(F.replace("html", F.lit("</head>"), more), "title", "canonical", "metas").alias("p"))
+    early = F.when(F.col("page_id") % 4 == 1, '<script>var a = "</head><body>";</script>').when(F.col("page_id") % 4 == 2, '<!-- </head> --><link title="</head>">').otherwise("")
+    p = R.spread(load(spark, sf_dir, "pages")).select("page_id", P.parse_document(F.replace(F.replace("html", F.lit("</head>"), more), F.lit("<head>"), F.concat(F.lit("<head>"), early)), "title", "canonical", "metas").alias("p"))
     return p.select("page_id", "p.title", "p.canonical", F.size("p.metas").alias("n_metas"), F.col("p.metas")[0]["content"].alias("first_meta"))
 
 
@@ -543,17 +553,17 @@ def store_lookup(spark, sf_dir):
 
 
 #: A page of which text and Markdown are known: headings, emphasis, links, lists with loose text, a table in a table, what is removed.
-SHOWN = "<html><body><h2>N {n}</h2><script>var s = 1;</script><p>a <b>b</b> <i>c</i>  d</p><form>f</form><ul>loose<li>x</li><li><a href='/y'>y</a></li></ul><table><caption>cap</caption><tr><th>h</th><th>i</th></tr><tr><td>{n}</td><td><table><tr><td>in</td></tr></table></td></tr></table></body></html>"
+SHOWN = "<html><body><h2>N {n}</h2><script>var s = 1;</script><p>a <b>b</b> <i>c</i>  d 2*3*4 x_y_z <code>k_*</code></p><form>f</form><ul>loose<li>x</li><li><a href='/y'>y</a></li></ul><table><caption>cap</caption><tr><th>h</th><th>i</th></tr><tr><td>{n}</td><td><table><tr><td>in</td></tr></table></td></tr></table></body></html>"
 
 
-SHOWN_MD = "## N {n} ##¶¶a __b__ _c_ d¶¶loose¶* x¶* [y](/y)¶¶cap¶¶| h | i |¶| --- | --- |¶| {n} | \\| in \\| \\| --- \\| |"
+SHOWN_MD = "## N {n} ##¶¶a __b__ _c_ d 2\\*3\\*4 x\\_y\\_z `k_*`¶¶loose¶* x¶* [y](/y)¶¶cap¶¶| h | i |¶| --- | --- |¶| {n} | \\| in \\| \\| --- \\| |"
 
 
 def _filled(text: str) -> str:
     return "replace(replace('" + text.replace("'", "''") + "', '¶', chr(10)), '{n}', doc_id::varchar)"
 
 
-@query(f"select doc_id, length({_filled(SHOWN)}) as html_chars, 'N ' || doc_id || 'a b c dloosexycaphi' || doc_id || 'in' as text, {_filled(SHOWN_MD)} as md from documents")
+@query(f"select doc_id, length({_filled(SHOWN)}) as html_chars, 'N ' || doc_id || 'a b c d 2*3*4 x_y_z k_*loosexycaphi' || doc_id || 'in' as text, {_filled(SHOWN_MD)} as md from documents")
 def contents_rendered(spark, sf_dir):
     """HTML, plain text and Markdown of a page whose renditions are known, for each document's number."""
     first, *rest = SHOWN.split("{n}")
