@@ -155,12 +155,12 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def grouping_counts(df: DataFrame, sets: list[list[str]]) -> DataFrame:
-    """Counts by each set of columns, one table for all (B7, K1): `_set` is its columns with commas between; columns outside it are null."""
-    out = []
-    for columns in sets:
-        counts = df.groupBy(*columns).agg(F.count("*").alias("n"))
-        out.append(counts.select(F.lit(",".join(columns)).alias("_set"), *(F.col(c).cast("string") for c in columns), "n"))
-    return union(*out)
+    """Counts by each set of columns, one table for all, by one scan (B7, K1): `_set` is its columns with commas between; columns outside it are null."""
+    every = list(dict.fromkeys(c for columns in sets for c in columns))
+    counts = df.groupingSets([[F.col(c) for c in columns] for columns in sets], *every).agg(F.count("*").alias("n"), F.grouping_id(*every).alias("_id"))
+    # bit k from the left of a grouping's id is set where column k isn't in it
+    name = F.coalesce(*(F.when(F.col("_id") == sum(1 << (len(every) - 1 - k) for k, c in enumerate(every) if c not in columns), F.lit(",".join(columns))) for columns in sets))
+    return counts.select(name.alias("_set"), *(F.col(c).cast("string") for c in every), "n")
 
 
 def value_counts(df: DataFrame, column: str, domain: list[str]) -> DataFrame:
@@ -271,5 +271,8 @@ def presence(df: DataFrame, key: str, column: str, values: list[str]) -> DataFra
 
 
 def first_by(df: DataFrame, key: str, order: list) -> DataFrame:
-    """One row a key, the first in an order (1.4)."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+    """One row a key, the first in an order of columns (1.4): ascending, nulls last; for a descending number its negative.
+    Tasks pass on one row a key at most."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    place = F.struct(*(F.struct(c.isNull().alias("none"), c.alias("value")) for c in columns))
+    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*df.columns), place).alias("_r")).select("_r.*")

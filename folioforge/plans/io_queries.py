@@ -10,9 +10,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from folioforge import registry
+from folioforge.operators import documents as P
 from folioforge.operators import relational as R
-from folioforge.plans.queries import load, query
-from folioforge.sources import mirror, readers, writers
+from folioforge.operators import sequence
+from folioforge.plans.queries import LABELLED, labelled, load, query
+from folioforge.sources import exports, mirror, readers, stages, writers
 
 
 def folder(spark) -> str:
@@ -154,10 +156,99 @@ def sink_bundles(spark, sf_dir):
 @query("""with r as (select 'by lang' as sheet, lang as a, null as b, count(*) as n from documents group by all union all select 'by source & lang', source, lang, count(*) from documents group by all)
     select sheet, coalesce(a, '-') as a, coalesce(b, '-') as b, n from r""")
 def sink_workbook(spark, sf_dir):
-    """Counts by several groupings as a workbook, a sheet a grouping, and back."""
-    at = f"{folder(spark)}/counts.xlsx"
-    docs = load(spark, sf_dir, "documents")
-    counts = {"by lang": docs.groupBy("lang").agg(F.lit(None).alias("b"), F.count("*").alias("n")), "by source & lang": docs.groupBy("source", "lang").agg(F.count("*").alias("n"))}
-    writers.workbook(counts, at)
-    cells = readers.workbook(spark, at).where("row > 0")
-    return cells.select("sheet", F.coalesce(F.col("cells")[0], F.lit("-")).alias("a"), F.coalesce(F.col("cells")[1], F.lit("-")).alias("b"), F.col("cells")[2].cast("long").alias("n"))
+    """Counts by several groupings, from one scan, as a folder of quoted CSV a sheet, and back."""
+    at = folder(spark)
+    counts = R.grouping_counts(load(spark, sf_dir, "documents"), [["lang"], ["source", "lang"]])
+    first = F.col("_set") == "lang"
+    writers.sheets(counts.select(F.when(first, "by lang").otherwise("by source & lang").alias("sheet"), F.when(first, F.col("lang")).otherwise(F.col("source")).alias("a"), F.when(~first, F.col("lang")).alias("b"), "n"), "sheet", at)
+    rows = readers.sheets(spark, at, "sheet", "a string, b string, n long")
+    return rows.select("sheet", F.coalesce("a", F.lit("-")).alias("a"), F.coalesce("b", F.lit("-")).alias("b"), "n")
+
+
+@query(registry.SQL["three_way_inner"])
+def stages_joined(spark, sf_dir):
+    """The three-way join over stored stages, bucketed by the path: no rows are moved for it."""
+    at = folder(spark)
+    links = labelled(load(spark, sf_dir, "pages")).select("page_id", "collection", "level", F.col("page_id").cast("long").alias("mirror_path"))
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("lang").alias("doc_lang"))
+    labels = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("path"), "quality")
+    for name, df, key in (("links", links, "mirror_path"), ("docs", docs, "path"), ("labels", labels, "path")):
+        stages.store(df, f"{at}/{name}", key, buckets=8)
+    return R.corpus(*(stages.stored(spark, f"{at}/{name}") for name in ("links", "docs", "labels")), ["article"]).select("page_id", "collection", "doc_lang", "quality")
+
+
+def renditions_of(spark, sf_dir):
+    """Pages with their collection and three renditions, from one parse."""
+    pages = labelled(R.spread(load(spark, sf_dir, "pages")))
+    made = pages.select("page_id", "collection", "html", P.parse_document("html", "text", "md").alias("p"))
+    return made.select("page_id", "collection", F.col("page_id").cast("string").alias("url"), "html", F.col("p.md").alias("md"), F.col("p.text").alias("txt"))
+
+
+FORMATS = {"html": True, "md": False, "txt": True}
+
+
+@query(f"with {LABELLED} select collection || '_html.json' as file, page_id::varchar as url, row_number() over (partition by collection order by page_id) - 1 as place, md5(html || ' é😀') as content_md5 from labelled")
+def bundles_exact(spark, sf_dir):
+    """One JSON file a collection, in the corpus' order and with ASCII escapes, put together from the parts of many tasks, and
+    read back with each entry's place (B10, L5, A10)."""
+    at = folder(spark)
+    pages = labelled(load(spark, sf_dir, "pages")).select("page_id", "collection", F.col("page_id").cast("string").alias("url"), F.concat("html", F.lit(" é😀")).alias("html"))
+    exports.write_bundles(pages, at, {"html": True}, ["page_id"])
+    return exports.read_bundles(spark, at).select(F.col("member").alias("file"), "url", "place", F.md5("content").alias("content_md5"))
+
+
+@query(f"""with {LABELLED}, f as (select unnest(['html', 'md', 'txt']) as format) select collection || '_' || format || '.json' as file, page_id::varchar as url,
+    row_number() over (partition by collection, format order by page_id desc) - 1 as place, case when format = 'html' then md5(html) end as html_md5 from labelled, f""")
+def bundles_zipped(spark, sf_dir):
+    """Three renditions, zipped, in the reverse order of pages, read a task an entry by its byte range."""
+    at = folder(spark)
+    exports.write_bundles(renditions_of(spark, sf_dir).withColumn("back", -F.col("page_id")), at, FORMATS, ["back"], zipped=True)
+    got = exports.read_bundles(spark, at)
+    return got.select(F.col("member").alias("file"), "url", "place", F.when(F.col("member").endswith("_html.json"), F.md5("content")).alias("html_md5"))
+
+
+def stored_orders(spark, pages, at, bent=None):
+    """The stores (html, md, txt) of pages, written, read back in their own order, and held against the corpus, which is written
+    in its order: (store, n, missing, more, moved). bent: a change of a store's rows before it is written, by its name."""
+    corpus = pages.select("collection", "page_id", F.col("page_id").cast("string").alias("url"))
+    order = [R.domain_order(F.col("collection"), R.COLLECTIONS), "collection", "page_id"]
+    corpus.orderBy(*order).write.parquet(f"{at}/corpus")
+    kept = spark.read.schema(corpus.schema).parquet(f"{at}/corpus")
+    for name, ascii_only in FORMATS.items():
+        exports.write_bundles((bent or {}).get(name, lambda x: x)(pages.withColumn("at", F.col("page_id").cast("double"))), f"{at}/{name}", {name: ascii_only}, ["at"], zipped=True)
+    true, out = sequence.whole(sequence.of_files(kept, "url")), []
+    for name in FORMATS:
+        read = exports.read_bundles(spark, f"{at}/{name}")
+        n, digest = sequence.whole(sequence.of_members(read, "url", R.COLLECTIONS, F.lit(f"_{name}.json")))
+        if (n, digest) == true:  # the same keys in the same order: nothing to look for
+            out.append(spark.createDataFrame([(name, n, 0, 0, 0)], "store string, n long, missing long, more long, moved long"))
+        else:
+            last = lambda df: df.withColumn("c", F.coalesce(R.ordinal(F.col("collection"), R.COLLECTIONS), F.lit(len(R.COLLECTIONS) + 1)))
+            rows = read.select("url", F.substring_index("member", f"_{name}.json", 1).alias("collection"), "place")
+            store = R.ranked(last(rows), ["c", "collection", "place"], "k")
+            keys = R.ranked(last(kept), ["c", "collection", "page_id"], "k")
+            out.append(R.consistent(keys.select("url", "k"), {name: store.select("url", "k")}, "url", "k").select("store", "n", "missing", "more", "moved"))
+    return R.union(*out)
+
+
+@query("with k as (select count(distinct page_id) as n from pages) select unnest(['html', 'md', 'txt']) as store, n, 0::bigint as missing, 0::bigint as more, 0::bigint as moved from k")
+def reconstruct_consistency(spark, sf_dir):
+    """The three renditions, written as zipped bundles and read back, hold the corpus' keys in the corpus' order."""
+    at = folder(spark)
+    renditions_of(spark, sf_dir).write.parquet(f"{at}/pages")
+    return stored_orders(spark, spark.read.parquet(f"{at}/pages"), f"{at}/stores")
+
+
+@query(f"""with {LABELLED}, k as (select count(*) as n from labelled), c as (select collection, min(page_id) as a, count(*) as n from labelled group by 1 having count(*) > 1 order by collection limit 1),
+    -- of the first collection with two pages the first one comes last in one store: all of its pages move; without page 0 all pages that the corpus has behind it do
+    o as (select page_id, row_number() over (order by list_position({R.COLLECTIONS!r}, collection) nulls last, collection, page_id) as place from labelled)
+    select 'html' as store, n, 0::bigint as missing, 0::bigint as more, 0::bigint as moved from k
+    union all select 'md', k.n, 0, 0, c.n from k, c
+    union all select 'txt', k.n - 1, 1, 0, k.n - (select place from o where page_id = 0) from k""")
+def reconstruct_differences(spark, sf_dir):
+    """As above, where one store holds a page at another place, and one lacks a page: both are seen."""
+    at = folder(spark)
+    pages = labelled(load(spark, sf_dir, "pages")).select("page_id", "collection", F.col("page_id").cast("string").alias("url"), "html", F.lit("m").alias("md"), F.lit("t").alias("txt"))
+    first = pages.groupBy("collection").agg(F.min("page_id").alias("a"), F.count("*").alias("n")).where("n > 1").orderBy("collection").limit(1)
+    last = lambda df: df.join(F.broadcast(first.select("a")), F.col("page_id") == F.col("a"), "left").withColumn("at", F.when(F.col("a").isNotNull(), float("inf")).otherwise(F.col("at"))).drop("a")
+    return stored_orders(spark, pages, f"{at}/stores", {"md": last, "txt": lambda df: df.where("page_id <> 0")})

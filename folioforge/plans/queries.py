@@ -440,7 +440,7 @@ def grouping_tables(spark, sf_dir):
 
 @query("select * exclude (r) from (select doc_id, source, n_chars, row_number() over (partition by source order by n_chars desc, doc_id) as r from documents) where r = 1")
 def first_by_key(spark, sf_dir):
-    return R.first_by(load(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), "source", [F.desc("n_chars"), "doc_id"])
+    return R.first_by(load(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), "source", [-F.col("n_chars"), "doc_id"])
 
 
 # ---- keywords
@@ -577,14 +577,4 @@ def contents_renditions(spark, sf_dir):
     return R.spread(load(spark, sf_dir, "pages")).select("url", F.col("html"), P.parse_document("html", "text", "md").alias("p")).select("url", "html", "p.text", "p.md")
 
 
-@query("with k as (select count(distinct page_id) as n from pages) select unnest(['html', 'text', 'md']) as store, n, 0::bigint as missing, 0::bigint as more, 0::bigint as moved from k")
-def reconstruct_consistency(spark, sf_dir):
-    """The three renditions, made from the pages, hold the corpus' keys in the corpus' order."""
-    pages = load(spark, sf_dir, "pages")
-    corpus = R.ranked(pages.select("page_id"), ["page_id"], "place")
-    made = pages.select("page_id", "html", P.parse_document("html", "text", "md").alias("p")).select("page_id", "html", "p.text", "p.md")
-    stores = {c: R.ranked(made.where(F.col(c).isNotNull()).select("page_id"), ["page_id"], "place") for c in ("html", "text", "md")}
-    return R.consistent(corpus, stores, "page_id", "place")
-
-
 registry.FLAGSHIP = corpus_collection_counts

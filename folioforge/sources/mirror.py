@@ -39,7 +39,9 @@ def fetch_url(url: str, timeout: float) -> bytes:
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's URI, as workers reach it, and the path in it."""
-    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
+    if uri.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
 
 
 def below(root: str, path: str) -> str:
@@ -230,9 +232,11 @@ def queue(links: DataFrame, folder: str, lanes: int = 64, mode: str = "errorifex
     """Write links (url, mirror_path) to fetch, each path once, dealt over `lanes` by host: a host's pages go to one lane,
     those of a host with more than one lane's share to as many as its share needs. Rows without a url or a path are dropped.
     Lanes are in no order of hosts, so that waiting for one host seldom holds up another."""
+    spark, every = links.sparkSession, f"{folder.rstrip('/')}-all"
     todo = links.where("url is not null and mirror_path is not null").groupBy("mirror_path").agg(F.min("url").alias("url")).withColumn("host", host_of(F.col("url")))
-    total = todo.count()
-    least = max(1, -(-total // lanes))
+    todo.write.mode(mode).parquet(every)  # what links is made from is computed once
+    todo = spark.read.schema("mirror_path string, url string, host string").parquet(every)
+    least = max(1, -(-todo.count() // lanes))
     hosts = todo.groupBy("host").agg(F.count("*").alias("n"))
     large = hosts.where(F.col("n") > least).select("host", F.ceil(F.col("n") / least).cast("int").alias("lanes"))  # fewer than `lanes`
     h = F.xxhash64("url")

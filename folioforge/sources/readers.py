@@ -2,12 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import json
-import zipfile
-from xml.etree import ElementTree
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,50 +66,19 @@ def bundles(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("collection", F.explode(F.from_json("json", "map<string, string>")).alias("url", "content"))
 
 
-def zipped_bundles(spark: SparkSession, path: str, rows: int = 500) -> DataFrame:
-    """(member, url, content) of JSON objects in zip files (A10); a zip file is read by one task, its entries are passed
-    on `rows` at a time."""
-
-    def run(batches):
-        for batch in batches:
-            for raw in batch.column(0):
-                with zipfile.ZipFile(io.BytesIO(raw.as_buffer())) as z:
-                    for name in z.namelist():
-                        items = list(json.loads(z.read(name)).items())
-                        for a in range(0, len(items), rows):
-                            part = items[a : a + rows]
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([k for k, _ in part], pa.string()), pa.array([v for _, v in part], pa.string())], ["member", "url", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "member string, url string, content string")
-
-
 def renditions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(url, and a column a rendition) of the zipped bundles of several renditions, merged by url (A10). Of a url that
+    """(url, and a column a rendition) of the bundles of several renditions, a folder each, merged by url (A10). Of a url that
     occurs in several members the last one by name counts."""
+    from folioforge.sources.exports import read_bundles
+
     out = None
     for name, path in paths.items():
-        last = F.max_by("content", "member").alias(name)
-        one = zipped_bundles(spark, path).groupBy("url").agg(last)
+        last = F.max_by("content", F.struct("member", "place")).alias(name)
+        one = read_bundles(spark, path).groupBy("url").agg(last)
         out = one if out is None else out.join(one, "url", "full")
     return out
 
 
-def workbook(spark: SparkSession, path: str) -> DataFrame:
-    """(sheet, row, cells) of spreadsheet files as writers.workbook makes them: row 0 is the header, empty cells are null."""
-
-    def run(batches):
-        for batch in batches:
-            for raw in batch.column(0):
-                with zipfile.ZipFile(io.BytesIO(raw.as_buffer())) as z:
-                    names = [x.get("name") for x in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if x.tag.endswith("}sheet")]
-                    for k, name in enumerate(names, 1):
-                        with z.open(f"xl/worksheets/sheet{k}.xml") as f:
-                            n = 0
-                            for _, x in ElementTree.iterparse(f):
-                                if x.tag.endswith("}row"):
-                                    cells = ["".join(c.itertext()) if len(c) else None for c in x]
-                                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int32()), pa.array([cells], pa.list_(pa.string()))], ["sheet", "row", "cells"])
-                                    n += 1
-                                    x.clear()
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "sheet string, row int, cells array<string>")
+def sheets(spark: SparkSession, path: str, sheet: str, schema: str) -> DataFrame:
+    """The tables that writers.sheets wrote, with the sheet's name as its last column."""
+    return spark.read.csv(path, header=True, schema=f"{schema}, {sheet} string", quote='"', escape='"', multiLine=True, nullValue="\\N")

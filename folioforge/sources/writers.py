@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,53 +50,6 @@ def bundle_objects(df: DataFrame, column: str, path: str, ascii_only: bool, rows
     made.select("collection", (ascii_json("json") if ascii_only else F.col("json")).alias("json")).write.partitionBy("collection").mode("errorifexists").text(path)
 
 
-#: Rows below the header that a sheet of the spreadsheet format has room for.
-SHEET_ROWS = 1_048_575
-_MAIN, _LINKS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-_PACKAGE, _TYPE = "http://schemas.openxmlformats.org/package/2006", "application/vnd.openxmlformats-officedocument.spreadsheetml"
-
-
-def _cell(v) -> str:
-    if v is None:
-        return "<c/>"
-    if isinstance(v, bool):
-        return f'<c t="b"><v>{int(v)}</v></c>'
-    if isinstance(v, (int, float)) and v == v and abs(v) < 1e15:
-        return f"<c><v>{v!r}</v></c>"
-    text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", lambda m: f"_x{ord(m[0]):04X}_", str(v))
-    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
-
-
-def _sheet(df: DataFrame) -> Iterator[str]:
-    yield f'<worksheet xmlns="{_MAIN}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews><sheetData>'
-    yield "<row>" + "".join(map(_cell, df.columns)) + "</row>"
-    for k, row in enumerate(df.toLocalIterator()):
-        if k == SHEET_ROWS:
-            raise ValueError(f"a sheet has room for {SHEET_ROWS} rows")
-        yield "<row>" + "".join(map(_cell, row)) + "</row>"
-    yield "</sheetData></worksheet>"
-
-
-def workbook(sheets: dict[str, DataFrame], path: str) -> None:
-    """A spreadsheet file for review, a sheet a table, headers kept in sight (B6, B7): for tables of at most SHEET_ROWS rows,
-    others raise ValueError. Rows pass through the driver one partition at a time; the packed file is held by it. Fails if the file exists."""
-    held = io.BytesIO()
-    first = next(iter(sheets.values()))
-    ids = range(1, len(sheets) + 1)
-    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
-        parts = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{_TYPE}.worksheet+xml"/>' for k in ids)
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{_TYPE}.sheet.main+xml"/>{parts}</Types>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="r1" Type="{_LINKS}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        names = "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{k}" r:id="r{k}"/>' for k, n in zip(ids, sheets, strict=True))
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_LINKS}"><sheets>{names}</sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PACKAGE}/relationships">' + "".join(f'<Relationship Id="r{k}" Type="{_LINKS}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in ids) + "</Relationships>")
-        for k, df in zip(ids, sheets.values(), strict=True):
-            with z.open(f"xl/worksheets/sheet{k}.xml", "w") as f:
-                for x in _sheet(df):
-                    f.write(x.encode())
-    p = first.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(first.sparkSession._jsc.hadoopConfiguration()).create(p, False)
-    try:
-        out.write(bytearray(held.getvalue()))
-    finally:
-        out.close()
+def sheets(df: DataFrame, sheet: str, path: str) -> None:
+    """Tables for review: a folder of quoted CSV, with a header, for each value of the column `sheet`."""
+    df.write.option("quoteAll", True).option("escape", '"').option("emptyValue", "").option("nullValue", "\\N").partitionBy(sheet).mode("errorifexists").csv(path, header=True)

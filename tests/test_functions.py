@@ -250,20 +250,26 @@ def test_exports(spark, tmp_path):
     assert [r.collection for r in typed] == ["eid0_art_en", "pcd_art_en"] and typed[0].series is None
 
 
-def test_zipped(spark, tmp_path):
-    import json
-    import zipfile
-
-    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("eid_html.json", json.dumps({"u": "x", "v": "y"}))
-    assert sorted((r.member, r.url, r.content) for r in readers.zipped_bundles(spark, f"{tmp_path}/a.zip").collect()) == [("eid_html.json", "u", "x"), ("eid_html.json", "v", "y")]
-    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
-        z.writestr("eid_md.json", json.dumps({"u": "m", "w": "n"}))
-    assert sorted(map(tuple, readers.renditions(spark, {"html": f"{tmp_path}/a.zip", "md": f"{tmp_path}/b.zip"}).collect())) == [("u", "x", "m"), ("v", "y", None), ("w", None, "n")]
+def test_dictionaries(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"a": "1"}')
     assert readers.dictionary(spark, f"{tmp_path}/d.json").first().asDict() == {"key": "a", "value": "1"}
 
 
+def test_sheets(spark, tmp_path):
+    df = spark.createDataFrame([("one", 1, 'a "<&>"\n é', None), ("one", 2, "", "x"), ('two "&"', 3, "\\", None)], "sheet string, k long, s string, e string")
+    writers.sheets(df, "sheet", f"{tmp_path}/w")
+    assert sorted(map(str, readers.sheets(spark, f"{tmp_path}/w", "sheet", "k long, s string, e string").select(*df.columns).collect())) == sorted(map(str, df.collect()))
+
+
+def test_groupings_and_firsts(spark):
+    rows = [("a", 1, 5), ("a", None, 7), (None, 1, 7), (None, None, None), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "x string, y int, n int")
+    got = R.grouping_counts(df, [["x"], ["y", "x"], []])
+    assert sorted(map(str, got.collect())) == sorted(f"Row(_set={s!r}, x={x!r}, y={y!r}, n={n})" for s, x, y, n in [("x", "a", None, 3), ("x", None, None, 2), ("y,x", "a", "1", 2), ("y,x", "a", None, 1), ("y,x", None, "1", 1), ("y,x", None, None, 1), ("", None, None, 5)])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert sorted(map(str, R.first_by(df, "x", [-F.col("n"), "y"]).collect())) == ["Row(x='a', y=None, n=7)", "Row(x=None, y=1, n=7)"]
+
+
 def test_charsets(spark):
     raw = b'<meta charset="utf-8">\n<META http-equiv=x content="text/html; charset=GB2312"> <meta charset="big5">\n\xff'
     df = spark.createDataFrame([(raw,), (b"plain",)], "c binary").select(T.declared_charsets(F.col("c")).alias("d"), T.try_codecs("c").alias("t"))
@@ -303,15 +309,3 @@ def test_sorted_corpus(spark):
 def test_references(spark):
     df = spark.createDataFrame([("&#169;",), ("&copy;",), ("&#10;",), ("&none;",), ("&NotEqualTilde;",), ("&#128512;",)], "x string").select(T.resolve_reference("x").alias("r"))
     assert [tuple(r.r) for r in df.collect()] == [("©", "U+00A9", "COPYRIGHT SIGN", "copy")] * 2 + [("\\n", "U+000A", "no name", None), (None,) * 4, ("≂̸", "U+2242 U+0338", "MINUS TILDE; COMBINING LONG SOLIDUS OVERLAY", None), ("😀", "U+1F600", "GRINNING FACE", None)]
-
-
-def test_workbooks(spark, tmp_path, monkeypatch):
-    df = spark.createDataFrame([(1, 'a "<&>"\n é', True, 1.5, None), (2, "\x01", False, None, "x")], "k long, s string, b boolean, d double, e string")
-    writers.workbook({"one": df, 'two "&"': df.limit(0)}, f"{tmp_path}/w/a.xlsx")
-    rows = [tuple(r) for r in readers.workbook(spark, f"{tmp_path}/w/a.xlsx").orderBy("sheet", "row").collect()]
-    assert rows == [("one", 0, ["k", "s", "b", "d", "e"]), ("one", 1, ["1", 'a "<&>"\n é', "1", "1.5", None]), ("one", 2, ["2", "_x0001_", "0", None, "x"]), ('two "&"', 0, ["k", "s", "b", "d", "e"])]
-    with pytest.raises(Exception, match="exist"):
-        writers.workbook({"one": df}, f"{tmp_path}/w/a.xlsx")
-    monkeypatch.setattr(writers, "SHEET_ROWS", 1)
-    with pytest.raises(ValueError, match="room"):
-        writers.workbook({"one": df}, f"{tmp_path}/w/b.xlsx")
