@@ -73,8 +73,11 @@ def _counts(batches):
 
 
 def fit_logistic(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, epochs: int = 30, batch: int = 256, rate: float = 0.02, l2: float = 1e-4, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Logistic regression on r * presence, by Adam over shuffled batches; rows hold the columns that are present."""
-    w, bias = np.zeros(len(r)), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
+    """Logistic regression on r * presence, by Adam over shuffled batches; rows hold the columns that are present. Both classes
+    weigh the same, however rare one is."""
+    w, bias = np.zeros(len(r)), 0.0
+    share = y.mean()
+    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) if 0 < share < 1 else np.ones(len(y))
     m, v = np.zeros(len(r) + 1), np.zeros(len(r) + 1)
     rng, t = np.random.default_rng(seed), 0
     for _ in range(epochs):
@@ -84,7 +87,7 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, epochs: i
             text = np.repeat(np.arange(len(part)), [len(rows[i]) for i in part])
             at = np.concatenate([rows[i] for i in part])
             z = np.bincount(text, (w * r)[at], len(part)) + bias
-            g = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[part]
+            g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[part]) * weight[part]
             grad = np.append(np.bincount(at, g[text], len(r)) * r / len(part) + l2 * w, g.mean())
             t += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad

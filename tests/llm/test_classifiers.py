@@ -1,6 +1,7 @@
 """Held-out accuracy of the classifiers, and the field's marginals against enumeration."""
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -180,25 +181,52 @@ def test_quality_score_by_hand(spark, tables):
         assert np.isclose(got[k], (good / total * size).sum() / size.sum(), rtol=1e-6)
 
 
-def test_toxicity_by_hand(spark, tables):
-    """Which n-grams a text has, their log-count ratios and the score, in plain Python."""
+def grams_of(text: str) -> set:
+    """Bins of all n-grams of a text in lower case, letters only, one n-gram at a time."""
     from folioforge.llm.common import hashed_grams
 
+    low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text)
+    return {int(hashed_grams(np.array([ord(c) for c in low[i : i + n]], np.uint32), n, toxicity.BITS)[0]) for n in toxicity.GRAMS for i in range(len(low) - n + 1)}
+
+
+def test_toxicity_by_hand(spark, tables, monkeypatch):
+    """Which n-grams each text has, which are chosen, their log-count ratios, the step that training takes, and the score, in plain Python."""
+    from folioforge.llm.common import folded
+
     docs = tables[0].where("length(text) < 500").limit(80)
     labels = docs.selectExpr("doc_id", "if(doc_id % 3 = 0, 1, 0) as toxic").unionByName(docs.limit(1).selectExpr("doc_id", "1 as toxic"))
+    monkeypatch.setattr(toxicity, "FEATURES", 300)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda rows, y, r, f=toxicity.fit_logistic: seen.append((rows, y, r)) or f(rows, y, r))
     model = toxicity.fit(docs, labels, F.lit(True))
     got = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
-    weight = dict(zip(model.bins.tolist(), model.weights, strict=True))
-    from folioforge.llm.common import folded
-
-    for r in docs.collect():
-        raw = r.text.encode()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    grams, toxic = {k: grams_of(t) for k, t in texts.items()}, {r.doc_id: r.y for r in labels.groupBy("doc_id").agg(F.max("toxic").alias("y")).collect()}
+    for k, t in texts.items():
+        raw = t.encode()
         _, bins = toxicity.presence(*folded(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])), np.ones(1 << toxicity.BITS, bool))
-        low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in r.text)
-        grams = {int(hashed_grams(np.array([ord(c) for c in low[i : i + n]], np.uint32), n, toxicity.BITS)[0]) for n in toxicity.GRAMS for i in range(len(low) - n + 1)}
-        assert set(bins.tolist()) <= grams
-        z = model.bias + sum(weight.get(b, 0.0) for b in set(bins.tolist()))
-        assert np.isclose(got[r.doc_id], 1 / (1 + np.exp(-z)), atol=1e-9)
+        assert set(bins.tolist()) == grams[k]
+    n = [sum(y == c for y in toxic.values()) for c in (0, 1)]
+    counts = {b: [sum(b in grams[k] for k in grams if toxic[k] == c) for c in (0, 1)] for b in set().union(*grams.values())}
+    counts = {b: c for b, c in counts.items() if sum(c) >= toxicity.LEAST_DOCUMENTS}
+
+    def z(b: int) -> float:
+        p = sum(counts[b]) / sum(n)
+        return (counts[b][1] / n[1] - counts[b][0] / n[0]) / math.sqrt(max(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
+
+    last = sorted((abs(z(b)) for b in counts), reverse=True)[299]
+    chosen = model.bins.tolist()
+    assert len(chosen) == 300 and chosen == sorted(chosen) and min(abs(z(b)) for b in chosen) >= last - 1e-9  # ties at the last place aside
+    (rows, y, r) = seen[0]
+    assert np.allclose(r, [math.log((counts[b][1] + 1) / (n[1] + 2)) - math.log((counts[b][0] + 1) / (n[0] + 2)) for b in chosen])
+    assert sorted((int(c), tuple(chosen[i] for i in x)) for x, c in zip(rows, y, strict=True)) == sorted((toxic[k], tuple(b for b in chosen if b in g)) for k, g in grams.items())
+    weight = dict(zip(chosen, model.weights, strict=True))
+    for k, g in grams.items():
+        assert np.isclose(got[k], 1 / (1 + np.exp(-model.bias - sum(weight.get(b, 0.0) for b in g))), atol=1e-9)
+    # training lowers the loss in which both classes weigh the same
+    share = np.mean(y)
+    loss = lambda p: sum((0.5 / share if c else 0.5 / (1 - share)) * -math.log(q if c else 1 - q) for q, c in zip(p, y, strict=True))
+    assert loss([1 / (1 + math.exp(-model.bias - model.weights[x].sum())) for x in rows]) < 0.5 * loss([0.5] * len(y))
     assert toxicity.fit(docs, labels.where("doc_id < 0"), F.lit(True)).bins.size == 0
 
 
