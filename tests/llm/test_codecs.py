@@ -306,6 +306,7 @@ def test_mix_stays_within_a_block(spark, weights):
     assert sorted((str(r.doc_id), str(r.source)) for r in got) == sorted((str(a), str(b)) for a, b in rows)
     assert len({(r.slot, r.source, r.place) for r in got}) == len(got)
     mixed = [r for r in got if r.in_mix]
+    assert mixing.mixed_rows(df, w, block=4) == len(mixed)
     at = {}
     for r in mixed:
         assert at.setdefault(r.slot, r.source) == r.source
@@ -358,6 +359,20 @@ def test_many_sources(spark):
     assert r.n == 3 * n and r.mixed == r.slots == r.last + 1 > 1000
 
 
+def test_blocks_grow_with_the_table(spark, monkeypatch):
+    """A schedule has SLOTS slots at most: of more rows the blocks are larger, and the shares still hold within one."""
+    monkeypatch.setattr(mixing, "SLOTS", 50)
+    df = spark.range(4000).selectExpr("id as doc_id", "if(id % 10 < 7, 'a', if(id % 10 < 9, 'b', 'c')) as source")
+    got = mixing.mix(df).collect()
+    block = 80
+    assert {(r.doc_id, r.source) for r in got} == {(k, "a" if k % 10 < 7 else "b" if k % 10 < 9 else "c") for k in range(4000)}
+    assert max(r.place for r in got) == block - 1 and max(r.block for r in got) == 2800 // block - 1
+    at = {r.slot: r.source for r in got if r.in_mix}
+    sizes = {"a": 2800, "b": 800, "c": 400}
+    total = sum(n**0.5 for n in sizes.values())
+    assert sorted(at) == list(range(len(at))) and len(at) > 10 and deviations([at[s] for s in range(len(at))], {k: n**0.5 / total for k, n in sizes.items()}) < 1
+
+
 def test_mixed_documents(spark):
     df = spark.createDataFrame([(k, f"s{k % 3}", "x") for k in range(500)], "doc_id long, source string, _slot string")
     out = mixing.in_order(df)
