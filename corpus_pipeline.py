@@ -25,6 +25,8 @@ from folioforge.llm.common import Scratch, table
 
 #: Below these scores documents are rejected.
 LANGUAGE_SCORE, QUALITY_SCORE = 0.5, 0.5
+#: Files whose names and numbers of rows are sent to all executors; of more they are joined.
+SEND_FILES = 100_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,12 +59,13 @@ def in_stream(docs: DataFrame) -> DataFrame:
         rows = docs.select(*own, F.concat(F.lit("part-"), F.shiftright(m, 33).cast("string")).alias("_file"), m.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
     before = Window.orderBy(F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long"), "_file").rowsBetween(Window.unboundedPreceding, -1)  # over files
     files = rows.groupBy("_file").agg(F.count("*").alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
-    return rows.join(F.broadcast(files), "_file").select(*own, (F.col("_ahead") + F.col("_at")).alias("mix_place"))
+    few = files.count() <= SEND_FILES
+    return rows.join(F.broadcast(files) if few else files, "_file").select(*own, (F.col("_ahead") + F.col("_at")).alias("mix_place"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = in_stream(docs)
-    in_mix = mixing.mix(docs).where("in_mix").count()
+    in_mix = mixing.mixed_rows(docs)
     rows = placed.select("mix_place", "doc_id", "source", (F.col("mix_place") < in_mix).alias("in_mix"))
     digests = piece_codec.encode_digests(placed, id_col="mix_place").withColumnRenamed("doc_id", "mix_place")
     return digests.join(rows, "mix_place").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "source", "mix_place", "in_mix")
