@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import unicodedata
@@ -108,7 +109,7 @@ CODECS = {"utf-8": "utf_8", "iso-8859-1": "latin_1", "gb2312": "gb2312", "big5":
 
 
 def decode_bytes(raw: bytes | None) -> str | None:
-    """Decode by the first declared charset of CODECS; bytes that it lacks come out as \\xNN (F1)."""
+    """decode_declared of one page."""
     if raw is None:
         return None
     for name, codec in CODECS.items():
@@ -117,47 +118,125 @@ def decode_bytes(raw: bytes | None) -> str | None:
     return raw.decode("cp1252", "backslashreplace")
 
 
-@arrow_function("string")
-def decode_declared(content: pd.Series) -> pd.Series:
-    return content.map(decode_bytes)
+#: Bytes 0x80 to 0x9F in cp1252; five of them stand for nothing.
+_CP1252 = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_NOTHING = "".join(chr(b) for b, c in _CP1252.items() if not c)
+#: One character of UTF-8, in bytes that are read as Latin-1: no overlong forms, no surrogates, nothing above U+10FFFF.
+_UTF8 = "[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}"
+
+
+def _bytes(content: Column) -> Column:
+    """Bytes as the characters of those numbers."""
+    return F.decode(content.cast("binary"), "iso-8859-1")
+
+
+@functools.cache
+def _pairs(codec: str) -> str:
+    """A pattern of one character of a two-byte codec, from what the codec itself accepts: a set of second bytes for each set of first ones."""
+    seconds: dict[str, list[int]] = {}
+    for lead in range(0x81, 0xFF):
+        ok = [t for t in range(0x40, 0xFF) if _accepts(bytes((lead, t)), codec)]
+        if ok:
+            seconds.setdefault(_ranges(ok), []).append(lead)
+    return "|".join(["[\x00-\x7f]", *(f"[{_ranges(leads)}][{t}]" for t, leads in seconds.items())])
+
+
+def _accepts(raw: bytes, codec: str) -> bool:
+    try:
+        return len(raw.decode(codec)) > 0
+    except UnicodeDecodeError:
+        return False
+
+
+def _ranges(numbers: list[int]) -> str:
+    """Numbers, ascending, as the inside of a character class."""
+    out, start = [], numbers[0]
+    for a, b in zip(numbers, [*numbers[1:], None], strict=True):
+        if b != a + 1:
+            out.append(f"\\x{start:02x}" if start == a else f"\\x{start:02x}-\\x{a:02x}")
+            start = b
+    return "".join(out)
+
+
+def _made_of(raw: Column, one: str) -> Column:
+    """Whether a text is a row of what the pattern matches: nothing is left when all of that is taken away, from the left."""
+    return F.regexp_replace(raw, f"(?s)(?:{one})", "") == ""
+
+
+def _as_cp1252(raw: Column) -> Column:
+    """Of bytes as characters; those that stand for nothing come out as \\xNN."""
+    known = {chr(b): c for b, c in _CP1252.items() if c}
+    out = F.translate(raw, "".join(known), "".join(known.values()))
+    for c in _NOTHING:
+        out = F.replace(out, F.lit(c), F.lit(f"\\x{ord(c):02x}"))
+    return out
+
+
+def _as_ascii(raw: Column) -> Column:
+    parts = F.regexp_extract_all(raw, F.lit("(?s)[\x00-\x7f]+|."), F.lit(0))
+    return F.array_join(F.transform(parts, lambda c: F.when(c.rlike("^[^\x00-\x7f]"), F.concat(F.lit("\\x"), F.lower(F.hex(F.encode(c, "iso-8859-1"))))).otherwise(c)), "")
+
+
+def _as_utf8(content: Column) -> Column:
+    """UTF-8; bytes that are none come out as \\xNN. Pages that are UTF-8 throughout are taken as they are."""
+    text, raw = content.cast("binary").cast("string"), _bytes(content)
+    parts = F.regexp_extract_all(raw, F.lit(f"(?s)(?:{_UTF8})|."), F.lit(0))
+    shown = F.transform(parts, lambda c: F.when((F.length(c) > 1) | (c <= "\x7f"), F.encode(c, "iso-8859-1").cast("string")).otherwise(F.concat(F.lit("\\x"), F.lower(F.hex(F.encode(c, "iso-8859-1"))))))
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.array_join(shown, ""))
 
 
 @arrow_function("string")
-def decode_as(content: pd.Series, codec: pd.Series) -> pd.Series:
-    """Decoded by a named codec; bytes that it lacks come out as \\xNN."""
+def _decode_pairs(content: pd.Series, codec: pd.Series) -> pd.Series:
+    """For what built-ins can't decode: null where the codec is null."""
     return pd.Series([None if r is None or c is None else bytes(r).decode(c, "backslashreplace") for r, c in zip(content, codec, strict=True)], dtype=object)
 
 
-@arrow_function("string")
-def fetched_text(content: pd.Series) -> pd.Series:
-    """UTF-8 if it is that, else windows-1252, else empty; all white space as single spaces (A1)."""
+def decode_as(content: Column | str, codec: Column | str) -> Column:
+    """Decoded by a named codec, of utf_8, latin_1, cp1252 and ascii by built-ins, of others by batches that hold only their pages; bytes that
+    it lacks come out as \\xNN (B11)."""
+    content = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    codec = F.col(codec) if isinstance(codec, str) else codec
+    name, raw = F.lower(F.replace(codec, F.lit("-"), F.lit("_"))), _bytes(content)
+    known = {"utf_8": _as_utf8(content), "utf8": _as_utf8(content), "latin_1": raw, "iso_8859_1": raw, "cp1252": _as_cp1252(raw), "windows_1252": _as_cp1252(raw), "ascii": _as_ascii(raw), "us_ascii": _as_ascii(raw)}
+    other = ~name.isin(list(known))
+    out = _decode_pairs(F.when(other, content), F.when(other, codec))
+    for k, value in known.items():
+        out = F.when(name == k, value).otherwise(out)
+    return out
 
-    def text(raw: bytes | None) -> str:
-        for codec in ("utf_8", "cp1252"):
-            try:
-                return " ".join(re.split(r"\s+", bytes(raw or b"").decode(codec)))
-            except UnicodeDecodeError:
-                pass
-        return ""
 
-    return content.map(text)
+def decode_declared(content: Column | str) -> Column:
+    """Decoded by the first of CODECS that a page declares, cp1252 without one; bytes that it lacks come out as \\xNN (F1).
+    Only pages in two-byte codecs leave the JVM."""
+    content = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    raw = _bytes(content)
+    codec = F.lit("cp1252")
+    for name, value in reversed(CODECS.items()):
+        codec = F.when(raw.rlike(f'(?id)<meta.*charset="?{name}.*>'), value).otherwise(codec)
+    return F.when(content.isNotNull(), decode_as(content, codec))
 
 
-TRIED = ("ascii", "windows-1252", "iso-8859-1", "big5", "gb2312", "utf-8")
+# fixed value: what a pattern's \s matches in texts
+_ANY_SPACE = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
+def fetched_text(content: Column | str) -> Column:
+    """UTF-8 if it is that, else windows-1252, else empty; all white space as single spaces (A1)."""
+    content = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    text, raw = content.cast("string"), _bytes(content)
+    read = F.when(F.is_valid_utf8(text), text).when(~raw.rlike(f"[{_NOTHING}]"), _as_cp1252(raw)).otherwise("")
+    return F.coalesce(F.regexp_replace(read, _ANY_SPACE, " "), F.lit(""))
 
 
-@arrow_function("ascii boolean, windows_1252 boolean, iso_8859_1 boolean, big5 boolean, gb2312 boolean, utf_8 boolean")
-def try_codecs(content: pd.Series) -> pd.DataFrame:
-    """Whether the bytes decode strictly under each codec."""
+TRIED = ("ascii", "windows-1252", "iso-8859-1", "big5", "gb2312", "utf-8")
 
-    def ok(raw: bytes, codec: str) -> bool:
-        try:
-            raw.decode(codec)
-        except UnicodeDecodeError:
-            return False
-        return True
 
-    return pd.DataFrame([[ok(bytes(r), c) for c in TRIED] for r in content], columns=[c.replace("-", "_") for c in TRIED])
+def try_codecs(content: Column | str) -> Column:
+    """Whether the bytes decode strictly under each codec (F5): struct of a boolean a codec, by built-ins alone."""
+    content = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    raw = _bytes(content)
+    ok = {"ascii": ~raw.rlike("[^\x00-\x7f]"), "windows_1252": ~raw.rlike(f"[{_NOTHING}]"), "iso_8859_1": raw.isNotNull(), "big5": _made_of(raw, _pairs("big5")), "gb2312": _made_of(raw, _pairs("gb2312")), "utf_8": F.is_valid_utf8(content.cast("string"))}
+    return F.struct(*(v.alias(k) for k, v in ok.items()))
 
 
 def mismatch(tried: Column, charsets: Column) -> Column:

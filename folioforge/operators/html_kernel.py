@@ -208,8 +208,8 @@ class _Head(_Builder):
 
 
 def parse_head(text: str | None) -> Node:
-    """The tree of what stands before the body, for what is read from the head alone (I2). Tags inside scripts, titles,
-    comments and values are text and end no head; the rest of the page isn't read."""
+    """The tree of what stands before the body, for what is read from the head alone (I2). Tags inside scripts, comments
+    and values are text and end no head; the rest of the page isn't read."""
     text = text or ""
     m = re.search(r"(?i)</head\s*>|<body[\s>/]", text)
     root = _plain(text[: m.start()]) if m else parse(text)  # plain up to there: a real tag

@@ -147,6 +147,13 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     return out.select(*(F.when(F.col(g) == 1, "All").otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c, g in ((a, "_a"), (b, "_b"))), "n")
 
 
+def crosstabs(df: DataFrame, by: str, a: str, b: str) -> DataFrame:
+    """The crosstab of each value of a column, one after another, by one scan."""
+    sets = [[by, a, b], [by, a], [by, b], [by]]
+    counts = df.groupingSets([[F.col(c) for c in x] for x in sets], by, a, b).agg(F.count("*").alias("n"), F.grouping(a).alias("_a"), F.grouping(b).alias("_b"))
+    return counts.select(by, *(F.when(F.col(g) == 1, "All").otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c, g in ((a, "_a"), (b, "_b"))), "n")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan over all cores where it has fewer partitions than that, as a small file has, for costly work by row. Tables of
     ordinary size come as they are, without a shuffle. For scans only: the plan of a query with shuffles would run."""

@@ -176,21 +176,53 @@ def declared_pages(spark, sf_dir):
     return R.spread(load(spark, sf_dir, "pages")).withColumn("html", F.when(k % 3 == 0, other).when(k % 3 == 1, more).otherwise(h))
 
 
-@query(f"""with p as (select page_id, {DECLARED} as html from pages), t as (select page_id, html, array_to_string(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1), '|') as charsets, not regexp_matches(html, '[^\x00-\x7F]') as ascii, not regexp_matches(hex(encode(html)), '^(..)*(81|8D|8F|90|9D)') as windows_1252 from p)
-    select page_id, charsets, ascii, windows_1252, true as iso_8859_1, true as utf_8, (contains(lower(charsets), 'ascii') and not ascii) or (contains(lower(charsets), 'windows-1252') and not windows_1252) as mismatch, not contains(lower(charsets), 'windows-1252') or ascii as same from t""")
+def hex_pairs(codec: str) -> str:
+    """A pattern of whole texts of a two-byte codec, in hexadecimal, from what the codec accepts pair by pair."""
+    groups: dict[str, list[str]] = {}
+    for lead in range(0x81, 0xFF):
+        seconds = []
+        for second in range(0x40, 0xFF):
+            try:
+                bytes((lead, second)).decode(codec)
+                seconds.append(f"{second:02X}")
+            except UnicodeDecodeError:
+                pass
+        if seconds:
+            groups.setdefault("|".join(seconds), []).append(f"{lead:02X}")
+    return "(?:[0-7][0-9A-F]|" + "|".join(f"(?:{'|'.join(leads)})(?:{seconds})" for seconds, leads in groups.items()) + ")*"
+
+
+#: Bytes behind pages, by page_id % 5: none, one that stands for nothing in cp1252, a pair that two codecs have, and what no UTF-8 has.
+BEHIND = ["", "81", "A1A1", "FF", "C328"]
+TRIED_SQL = f"""p as (select page_id, {DECLARED} as html from pages), x as (select *, hex(encode(html)) || {BEHIND!r}[page_id % 5 + 1] as h from p),
+t as (
+    select page_id, html, array_to_string(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1), '|') as charsets, not regexp_matches(h, '^(..)*[89A-F]') as ascii, not regexp_matches(h, '^(..)*(81|8D|8F|90|9D)') as windows_1252,
+        true as iso_8859_1, regexp_full_match(h, '{hex_pairs("big5")}') as big5, regexp_full_match(h, '{hex_pairs("gb2312")}') as gb2312, page_id % 5 = 0 as utf_8
+    from x
+)"""
+
+
+def tried_pages(spark, sf_dir):
+    pages = declared_pages(spark, sf_dir)
+    behind = F.element_at(F.array(*(F.unhex(F.lit(x)) for x in BEHIND)), (F.col("page_id") % len(BEHIND) + 1).cast("int"))
+    return pages.select("page_id", "html", F.concat(F.encode("html", "utf-8"), behind).alias("content"))
+
+
+@query(f"""with {TRIED_SQL} select page_id, charsets, ascii, windows_1252, iso_8859_1, big5, gb2312, utf_8, (contains(lower(charsets), 'ascii') and not ascii) or (contains(lower(charsets), 'windows-1252') and not windows_1252) or (contains(lower(charsets), 'utf-8') and not utf_8) as mismatch,
+    utf_8 and (not contains(lower(charsets), 'windows-1252') or ascii) as same from t""")
 def codec_trial(spark, sf_dir):
-    """Strict decoding under the codecs, all declared charsets, whether a declared one fails, and whether the declared one gives the text back."""
-    pages = declared_pages(spark, sf_dir).withColumn("content", F.encode("html", "utf-8"))
-    tried = pages.select("page_id", T.declared_charsets(F.col("content")).alias("c"), T.try_codecs("content").alias("t"), (T.decode_declared("content") == F.col("html")).alias("same"))
-    return tried.select("page_id", F.array_join("c", "|").alias("charsets"), "t.ascii", "t.windows_1252", "t.iso_8859_1", "t.utf_8", T.mismatch(F.col("t"), F.col("c")).alias("mismatch"), "same")
+    """Strict decoding under six codecs, all declared charsets, whether a declared one fails, and whether the declared one gives the text back."""
+    tried = tried_pages(spark, sf_dir).select("page_id", T.declared_charsets(F.col("content")).alias("c"), T.try_codecs("content").alias("t"), (T.decode_declared("content") == F.col("html")).alias("same"))
+    return tried.select("page_id", F.array_join("c", "|").alias("charsets"), "t.*", T.mismatch(F.col("t"), F.col("c")).alias("mismatch"), "same")
 
 
-@query(f"""with p as (select {DECLARED} as html from pages), c as (select regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1) as c, contains(html, 'charset="utf-8"') as utf_8 from p)
-    select 'utf_8' as codec, coalesce(charsets, 'All') as charset, n from (select array_to_string(c, '|') as charsets, count(*) as n from c group by cube (array_to_string(c, '|')))""")
+@query(f"""with {TRIED_SQL}, u as (select charsets as charset, unnest(['ascii', 'windows_1252', 'iso_8859_1', 'big5', 'gb2312', 'utf_8']) as codec, unnest([ascii, windows_1252, iso_8859_1, big5, gb2312, utf_8]) as ok from t)
+    select codec, case when grouping(charset) = 1 then 'All' else charset end as charset, case when grouping(ok) = 1 then 'All' else ok::varchar end as ok, count(*) as n from u group by grouping sets ((codec, charset, ok), (codec, charset), (codec, ok), (codec))""")
 def charsets_by_codec(spark, sf_dir):
-    """Codec by list of declared charsets with margins, one codec after another (F6); here the codec that all pages are in."""
-    pages = declared_pages(spark, sf_dir).select(F.array_join(T.declared_charsets(F.col("html")), "|").alias("charset"), T.try_codecs(F.encode("html", "utf-8"))["utf_8"].alias("ok"))
-    return R.crosstab(pages.where("ok"), "charset", "ok").where("ok = 'All'").select(F.lit("utf_8").alias("codec"), "charset", "n")
+    """Lists of declared charsets by whether a codec decodes them, with margins, one codec after another."""
+    t = tried_pages(spark, sf_dir).select(F.array_join(T.declared_charsets(F.col("content")), "|").alias("charset"), T.try_codecs("content").alias("t"))
+    each = F.explode(F.array(*(F.struct(F.lit(c.replace("-", "_")).alias("codec"), F.col(f"t.{c.replace('-', '_')}").alias("ok")) for c in T.TRIED)))
+    return R.crosstabs(t.select("charset", each.alias("e")).select("e.codec", "charset", "e.ok"), "codec", "charset", "ok")
 
 
 @query(f"""with p as (select {DECLARED} as html from pages) select distinct unnest(regexp_extract_all(html, '(?i)<meta.*charset="?(.*?)"', 1)) as charset from p""")

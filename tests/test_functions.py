@@ -105,6 +105,53 @@ def test_dates_are_those_of_the_parser(spark):
     assert one(spark, "January 1999", D.long_date) is None
 
 
+def test_dates_in_any_order(spark):
+    """Of a generated set, and as the reference reads them: years of two digits, any order, ordinals, times behind."""
+    import datetime
+    import random
+    import warnings
+
+    from dateutil.parser import parse
+
+    rng = random.Random(2)
+    texts = {"6/3/83": "1983-06-03", "5-May-1983": "1983-05-05", "1983 May 1": "1983-05-01", "May 1, 1983, 10 AM": "1983-05-01", "20030107": "2003-01-07", "830501": "1983-05-01", "99 May 1": "1999-05-01", "13/5/99": "1999-05-13", "May 1 '83": "1983-05-01", "May 1983 1": "1983-05-01"}
+    texts |= dict.fromkeys(["foo 1 1983", "May May 1 1983", "1 2 3 4", "2003-13-01", "May 1", "1 de mayo de 1983", "", "Feb 30 1983"])
+    warnings.simplefilter("ignore")
+    for _ in range(1500):
+        d = datetime.date(rng.randint(1976, 2030), rng.randint(1, 12), rng.randint(1, 28))
+        parts = [rng.choice([str(d.year), str(d.year), f"{d.year % 100:02d}"]), rng.choice([f"{d:%B}", f"{d:%b}", str(d.month), f"{d:%m}", f"{d:%B}".upper()]), rng.choice([str(d.day), f"{d:%d}", f"{d.day}{rng.choice(['st', 'nd', 'rd', 'th'])}"])]
+        rng.shuffle(parts)
+        text = rng.choice(["", "", "Friday, ", "Wed. "]) + rng.choice([" ", ", ", "-", "/", " / ", ". "]).join(parts) + rng.choice(["", "", " 10:30", ", 10 AM", " 10:30:05 pm", " at 9:00"])
+        try:
+            texts[text] = parse(text, default=datetime.datetime(2026, 1, 1)).date().isoformat()
+        except (ValueError, OverflowError):
+            texts[text] = None
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", D.long_date(F.col("t")).alias("d")).collect()
+    assert {r.t: r.d for r in got if r.d != texts[r.t]} == {}
+
+
+def test_issues_and_pages_are_numbers(spark):
+    values = {"33(001);00012": ("33(01)", "0012"), "33(Special Issue 2);1": ("33(02)", "0001"), "33(Special Issue);xi": ("33(SP)", "xi"), "33(No. 7);12345-6": ("33(07)", "12345"), "33(x);1": (None, "0001"), "33(00);000": ("33(00)", "0000")}
+    df = spark.createDataFrame([(f"Weekly / May 1, 1984 / {k}",) for k in values], "dl string")
+    parts = D.mmwr(F.col("dl"))
+    got = df.select("dl", parts["dl_vol_iss"].alias("i"), parts["dl_page"].alias("p")).collect()
+    assert {r.dl.split(" / ")[2]: (r.i, r.p) for r in got} == values
+
+
+def test_heads_end_at_their_own_tag():
+    text = '<html><head><script>var a="</head><body>";</script><!-- </head> --><title>a b</title><meta name="x" content="</head>"></head><body><title>no</title>'
+    for t in (text, text.replace("</head><body>", "<body >"), text.replace("<html>", "<HTML>")):
+        root = K.parse_head(t)
+        assert root.find("title").stripped() == "a b" and [x[2].get("content") for x in K.tags(root) if x[0] == "meta"] == ["</head>"] and len(list(root.find_all("title"))) == 1
+    assert K.parse_head("<title>t</title><p>x").find("p") is not None and K.parse_head(None).children == []
+
+
+def test_emphasis_in_texts_is_escaped():
+    md = lambda x: K.markdown(K.parse(f"<body>{x}</body>"))
+    assert md("a*b_c <b>x_y</b> <code>p_q*</code> <kbd><i>k_</i></kbd>") == r"a\*b\_c __x\_y__ `p_q*` `_k__`"
+    assert md("<pre>a_b*</pre>") == "```\na_b*\n```" and md('<a href="/a_b">c_d</a>') == r"[c\_d](/a_b)"
+
+
 def test_pages(spark):
     assert tuple(one(spark, "5-x,8-9", D.pages)) == (0, "", 0, "")
     assert tuple(one(spark, "ND-719 - 722; 0730", D.pages)) == (719, "719-722,730", 5, "nd")
@@ -270,6 +317,36 @@ def test_groupings_and_firsts(spark):
     assert sorted(map(str, R.first_by(df, "x", [-F.col("n"), "y"]).collect())) == ["Row(x='a', y=None, n=7)", "Row(x=None, y=1, n=7)"]
 
 
+def test_codecs_by_built_ins(spark):
+    """Strict trials and decoding are those of the codecs themselves, for all pairs of bytes from 0x80 on and for odd bytes."""
+    import random
+    import re
+
+    rng = random.Random(1)
+    bits = [b"a", "é".encode(), "中文".encode(), "中文".encode("gb2312"), "中文".encode("big5"), b"\x80", b"\x81", b"\xff", b"\xed\xa0\x80", "😀".encode(), b"\xc0\x80", b"\xe2\x82", b" \n\x1c", b"\x93q\x94", b"\xf4\x90\x80\x80", b'<meta charset="utf-8">', b"<META charset=big5 >", b"\\x41\x7f"]
+    raws = [b"".join(rng.choice(bits) for _ in range(rng.randint(0, 7))) for _ in range(1500)] + [bytes(rng.choices(range(256), k=20)) for _ in range(1500)] + [bytes([a, b]) for a in range(128, 256) for b in range(256)]
+
+    def strict(raw, codec):
+        try:
+            return raw.decode(codec)
+        except UnicodeDecodeError:
+            return None
+
+    names = ["utf_8", "latin_1", "cp1252", "ascii", "big5", "gb2312"]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(raws)] + [(-1, None)], "k int, c binary")
+    for r in df.select("k", T.try_codecs("c").alias("t"), T.decode_declared("c").alias("d"), T.fetched_text("c").alias("f"), *(T.decode_as("c", F.lit(n)).alias(n) for n in names)).collect():
+        raw = raws[r.k] if r.k >= 0 else None
+        assert r.d == T.decode_bytes(raw)
+        if raw is None:
+            assert r.f == "" and [r[n] for n in names] == [None] * 6
+            continue
+        assert list(r.t) == [strict(raw, c) is not None for c in T.TRIED]
+        read = next((t for t in (strict(raw, "utf_8"), strict(raw, "cp1252")) if t is not None), "")
+        assert r.f == " ".join(re.split(r"\s+", read)) and [r[n] for n in names] == [raw.decode(n, "backslashreplace") for n in names]
+    plan = df.select(T.try_codecs("c"), T.fetched_text("c"))._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan
+
+
 def test_charsets(spark):
     raw = b'<meta charset="utf-8">\n<META http-equiv=x content="text/html; charset=GB2312"> <meta charset="big5">\n\xff'
     df = spark.createDataFrame([(raw,), (b"plain",)], "c binary").select(T.declared_charsets(F.col("c")).alias("d"), T.try_codecs("c").alias("t"))
