@@ -82,11 +82,40 @@ def anchors_level_union(spark, sf_dir):
     return found.groupBy("level").agg(F.count("*").alias("n"), F.countDistinct("base").alias("pages"))
 
 
-@query(f"with {ANCHORS} select page_id, seq, href, trim(replace(replace(replace(replace(string, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')) as string from anchors")
+ANCHOR_TEXT = "trim(replace(replace(replace(replace(string, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&'))"
+
+
+@query(f"with {ANCHORS} select a.page_id, seq, href, 'https://' || regexp_extract(p.url, '^[a-z]+://([^/?#]*)', 1) || href as url, {ANCHOR_TEXT} as string from anchors a join pages p on p.page_id = a.page_id")
 def anchors_lateral(spark, sf_dir):
-    """The same by a table function in SQL."""
+    """Anchors by a table function in SQL, a page at a time, resolved against the page's url (2.M)."""
+    tables.register(spark)
+    return spark.sql("select p.page_id, a.* from {pages} p, lateral html_anchors(p.html, p.url) a", pages=load(spark, sf_dir, "pages"))
+
+
+@query(f"with {ANCHORS} select page_id::varchar as page, seq, href, {ANCHOR_TEXT} as string from anchors")
+def anchors_of_table(spark, sf_dir):
+    """The same by a table function over the whole table, partitioned by the page, in Arrow batches (2.M)."""
+    tables.register(spark)
+    return spark.sql("select page, seq, href, string from anchors_of(table(select page_id as page, html from {pages}) partition by page)", pages=load(spark, sf_dir, "pages"))
+
+
+HEAD = "regexp_extract(html, '(?is)^(.*?)</head>', 1)"
+
+
+@query(f"with t as (select page_id, unnest(regexp_extract_all({HEAD}, '<([a-z]+)[ >]', 1)) as tag_name, generate_subscripts(regexp_extract_all({HEAD}, '<([a-z]+)[ >]', 1), 1) - 1 as seq from pages) select page_id, tag_name, seq::int as seq from t")
+def tags_lateral(spark, sf_dir):
+    """Tags of heads by a table function in SQL (2.M, I3)."""
+    tables.register(spark)
+    return spark.sql("select p.page_id, t.tag_name, t.seq from {pages} p, lateral html_tags(p.html) t", pages=load(spark, sf_dir, "pages"))
+
+
+@query("select page_id::varchar as page, k::int as seq, case k when 0 then 'first' else 'second' end as name, case k when 0 then 'v' || page_id else url end as content from pages, range(0, 2) r(k)")
+def metas_of_table(spark, sf_dir):
+    """Metas of heads, which are put into the pages, by a table function over the table (2.M)."""
     tables.register(spark)
-    return spark.sql("select p.page_id, a.* from {pages} p, lateral html_anchors(p.html) a", pages=load(spark, sf_dir, "pages"))
+    pages = load(spark, sf_dir, "pages")
+    metas = F.concat(F.lit('<head><meta name="first" content="v'), F.col("page_id").cast("string"), F.lit('"><meta name="second" content="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('"><meta name="none" content="">'))
+    return spark.sql("select page, seq, name, content from metas_of(table(select page_id as page, html from {pages}))", pages=pages.withColumn("html", F.replace("html", F.lit("<head>"), metas)))
 
 
 #: Pages of `pages` as articles of a site: issue page_id // 20 (from 0), of volume issue % 29 + 1, each article's issue by its

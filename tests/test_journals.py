@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioforge.functions import keywords as W
@@ -71,9 +72,17 @@ def test_table_functions(spark):
 
     tables.register(spark)
     html = '<head><title>t</title><meta name="a" content="b"></head><A HREF="/x">y<b>z</b></A>'
-    assert spark.sql(f"select * from html_anchors('{html}')").collect() == [(0, "/x", "y|z")]
+    assert spark.sql(f"select * from html_anchors('{html}')").collect() == [(0, "/x", None, "y|z")]
+    assert spark.sql(f"select url from html_anchors('{html}', 'http://h.org/a/b')").collect() == [("https://h.org/x",)]
+    with pytest.raises(Exception, match="texts are needed"):
+        spark.sql("select * from html_anchors(1)")
     assert spark.sql(f"select * from html_metas('{html}')").collect() == [(0, "a", "b")]
     assert [(r.tag_name, r.n_attr) for r in spark.sql(f"select * from html_tags('{html}')").collect()] == [("head", 0), ("title", 0), ("meta", 2)]
+    df = spark.createDataFrame([(k, html.replace("/x", f"x{k}")) for k in range(40)] + [(41, None), (42, "<p>")], "page int, html string")
+    assert sorted((r.page, r.href) for r in spark.sql("select * from anchors_of(table({t}))", t=df).collect()) == sorted((str(k), f"x{k}") for k in range(40))
+    assert spark.sql("select * from tags_of(table({t}))", t=df).count() == 3 * 40 + 1 and spark.sql("select * from metas_of(table({t}))", t=df).count() == 40
+    with pytest.raises(Exception, match="columns page and html"):
+        spark.sql("select * from metas_of(table({t}))", t=df.drop("page")).collect()
 
 
 def test_citations_and_probe(spark):
