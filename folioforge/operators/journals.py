@@ -172,10 +172,28 @@ def head_counts(pages: DataFrame) -> DataFrame:
     return head_pairs(pages).groupBy("path", "attr_name").agg(F.count("*").alias("n"))
 
 
-def head_counts_wide(pages: DataFrame, names: list[str]) -> DataFrame:
-    """path and a count a name, 0 where a page has none (I8): one pass, for names that are given."""
-    counts = (F.count_if(F.col("attr_name") == n).alias(n) for n in names)
-    return pages.select("path").distinct().join(head_pairs(pages).groupBy("path").agg(*counts), "path", "left").na.fill(0, names)
+def wide_names(names: list[str]) -> dict[str, str]:
+    """A column's name for each name: the name itself, with ~2, ~3 and so on behind it where another differs in case only."""
+    seen: dict[str, int] = {}
+    out = {}
+    for n in sorted(names):
+        k = seen[n.lower()] = seen.get(n.lower(), 0) + 1
+        out[n] = n if k == 1 else f"{n}~{k}"
+    return out
+
+
+def head_counts_wide(pages: DataFrame, names: list[str] | None = None, most: int = 2000) -> DataFrame:
+    """path and a count a name, 0 where a page has none (I8). Names that aren't given are those that the pages have, in
+    alphabetical order: pages are parsed once, their counts stored, and names found there. More than `most` of them are an
+    error, as a table of so many columns helps nobody; head_counts has them as rows."""
+    counts = R.stored(head_counts(pages))
+    if names is None:
+        names = [r.attr_name for r in counts.select("attr_name").distinct().limit(most + 1).collect()]
+        if len(names) > most:
+            raise ValueError(f"more than {most} names")
+    columns = wide_names(names)
+    wide = counts.groupBy("path").agg(*(F.sum(F.when(F.col("attr_name") == n, F.col("n"))).alias(c) for n, c in columns.items())) if names else counts.select("path").distinct()
+    return pages.select("path").distinct().join(wide, "path", "left").na.fill(0, [*columns.values()])
 
 
 def tag_rows(pages: DataFrame) -> DataFrame:

@@ -34,6 +34,44 @@ def domain_order(column: Column, domain: list[str]) -> Column:
     return ordinal(column, domain).asc_nulls_last()
 
 
+#: Ordered domains of the corpus' columns.
+DOMAINS = {"stratum": STRATA, "collection": COLLECTIONS, "series": SERIES, "level": LEVELS}
+
+
+def with_domains(df: DataFrame, domains: dict[str, list[str]] = DOMAINS) -> DataFrame:
+    """df whose columns carry their ordered domains in the schema (J12): tables written as Parquet, and the corpus' CSV, keep them."""
+    for c, d in domains.items():
+        if c in df.columns:
+            df = df.withMetadata(c, {**df.schema[c].metadata, "domain": d})
+    return df
+
+
+def domains_of(df: DataFrame) -> dict[str, list[str]]:
+    """The ordered domains that a table's columns carry."""
+    return {f.name: list(f.metadata["domain"]) for f in df.schema if f.metadata.get("domain")}
+
+
+def sort_keys(df: DataFrame, columns: list[str], prefix: str = "_o") -> dict[str, Column]:
+    """Columns that sort ascending as df's do: those with a domain by it, what is outside it and nulls last, others by value, nulls last."""
+    domains, out = domains_of(df), {}
+    for k, c in enumerate(columns):
+        value = ordinal(F.col(c), domains[c]) if c in domains else F.col(c)
+        out |= {f"{prefix}{k}n": value.isNull(), f"{prefix}{k}": value}
+    return out
+
+
+def sort_by(df: DataFrame, *columns: str) -> DataFrame:
+    """df sorted by columns, as their domains say."""
+    order = sort_keys(df, [*columns])
+    return df.withColumns(order).orderBy(*order).drop(*order)
+
+
+def places_by(df: DataFrame, columns: list[str], tie: str, name: str = "place") -> DataFrame:
+    """df with each row's place in that order, ties by a unique column, over many partitions."""
+    order = sort_keys(df, columns)
+    return ranked(df.withColumns(order), [*order, tie], name).drop(*order)
+
+
 def duplicates(df: DataFrame, key: Column, alias: str = "n") -> DataFrame:
     """All rows of keys that occur more than once (E1). Counts are pre-aggregated and joined back: no window over a hot key."""
     counted = df.withColumn("_key", key).groupBy("_key").agg(F.count("*").alias(alias)).where(F.col(alias) > 1)
@@ -193,25 +231,13 @@ def corpus(links: DataFrame, datelines: DataFrame, metadata: DataFrame, levels:
 CORPUS_KEYS = ["collection", "series", "level", "lang", "dl_vol_iss", "dl_date", "dl_page", "dl_art_num"]
 
 
-def corpus_order(prefix: str = "_o") -> dict[str, Column]:
-    """Columns that sort ascending as the corpus does: domains by their order, what is outside them and nulls last."""
-    domains = {"collection": COLLECTIONS, "series": SERIES, "level": LEVELS}
-    out: dict[str, Column] = {}
-    for k, c in enumerate(CORPUS_KEYS):
-        value = ordinal(F.col(c), domains[c]) if c in domains else F.col(c)
-        out |= {f"{prefix}{k}n": value.isNull(), f"{prefix}{k}": value}
-    return out
-
-
 def corpus_places(df: DataFrame, tie: str, name: str = "place") -> DataFrame:
-    """df with each row's place in the corpus' order (K10), ties by a unique column."""
-    order = corpus_order()
-    return ranked(df.withColumns(order), [*order, tie], name).drop(*order)
+    """df with each row's place in the corpus' order (K10), ties by a unique column. Columns that carry no domain have the corpus' own."""
+    return places_by(with_domains(df, DOMAINS | domains_of(df)), CORPUS_KEYS, tie, name)
 
 
 def sorted_corpus(df: DataFrame) -> DataFrame:
-    order = corpus_order()
-    return df.withColumns(order).orderBy(*order).drop(*order)
+    return sort_by(with_domains(df, DOMAINS | domains_of(df)), *CORPUS_KEYS)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -238,8 +264,8 @@ def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def outside_domains(df: DataFrame) -> DataFrame:
-    """(column, value, n) of values of the corpus' ordered columns that their domains lack (L8); those read back as null."""
-    domains = {"stratum": STRATA, "collection": COLLECTIONS, "series": SERIES, "level": LEVELS}
+    """(column, value, n) of values that the domains of their columns lack (L8), those that the columns carry or else the corpus'; such values read back as null."""
+    domains = domains_of(df) or {c: d for c, d in DOMAINS.items() if c in df.columns}
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.when(~F.col(c).isin(d), F.col(c)).alias("value")) for c, d in domains.items())))
     return df.select(pairs.alias("_p")).select("_p.*").where("value is not null and value <> ''").groupBy("column", "value").agg(F.count("*").alias("n"))
 

@@ -123,10 +123,7 @@ def sink_corpus_csv(spark, sf_dir):
     return readers.corpus_csv(spark, at)
 
 
-DOMAINS = {"stratum": R.STRATA, "collection": R.COLLECTIONS, "series": R.SERIES, "level": R.LEVELS}
-
-
-@query(f"with t as ({TABLE_SQL}) select * replace ({', '.join(f'case when list_contains({d!r}, {c}) then {c} end as {c}' for c, d in DOMAINS.items())}) from t")
+@query(f"with t as ({TABLE_SQL}) select * replace ({', '.join(f'case when list_contains({d!r}, {c}) then {c} end as {c}' for c, d in R.DOMAINS.items())}) from t")
 def source_corpus_typed(spark, sf_dir):
     """The corpus read with its ordered domains: other values are null."""
     at = folder(spark)
@@ -134,6 +131,19 @@ def source_corpus_typed(spark, sf_dir):
     return readers.corpus_csv(spark, at, domains=True)
 
 
+ORDINALS = {c: f"nullif(coalesce(list_position({d!r}, {c}), 0), 0)" for c, d in R.DOMAINS.items()}
+
+
+@query(f"""with t as ({TABLE_SQL}) select url, row_number() over (order by {ORDINALS["stratum"]} desc nulls last, {ORDINALS["level"]} nulls last, url)::bigint as place from t""")
+def csv_domains_kept(spark, sf_dir):
+    """The corpus as CSV, of which one column's domain is another than the corpus' own: read back, its places follow from the
+    domains that its columns carry (A9, J12)."""
+    at = folder(spark)
+    writers.corpus_csv(R.with_domains(registry.QUERIES["corpus_table"](spark, sf_dir), R.DOMAINS | {"stratum": R.STRATA[::-1]}), at)
+    back = readers.corpus_csv(spark, at, domains=True)
+    return R.places_by(back, ["stratum", "level"], "url").select("url", "place")
+
+
 @query(TABLE_SQL)
 def sink_records(spark, sf_dir):
     """The corpus table as JSON records, and as a checkpoint that fails if it exists."""
@@ -144,11 +154,11 @@ def sink_records(spark, sf_dir):
     return readers.checkpoint(spark, f"{at}/parquet")
 
 
-@query("select source as collection, doc_id::varchar as url, coalesce(text, '') || ' é😀' as content from documents where source is not null")
+@query("select case when doc_id % 9 = 0 then null else source end as collection, doc_id::varchar as url, coalesce(text, '') || ' é😀' as content from documents")
 def sink_bundles(spark, sf_dir):
-    """JSON objects by collection with ASCII escapes, and back (B10, L5). A collection must have a name."""
+    """JSON objects by collection with ASCII escapes, and back (B10, L5). Documents without a collection are one of their own."""
     at = folder(spark)
-    docs = load(spark, sf_dir, "documents").where("source is not null").select(F.col("source").alias("collection"), F.col("doc_id").cast("string").alias("url"), F.concat(F.coalesce("text", F.lit("")), F.lit(" é😀")).alias("html"))
+    docs = load(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 9 > 0, F.col("source")).alias("collection"), F.col("doc_id").cast("string").alias("url"), F.concat(F.coalesce("text", F.lit("")), F.lit(" é😀")).alias("html"))
     writers.bundle_objects(docs, "html", at, ascii_only=True, rows=50)
     return readers.bundles(spark, at)
 

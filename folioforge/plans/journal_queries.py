@@ -62,10 +62,13 @@ def dateline_odd(spark, sf_dir):
 
 
 @query(f"""with {WEEKLY_SQL} select {MMWR_PATH} as path, case when o_orderkey % 3 = 0 then '_ / _ / _' else dateline end as var_dl, case when o_orderkey % 3 = 0 then dateline else '_ / _ / _' end as div_dl, case when o_orderkey % 3 = 0 then 'div_dl' else 'var_dl' end as src, dateline as dl,
-    case o_orderkey % 4 when 0 then 'mm' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, (o_orderkey % 900 + 1)::int as dl_page, not (o_orderkey % 7 > 0 and o_orderkey % 11 = 0) as fn_stan from wk""")
+    case o_orderkey % 4 when 0 then 'mm' when 1 then 'rr' when 2 then 'ss' else 'su' end as dl_ser, (o_orderkey % 900 + 1)::int as dl_page, not (o_orderkey % 7 > 0 and o_orderkey % 11 = 0) as fn_stan, {', '.join(f"case when o_orderkey % {k + 2} = 0 then 'v{k} ' || o_orderkey else '' end as md_{m}" for k, m in enumerate(J.MMWR_METAS))} from wk""")
 def journal_mmwr_details(spark, sf_dir):
-    """Path, script, element and parsed dateline side by side."""
-    return J.mmwr_dateline_details(mmwr_pages(spark, sf_dir)).select("path", "var_dl", "div_dl", "src", "dl", "dl_ser", "dl_page", "fn_stan")
+    """Path, script, element, six metas and parsed dateline side by side."""
+    k = F.col("o_orderkey")
+    metas = F.concat(F.lit("<head>"), *(F.when(k % (i + 2) == 0, F.concat(F.lit(f'<meta name="{m}" content=" v{i} '), k.cast("string"), F.lit('">'))).otherwise("") for i, m in enumerate(J.MMWR_METAS)))
+    pages = mmwr_pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit("<head>"), metas))
+    return J.mmwr_dateline_details(pages).select(*(f"md_{m}" for m in J.MMWR_METAS), "path", "var_dl", "div_dl", "src", "dl", "dl_ser", "dl_page", "fn_stan")
 
 
 EID_TEXT = "'Volume ' || (o_orderkey % 28 + 1) || ', ' || case when o_orderkey % 3 = 0 then 'Supplement' else 'Number ' || (o_orderkey % 12 + 1) end || '—' || strftime(o_orderdate, '%B %Y')"
@@ -185,9 +188,19 @@ def meta_eav(spark, sf_dir):
     return attr_counts(J.head_pairs(head_pages(spark, sf_dir)))
 
 
-@query("select '/d/' || doc_id as path, 1::bigint as \"title\", 2::bigint as \"meta:name:citation_author\", 0::bigint as \"meta:name:absent\", 1::bigint as \"meta:property:og:x\" from documents")
+@query("""with n as (select doc_id, unnest(['title', 'link:rel:canonical', 'meta:name:citation_author', 'meta:name:of-' || (doc_id % 7), 'meta:name:Of-' || (doc_id % 7), 'meta:property:lang-' || coalesce(lang, 'none')]) as name,
+        unnest([1, 1, 2, doc_id % 4, 1, 1 + doc_id % 2]) as n from documents),
+    c as (select '/d/' || doc_id as path, case when name like 'meta:name:of-%' then name || '~2' else name end as name, n from n where n > 0)
+    select * from (pivot c on name using coalesce(sum(n), 0)::bigint group by path)""")
 def head_counts_wide(spark, sf_dir):
-    return J.head_counts_wide(head_pages(spark, sf_dir), ["title", "meta:name:citation_author", "meta:name:absent", "meta:property:og:x"])
+    """A count a page of every name that the heads have: the names are found in them, and depend on the rows."""
+    k, lang = F.col("doc_id"), F.coalesce("lang", F.lit("none"))
+    of = (k % 7).cast("string")
+    meta = F.concat(F.repeat(F.concat(F.lit('<meta name="of-'), of, F.lit('" content="x">')), (k % 4).cast("int")), F.lit('<meta name="Of-'), of, F.lit('" content="y">'), F.repeat(F.concat(F.lit('<meta property="lang-'), lang, F.lit('" content="z">')), (1 + k % 2).cast("int")))
+    pages = head_pages(spark, sf_dir).withColumn("k", F.regexp_extract("path", r"(\d+)$", 1).cast("long"))
+    docs = load(spark, sf_dir, "documents").select(k.alias("k"), meta.alias("meta"))
+    head = F.concat(F.lit('<html><head><title>t</title><link rel="canonical" href="/c"><meta name="citation_author" content="A"><meta name="citation_author" content="B"><meta name="empty" content="">'), "meta", F.lit("</head><body></body></html>"))
+    return J.head_counts_wide(pages.join(docs, "k").select("path", head.alias("html")))
 
 
 @query("""with t as (select unnest(['html', 'head', 'title', 'link', 'meta', 'meta']) as tag_name, unnest(['', '', '', 'href|rel', 'content|name', 'content|property']) as signature, unnest([0, 0, 0, 2, 2, 2]) as n_attr, unnest([1, 1, 1, 1, 5, 1]) as times)

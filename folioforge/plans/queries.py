@@ -543,16 +543,19 @@ def corpus_table(spark, sf_dir):
     return R.projected(df.select("url", "stratum", "collection", "series", "level", "lang", "mirror_path"))
 
 
-EIGHT = ["collection", "series", "level", "lang", "dl_vol_iss", "dl_date", "dl_page", "dl_art_num"]
-
-
-@query(f"""with r as (select o_orderkey, {R.COLLECTIONS!r} as cs, {R.SERIES!r} as ss, {R.LEVELS!r} as ls, o_orderkey % 25 as c, o_orderkey % 13 as s, o_orderkey % 6 as l, o_orderpriority as lang, nullif(o_orderkey % 9, 0) as v from orders)
-    select o_orderkey, row_number() over (order by case when c < 22 then c end nulls last, case when s < 11 then s end nulls last, case when l < 5 then l end nulls last, lang nulls last, v::varchar nulls last, o_orderkey)::bigint as place from r""")
+@query(f"""with r as (select o_orderkey, o_orderkey % 3 * 11 as c, o_orderkey % 2 * 10 as s, o_orderkey % 7 // 3 * 4 as l, nullif(o_orderpriority, '2-HIGH') as lang, nullif(o_orderkey % 3, 0)::varchar as v, strftime(o_orderdate, '%Y') as d, nullif(o_orderkey % 5, 0)::varchar as p, nullif(o_orderstatus, 'F') as a from orders)
+    select o_orderkey, row_number() over (order by case when c < 22 then c end nulls last, case when s < 10 then s end nulls last, l, lang nulls last, v nulls last, d, p nulls last, a nulls last, o_orderkey)::bigint as place from r""")
 def corpus_eight_levels(spark, sf_dir):
-    """Places by all the corpus' keys, with values outside the domains and nulls."""
-    pick = lambda values, m: F.get(F.array(*map(F.lit, [*values, "other"])), (F.col("o_orderkey") % m).cast("int"))
-    df = load(spark, sf_dir, "orders").select("o_orderkey", pick(R.COLLECTIONS, 25).alias("collection"), pick(R.SERIES, 13).alias("series"), pick(R.LEVELS, 6).alias("level"), F.col("o_orderpriority").alias("lang"), F.nullif((F.col("o_orderkey") % 9).cast("string"), F.lit("0")).alias("dl_vol_iss"), *(F.lit(None).cast("string").alias(c) for c in EIGHT[5:]))
-    return R.corpus_places(df, "o_orderkey").select("o_orderkey", "place")
+    """Places by all eight keys of the corpus, each of which decides some, with values outside the domains and nulls. The table
+    is written and read again: its columns carry their domains."""
+    k = F.col("o_orderkey")
+    at = lambda values, i: F.get(F.array(*map(F.lit, values)), F.expr(i).cast("int"))
+    df = load(spark, sf_dir, "orders").select(
+        "o_orderkey", at([R.COLLECTIONS[0], R.COLLECTIONS[11], "other"], "o_orderkey % 3").alias("collection"), at([R.SERIES[0], "other"], "o_orderkey % 2").alias("series"), at([R.LEVELS[0], R.LEVELS[4], None], "o_orderkey % 7 div 3").alias("level"),
+        F.nullif("o_orderpriority", F.lit("2-HIGH")).alias("lang"), F.nullif((k % 3).cast("string"), F.lit("0")).alias("dl_vol_iss"), F.date_format("o_orderdate", "yyyy").alias("dl_date"), F.nullif((k % 5).cast("string"), F.lit("0")).alias("dl_page"), F.nullif("o_orderstatus", F.lit("F")).alias("dl_art_num"),
+    )
+    kept = R.stored(R.with_domains(df))
+    return R.places_by(kept, R.CORPUS_KEYS, "o_orderkey").select("o_orderkey", "place")
 
 
 @query(f"with r as (select unnest([{{'column': 'collection', 'value': 'x' || o_orderstatus}}, {{'column': 'level', 'value': o_orderpriority}}], recursive := true) from orders) select \"column\", value, count(*) as n from r where value <> 'xF' group by all")
@@ -577,11 +580,19 @@ def bom_counts(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", T.boms(marked).alias("boms"))
 
 
-@query("select doc_id, n_chars from documents")
+@query("select l.doc_id, l.quality, d.n_chars, d.source from labels l join documents d using (doc_id)")
 def store_lookup(spark, sf_dir):
-    """Each row's document from the store; one that lacked it would end the query."""
+    """Each label's document from the store; a label that lacked one would end the query."""
     docs = load(spark, sf_dir, "documents")
-    return R.looked_up(docs.select("doc_id"), docs.select("doc_id", "n_chars"), "doc_id", "n_chars")
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    return R.looked_up(labels, docs.select("doc_id", F.struct("n_chars", "source").alias("doc")), "doc_id", "doc").select("doc_id", "quality", "doc.n_chars", "doc.source")
+
+
+@query(f"with p as (select page_id, {PATH} as path, {MIRROR} as kept from pages) select page_id, case when page_id % 2 = 0 then kept else '/a/b' || kept end as mirror_path from p")
+def mirror_backslashes(spark, sf_dir):
+    """Where pages are kept, of paths of which half have backslashes."""
+    path = U.path_of(F.col("url"))
+    return load(spark, sf_dir, "pages").select("page_id", U.mirror_path(F.when(F.col("page_id") % 2 == 0, path).otherwise(F.concat(F.lit("\\a\\b"), F.translate(path, "/", "\\")))).alias("mirror_path"))
 
 
 #: A page of which text and Markdown are known: headings, emphasis, links, lists with loose text, a table in a table, what is removed.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MIRROR_LIST = "series string, file_size int, compress_type string, compress_size int, compress_pct string, date_time timestamp, CRC string, filename string"
 
@@ -40,13 +43,25 @@ def mirrored(spark: SparkSession, path: str, links: DataFrame, root: str = "") -
 
 
 def corpus_csv(spark: SparkSession, path: str, domains: bool = False) -> DataFrame:
-    """The corpus table as it was exported; empty fields are empty strings (A9). domains: values that their column's
-    domain lacks are null, as ordered categories make them (L8)."""
+    """The corpus table as it was exported; empty fields are empty strings (A9). domains: its columns carry their ordered
+    domains, those that it was written with or else the corpus', and values that a domain lacks are null, as ordered
+    categories make them (L8, J12): R.sort_by and R.outside_domains need no list."""
     from folioforge.operators import relational as R
 
-    df = spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in R.CORPUS), quote='"', escape='"', multiLine=True).na.fill("")
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    kept = None
+    if fs.exists(p):
+        stream = fs.open(p)
+        try:
+            kept = StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+    names = kept.names if kept else R.CORPUS
+    df = spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in names), quote='"', escape='"', multiLine=True).na.fill("")
     if domains:
-        df = df.withColumns({c: F.when(F.col(c).isin(d), F.col(c)) for c, d in {"stratum": R.STRATA, "collection": R.COLLECTIONS, "series": R.SERIES, "level": R.LEVELS}.items()})
+        known = {f.name: list(f.metadata["domain"]) for f in kept or [] if f.metadata.get("domain")} or {c: d for c, d in R.DOMAINS.items() if c in names}
+        df = R.with_domains(df.withColumns({c: F.when(F.col(c).isin(d), F.col(c)) for c, d in known.items()}), known)
     return df
 
 

@@ -11,13 +11,24 @@ from pyspark.sql import functions as F
 from folioforge.functions import arrow_function
 
 
+#: Collections whose sizes are sent to all tasks.
+SEND_COLLECTIONS = 100_000
+
+
 def checkpoint(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
 def corpus_csv(df: DataFrame, path: str) -> None:
-    """All fields quoted, with a header."""
+    """All fields quoted, with a header (B8), and a file of the schema, with the columns' ordered domains, beside them."""
     df.write.option("quoteAll", True).option("escape", '"').option("emptyValue", "").mode("errorifexists").csv(path, header=True)
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, False)
+    try:
+        out.write(bytearray(df.schema.json().encode()))
+    finally:
+        out.close()
 
 
 def records(df: DataFrame, path: str) -> None:
@@ -27,7 +38,10 @@ def records(df: DataFrame, path: str) -> None:
 
 def bundles(df: DataFrame, path: str, max_records: int = 50_000) -> None:
     """(collection, url, html, md, txt) in a folder a collection, files of bounded size."""
-    df.repartition("collection", F.pmod(F.xxhash64("url"), F.lit(16))).write.option("maxRecordsPerFile", max_records).partitionBy("collection").mode("errorifexists").json(path)
+    sizes = df.groupBy("collection").agg(F.ceil(F.count("*") / max_records).alias("_parts")).withColumnRenamed("collection", "_of")
+    few = sizes.count() <= SEND_COLLECTIONS
+    cut = df.join(F.broadcast(sizes) if few else sizes, F.col("collection").eqNullSafe(F.col("_of")))
+    cut.repartition("collection", F.pmod(F.xxhash64("url"), F.col("_parts"))).drop("_of", "_parts").write.option("maxRecordsPerFile", max_records).partitionBy("collection").mode("errorifexists").json(path)
 
 
 def _escaped(m: re.Match) -> str:
@@ -44,8 +58,9 @@ def ascii_json(text: pd.Series) -> pd.Series:
 def bundle_objects(df: DataFrame, column: str, path: str, ascii_only: bool, rows: int = 5000) -> None:
     """JSON objects {url: content} of about `rows` urls each, one a line, in a folder a collection (B10): HTML and text
     with ASCII escapes, Markdown without. Collections of any size are cut by a hash of the url."""
-    sizes = df.groupBy("collection").agg(F.ceil(F.count("*") / rows).alias("_parts"))
-    keyed = df.join(sizes, "collection").select("collection", F.pmod(F.xxhash64("url"), F.col("_parts")).alias("_part"), "url", F.col(column).alias("_content"))
+    sizes = df.groupBy("collection").agg(F.ceil(F.count("*") / rows).alias("_parts")).withColumnRenamed("collection", "_of")
+    few = sizes.count() <= SEND_COLLECTIONS
+    keyed = df.join(F.broadcast(sizes) if few else sizes, F.col("collection").eqNullSafe(F.col("_of"))).select("collection", F.pmod(F.xxhash64("url"), F.col("_parts")).alias("_part"), "url", F.col(column).alias("_content"))
     made = keyed.groupBy("collection", "_part").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", "_content"))))).alias("json"))
     made.select("collection", (ascii_json("json") if ascii_only else F.col("json")).alias("json")).write.partitionBy("collection").mode("errorifexists").text(path)
 
