@@ -276,6 +276,7 @@ def eid_page(citation: Column) -> Column:
     return padded(part(citation, r"\d{4};\d{1,2}\(\d{1,2}\):(\d+)", 1), 4)
 
 
+# fixed values: datelines of the third journal's early and late volumes
 _MON = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
 PCD_EARLY = rf"Volume (\d{{1,2}}): (?:No\. (\d{{1,2}})|(Special Issue)), ({_MON}) (\d{{4}})"
 PCD_LATE = rf"(?U)([A-Z][A-Za-z'’ ]*\w)?(?: — )?Volume (\d{{1,2}}) — ({_MON}) (\d{{1,2}}), (\d{{4}})"
@@ -308,6 +309,7 @@ def pcd_toc(text: Column) -> Column:
     return F.regexp_replace(part(text, r"(?s)ISSN.*?(Volume.*?\d{4}\)?)", 1), r"(?U)\s+", " ")
 
 
+# fixed value: paths of contents pages
 PCD_TOC_PATH = r"/pcd/(?:issu)?es/(\d{4})(?:([_/])(jan|mar|apr|may|jul|sep|oct|nov)\2toc)?"
 
 
@@ -325,6 +327,7 @@ def pcd_translated(path: Column) -> Column:
     return path.rlike(r"\d{2}_\d{4}[aber\d]{0,2}_(es|fr|zhs|zht)\.htm")
 
 
+# fixed value: paths of articles
 PCD_PATH = r"^/pcd/issues/(\d{4})(?:/(jan|mar|apr|may|jul|sep|oct|nov))?/([a-z0-9_]{5,11})\.htm"
 
 

@@ -46,7 +46,7 @@ EID_REPLACE = [
 ]
 PCD_REPLACE = [(";", ","), ("\u0092", "’"), ("Key words: ", ""), ("Key Words: ", ""), ("Tianjin, China", "Tianjin China")]
 # fixed values: suggested citations, by their number or as far as their commas reach, and names that run on into other words
-EID_CITATIONS = [r"Suggested citation for this article:.*?10\.3201/eid\d{4}\.(AC|\d{2})\d{4}", r"Suggested citation for this article:[^,]*?, (?:[^,]*?, ){0,4}[^,]*?(?:, |\z)"]
+EID_CITATIONS = [r"Suggested citation for this article:.*?10\.3201/eid\d{4}\.(AC|\d{2})\d{4}", r"Suggested citation for this article:[^,]*?, ([^,]*?, )?([^,]*?, )?([^,]*?, )?([^,]*?, )?[^,]*?(, |\z)"]
 PCD_RUN_ONS = {r"\BPreventing Chronic Disease": ",Preventing Chronic Disease", r"NCCDPHP\B": "NCCDPHP,"}
 # fixed values: keywords and descriptions that say nothing of the document
 MMWR_IGNORE = [

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from folioforge.functions import arrow_function
 
 # fixed values: characters taken as a space and as a line's end
-SPACES = "".join(map(chr, (0x09, 0x1F, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
-NEWLINES = "".join(map(chr, (0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029)))
+SPACES = "\t\x1f\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+NEWLINES = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 # fixed values: references that are replaced or deleted before all others are resolved
 REPAIRS = {
     "&#129;": "&uuml;",

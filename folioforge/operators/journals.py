@@ -193,7 +193,8 @@ def head_counts_wide(pages: DataFrame, names: list[str] | None = None, most: int
             raise ValueError(f"more than {most} names")
     columns = wide_names(names)
     wide = counts.groupBy("path").agg(*(F.sum(F.when(F.col("attr_name") == n, F.col("n"))).alias(c) for n, c in columns.items())) if names else counts.select("path").distinct()
-    return pages.select("path").distinct().join(wide, "path", "left").na.fill(0, [*columns.values()])
+    quoted = {c: f"`{c.replace('`', '``')}`" for c in columns.values()}
+    return pages.select("path").distinct().join(wide, "path", "left").select("path", *(F.coalesce(F.col(q), F.lit(0)).alias(c) for c, q in quoted.items()))
 
 
 def tag_rows(pages: DataFrame) -> DataFrame:

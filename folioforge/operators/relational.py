@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.sources.folders import new_folder
+
 # fixed values: ordered domains
 SERIES = ["mmwr", "mmnd", "mmrr", "mmss", "mmsu", "eid", "eid0", "eid1", "eid2", "eid3", "pcd"]
 LEVELS = ["home", "series", "volume", "issue", "article"]
@@ -241,17 +240,10 @@ def sorted_corpus(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df as written to the folder for checkpoints, that of spark.checkpoint.dir: computed once, and there when executors are lost."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-            folder = tempfile.mkdtemp(prefix="folioforge-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    """df as written to the shared folder, that of spark.checkpoint.dir: computed once, there when executors are lost, gone when the driver ends."""
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ranked(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -297,10 +289,11 @@ def consistent(corpus: DataFrame, stores: dict[str, DataFrame], key: str, place:
     return union(*out)
 
 
-def presence(df: DataFrame, key: str, column: str, values: list[str]) -> DataFrame:
-    """One boolean column a value, and the values present with bars between (K6-K8)."""
+def presence(df: DataFrame, key: str, column: str, values: list[str], blank: str = "_") -> DataFrame:
+    """One boolean column a value, and a pattern (K6-K8): the values present, and for absent ones as many blanks as their names are
+    long, with bars between; without a blank absent ones are left out."""
     wide = df.groupBy(key).agg(*(F.bool_or(F.col(column).eqNullSafe(v)).alias(v) for v in values))
-    return wide.withColumn("pattern", F.concat_ws("|", *(F.when(F.col(v), v) for v in values)))
+    return wide.withColumn("pattern", F.concat_ws("|", *(F.when(F.col(v), v).otherwise(blank * len(v) or None) for v in values)))
 
 
 def first_by(df: DataFrame, key: str, order: list) -> DataFrame:

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from folioforge import registry
@@ -15,21 +10,11 @@ from folioforge.operators import relational as R
 from folioforge.operators import sequence
 from folioforge.plans.queries import LABELLED, labelled, load, query
 from folioforge.sources import exports, mirror, readers, stages, writers
+from folioforge.sources.folders import new_folder
 
 
 def folder(spark) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, where that is set. It goes when the driver ends."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-        root = tempfile.mkdtemp(prefix="folioforge-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        root = f"file://{root}"
-    path = f"{root.rstrip('/')}/io-{uuid.uuid4().hex}"
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return f"{path}/files"
+    return f"{new_folder(spark, 'io')}/files"
 
 
 def put(spark, path: str, content: str) -> None:

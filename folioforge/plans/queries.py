@@ -519,7 +519,7 @@ def desc_ignore(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", W.description(text, W.MMWR_IGNORE_DESC).alias("md_desc"))
 
 
-@query(f"select pattern, count(*) as n from (select source, doc_id % 7 as g, concat_ws('|', {', '.join(f"case when bool_or(lang = '{x}') then '{x}' end" for x in LANGS)}) as pattern from documents group by all) group by 1")
+@query(f"select pattern, count(*) as n from (select source, doc_id % 7 as g, concat_ws('|', {', '.join(f"case when bool_or(lang = '{x}') then '{x}' else '{'_' * len(x)}' end" for x in LANGS)}) as pattern from documents group by all) group by 1")
 def lang_presence_pattern(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").withColumn("stem", F.concat_ws("/", F.coalesce("source", F.lit("?")), F.col("doc_id") % 7))
     return R.presence(docs, "stem", "lang", LANGS).groupBy("pattern").agg(F.count("*").alias("n"))

@@ -302,6 +302,39 @@ def test_dictionaries(spark, tmp_path):
     assert readers.dictionary(spark, f"{tmp_path}/d.json").first().asDict() == {"key": "a", "value": "1"}
 
 
+def test_patterns_of_presence(spark):
+    df = spark.createDataFrame([("a", "en"), ("a", "zht"), ("b", "fr"), ("c", None), ("a", "en")], "stem string, lang string")
+    pattern = lambda **k: {r.stem: r.pattern for r in R.presence(df, "stem", "lang", ["en", "fr", "zht"], **k).collect()}
+    assert pattern() == {"a": "en|__|zht", "b": "__|fr|___", "c": "__|__|___"} and pattern(blank="") == {"a": "en|zht", "b": "fr", "c": ""}
+
+
+def test_domains_are_kept(spark, tmp_path):
+    """In Parquet and CSV; sorting and checking need no list."""
+    rows = [("low", "x"), ("high", "y"), ("odd", "z"), ("mid", None), (None, "a")]
+    df = R.with_domains(spark.createDataFrame(rows, "size string, k string"), {"size": ["low", "mid", "high"], "none": ["x"]})
+    df.write.parquet(f"{tmp_path}/p")
+    back = spark.read.parquet(f"{tmp_path}/p")
+    assert R.domains_of(back) == R.domains_of(df) == {"size": ["low", "mid", "high"]}
+    assert [r["size"] for r in R.sort_by(back, "size", "k").collect()] == ["low", "mid", "high", None, "odd"]
+    assert [tuple(r) for r in R.outside_domains(back).collect()] == [("size", "odd", 1)]
+    assert [(r["size"], r.place) for r in R.places_by(back, ["size"], "k").orderBy("place").collect()] == [("low", 1), ("mid", 2), ("high", 3), (None, 4), ("odd", 5)]
+    writers.corpus_csv(df, f"{tmp_path}/c")
+    csv = readers.corpus_csv(spark, f"{tmp_path}/c", domains=True)
+    assert R.domains_of(csv) == {"size": ["low", "mid", "high"]} and {(r["size"], r.k) for r in csv.collect()} == {("low", "x"), ("high", "y"), (None, "z"), ("mid", ""), (None, "a")}
+
+
+def test_counts_of_any_names(spark):
+    from folioforge.operators import journals as J
+
+    df = spark.createDataFrame([("/a", '<title>t</title><meta name="x" content="1"><meta name="X" content="2"><meta name="x" content="3">'), ("/b", "<p>"), ("/c", '<meta property="q.r" content="v">')], "path string, html string")
+    wide = J.head_counts_wide(df)
+    assert wide.columns == ["path", "meta:name:X", "meta:name:x~2", "meta:property:q.r", "title"]
+    assert sorted(map(tuple, wide.collect())) == [("/a", 1, 2, 0, 1), ("/b", 0, 0, 0, 0), ("/c", 0, 0, 1, 0)]
+    assert J.head_counts_wide(df, ["title"]).columns == ["path", "title"] and J.head_counts_wide(df.where("path = '/b'")).columns == ["path"]
+    with pytest.raises(ValueError, match="more than 3"):
+        J.head_counts_wide(df, most=3)
+
+
 def test_sheets(spark, tmp_path):
     df = spark.createDataFrame([("one", 1, 'a "<&>"\n é', None), ("one", 2, "", "x"), ('two "&"', 3, "\\", None)], "sheet string, k long, s string, e string")
     writers.sheets(df, "sheet", f"{tmp_path}/w")
