@@ -4,9 +4,12 @@ versioned manifest is committed atomically.
 A store is a folder that all executors share:
 
     data/<batch>/part-*.parquet    immutable shards
-    manifest/<version>.json        a version: the store's schema, and its parts
+    manifest/<version>.json        a version: the store's schema, and its parts with the number of shards of each
     manifest/parts/<id>.json       up to PART shards each, with their sizes and tiers; immutable too
 
+Parts are merged by tiers as shards are: FOLD parts of one tier become one. So an append reads the last version's list of
+parts, which is short, and now and then the few parts that it merges, never the whole manifest.
+
 The schema is the union of the arrivals', by name; shards written before a column came give nulls for it. An arrival
 whose column has another type than the store's, or a name that differs by case only, is refused.
 
@@ -34,8 +37,8 @@ TARGET = 128 << 20
 #: A tier holds shards within a factor FANOUT of each other; as many of a tier are merged at once, at least.
 FANOUT = 4
 LEAST = 1 << 20
-#: Shards that a part of the manifest lists.
-PART = 1000
+#: Shards that a part of the manifest lists; parts of one size that are merged into one, until they list so many.
+PART, FOLD = 1000, 10
 #: Seconds that files without a version are left alone: readers and writers may still need them.
 RETAIN = 86_400
 
@@ -86,24 +89,41 @@ class ShardStore:
         names = [s.getPath().getName() for s in self.fs.listStatus(folder)]
         return sorted(int(x[:-5]) for x in names if x.endswith(".json") and x[:-5].isdigit())
 
-    def manifest(self, version: int | None = None) -> dict:
-        """A version, the last one by default: {"version", "schema", "parts": [name], "shards": [{"path", "bytes", "tier"}]}."""
-        known = self.versions()
+    def head(self, version: int | None = None) -> dict:
+        """A version, the last one by default, without its shards: {"version", "schema", "parts": [[name, shards]]}."""
+        known = self.versions() if version is None else []
         version = version if version is not None else (known[-1] if known else 0)
-        if not version:
-            return {"version": 0, "schema": StructType([]).jsonValue(), "parts": [], "shards": []}
-        got = self._get(f"{version:012d}.json")
-        return got | {"shards": [s for p in got["parts"] for s in self._get(p)]}
-
-    def parts(self, shards: list[dict]) -> list[str]:
-        """Write parts that list these shards; their names."""
-        names = []
-        for a in range(0, len(shards), PART):
-            names.append(f"parts/{uuid.uuid4().hex}.json")
-            self._put(names[-1], shards[a : a + PART])
-        return names
+        return self._get(f"{version:012d}.json") if version else {"version": 0, "schema": StructType([]).jsonValue(), "parts": []}
+
+    def manifest(self, version: int | None = None) -> dict:
+        """A version with all its shards: head and "shards": [{"path", "bytes", "tier"}]."""
+        got = self.head(version)
+        return got | {"shards": [s for p, _ in got["parts"] for s in self._get(p)]}
 
-    def commit(self, base: int, schema: StructType, parts: list[str]) -> dict:
+    def parts(self, shards: list[dict]) -> list[list]:
+        """Write parts that list these shards; their names and numbers of shards."""
+        out = []
+        for a in range(0, len(shards), PART):
+            some = shards[a : a + PART]
+            out.append([f"parts/{uuid.uuid4().hex}.json", len(some)])
+            self._put(out[-1][0], some)
+        return out
+
+    def folded(self, parts: list[list]) -> list[list]:
+        """The parts, those of a tier merged where there are FOLD of them: what a version lists grows with the logarithm of the appends,
+        and by a part for each PART shards."""
+        while True:
+            tiers: dict[int, list] = {}
+            for p in parts:
+                if p[1] <= PART // FOLD:
+                    tiers.setdefault(int(math.log(max(1, p[1]), FOLD) + 1e-9), []).append(p)
+            group = next((g for _, g in sorted(tiers.items()) if len(g) >= FOLD), None)
+            if group is None:
+                return parts
+            gone = {name for name, _ in group}
+            parts = [p for p in parts if p[0] not in gone] + self.parts([s for name, _ in group for s in self._get(name)])
+
+    def commit(self, base: int, schema: StructType, parts: list[list]) -> dict:
         """Put version base + 1 in place, or raise Conflict."""
         made = {"version": base + 1, "schema": schema.jsonValue(), "parts": parts}
         self.fs.mkdirs(self._path(f"{self.root}/manifest/parts"))
@@ -140,16 +160,19 @@ class ShardStore:
 
     def append(self, df: DataFrame) -> dict:
         """Add the rows of df as new shards, one for each of its partitions that has rows; no shuffle. Columns of the type
-        void are stored as strings. Raises ValueError, and adds nothing, if the schema clashes with the store's."""
+        void are stored as strings. Raises ValueError, and adds nothing, if the schema clashes with the store's, or has two
+        columns of one name. Of the manifest it reads the last version's schema and names of parts, and what parts it merges."""
+        if len({c.lower() for c in df.columns}) < len(df.columns):
+            raise ValueError("two columns of one name")
         df = df.select(*(F.col(f"`{f.name}`").cast(StringType()).alias(f.name) if isinstance(f.dataType, NullType) else F.col(f"`{f.name}`") for f in df.schema))
-        union_schema(StructType.fromJson(self.manifest()["schema"]), df.schema)
+        union_schema(StructType.fromJson(self.head()["schema"]), df.schema)
         self.fs.mkdirs(self._path(f"{self.root}/manifest/parts"))
         fresh = self.parts(self._write(df))
         while True:
-            base = self.manifest()
+            base = self.head()
             schema = union_schema(StructType.fromJson(base["schema"]), df.schema)
             try:
-                return self.commit(base["version"], schema, base["parts"] + fresh)
+                return self.commit(base["version"], schema, self.folded(base["parts"] + fresh))
             except Conflict:  # another writer's version came: ours goes on top of it
                 continue
 
@@ -200,7 +223,7 @@ class ShardStore:
         not changed for `retain` seconds: those of failed writers too. How many shards went."""
         known, n, before = self.versions(), 0, (time.time() - retain) * 1000
         kept = [self.manifest(v) for v in known[-keep_versions:]]
-        shards, parts = {s["path"] for m in kept for s in m["shards"]}, {p for m in kept for p in m["parts"]}
+        shards, parts = {s["path"] for m in kept for s in m["shards"]}, {p for m in kept for p, _ in m["parts"]}
         for v in known[:-keep_versions]:
             self.fs.delete(self._path(f"{self.root}/manifest/{v:012d}.json"), False)
         for s in [*self._files("manifest/parts"), *(x for x in self._files("manifest") if x.getPath().getName().startswith("."))]:

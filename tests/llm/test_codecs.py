@@ -288,6 +288,27 @@ def test_shard_rows(spark):
     assert empty.count() == 0 and empty.columns == ["doc_id", "shard", "tier", "shard_bytes", "n_chars", "text_md5"]
 
 
+def test_appends_read_and_write_little(spark, monkeypatch):
+    """Of many appends: what versions list grows with the logarithm of their number, an append reads few parts, and no shard is lost."""
+    store = store_of(spark)
+    df = spark.range(1).selectExpr("id as doc_id")
+    made, read = [], Counter()
+    monkeypatch.setattr(sharding, "PART", 64)
+    monkeypatch.setattr(sharding, "FOLD", 4)
+    monkeypatch.setattr(store, "_write", lambda _: made.append(f"s{len(made)}") or [{"path": made[-1], "bytes": 10, "tier": 0}])
+    monkeypatch.setattr(store, "_get", lambda name, f=store._get: read.update([name.split("/")[0]]) or f(name))
+    n = 220
+    listed = 0
+    for _ in range(n):
+        store.append(df)
+        listed += len(store.head()["parts"])
+    assert sorted(s["path"] for s in store.manifest()["shards"]) == sorted(made) and len(made) == n
+    assert listed < n * (3 * 4 + n / 64) and read["parts"] < n * 3 + 20
+    assert [c for _, c in store.head()["parts"]].count(64) >= 2 and len(store.head()["parts"]) < 14
+    with pytest.raises(ValueError, match="two columns"):
+        store.append(spark.range(1).selectExpr("id", "id"))
+
+
 def deviations(slots: list[str], weights: dict) -> float:
     """The most that a source's blocks so far ever differ from its share of the slots so far."""
     seen, worst = dict.fromkeys(weights, 0), 0.0
