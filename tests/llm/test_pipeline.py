@@ -42,7 +42,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.queries()[name](spark, SF).toPandas(), con.sql(queries.oracle_sql()[name]).df()
     columns = sorted(got.columns)
