@@ -70,6 +70,11 @@ def repair_entities(text: Column) -> Column:
     return unescape(repair_known(text))
 
 
+def only_references(text: Column, *names: str) -> Column:
+    """The text with an escaped ampersand for each that doesn't begin one of the named references, semicolon included: resolved, it has those alone resolved."""
+    return F.regexp_replace(text, f"&(?!(?:{'|'.join(names)});)", "&amp;")
+
+
 def unescape_common(text: Column) -> Column:
     """The references that this corpus' pages hold, without Python; the ampersand last."""
     for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
