@@ -34,3 +34,7 @@ def cut_pages():
 def test_references_cut_short_stay(spark, tmp_path, cut_pages):
     got = same(spark, tmp_path, "entity_repair", pages=cut_pages)
     assert any("<title>a&&&amp</title>" in html for html, _ in got)
+
+
+def test_titles_cut_short_stay(spark, tmp_path, cut_pages):
+    same(spark, tmp_path, "head_meta", pages=cut_pages)
