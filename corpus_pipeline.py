@@ -42,7 +42,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_order(docs)
+    return mixing.in_order(docs, block=mixing.BLOCK)
 
 
 def in_stream(docs: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def in_stream(docs: DataFrame) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = in_stream(docs)
-    in_mix = mixing.mixed_rows(docs)
+    in_mix = mixing.mixed_rows(docs, block=mixing.BLOCK)
     rows = placed.select("mix_place", "doc_id", "source", (F.col("mix_place") < in_mix).alias("in_mix"))
     digests = piece_codec.encode_digests(placed, id_col="mix_place").withColumnRenamed("doc_id", "mix_place")
     return digests.join(rows, "mix_place").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "source", "mix_place", "in_mix")

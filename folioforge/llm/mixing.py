@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.common import Scratch
 
-#: Documents of a block at least; a schedule has at most SLOTS slots, so blocks of tables of over BLOCK * SLOTS rows are larger.
+#: Documents of a block. SLOTS slots are given at a time, and so many are sent to all executors. Without a block's size
+#: a schedule has at most SLOTS slots, so blocks of tables of over BLOCK * SLOTS rows are larger.
 BLOCK, SLOTS = 16, 1 << 18
 #: Weights are whole numbers that sum to about this.
 SCALE = 1 << 32
@@ -40,17 +41,24 @@ def weighted(counts: DataFrame, weights: DataFrame | None, temper: float = TEMPE
     return sized.withColumn("w", F.when(F.col("weight") > 0, F.greatest(F.lit(1), F.round(share * SCALE))).otherwise(0 if total else F.greatest(F.lit(1), F.round(share * SCALE))).cast("long")).select("source", "n_docs", "w")
 
 
-def schedule(plan: DataFrame, slots: int, total: int, sources: int) -> DataFrame:
-    """(source, j, slot, real) of the first slots, of a plan (source, w, blocks): earliest deadline first among released
-    blocks. real: the source has this block.
+def chunk_of(sources: int) -> int:
+    """Slots of a chunk of the schedule's fold."""
+    return max(64, 6 * math.isqrt(sources))
+
+
+def schedule(plan: DataFrame, slots: int, total: int, sources: int, start: int = 0) -> DataFrame:
+    """(source, j, slot, real) of the slots from start, a multiple of chunk_of, up to slots, of a plan (source, w, blocks):
+    earliest deadline first among released blocks. real: the source has this block. From a start above 0 the plan's `done`
+    is each source's number of blocks before it.
 
     A block takes the first free slot from its release on that no block with an earlier deadline takes, which is what
     running slot by slot gives. One fold over chunks of slots does it; in each, only the blocks that can run there are
     ranked: of those released before as many as there are slots, and those released in it. So its time goes with
     slots * chunk + chunks * sources, and its state is a short row a source.
     """
-    chunk = max(64, 6 * math.isqrt(sources))
-    one = plan.where("w > 0").agg(F.array_sort(F.collect_list(F.struct("source", "w", "blocks"))).alias("s"))
+    chunk = chunk_of(sources)
+    done = F.col("done") if start else F.lit(0)
+    one = plan.where("w > 0").agg(F.array_sort(F.collect_list(F.struct("source", "w", "blocks", done.cast("long").alias("done")))).alias("s"))
     release, due = f"j * {total}L div x.w", f"((j + 1) * {total}L + x.w - 1) div x.w"
     block = f"named_struct('d', {due}, 'i', i, 'j', j, 'r', greatest(c, {release}))"
     last = f"((c + {chunk}L) * x.w + {total - 1}L) div {total}L - 1"
@@ -67,8 +75,8 @@ def schedule(plan: DataFrame, slots: int, total: int, sources: int) -> DataFrame
     after = "array_sort(concat(transform(acc.done, (v, i) -> named_struct('i', i, 'v', v)), transform(got, g -> named_struct('i', g.i, 'v', g.j + 1))))"
     done = f"transform(array({after}), u -> transform(filter(u, (x, k) -> k = size(u) - 1 or get(u, k + 1).i <> x.i), x -> x.v))[0]"
     step = f"transform(array(q * {chunk}L), c -> transform(array({given}), got -> named_struct('done', {done}, 'picks', concat(acc.picks, array(got))))[0])[0]"
-    fold = f"""aggregate(sequence(0, {max(0, -(-slots // chunk) - 1)}),
-        named_struct('done', transform(s, x -> 0L), 'picks', cast(array() as array<array<struct<slot: bigint, i: int, j: bigint>>>)),
+    fold = f"""aggregate(sequence({start // chunk}, {max(start // chunk, -(-slots // chunk) - 1)}),
+        named_struct('done', transform(s, x -> x.done), 'picks', cast(array() as array<array<struct<slot: bigint, i: int, j: bigint>>>)),
         (acc, q) -> {step}, acc -> flatten(acc.picks))"""
     named = f"transform({fold}, p -> named_struct('source', s[p.i].source, 'j', p.j, 'slot', p.slot, 'real', p.j < s[p.i].blocks))"
     return one.where("size(s) > 0").select(F.explode(F.expr(named)).alias("p")).select("p.*").where(F.col("slot") < slots)
@@ -85,8 +93,19 @@ def planned(scratch: Scratch, counts: DataFrame, weights: DataFrame | None, temp
     # by then a source has run out: one of the blocks past its last whole one is due, or there are more slots than blocks
     ends = plan.where("w > 0").agg(F.min(F.expr(f"((blocks + 1) * {total}L + w - 1) div w")).alias("due"), (F.sum("blocks") + 1).alias("all")).first()
     slots = min(ends.due or 0, ends.all or 0)
-    given = scratch.table(schedule(plan, slots, total, whole.sources))
-    horizon = given.where("not real").agg(F.min("slot")).first()[0] or 0
+    # so many slots at a time, each lot from the blocks that were given before it, up to the first that can't be filled
+    lot = chunk_of(whole.sources) * max(1, SLOTS // chunk_of(whole.sources))
+    given = horizon = None
+    for start in range(0, max(1, slots), lot):
+        begun = plan
+        if start:
+            begun = plan.join(given.groupBy("source").agg(F.count("*").alias("done")), "source", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+        now = scratch.table(schedule(begun, min(slots, start + lot), total, whole.sources, start))
+        given = now if given is None else given.unionByName(now)
+        horizon = now.where("not real").agg(F.min("slot")).first()[0]
+        if horizon is not None:
+            break
+    horizon = horizon or 0
     given = given.where(F.col("real") & (F.col("slot") < horizon)).select("source", F.col("j").alias("block"), "slot")
     return plan, given, block, total, whole.sources, horizon
 
@@ -103,7 +122,8 @@ def mixed_rows(docs: DataFrame, weights: DataFrame | None = None, source_col: st
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", block: int | None = None, temper: float = TEMPER) -> DataFrame:
     """(doc_id, source, block, slot, place, in_mix, weight), a row for every row of docs.
 
-    weights: (source, weight); a source that it doesn't name comes after the mix; None: by TEMPER. weight is the target,
+    block: documents of a block; None: BLOCK, or more for tables of over BLOCK * SLOTS rows. weights: (source, weight); a
+    source that it doesn't name comes after the mix; None: by TEMPER. weight is the target,
     as scheduled. Within a source, documents come in the order of a hash of their id. slot is the block's slot, place the
     document's place in it; the order of the mix is (slot, place). in_mix tells whether the slot comes before the first
     one that its source can't fill for want of documents: up to there all shares hold within one block. Later rows
@@ -132,7 +152,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     targets = plan.select("source", "w")
     placed = placed.join(F.broadcast(targets) if sources <= SEND_SOURCES else targets, "source").withColumn("k", F.col("ahead") + F.col("m") - F.col("first"))
     placed = placed.withColumn("block", F.expr(f"k div {block}")).withColumn("place", F.col("k") % block)
-    out = placed.join(F.broadcast(given), ["source", "block"], "left")  # SLOTS rows at most
+    out = placed.join(F.broadcast(given) if horizon <= SLOTS else given, ["source", "block"], "left")
     late = F.expr(f"{horizon}L + ((block + 1) * {total}L + greatest(w, 1L) - 1) div greatest(w, 1L)")
     return out.select("doc_id", F.nullif("source", F.lit("\u0000")).alias("source"), "block", F.coalesce("slot", late).alias("slot"), "place", F.col("slot").isNotNull().alias("in_mix"), (F.col("w") / F.lit(float(total))).alias("weight"))
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from folioforge.llm import jpeg_media as J
 from folioforge.llm import mixing, piece_codec, sharding
+from folioforge.llm import queries as llm_queries
 from folioforge.llm.common import shared_folder
 
 ODD = ["", " ", "  a  b ", "a\tb\nc", "　x", "ﬁ é é", "<s>hi</s> <unk>", "\x00a", "▁a ▁", "<0x0A>", "▁▁▁▁x     y", "a" * 3000, "日本語😀😀 🇫🇷", " \n \n\n  ", "----====" * 9, "\n", "a \nb", "a\n b", "word " * 20_000]
@@ -394,6 +395,16 @@ def test_blocks_grow_with_the_table(spark, monkeypatch):
     assert sorted(at) == list(range(len(at))) and len(at) > 10 and deviations([at[s] for s in range(len(at))], {k: n**0.5 / total for k, n in sizes.items()}) < 1
 
 
+def test_query_blocks_do_not_grow(spark, monkeypatch, tmp_path):
+    """op7's rows are the same whether its slots are given at once or a few at a time, and however many rows are sent."""
+    spark.range(9000).selectExpr("id as doc_id", "string(id) as text", "if(id % 10 < 7, 'a', if(id % 10 < 9, 'b', 'c')) as source").write.parquet(f"{tmp_path}/documents.parquet")
+    before = sorted(map(str, llm_queries.op7_mixing(spark, str(tmp_path)).collect()))
+    rows = mixing.mixed_rows(spark.read.parquet(f"{tmp_path}/documents.parquet"), block=mixing.BLOCK)
+    monkeypatch.setattr(mixing, "SLOTS", 64)
+    assert sorted(map(str, llm_queries.op7_mixing(spark, str(tmp_path)).collect())) == before
+    assert mixing.mixed_rows(spark.read.parquet(f"{tmp_path}/documents.parquet"), block=mixing.BLOCK) == rows > 128 * 16
+
+
 def test_mixed_documents(spark):
     df = spark.createDataFrame([(k, f"s{k % 3}", "x") for k in range(500)], "doc_id long, source string, _slot string")
     out = mixing.in_order(df)
