@@ -21,6 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.functions import small_batches
 from folioforge.sources.mirror import filesystem
 
 #: Bytes that are copied, or unpacked, at a time; bytes of values, and values, of a batch that is read.
@@ -44,6 +45,7 @@ def write_bundles(df: DataFrame, path: str, formats: dict[str, bool], order: lis
     Rows are dealt over tasks by ranges of (collection, order); a task writes its run of each file, and files are put together
     by a task each, which copies the runs a piece at a time. No task holds more than a batch of rows.
     """
+    small_batches(df.sparkSession)
     where, root = filesystem(path)
     if where.get_file_info(root).type != fs.FileType.NotFound:
         raise FileExistsError(path)

@@ -61,8 +61,15 @@ def bundle_objects(df: DataFrame, column: str, path: str, ascii_only: bool, rows
     sizes = df.groupBy("collection").agg(F.ceil(F.count("*") / rows).alias("_parts")).withColumnRenamed("collection", "_of")
     few = sizes.count() <= SEND_COLLECTIONS
     keyed = df.join(F.broadcast(sizes) if few else sizes, F.col("collection").eqNullSafe(F.col("_of"))).select("collection", F.pmod(F.xxhash64("url"), F.col("_parts")).alias("_part"), "url", F.col(column).alias("_content"))
-    made = keyed.groupBy("collection", "_part").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", "_content"))))).alias("json"))
-    made.select("collection", (ascii_json("json") if ascii_only else F.col("json")).alias("json")).write.partitionBy("collection").mode("errorifexists").text(path)
+    # each pair as an object of its own, escaped row by row: whole objects, of many texts, never come to Python
+    pair = F.to_json(F.create_map("url", "_content"))
+    pairs = keyed.select("collection", "_part", "url", (ascii_json(pair) if ascii_only else pair).alias("_pair"))
+    held = F.array_sort(F.collect_list(F.struct("url", "_pair")))
+    members = F.transform("_held", lambda x: F.substring(x["_pair"], F.lit(2), F.length(x["_pair"]) - 2))
+    twice = F.size(F.array_distinct(F.transform("_held", lambda x: x["url"]))) < F.size("_held")
+    made = pairs.groupBy("collection", "_part").agg(held.alias("_held"))
+    made = made.withColumn("json", F.when(twice, F.raise_error(F.lit("a url occurs twice in a collection"))).otherwise(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))))
+    made.select("collection", "json").write.partitionBy("collection").mode("errorifexists").text(path)
 
 
 def sheets(df: DataFrame, sheet: str, path: str) -> None:
