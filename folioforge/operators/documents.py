@@ -21,7 +21,10 @@ FIELDS = {
 }
 HEAD = {"title", "canonical", "metas"}
 TAGS = "array<struct<name string, string string, attrs map<string, string>>>"
-DATELINE_PARTS = "title string, volumes string, div string, citations map<string, string>, notes array<struct<seq int, tag string, size int, string string, around string>>"
+DATELINE_PARTS = {
+    "title": "string", "volumes": "string", "div": "string", "citations": "map<string, string>", "notes": "array<struct<seq int, tag string, size int, string string, around string>>",
+    "texts": "array<struct<tag string, string string>>",
+}
 SVG = "n int, trimmed int, len0 int, len1 int, len2 int, len3 int, len4 int, len5 int"
 
 
@@ -61,19 +64,34 @@ def parse_document(html: Column | str, *fields: str) -> Column:
 _VOLUME, _VOLUMES = re.compile("Volume"), re.compile(r"(Past|Current) Volumes? \(")
 
 
-def _dateline_parts(text: str | None) -> tuple:
-    root = K.parse(text)
-    title, div = root.find("title"), root.find("div", class_="dateline")
-    heads = (around for _, tag, _, _, around in K.text_nodes(root, _VOLUMES) if tag == "h1")
-    notes = [dict(zip(("seq", "tag", "size", "string", "around"), n, strict=True)) for n in K.text_nodes(root, _VOLUME)]
-    return title.stripped() if title else None, next(heads, None), div.stripped() if div else None, K.citations(root), notes
+def _dateline_parts(text: str | None, fields: tuple[str, ...]) -> tuple:
+    root, out = K.parse(text), {}
+    if "title" in fields:
+        out["title"] = title.stripped() if (title := root.find("title")) else None
+    if "volumes" in fields:
+        out["volumes"] = next((around for _, tag, _, _, around in K.text_nodes(root, _VOLUMES) if tag == "h1"), None)
+    if "div" in fields:
+        out["div"] = div.stripped() if (div := root.find("div", class_="dateline")) else None
+    if "citations" in fields:
+        out["citations"] = K.citations(root)
+    if "notes" in fields:
+        out["notes"] = [dict(zip(("seq", "tag", "size", "string", "around"), n, strict=True)) for n in K.text_nodes(root, _VOLUME)]
+    if "texts" in fields:
+        out["texts"] = [{"tag": tag, "string": string} for tag, string in K.matching_texts(root, _VOLUME)]
+    return tuple(out[k] for k in fields)
+
 
+def dateline_parts(html: Column | str, *fields: str) -> Column:
+    """What datelines are read from, by one parse, a struct of some DATELINE_PARTS, all by default: title, heading of volumes,
+    dateline element, citations, texts with `Volume` as notes, and as texts with their element's name alone."""
+    fields = fields or tuple(DATELINE_PARTS)
+
+    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            yield pd.DataFrame([_dateline_parts(x, fields) for x in s], columns=list(fields))
 
-@arrow_function(DATELINE_PARTS)
-def dateline_parts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """What datelines are read from, by one parse: title, heading of volumes, dateline element, citations, texts with `Volume`."""
-    for s in batches:
-        yield pd.DataFrame([_dateline_parts(x) for x in s], columns=["title", "volumes", "div", "citations", "notes"])
+    parts.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return arrow_function(", ".join(f"{k} {DATELINE_PARTS[k]}" for k in fields))(parts)(html)
 
 
 def text_nodes(html: Column | str, pattern: str) -> Column:

@@ -25,7 +25,7 @@ LEVELS_KEPT = ["volume", "issue", "article"]
 def mmwr_datelines(pages: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
     """path, src, dateline, series, lang, dl_year_mo, dl_vol_iss, dl_date, dl_page of volume pages and articles.
     Corrections come before the page's element, and this before its script. Other paths have nulls."""
-    df = R.lookup(pages.select("path", "html"), "path", corrections, "_cx").withColumn("_p", P.dateline_parts("html"))
+    df = R.lookup(pages.select("path", "html"), "path", corrections, "_cx").withColumn("_p", P.dateline_parts("html", "title", "volumes", "div"))
     title, date = D.mmwr_script(F.col("html"))
     src, text = D.source_precedence(F.col("_cx"), F.col("_p.div"), title, date)
     df = df.select(
@@ -49,7 +49,7 @@ def mmwr_datelines(pages: DataFrame, corrections: DataFrame | None = None) -> Da
 
 def mmwr_dateline_details(pages: DataFrame) -> DataFrame:
     """Everything that says when an article appeared, side by side (G11-G14, G19): the path's parts, script, element and metas, and the parsed dateline."""
-    df = pages.select("path", "html", P.dateline_parts("html").alias("_p"), P.head_tags("html").alias("_tags"))
+    df = pages.select("path", "html", P.dateline_parts("html", "div").alias("_p"), P.head_tags("html").alias("_tags"))
     script = D.mmwr_script_dateline(F.col("html"))
     df = df.select("path", D.standard_name(F.col("path")).alias("fn_stan"), *(c.alias(n) for n, c in D.mmwr_article_path(F.col("path")).items() if n != "lang"),
         script.alias("var_dl"), F.coalesce("_p.div", F.lit("_ / _ / _")).alias("div_dl"), *(first_meta(F.col("_tags"), m).alias("md_" + m) for m in MMWR_METAS))
@@ -60,9 +60,9 @@ def mmwr_dateline_details(pages: DataFrame) -> DataFrame:
 
 def eid_datelines(pages: DataFrame, missing_pages: DataFrame | None = None) -> DataFrame:
     """path, lang, dateline, dl_vol_iss, dl_year_mo, dl_page (G20-G24). Lookup keys are paths without .html."""
-    df = pages.select("path", F.regexp_replace("path", r"\.html$", "").alias("_key"), P.dateline_parts("html").alias("_p"))
+    df = pages.select("path", F.regexp_replace("path", r"\.html$", "").alias("_key"), P.dateline_parts("html", "citations", "texts").alias("_p"))
     df = R.lookup(df, "_key", missing_pages, "_missing").withColumn("_level", D.eid_path_level(F.col("_key")))
-    note = F.filter("_p.notes", lambda n: n["string"].rlike(D.EID))
+    note = F.filter("_p.texts", lambda n: n["string"].rlike(D.EID))
     df = df.withColumn("_text", F.try_element_at(note, F.lit(1))["string"])
     parts = D.eid(F.col("_text"), F.coalesce(F.col("_level") == "volume", F.lit(False)))
     page = F.when(F.col("_level") == "article", F.coalesce(D.eid_page(F.try_element_at("_p.citations", F.lit("EID"))), "_missing"))
@@ -71,19 +71,19 @@ def eid_datelines(pages: DataFrame, missing_pages: DataFrame | None = None) -> D
 
 def eid_probe(pages: DataFrame) -> DataFrame:
     """Where in a page its dateline stands (G25): the first text with one below title, a, h5 and p."""
-    found = F.filter("_p.notes", lambda n: n["string"].rlike(D.EID))
+    found = F.filter("_p.texts", lambda n: n["string"].rlike(D.EID))
 
     def below(tag: str) -> Column:
         return F.try_element_at(F.filter(found, lambda n: n["tag"] == tag), F.lit(1))["string"]
 
     at = [below(tag) for tag in ("title", "a", "h5", "p")]
-    return pages.select("path", P.dateline_parts("html").alias("_p")).select("path", *(D.part(c, f"({D.EID})", 1).alias(n) for c, n in zip(at, ("dl_title", "dl_toc_a", "dl_header_h5", "dl_p"), strict=True)))
+    return pages.select("path", P.dateline_parts("html", "texts").alias("_p")).select("path", *(D.part(c, f"({D.EID})", 1).alias(n) for c, n in zip(at, ("dl_title", "dl_toc_a", "dl_header_h5", "dl_p"), strict=True)))
 
 
 def citation_cells(pages: DataFrame) -> DataFrame:
     """path, the citation table's headers, sorted, with bars between, and the cells of three of them."""
     c = F.col("_p.citations")
-    cells = pages.select("path", P.dateline_parts("html").alias("_p"))
+    cells = pages.select("path", P.dateline_parts("html", "citations").alias("_p"))
     return cells.select("path", F.array_join(F.array_sort(F.map_keys(c)), "|").alias("headers"), *(F.coalesce(F.try_element_at(c, F.lit(k)), F.lit("")).alias(k.lower()) for k in ("AMA", "APA", "EID")))
 
 
@@ -103,7 +103,7 @@ _MONTHED = r"(?is)Volume.{1,2}\d.{1,20}(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|
 def pcd_article_datelines(pages: DataFrame, corrections: DataFrame | None = None, vol_iss_to_date: DataFrame | None = None, article_numbers: DataFrame | None = None) -> DataFrame:
     """path, dateline, dl_vol_iss, dl_year_mo, dl_date, dl_art_num, lang, dl_cat of English articles (G31-G35): from the
     first short paragraph with a volume and a month, or from a correction, whose year is the path's."""
-    df = R.lookup(pages.select("path", P.dateline_parts("html").alias("_p")), "path", corrections, "_cx")
+    df = R.lookup(pages.select("path", P.dateline_parts("html", "notes").alias("_p")), "path", corrections, "_cx")
     short = F.filter("_p.notes", lambda n: n["string"].rlike(_MONTHED) & (n["tag"] == "p") & (n["size"] < 200))
     found = F.trim(F.regexp_replace(F.try_element_at(short, F.lit(1))["around"], r"(?U)\s+", " "))
     df = df.withColumn("_text", F.coalesce("_cx", found))
