@@ -93,3 +93,14 @@ def test_dateline_parts_asked_for():
     assert texts == [{"tag": n["tag"], "string": n["string"]} for n in notes] and len(texts) == 3
     for k, v in zip(P.DATELINE_PARTS, (title, volumes, div, citations, notes, texts), strict=True):
         assert P._dateline_parts(html, (k,)) == (v,)
+
+
+def test_filter_holds_small_slices(spark):
+    """Rows are scored in slices of a quarter of a megabyte of text, one row at least, and each is kept or not as before."""
+    from folioforge.llm.common import filtered
+
+    def make():
+        return lambda data, offs: [len(data) <= max(1 << 18, int(max(offs[1:] - offs[:-1])))] * (len(offs) - 1)
+
+    docs = spark.range(0, 40, 1, 1).selectExpr("id", "repeat('x', 50000) as text")
+    assert filtered(docs, "text", make).count() == 40
