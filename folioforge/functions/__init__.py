@@ -20,14 +20,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def arrow_function(schema: str) -> Callable:
-    """A pandas function as a Column function. The UDF is made when it is called, so that workers, which have no session, can import its module."""
+def arrow_function(schema: str, make: Callable = F.pandas_udf) -> Callable:
+    """A pandas function as a Column function, with F.arrow_udf one of Arrow arrays. The UDF is made when it is called, so that workers, which have no session, can import its module."""
 
     def wrap(f: Callable) -> Callable[..., Column]:
         def call(*columns: Column | str) -> Column:
             if spark := SparkSession.getActiveSession():
                 small_batches(spark)
-            return F.pandas_udf(f, schema)(*columns)
+            return make(f, schema)(*columns)
 
         call.__doc__, call.__name__ = f.__doc__, f.__name__
         return call

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +64,15 @@ def parse_document(html: Column | str, *fields: str) -> Column:
     return arrow_function(", ".join(f"{k} {FIELDS[k]}" for k in fields))(parsed)(html)
 
 
+@arrow_function(FIELDS["anchors"], F.arrow_udf)
+def anchors(html: pa.Array) -> pa.Array:
+    """A document's anchors, as parse_document gives them, without its tree where its markup is plain."""
+    found = [K.anchors_of(x) for x in html.to_pylist()]
+    ends = [0, *itertools.accumulate(map(len, found))]
+    columns = list(zip(*(a for page in found for a in page), strict=True)) or [()] * 3
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], ["href", "string", "only"]))
+
+
 _VOLUME, _VOLUMES = re.compile("Volume"), re.compile(r"(Past|Current) Volumes? \(")
 
 
@@ -127,22 +139,48 @@ def native_anchors(html: Column) -> Column:
     return F.arrays_zip(hrefs.alias("href"), texts.alias("string"))
 
 
+class Rule(NamedTuple):
+    """Which anchors make up a level: of href, of text, and whether only the first of a page counts; base: what links are resolved against."""
+
+    level: str
+    href: str | None = None
+    text: str | None = None
+    first: bool = False
+    base: str | None = None
+
+    def holds(self, a: Column) -> Column:
+        out = a["href"].isNotNull()
+        if self.href:
+            out = out & a["href"].rlike(f"(?U){self.href}")
+        return out & F.coalesce(a["only"].rlike(f"(?U){self.text}"), F.lit(False)) if self.text else out
+
+
+def by_rule(values: list[Column]) -> Column:
+    """The value of the row's rule."""
+    out = values[-1]
+    for k in reversed(range(len(values) - 1)):
+        out = F.when(F.col("_rule") == k, values[k]).otherwise(out)
+    return out
+
+
+def linked(looked_in: list[tuple[DataFrame, Rule]], url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """The link rows of all rules, each with the pages that it looks in: all pages pass one parse and one resolution together."""
+    rules = [r for _, r in looked_in]
+    pages = union(*(p.select(F.lit(k).alias("_rule"), (F.lit(r.base) if r.base else F.col(url_col)).alias("_base"), F.col(html_col).alias("_html")) for k, (p, r) in enumerate(looked_in)))
+    found = pages.select("_rule", "_base", anchors("_html").alias("_a"))
+    numbered = F.transform("_a", lambda a, i: F.struct(i.alias("seq"), a["href"].alias("href"), a["string"].alias("string"), a["only"].alias("only")))
+    kept = found.select("_rule", "_base", F.filter(numbered, lambda a: by_rule([r.holds(a) for r in rules])).alias("_a"))
+    rows = kept.select("_rule", "_base", F.explode(by_rule([F.slice("_a", 1, 1) if r.first else F.col("_a") for r in rules])).alias("_l"))
+    rows = rows.select("_base", "_l.seq", F.col("_l.href").alias("_href"), F.col("_l.string").alias("_string"), by_rule([F.lit(r.level) for r in rules]).alias("level"))
+    out = rows.select("seq", U.resolve_links("_base", "_href", "_string").alias("_r"), "level")
+    return out.select("_r.base", "seq", "_r.href", "_r.url", "_r.path", "_r.filename", "_r.mirror_path", "_r.string", "level")
+
+
 def links(pages: DataFrame, level: str, href: str | None = None, text: str | None = None, first: bool = False, base: str | None = None, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Link rows of a level (D1-D7): base, seq, href, url, path, filename, mirror_path, string, level of the pages'
     anchors, by the tree, whose href matches, and whose only text does (an anchor with markup in it has none). first: the
     first one of each page. base: what links are resolved against and said to come from, the page's url by default."""
-    anchors = pages.select((F.lit(base) if base else F.col(url_col)).alias("_base"), parse_document(F.col(html_col), "anchors")["anchors"].alias("_a"))
-
-    def wanted(a: Column) -> Column:
-        out = a["href"].isNotNull()
-        if href:
-            out = out & a["href"].rlike(f"(?U){href}")
-        return out & F.coalesce(a["only"].rlike(f"(?U){text}"), F.lit(False)) if text else out
-
-    numbered = F.filter(F.transform("_a", lambda a, i: F.struct(i.alias("seq"), a["href"].alias("href"), a["string"].alias("string"), a["only"].alias("only"))), wanted)
-    rows = anchors.select("_base", F.explode(F.slice(numbered, 1, 1) if first else numbered).alias("_l"))
-    out = rows.select("_l.seq", U.resolve_links("_base", "_l.href", "_l.string").alias("_r"))
-    return out.select("_r.base", "seq", "_r.href", "_r.url", "_r.path", "_r.filename", "_r.mirror_path", "_r.string", F.lit(level).alias("level"))
+    return linked([(pages, Rule(level, href, text, first, base))], url_col, html_col)
 
 
 # fixed values: which anchors make up the levels of each journal: of href, of text, and whether only the first counts
@@ -165,10 +203,10 @@ def harvest(journal: str, pages: dict[str, DataFrame], volumes_base: str | None
         if level not in pages:
             continue
         if journal == "eid" and level == "volume":
-            found += [links(pages[level].where(F.col("url").endswith(end)), level, href, only, base=volumes_base) for end, only in EID_VOLUMES.items()]
+            found += [(pages[level].where(F.col("url").endswith(end)), Rule(level, href, only, base=volumes_base)) for end, only in EID_VOLUMES.items()]
         elif journal == "pcd" and level == "series":
             spanish = F.col("url").endswith("/archive_es.htm")
-            found += [links(pages[level].where(~spanish), level, href, text, first), links(pages[level].where(spanish), level, PCD_SPANISH, first=True)]
+            found += [(pages[level].where(~spanish), Rule(level, href, text, first)), (pages[level].where(spanish), Rule(level, PCD_SPANISH, first=True))]
         else:
-            found.append(links(pages[level], level, href, text, first))
-    return union(*found)
+            found.append((pages[level], Rule(level, href, text, first)))
+    return linked(found)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import tables
 from folioforge.operators import crawl
 from folioforge.operators import documents as P
+from folioforge.operators.relational import spread
 from folioforge.plans.io_queries import folder
 from folioforge.plans.queries import ANCHORS, load, query
 from folioforge.sources import mirror
@@ -51,7 +52,7 @@ def expected(journal: str) -> str:
 
 
 def harvested(spark, sf_dir, journal: str):
-    customers = load(spark, sf_dir, "customer").select("c_custkey")
+    customers = spread(load(spark, sf_dir, "customer").select("c_custkey"))
     levels = dict.fromkeys(level for j, level, *_ in CASES if j == journal)
     return P.harvest(journal, {level: pages_of(customers, journal, level) for level in levels}, VOLUMES_BASE)
 
