@@ -28,6 +28,25 @@ def test_pages_of_harvests_need_no_tree(monkeypatch):
     assert [K.anchors_of(html) for *_, html, _ in H.CASES] == want and K.anchors_of(None) == []
 
 
+SIMPLE = ["<a href='x'>", "<A title=t HREF=y>", "<a>", "<a href>", '<a href="1&amp;3">', '<a href="1" href="2">', "<a href='>'>", "<a x='<b>'>", "</a>", "</A>", "</a>", "t", " t ", "&amp;", "&#1;", "<b>x</b>", "<B class=k> x</b>", "<i></i>", "<b>", "<p>", "<br>", "<!-- c -->", "<title>t</title>", "<title>a<b></title>", "<div title='a>b'>", "</p>"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(SIMPLE[:8]), st.lists(st.sampled_from(SIMPLE[11:]), max_size=3), st.sampled_from(SIMPLE[8:11]), st.sampled_from(["", *SIMPLE])), max_size=4))
+def test_simple_anchors_are_the_trees(anchors):
+    text = "".join("".join((start, *inside, end, after)) for start, inside, end, after in anchors)
+    assert K.anchors_of(text) == K.anchors(K.parse(text))
+
+
+def test_simple_anchors_are_found_by_pattern(monkeypatch):
+    """Pages whose anchors hold texts and inline elements of text alone aren't read token by token."""
+    pages = [html for *_, html, _ in H.CASES if "<!--" not in html]
+    want = [K.anchors(K.parse(html)) for html in pages]
+    monkeypatch.setattr(K, "parse", None)
+    monkeypatch.setattr(K, "_plain_anchors", None)
+    assert len(pages) >= len(H.CASES) - 1 and [K.anchors_of(html) for html in pages] == want
+
+
 BASES = ["https://h.org", "http://H.org/", "/a/", "a/b.htm", "..", "?q=/z", "#f", ";p", "//", " "]
 HREFS = ["/", "a", "b.htm", ".", "..", "//", ";x", "?q", "#t", "%20", "é", " ", "\n", ":", "x.", "http://h.org"]
 
@@ -48,6 +67,12 @@ def test_plain_links_need_no_full_resolution(monkeypatch):
     assert U.located("http://h.org/a/", "/v/") == ("https://h.org/v/", "/v/", "", "/v/index.html")
 
 
+def test_links_of_parents_need_no_full_resolution(monkeypatch):
+    monkeypatch.setattr(U, "urljoin", None)
+    assert U.located("https://h.org/a/b/c.htm", "../d/e.htm#t") == ("https://h.org/a/d/e.htm", "/a/d/e.htm", "e.htm", "/a/d/e.htm")
+    assert U.located("https://h.org/a/b", "../../d../") == ("https://h.org/d../", "/d../", "", "/d../index.html")
+
+
 def test_links_with_nulls(spark):
     rows = [("https://h.org/a/b", "c", "t"), ("https://h.org/a/b", None, "t"), (None, "/c", None), ("https://h.org/a/b", "../c", "t")]
     got = spark.createDataFrame(rows, "base string, href string, text string").select(U.resolve_links("base", "href", "text").alias("l")).select("l.*").collect()
